@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpusflow.operators.chunks import chunk
 from corpusflow.operators.dedup import dedup_first
 from corpusflow.operators.filters import corpus_filters
+from corpusflow.operators.ordering import range_bucket
 from corpusflow.operators.tokens import DEFAULT_VOCAB, encode_hashed
 from corpusflow.sources.tables import table
 
@@ -36,6 +37,12 @@ def documents_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "text", "lang")
 
 
+def doc_id_bucket(spark: SparkSession, sf_dir: str) -> "F.Column":
+    """Bucket of doc_id for ordered scans, from the range of the base table
+    (a one-column scan) rather than of a derived, expensive frame."""
+    return range_bucket(table(spark, sf_dir, "documents"), F.col("doc_id"))
+
+
 def clean_documents(spark: SparkSession, sf_dir: str, language: str | None = "de",
                     dedup: bool = True, th: Thresholds = DEFAULT) -> DataFrame:
     """F1 -> F2 -> F3 (supplied lang) -> D1 over all sources, first by doc_id."""

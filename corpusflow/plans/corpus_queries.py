@@ -10,10 +10,9 @@ from corpusflow.functions.text import STRIP_PATTERN, stripped_length
 from corpusflow.operators import chunks as C
 from corpusflow.operators.dedup import dedup_first
 from corpusflow.operators.filters import corpus_filters, keep_nonempty
-from corpusflow.operators.ordering import range_bucket
 from corpusflow.operators.tokens import build_vocab, encode_vocab
 from corpusflow.plans import sql as S
-from corpusflow.plans.corpus import (DEFAULT, chunks, clean_documents, corpus_chunks,
+from corpusflow.plans.corpus import (clean_documents, corpus_chunks, doc_id_bucket,
                                      documents_rows, mix_report, tokenized)
 from corpusflow.plans.registry import register
 from corpusflow.sources.catalog import read_sources
@@ -224,7 +223,7 @@ def batches(spark, sf_dir):
     p = _pairs(spark, sf_dir).select("doc_id", F.col("chunk_idx").cast("bigint"),
                                      F.col("pair_idx").cast("bigint"))
     out = C.assign_batches(p, [], [F.col("doc_id"), F.col("chunk_idx"), F.col("pair_idx")],
-                           range_bucket(p, F.col("doc_id")), BATCH, ACCUM)
+                           doc_id_bucket(spark, sf_dir), BATCH, ACCUM)
     return out.select("doc_id", "chunk_idx", "pair_idx", "sample_ord", "batch_id", "update_id")
 
 
@@ -253,7 +252,7 @@ GROUP BY w.window_id""")
 def pack_flat(spark, sf_dir):
     ch = corpus_chunks(spark, sf_dir, language="de").select("doc_id", "chunk_idx", "chunk", "chunk_len")
     order = [F.col("doc_id"), F.col("chunk_idx")]
-    with_off = C.stream_offsets(ch, order, range_bucket(ch, F.col("doc_id")))
+    with_off = C.stream_offsets(ch, order, doc_id_bucket(spark, sf_dir))
     total = ch.agg(F.sum("chunk_len")).first()[0] or 0
     w = C.pack_windows(with_off, int(total), PACK_LEN, PACK_STRIDE)
     z_last = F.coalesce(F.get("y", F.size("y") - 1), F.get("x", F.size("x") - 1))
