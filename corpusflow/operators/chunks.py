@@ -115,10 +115,11 @@ def pack_windows(df: DataFrame, total_tokens: int, seq_len: int = 512, stride: i
     span = seq_len + 1
     first = F.greatest(F.lit(0), F.floor((off - F.lit(span)) / F.lit(s)) + 1)
     last = F.least(F.lit(n_windows - 1), F.floor((off + n - 1) / F.lit(s)))
-    parts = (df.filter(n > 0)
+    # sequence(a, b) counts down when a > b: rows past the last window (or
+    # before the first) must not explode at all
+    parts = (df.filter((n > 0) & (first <= last))
              .select(off.alias("_off"), n.alias("_n"), F.col(tokens_col).alias("_t"),
-                     F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))).alias("window_id"))
-             .filter(F.col("window_id") <= F.lit(n_windows - 1)))
+                     F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))).alias("window_id")))
     w0 = F.col("window_id") * F.lit(s)
     lo = F.greatest(F.col("_off"), w0)
     hi = F.least(F.col("_off") + F.col("_n"), w0 + F.lit(span))
