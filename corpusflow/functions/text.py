@@ -44,5 +44,21 @@ def text_digest(text: Column) -> Column:
 
 
 def pieces(text: Column, pattern: str = PIECE_PATTERN) -> Column:
-    """Order-preserving pieces of a text as ARRAY<STRING>."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), 0)
+    """Order-preserving pieces of a text as ARRAY<STRING>.
+
+    The default (maximal non-whitespace runs, i.e. Python ``str.split()``) is
+    a ``split`` on whitespace runs with empty strings removed: native
+    expressions, several times faster than extracting the runs by regex."""
+    t = F.coalesce(text, F.lit(""))
+    if pattern == PIECE_PATTERN:
+        return F.array_remove(F.split(t, WHITESPACE_CLASS + "+"), "")
+    return F.regexp_extract_all(t, F.lit(pattern), 0)
+
+
+def piece_count(text: Column) -> Column:
+    return F.size(pieces(text)).cast("bigint")
+
+
+def nonspace_chars(text: Column) -> Column:
+    """Characters outside whitespace runs (= total length of all pieces)."""
+    return F.length(F.regexp_replace(F.coalesce(text, F.lit("")), WHITESPACE_CLASS, ""))

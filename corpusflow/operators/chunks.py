@@ -48,8 +48,11 @@ def chunk(df: DataFrame, min_len: int = 256, max_len: int = 1024, target: int =
           tokens_col: str = "tokens") -> DataFrame:
     """One row per chunk: chunk_idx, chunk_start, chunk (ARRAY<INT>), chunk_len.
     F6 (sequences shorter than min vanish) is applied before the explode."""
-    spans = chunk_spans(F.size(tokens_col), min_len, max_len, target)
-    exploded = (df.filter(F.size(tokens_col) >= min_len)
+    # lengths come from ``n_tokens`` when present, so the spans (and every
+    # consumer of chunk_len only) do not depend on the id array
+    n = F.col("n_tokens") if "n_tokens" in df.columns else F.size(tokens_col)
+    spans = chunk_spans(n, min_len, max_len, target)
+    exploded = (df.filter(n >= min_len)
                 .select("*", F.posexplode(spans).alias("chunk_idx", "_span")))
     return (exploded
             .withColumn("chunk_start", F.col("_span.start"))
@@ -62,8 +65,8 @@ def chunk(df: DataFrame, min_len: int = 256, max_len: int = 1024, target: int =
 def pairs_per_chunk(df: DataFrame, seq_len: int = 512, chunk_col: str = "chunk") -> DataFrame:
     """C6 + C5: windows starting at 0, L, 2L, ... < n - L of each chunk with
     y = x shifted by one.  A chunk of exactly L tokens gives no pair."""
-    n = F.size(chunk_col)
-    starts = F.sequence(F.lit(0), n - F.lit(seq_len) - 1, F.lit(seq_len))
+    n = F.col("chunk_len") if "chunk_len" in df.columns else F.size(chunk_col)
+    starts = F.sequence(F.lit(0), (n - F.lit(seq_len) - 1).cast("int"), F.lit(seq_len))
     return (df.filter(n > seq_len)
             .select("*", F.posexplode(starts).alias("pair_idx", "pair_start"))
             .withColumn("x", F.slice(F.col(chunk_col), F.col("pair_start") + 1, seq_len))

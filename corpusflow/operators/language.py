@@ -12,8 +12,8 @@ on gram -> per-document sums per language -> argmax of
 
 (add-one smoothing; G = trigrams in the document, N_l = trigrams of language
 l, V = distinct trigrams).  The profile is broadcast only after its row count
-is checked; above the limit the join is a shuffle join that AQE splits when a
-gram is skewed.
+is checked (rows = grams x languages); above the limit the join is a shuffle
+join that AQE splits when a gram is skewed.
 """
 
 from __future__ import annotations
@@ -24,26 +24,28 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.text import pieces, stripped_length
+from corpusflow.functions.text import WHITESPACE_CLASS, nonspace_chars, stripped_length
 
 NGRAM = 3
 MIN_DETECT_CHARS = 10
 MAX_BROADCAST_PROFILE = 5_000_000
 
 
-def trigrams(text: Column, n: int = NGRAM) -> Column:
-    """ARRAY<STRING> of padded-piece character n-grams of the whole text."""
-    def piece_grams(w):
-        padded = F.concat(F.lit(" "), w, F.lit(" "))
-        return F.transform(F.sequence(F.lit(1), F.length(padded) - n + 1),
-                           lambda i: F.substring(padded, i, n))
-    return F.flatten(F.transform(pieces(text), piece_grams))
+def trigrams(text: Column) -> Column:
+    """ARRAY<STRING> of padded-piece character trigrams of the whole text.
 
+    Whitespace runs become one space and the text is padded with spaces; the
+    trigrams whose middle character is not a space are then exactly the
+    trigrams of every piece padded with one space on each side.  One regex
+    pass with a look-ahead group extracts them all (no per-piece lambdas)."""
+    norm = F.concat(F.lit(" "), F.regexp_replace(F.coalesce(text, F.lit("")), WHITESPACE_CLASS + "+", " "),
+                    F.lit(" "))
+    return F.regexp_extract_all(norm, F.lit("(?s)(?=(.[^ ].))"), 1)
 
-def gram_total(text: Column, n: int = NGRAM) -> Column:
-    """Number of n-grams ``trigrams`` yields, without building them."""
-    lens = F.transform(pieces(text), lambda w: F.length(w) + 3 - n)
-    return F.aggregate(lens, F.lit(0).cast("bigint"), lambda a, x: a + x.cast("bigint"))
+
+def gram_total(text: Column) -> Column:
+    """Number of trigrams ``trigrams`` yields: one per non-space character."""
+    return nonspace_chars(text).cast("bigint")
 
 
 def train_profile(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -74,7 +76,10 @@ def score_languages(df: DataFrame, key: list[str], profile: DataFrame, stats: Pr
     stripped length is under 10 characters)."""
     stats = stats or profile_stats(profile)
     langs = sorted(stats.totals)
-    prof = profile.select("gram", "lang", F.log(F.col("cnt") + 1.0).alias("lc"))
+    # one row per gram with a column per language: every exploded gram meets
+    # at most one profile row in the join (not one per language)
+    prof = profile.groupBy("gram").agg(
+        *[F.sum(F.when(F.col("lang") == l, F.log(F.col("cnt") + 1.0))).alias(f"_lc_{l}") for l in langs])
     if stats.rows <= MAX_BROADCAST_PROFILE:
         prof = F.broadcast(prof)
     docs = df.select(*key, F.col(text_col).alias("_text"))
@@ -84,8 +89,7 @@ def score_languages(df: DataFrame, key: list[str], profile: DataFrame, stats: Pr
     grams = (detectable.select(*key, "_text", gram_total(F.col("_text")).alias("_G"))
              .select(*key, "_G", F.explode(trigrams(F.col("_text"))).alias("gram")))
     joined = grams.join(prof, "gram", "left")
-    sums = joined.groupBy(*key, "_G").agg(
-        *[F.sum(F.when(F.col("lang") == l, F.col("lc"))).alias(f"_s_{l}") for l in langs])
+    sums = joined.groupBy(*key, "_G").agg(*[F.sum(f"_lc_{l}").alias(f"_s_{l}") for l in langs])
     for l in langs:
         penalty = math.log(stats.totals[l] + stats.distinct)
         sums = sums.withColumn(f"score_{l}", F.coalesce(F.col(f"_s_{l}"), F.lit(0.0))

@@ -79,7 +79,12 @@ def scan(df: DataFrame, by: list[str], order: list[Column], bucket: Column,
 
     ``previous`` columns appear as ``prev_<name>``: the value on the preceding
     row of the same partition (null on the first row)."""
+    # One shuffle on (keys, bucket) feeds both the bucket totals and the
+    # window: the aggregate and the window need exactly this clustering and
+    # the two branches share the same exchange (ReuseExchange), so the input
+    # is computed and shuffled once.
     b = df.withColumn(BKT, bucket)
+    b = b.repartition(*[F.col(c) for c in by], F.col(BKT))
     for i, r in enumerate(running):
         b = b.withColumn(f"_v{i}", r.expr)
 

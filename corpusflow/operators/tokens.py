@@ -31,9 +31,14 @@ def hashed_id(piece: Column, vocab_size: int = DEFAULT_VOCAB) -> Column:
 
 def encode_hashed(df: DataFrame, text_col: str = "text", vocab_size: int = DEFAULT_VOCAB,
                   pattern: str = PIECE_PATTERN, out: str = "tokens") -> DataFrame:
-    """ARRAY<INT> of hashed piece ids plus ``n_tokens``."""
-    ids = F.transform(pieces(F.col(text_col), pattern), lambda p: hashed_id(p, vocab_size))
-    return df.withColumn(out, ids).withColumn("n_tokens", F.size(out).cast("bigint"))
+    """ARRAY<INT> of hashed piece ids plus ``n_tokens``.
+
+    ``n_tokens`` does not reference the id array, so plans that only need
+    lengths (chunk spans, budgets, mixing) never compute the md5 ids: column
+    pruning removes them."""
+    ps = pieces(F.col(text_col), pattern)
+    return (df.withColumn(out, F.transform(ps, lambda p: hashed_id(p, vocab_size)))
+            .withColumn("n_tokens", F.size(ps).cast("bigint")))
 
 
 def token_count(df: DataFrame, text_col: str = "text", pattern: str = PIECE_PATTERN) -> DataFrame:
@@ -50,8 +55,10 @@ def build_vocab(df: DataFrame, vocab_size: int = DEFAULT_VOCAB, text_col: str =
     vocab_size rows reach the driver) gives the cut-off count, then only the
     <= V candidates are ranked."""
     slots = vocab_size - 1
+    # read three times below: computed once and cut from lineage (a reliable
+    # checkpoint in the shared folder survives lost executors)
     counts = (df.select(F.explode(pieces(F.col(text_col), pattern)).alias("piece"))
-              .groupBy("piece").agg(F.count(F.lit(1)).alias("cnt")))
+              .groupBy("piece").agg(F.count(F.lit(1)).alias("cnt"))).checkpoint()
     hist = (counts.groupBy("cnt").agg(F.count(F.lit(1)).alias("k"))
             .orderBy(F.desc("cnt")).limit(slots).collect())
     taken, cutoff = 0, None
@@ -74,23 +81,22 @@ def build_vocab(df: DataFrame, vocab_size: int = DEFAULT_VOCAB, text_col: str =
 def encode_vocab(df: DataFrame, vocab: DataFrame, key: list[str], text_col: str = "text",
                  pattern: str = PIECE_PATTERN, out: str = "tokens") -> DataFrame:
     """T1 with a vocabulary: posexplode -> join on piece -> regroup by ``key``.
+    Returns ``key`` columns, the id array and ``n_tokens``; unknown pieces get 0.
 
     The vocabulary has at most V rows (a proven bound), so it is broadcast up
     to MAX_BROADCAST_VOCAB rows; the regroup is by document, i.e. bounded by
-    one document's size."""
+    one document's size.  ``posexplode_outer`` keeps documents without pieces
+    (empty array) without a join back to the input."""
     v = vocab.select("piece", "id")
     if _bounded(vocab, MAX_BROADCAST_VOCAB):
         v = F.broadcast(v)
-    exploded = df.select(*key, F.posexplode(pieces(F.col(text_col), pattern)).alias("pos", "piece"))
+    exploded = df.select(*key, F.posexplode_outer(pieces(F.col(text_col), pattern)).alias("pos", "piece"))
     joined = exploded.join(v, on="piece", how="left").select(
-        *key, "pos", F.coalesce(F.col("id"), F.lit(0)).alias("id"))
-    grouped = joined.groupBy(*key).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_z"))
-    encoded = grouped.select(*key, F.transform("_z", lambda s: s["id"]).alias(out))
-    # documents without any piece keep an empty array
-    return (df.join(encoded, on=key, how="left")
-            .withColumn(out, F.coalesce(F.col(out), F.array().cast(T.ArrayType(T.IntegerType()))))
-            .withColumn("n_tokens", F.size(out).cast("bigint")))
+        *key, F.when(F.col("pos").isNotNull(),
+                     F.struct("pos", F.coalesce(F.col("id"), F.lit(0)).alias("id"))).alias("_e"))
+    grouped = joined.groupBy(*key).agg(F.array_sort(F.collect_list("_e")).alias("_z"))
+    ids = F.transform("_z", lambda s: s["id"])
+    return grouped.select(*key, ids.alias(out), F.size("_z").cast("bigint").alias("n_tokens"))
 
 
 def _bounded(df: DataFrame, max_rows: int) -> bool:

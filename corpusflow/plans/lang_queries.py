@@ -21,8 +21,11 @@ def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.filter((F.pmod(F.col("doc_id"), F.lit(2)) == 0) & F.col("lang").isNotNull())
 
 
-def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return train_profile(training_rows(spark, sf_dir))
+def profile(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
+    """The trained profile; ``materialize`` writes it once to the shared
+    checkpoint folder when it is read several times (stats + scoring)."""
+    p = train_profile(training_rows(spark, sf_dir))
+    return p.checkpoint() if materialize else p
 
 
 def _grams(key: str, src: str) -> str:
@@ -74,7 +77,7 @@ FROM ({S.filtered_docs_sql(None)}) f LEFT JOIN ({_detect_sql(S.filtered_docs_sql
 ON f.doc_id = x.doc_id""")
 def lang_detect(spark, sf_dir):
     docs = corpus_filters(documents_rows(spark, sf_dir), 50, None).select("doc_id", "lang", "text")
-    prof = profile(spark, sf_dir)
+    prof = profile(spark, sf_dir, materialize=True)
     scored = score_languages(docs, ["doc_id"], prof, profile_stats(prof))
     return scored.select("doc_id", "lang", "pred_lang")
 
@@ -85,7 +88,7 @@ FROM ({S.clean_docs_sql(None)}) c JOIN ({_detect_sql(S.clean_docs_sql(None))}) x
 WHERE x.pred_lang = 'de'""")
 def lang_filter(spark, sf_dir):
     docs = clean_documents(spark, sf_dir, language=None).select("doc_id", "text")
-    prof = profile(spark, sf_dir)
+    prof = profile(spark, sf_dir, materialize=True)
     scored = score_languages(docs, ["doc_id"], prof, profile_stats(prof))
     kept = scored.filter(F.col("pred_lang") == "de")
     return token_count(kept).select("doc_id", "n_tokens")
