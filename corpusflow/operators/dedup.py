@@ -13,7 +13,7 @@ arrival order ``(source_ord, doc_ord)``.  Plan:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import text_digest
@@ -23,6 +23,24 @@ def with_digest(df: DataFrame, text_col: str = "text", name: str = "h") -> DataF
     return df.withColumn(name, text_digest(F.col(text_col)))
 
 
+DOC_BITS = 47  # doc_ord < 2**47 when packed with a source ordinal (< 2**16)
+
+
+def order_key(order_cols: list[str]) -> Column:
+    """A single BIGINT that sorts like (order_cols...): hash aggregation can
+    keep min(bigint) in a fixed-width buffer, whereas min(struct) falls back
+    to a sort-based aggregate over all rows.  Two columns are packed as
+    (first << 47) + second, with the bound checked per row."""
+    if len(order_cols) == 1:
+        return F.col(order_cols[0]).cast("bigint")
+    if len(order_cols) != 2:
+        raise ValueError("order by one or two columns")
+    hi, lo = F.col(order_cols[0]).cast("bigint"), F.col(order_cols[1]).cast("bigint")
+    ok = (hi >= 0) & (hi < F.lit(1 << 16)) & (lo >= 0) & (lo < F.lit(1 << DOC_BITS))
+    packed = F.shiftleft(hi, DOC_BITS) + lo
+    return F.when(ok, packed).otherwise(F.raise_error(F.lit("order key out of range for packing")))
+
+
 def dedup_first(df: DataFrame, order_cols: list[str] = ("source_ord", "doc_ord"),
                 text_col: str = "text", enabled: bool = True,
                 per_source: bool = False) -> DataFrame:
@@ -34,9 +52,8 @@ def dedup_first(df: DataFrame, order_cols: list[str] = ("source_ord", "doc_ord")
         return df
     order_cols = list(order_cols)
     key = ["h", "source_ord"] if per_source else ["h"]
-    extra = ["source_ord"] if per_source and "source_ord" not in order_cols else []
-    keyed = df.select(text_digest(F.col(text_col)).alias("h"), *extra, *order_cols)
-    winners = (keyed.groupBy(*key)
-               .agg(F.min(F.struct(*order_cols)).alias("w"))
-               .select(*[F.col("w")[c].alias(c) for c in order_cols]))
-    return df.join(winners, on=order_cols, how="left_semi")
+    extra = [F.col("source_ord")] if per_source else []
+    keyed = df.select(text_digest(F.col(text_col)).alias("h"), *extra, order_key(order_cols).alias("_ok"))
+    winners = keyed.groupBy(*key).agg(F.min("_ok").alias("_ok")).select("_ok")
+    return (df.withColumn("_ok", order_key(order_cols))
+            .join(winners, on="_ok", how="left_semi").drop("_ok"))
