@@ -8,7 +8,10 @@ one task.  Here every scan is split by an explicit *bucket* of the order key:
 2. exclusive prefix of those totals over buckets (a window on the tiny table),
 3. join the prefix back on (keys, bucket) - AQE broadcasts it at runtime when
    its measured size is small, otherwise a shuffle join on a skew-free key,
-4. a window inside (keys, bucket), which reuses the join's partitioning.
+4. a window inside (keys, bucket), which reuses the input's partitioning.
+
+The input is shuffled once on (keys, bucket) and, when expensive, written once
+by a reliable checkpoint (see ``scan``).
 
 The bucket must be non-decreasing in the order key within each partition and
 is computed from the data (not ``spark_partition_id``), so recomputation after
@@ -73,18 +76,25 @@ def _combine(op: str, prior: Column, within: Column) -> Column:
 
 
 def scan(df: DataFrame, by: list[str], order: list[Column], bucket: Column,
-         running: list[Running] = (), previous: list[str] = ()) -> DataFrame:
+         running: list[Running] = (), previous: list[str] = (),
+         materialize: bool = True) -> DataFrame:
     """Add running aggregates and previous-row values, ordered by ``order``
     within ``by``.  ``order`` must be a total order (end with a unique key).
 
     ``previous`` columns appear as ``prev_<name>``: the value on the preceding
-    row of the same partition (null on the first row)."""
-    # One shuffle on (keys, bucket) feeds both the bucket totals and the
-    # window: the aggregate and the window need exactly this clustering and
-    # the two branches share the same exchange (ReuseExchange), so the input
-    # is computed and shuffled once.
+    row of the same partition (null on the first row).
+
+    The input is hash-partitioned once on (keys, bucket); the bucket totals,
+    the join and the window all need exactly that clustering.  The input is
+    read twice (totals and rows), and column pruning makes the two shuffles
+    differ, so Spark would compute an expensive input twice: with
+    ``materialize`` the partitioned input is written once by a reliable
+    checkpoint (shared folder, lineage cut, partitioning kept).  Cheap inputs
+    (a plain table scan) should pass ``materialize=False``."""
     b = df.withColumn(BKT, bucket)
     b = b.repartition(*[F.col(c) for c in by], F.col(BKT))
+    if materialize:
+        b = b.checkpoint(eager=True)
     for i, r in enumerate(running):
         b = b.withColumn(f"_v{i}", r.expr)
 
@@ -122,12 +132,12 @@ def scan(df: DataFrame, by: list[str], order: list[Column], bucket: Column,
 
 
 def ordinal(df: DataFrame, by: list[str], order: list[Column], bucket: Column,
-            name: str = "ord") -> DataFrame:
+            name: str = "ord", materialize: bool = True) -> DataFrame:
     """1-based row number within ``by`` in ``order``, without a single-task window."""
-    return scan(df, by, order, bucket, [Running(name, "count", F.lit(1))])
+    return scan(df, by, order, bucket, [Running(name, "count", F.lit(1))], materialize=materialize)
 
 
 def prefix_sum(df: DataFrame, by: list[str], order: list[Column], bucket: Column,
-               value: Column, name: str = "cum") -> DataFrame:
+               value: Column, name: str = "cum", materialize: bool = True) -> DataFrame:
     """Inclusive running sum of ``value`` within ``by`` in ``order``."""
-    return scan(df, by, order, bucket, [Running(name, "sum", value)])
+    return scan(df, by, order, bucket, [Running(name, "sum", value)], materialize=materialize)

@@ -35,11 +35,13 @@ RUNLOG_SCHEMA = T.StructType([
 
 
 def ordered(rl: DataFrame, order: list[Column], bucket: Column,
-            running: list[Running] = (), previous: list[str] = ()) -> DataFrame:
+            running: list[Running] = (), previous: list[str] = (),
+            materialize: bool = False) -> DataFrame:
     """Adds ``seq`` (1-based arrival ordinal per run) plus requested running
-    aggregates / previous values, in one bucketed scan."""
+    aggregates / previous values, in one bucketed scan.  A run log read from
+    files is cheap to re-read, so it is not materialized by default."""
     return scan(rl, [RUN], order, bucket,
-                [Running("seq", "count", F.lit(1))] + list(running), previous)
+                [Running("seq", "count", F.lit(1))] + list(running), previous, materialize)
 
 
 def history(rl: DataFrame, metric: str, map_col: str | None = None) -> DataFrame:

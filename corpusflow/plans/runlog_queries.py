@@ -192,7 +192,7 @@ FROM ({_TPS_SQL}) t""")
 def trend(spark, sf_dir):
     t = _tps_frame(spark, sf_dir).drop("prev_ts")
     metrics = ["loss", "perplexity", "tokens_per_second"]
-    t2 = scan(t, [R.RUN], [F.col("seq")], time_bucket(spark, sf_dir), [], metrics)
+    t2 = scan(t, [R.RUN], [F.col("seq")], time_bucket(spark, sf_dir), [], metrics, materialize=False)
     return R.trends(t2, metrics).select(R.RUN, "seq", *[f"{m}_trend" for m in metrics])
 
 
@@ -218,7 +218,7 @@ SELECT run_id, seq, step > coalesce(max(step) {_W_BEFORE}, 0) AS accepted FROM (
 def monotone(spark, sf_dir):
     rl = with_steps(spark, sf_dir)
     acc = scan(rl, [R.RUN], [F.col("seq")], time_bucket(spark, sf_dir),
-               [Running("_prev_max", "max", F.col("step"), inclusive=False)])
+               [Running("_prev_max", "max", F.col("step"), inclusive=False)], materialize=False)
     return acc.select(R.RUN, "seq", R.monotone_accept(F.col("step"), F.col("_prev_max")).alias("accepted"))
 
 
@@ -243,7 +243,8 @@ def status_line_q(spark, sf_dir):
     t = _tps_frame(spark, sf_dir).drop("prev_ts")
     t = t.withColumn("learning_rate", cosine_with_warmup(_lr_t(), BASE_LR, WARMUP, HORIZON, MIN_LR))
     metrics = ["loss", "perplexity", "tokens_per_second"]
-    t2 = R.trends(scan(t, [R.RUN], [F.col("seq")], time_bucket(spark, sf_dir), [], metrics), metrics)
+    t2 = R.trends(scan(t, [R.RUN], [F.col("seq")], time_bucket(spark, sf_dir), [], metrics,
+                       materialize=False), metrics)
     line = status_line(F.col("step"), F.lit(0), F.col("loss"), F.col("perplexity"), F.col("learning_rate"),
                        F.col("vram_usage"), F.col("tokens_per_second"), F.col("loss_trend"),
                        F.col("perplexity_trend"), F.col("tokens_per_second_trend"))
