@@ -134,3 +134,80 @@ FROM ({S.clean_docs_sql(None)}) c""")
 def split_hash(spark, sf_dir):
     docs = with_digest(clean_documents(spark, sf_dir, None))
     return M.split_by_hash(docs).select("doc_id", "split")
+
+
+# ------------------------------------------------------------- end to end
+
+MIX_BUDGET = 30_000
+MIX_LEN = 512
+
+
+def _windows_sql(stream: str, seq_len: int, stride: int) -> str:
+    """Window summaries over a flat stream table (pos, id)."""
+    return f"""
+WITH t AS ({stream}),
+nt AS (SELECT count(*) AS n FROM t),
+w AS (SELECT unnest(generate_series(0, (SELECT (n - {seq_len}) // {stride} FROM nt))) AS window_id)
+SELECT w.window_id::BIGINT AS window_id, (w.window_id // 16)::BIGINT AS batch_id,
+       (w.window_id // 16 // 2)::BIGINT AS update_id,
+       (count(*) FILTER (WHERE t.pos < w.window_id * {stride} + {seq_len}))::BIGINT AS x_len,
+       (count(*) FILTER (WHERE t.pos > w.window_id * {stride}))::BIGINT AS y_len,
+       (sum(t.id) FILTER (WHERE t.pos < w.window_id * {stride} + {seq_len}))::BIGINT AS x_sum,
+       (sum(t.id) FILTER (WHERE t.pos > w.window_id * {stride}))::BIGINT AS y_sum
+FROM w JOIN t ON t.pos >= w.window_id * {stride} AND t.pos <= w.window_id * {stride} + {seq_len}
+GROUP BY w.window_id"""
+
+
+def _corpus_mix_sql() -> str:
+    kept = f"""
+SELECT * FROM (
+  SELECT *, sum(chunk_len) OVER (ORDER BY mix_t, source_ord, doc_id, chunk_idx
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mix_cum
+  FROM (SELECT *, (src_ord - 0.5::DOUBLE) / weight AS mix_t
+        FROM (SELECT c.*, k.source_ord, k.weight, k.weight_norm,
+                     row_number() OVER (PARTITION BY c.source ORDER BY c.doc_id, c.chunk_idx) AS src_ord
+              FROM ({S.chunks_sql('de')}) c JOIN ({_catalog_sql()}) k ON c.source = k.source
+              WHERE c.doc_id IN (SELECT doc_id FROM documents
+                                 WHERE (('0x' || substr(md5(sha256(text)), 1, 8))::BIGINT % 10000) >= 500)) o
+        WHERE src_ord <= floor({MIX_BUDGET}::DOUBLE / {MIX_LEN}::DOUBLE * weight_norm)) m) mo
+WHERE mix_cum - chunk_len < {MIX_BUDGET}"""
+    stream = f"""
+SELECT (mix_cum - chunk_len + k - 1)::BIGINT AS pos, chunk[k] AS id
+FROM (SELECT *, unnest(generate_series(1, chunk_len)) AS k FROM ({kept}) kk) s"""
+    return _windows_sql(stream, MIX_LEN, MIX_LEN)
+
+
+@register("corpus_mix", "S1 F1 F2 F3 D1 M7 T1 C1 C2 M1 M2 M3 M4 M5 C3 C4 C5 C8", _corpus_mix_sql())
+def corpus_mix(spark, sf_dir):
+    from corpusflow.plans.corpus import documents_rows
+    from corpusflow.plans.prepare import PrepareConfig, prepare
+    cfg = PrepareConfig(language="de", target_tokens=MIX_BUDGET, mode="deterministic", seq_len=MIX_LEN,
+                        dedup_order=("doc_ord",))
+    out = prepare(documents_rows(spark, sf_dir), source_catalog(spark, sf_dir), cfg)
+    w = out.train_windows
+    from corpusflow.plans.corpus_queries import id_sum
+    return w.select("window_id", "batch_id", "update_id",
+                    F.size("x").cast("bigint").alias("x_len"), F.size("y").cast("bigint").alias("y_len"),
+                    id_sum(F.col("x")).alias("x_sum"), id_sum(F.col("y")).alias("y_sum"))
+
+
+def catalog_from_specs(spark: SparkSession, specs) -> DataFrame:
+    """The configured catalog (one row per source, including unreadable ones)."""
+    return spark.createDataFrame([(s.name, i, float(s.weight)) for i, s in enumerate(specs)],
+                                 "source STRING, source_ord INT, weight DOUBLE")
+
+
+@register("corpus_mix_sources", "S1-S5 F1-F4 D1 D2 M7 T1 C1 M1-M5 C3-C5 C8 M6")
+def corpus_mix_sources(spark, sf_dir):
+    """All text tables as weighted sources (0.6/0.2/0.1/0.05 + one unreadable),
+    language detected by the trigram profile, race interleave, 200k budget."""
+    from corpusflow.plans.lang_queries import profile
+    from corpusflow.plans.prepare import PrepareConfig, prepare
+    from corpusflow.sources.catalog import read_sources
+    from corpusflow.sources.tables import corpus_specs
+    specs = corpus_specs(sf_dir)
+    rows, _skipped = read_sources(spark, specs, with_lang=True)
+    cfg = PrepareConfig(language="de", target_tokens=200_000, mode="race", seed=RACE_SEED)
+    out = prepare(rows, catalog_from_specs(spark, specs), cfg,
+                  profile=profile(spark, sf_dir, materialize=True))
+    return out.report
