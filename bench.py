@@ -28,7 +28,8 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    names = sys.argv[1:] or (HEADLINE if os.environ.get("BENCH_ALL") is None else None)
+    # default: every registered query; BENCH_QUICK=1 runs the headline subset
+    names = sys.argv[1:] or (HEADLINE if os.environ.get("BENCH_QUICK") else None)
     from corpusflow.plans.queries import QUERIES
     from corpusflow.session import get_session
     spark = get_session(f"local[{cpus}]", app="corpusflow-bench", shuffle_partitions=cpus * 2,
