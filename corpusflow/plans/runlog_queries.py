@@ -200,17 +200,20 @@ def trend(spark, sf_dir):
 WITH r AS ({_RL_SQL}),
 c AS (SELECT run_id, min(step) FILTER (WHERE step % 10 = 0 AND vram_usage > {VRAM_LIMIT}) AS cross_step
       FROM r GROUP BY run_id)
-SELECT c.run_id, c.cross_step,
-       (count(*) FILTER (WHERE c.cross_step IS NULL OR r.step < c.cross_step))::BIGINT AS steps_full_batch
+SELECT c.run_id, c.cross_step IS NOT NULL AS crossed,
+       (count(*) FILTER (WHERE c.cross_step IS NULL OR r.step < c.cross_step))::BIGINT AS steps_full_batch,
+       (count(*) FILTER (WHERE r.step >= c.cross_step))::BIGINT AS steps_reduced_batch
 FROM r JOIN c ON r.run_id = c.run_id GROUP BY c.run_id, c.cross_step""")
 def crossing(spark, sf_dir):
+    """Per run: whether the running VRAM peak crossed the limit, and how many
+    logged steps ran with the full and with the reduced batch size."""
     rl = with_steps(spark, sf_dir)
     first = R.first_crossing(rl, "vram_usage", VRAM_LIMIT, F.col("step"))
-    # effective batch size audit: steps run before the reduction used the full batch
     j = rl.select(R.RUN, "step").join(first, R.RUN)
     full = F.col("cross_step").isNull() | (F.col("step") < F.col("cross_step"))
-    return j.groupBy(R.RUN).agg(F.max("cross_step").alias("cross_step"),
-                                F.count_if(full).alias("steps_full_batch"))
+    return j.groupBy(R.RUN).agg(F.max("cross_step").isNotNull().alias("crossed"),
+                                F.count_if(full).alias("steps_full_batch"),
+                                F.count_if(~full).alias("steps_reduced_batch"))
 
 
 @register("monotone", "W5", f"""
@@ -287,7 +290,8 @@ c AS (SELECT run_id, path, string_split(path, '/')[-1] = 'latest.pt' AS is_lates
                                 AS BIGINT), 0) END AS step
       FROM m WHERE path IS NOT NULL)
 SELECT run_id, arg_max(path, (is_latest, coalesce(step, -1), path)) AS path,
-       arg_max(step, (is_latest, coalesce(step, -1), path)) AS step
+       max(is_latest) AS is_latest
 FROM c GROUP BY run_id""")
 def checkpoint_latest(spark, sf_dir):
-    return R.resolve_checkpoint(checkpoint_manifest(with_steps(spark, sf_dir)))
+    res = R.resolve_checkpoint(checkpoint_manifest(with_steps(spark, sf_dir)))
+    return res.select(R.RUN, "path", F.col("step").isNull().alias("is_latest"))
