@@ -19,8 +19,9 @@ PIECE_PATTERN = "[^" + WHITESPACE_CLASS[1:-1] + "]+"
 
 # Published byte-level pre-split pattern of GPT-2 style tokenizers (needs
 # look-ahead, so Java regex only; there is no RE2 oracle for it).
+# (?U): Unicode classes for \s, as in the published Python definition.
 BYTE_LEVEL_PATTERN = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
 

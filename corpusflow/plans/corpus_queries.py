@@ -253,10 +253,22 @@ def pack_flat(spark, sf_dir):
     ch = corpus_chunks(spark, sf_dir, language="de").select("doc_id", "chunk_idx", "chunk", "chunk_len")
     order = [F.col("doc_id"), F.col("chunk_idx")]
     with_off = C.stream_offsets(ch, order, doc_id_bucket(spark, sf_dir))
-    total = ch.agg(F.sum("chunk_len")).first()[0] or 0
+    # from the scan's materialized input, not a second tokenization
+    total = with_off.agg(F.sum("chunk_len")).first()[0] or 0
     w = C.pack_windows(with_off, int(total), PACK_LEN, PACK_STRIDE)
     z_last = F.coalesce(F.get("y", F.size("y") - 1), F.get("x", F.size("x") - 1))
     return w.select("window_id", F.size("x").cast("bigint").alias("x_len"),
                     F.size("y").cast("bigint").alias("y_len"),
                     id_sum(F.col("x")).alias("x_sum"), id_sum(F.col("y")).alias("y_sum"),
                     F.get("x", 0).alias("x_first"), z_last.alias("z_last"))
+
+
+@register("pretoken_counts", "T1(b) T3")
+def pretoken_counts(spark, sf_dir):
+    """Byte-level pre-split piece count per document (published look-ahead
+    pattern: Java regex only, so no SQL oracle; tests compare it with the
+    Python ``regex`` module)."""
+    from corpusflow.functions.text import BYTE_LEVEL_PATTERN
+    from corpusflow.operators.tokens import token_count
+    docs = keep_nonempty(table(spark, sf_dir, "documents")).select("doc_id", "text")
+    return token_count(docs, pattern=BYTE_LEVEL_PATTERN).select("doc_id", "n_tokens")

@@ -42,3 +42,20 @@ def test_filters_null_empty_padding(spark):
     kept = sorted(r["doc_id"] for r in corpus_filters(df, 50, "de").collect())
     assert kept == [5, 6]
     assert corpus_filters(df, 50, "en").count() == 0
+
+
+def test_byte_level_pieces_match_python_regex(spark):
+    import regex
+    from corpusflow.functions.text import BYTE_LEVEL_PATTERN
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    docs = {r["doc_id"]: r["text"] for r in
+            spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()}
+    extra = {-1: "it's 12 cafés 　 ok?  \n\tend", -2: "x'll  y"}
+    df = spark.createDataFrame(list(extra.items()), "doc_id BIGINT, text STRING")
+    got = {r["doc_id"]: r["p"] for r in df.select("doc_id", pieces(F.col("text"), BYTE_LEVEL_PATTERN).alias("p")).collect()}
+    py = regex.compile(BYTE_LEVEL_PATTERN[4:])
+    for k, t in extra.items():
+        assert got[k] == py.findall(t) and "".join(got[k]) == t
+    counts = {r["doc_id"]: r["n_tokens"] for r in E.queries()["pretoken_counts"](spark, SF_SMALL).collect()}
+    assert counts == {k: len(py.findall(t)) for k, t in docs.items() if t}
