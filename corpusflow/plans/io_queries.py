@@ -19,6 +19,7 @@ from corpusflow.plans.runlog_queries import (_TPS_SQL, BASE_LR, HORIZON, MIN_LR,
 from corpusflow.session import shared_path
 from corpusflow.sources.runlog_io import append_runlog, read_runlog
 from corpusflow.sources.synthetic import synthetic_pieces
+from corpusflow.sources.tables import documents_spec
 from corpusflow.sources.token_io import read_tokens, write_tokens
 from corpusflow.streaming.ingest import start_ingest
 from corpusflow.streaming.monitor import LOG_SCHEMA, OUT_SCHEMA, TRACKED, start_monitor
@@ -91,7 +92,7 @@ FROM ({S.chunks_sql('de')}) c JOIN (SELECT doc_id, sha256(text) AS h FROM docume
 GROUP BY d.h""")
 def ingest_stream(spark, sf_dir):
     out_dir, ckpt = shared_path(spark, "ingest-out"), shared_path(spark, "ingest-ckpt")
-    q = start_ingest(spark, f"{sf_dir.rstrip('/')}/documents.parquet", out_dir, ckpt, language="de")
+    q = start_ingest(spark, [documents_spec(sf_dir)], out_dir, ckpt, language="de")
     q.awaitTermination()
     landed = spark.read.parquet(out_dir)
     return landed.groupBy("h").agg(F.count(F.lit(1)).alias("n_chunks"),

@@ -73,7 +73,7 @@ def _project(df: DataFrame, spec: SourceSpec, source_ord: int) -> DataFrame:
         log.warning("source %s has no column %s; it contributes no rows",
                     spec.name, spec.text_column)
         text = F.lit("")
-        df = df.limit(0)
+        df = df.filter(F.lit(False))  # valid on batch and streaming frames
     cols = [F.lit(spec.name).alias("source"), F.lit(source_ord).alias("source_ord"),
             F.expr(spec.order_expr).cast("bigint").alias("doc_ord"), text.alias("text")]
     if spec.lang_column and spec.lang_column in df.columns:
@@ -81,6 +81,18 @@ def _project(df: DataFrame, spec: SourceSpec, source_ord: int) -> DataFrame:
     return df.select(*cols)
 
 
+def stream_path(spark: SparkSession, path: str) -> str:
+    """The file stream source follows directories or globs; a single file is
+    turned into a glob that matches exactly that file."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(hpath) and fs.getFileStatus(hpath).isFile():
+        head, name = path.rsplit("/", 1)
+        return f"{head}/{name[:-1]}[{name[-1]}]"
+    return path
+
+
 def read_source(spark: SparkSession, spec: SourceSpec, source_ord: int = 0,
                 streaming: bool = False) -> DataFrame:
     """Scan one source; analysis errors propagate (see ``read_sources``)."""
@@ -88,7 +100,7 @@ def read_source(spark: SparkSession, spec: SourceSpec, source_ord: int = 0,
     if streaming:
         schema = spark.read.format(spec.format).options(**spec.options).load(where).schema
         df = (spark.readStream.format(spec.format).options(**spec.options)
-              .schema(schema).load(where))
+              .schema(schema).load(stream_path(spark, where)))
     else:
         df = spark.read.format(spec.format).options(**spec.options).load(where)
     return _project(df, spec, source_ord)

@@ -19,6 +19,7 @@ from corpusflow.functions.text import text_digest
 from corpusflow.operators.chunks import chunk
 from corpusflow.operators.filters import corpus_filters
 from corpusflow.operators.tokens import encode_hashed
+from corpusflow.sources.catalog import SourceSpec, read_sources
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -26,6 +27,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 def ingest_frame(stream: DataFrame, language: str | None = "de", min_chars: int = 50,
                  min_len: int = 256, max_len: int = 1024, target: int = 512,
                  watermark_col: str | None = None, watermark: str | None = None) -> DataFrame:
+    """Unified source rows (source, source_ord, doc_ord, text[, lang]) ->
+    chunks of first-seen texts, keyed by the text digest ``h``."""
     rows = corpus_filters(stream, min_chars, language).withColumn("h", text_digest(F.col("text")))
     if watermark_col and watermark:
         rows = rows.withWatermark(watermark_col, watermark).dropDuplicatesWithinWatermark(["h"])
@@ -33,28 +36,18 @@ def ingest_frame(stream: DataFrame, language: str | None = "de", min_chars: int
         rows = rows.dropDuplicates(["h"])
     toks = encode_hashed(rows.drop("lang"))
     return chunk(toks.drop("text"), min_len, max_len, target).select(
-        "h", "doc_id", "source", "chunk_idx", "chunk_len", "chunk")
+        "h", "source", "source_ord", "doc_ord", "chunk_idx", "chunk_len", "chunk")
 
 
-def stream_path(spark: SparkSession, path: str) -> str:
-    """The file stream source follows directories or globs; a single file is
-    turned into a glob that matches exactly that file."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(hpath) and fs.getFileStatus(hpath).isFile():
-        head, name = path.rsplit("/", 1)
-        return f"{head}/{name[:-1]}[{name[-1]}]"
-    return path
-
-
-def start_ingest(spark: SparkSession, src_path: str, out_dir: str, checkpoint: str,
+def start_ingest(spark: SparkSession, specs: list[SourceSpec], out_dir: str, checkpoint: str,
                  language: str | None = "de", available_now: bool = True,
                  interval: str = "1 minute"):
-    schema = spark.read.parquet(src_path).schema
-    stream = spark.readStream.schema(schema).parquet(stream_path(spark, src_path))
-    cols = [c for c in ["doc_id", "source", "text", "lang"] if c in schema.fieldNames()]
-    q = (ingest_frame(stream.select(*cols), language).writeStream.format("parquet")
+    """S3 + S5 on streams: the catalog's sources read with ``readStream``
+    (variant: config over subset), unioned, then ``ingest_frame``."""
+    stream, skipped = read_sources(spark, specs, streaming=True, with_lang=True)
+    if stream is None:
+        raise ValueError(f"no readable source among {[s.name for s in specs]}")
+    q = (ingest_frame(stream, language).writeStream.format("parquet")
          .option("path", out_dir).option("checkpointLocation", checkpoint).outputMode("append"))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime=interval)
     return q.start()
