@@ -11,13 +11,11 @@ bucketed scan (see ``ordering``), never a single-task window.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.hashing import md5_bucket, md5_uniform
-from corpusflow.operators.ordering import Running, range_bucket, scan
+from corpusflow.operators.ordering import Running, scan
 
 # Arrivals per bucket of the global mix order (bounded rows per window task).
 ARRIVALS_PER_BUCKET = 200_000
@@ -34,15 +32,10 @@ def normalize_weights(catalog: DataFrame, override: dict[str, float] | None = No
         for name, val in override.items():
             w = F.when(F.col("source") == name, F.lit(float(val))).otherwise(w)
         df = df.withColumn("weight", w)
-    total = F.sum("weight").over(_all())
+    total = F.sum("weight").over(Window.partitionBy())
     return df.withColumn("weight_norm", F.col("weight") / total)
 
 
-def _all():
-    from pyspark.sql import Window
-    return Window.partitionBy()
-
-
 def check_weights(weights: dict[str, float]) -> None:
     if sum(weights.values()) <= 0:
         raise ValueError("weights must sum to a positive number")
@@ -138,11 +131,3 @@ def budget_from_subset(subset_size: int | None, seq_len: int, default: int | Non
     if subset_size:
         return int(subset_size) * int(seq_len)
     return default
-
-
-def exact_rate(weights: dict[str, float]) -> float:
-    return math.fsum(weights.values())
-
-
-def doc_bucket(df: DataFrame, col: str = "doc_id") -> Column:
-    return range_bucket(df, F.col(col))

@@ -86,6 +86,7 @@ def prepare(rows: DataFrame, catalog: DataFrame, cfg: PrepareConfig,
     capped = M.cap_per_source(with_ord, caps)
 
     w_rows = [(r["source"], float(r["weight"])) for r in weights.select("source", "weight").collect()]
+    M.check_weights(dict(w_rows))  # the catalog is one row per source
     if cfg.mode == "deterministic":
         # the per-source ordinal is already there: T = (r - 1/2) / w, no extra scan
         w = F.broadcast(weights.select("source", F.col("weight").alias("_w")))

@@ -82,3 +82,22 @@ def test_split_is_stable_and_disjoint(spark):
     per_h = s.groupBy("h").agg(F.countDistinct("split").alias("k"))
     assert per_h.filter("k > 1").count() == 0
     assert M.budget_from_subset(10, 512, 7) == 5120 and M.budget_from_subset(None, 512, 7) == 7
+
+
+def test_budget_monotone(spark):
+    mixed = _det_order(spark, {"a": 3.0, "b": 1.0}, {"a": 6, "b": 5})
+    kept = [set((r["source"], r["doc_id"]) for r in M.budget_cut(mixed, t).collect()) for t in (15, 40, 70, 200)]
+    assert all(a <= b for a, b in zip(kept, kept[1:]))
+
+
+def test_mix_order_invariant_to_input_layout(spark):
+    weights = {"a": 3.0, "b": 1.0}
+    ch = _chunks(spark, {"a": 30, "b": 20})
+    cat = _catalog(spark, weights)
+    order = [F.col("doc_id"), F.col("chunk_idx")]
+    def run(df, buckets):
+        arr = M.arrivals(df, cat, order, range_bucket(ch, F.col("doc_id"), buckets), mode="race", seed=3)
+        mixed = M.mix_order(arr, M.mix_bucket(list(weights.items()), 5),
+                            [F.col("source_ord"), F.col("doc_id"), F.col("chunk_idx")])
+        return sorted((r["mix_ord"], r["source"], r["doc_id"]) for r in mixed.collect())
+    assert run(ch, 3) == run(ch.repartition(7).orderBy(F.rand(5)), 11)

@@ -67,3 +67,9 @@ def test_dedup_idempotent(spark):
     once = dedup_first(_docs(spark))
     twice = dedup_first(once)
     assert sorted(once.collect()) == sorted(twice.collect())
+
+
+def test_dedup_invariant_to_input_order(spark):
+    a = sorted(r["doc_ord"] for r in dedup_first(_docs(spark)).collect())
+    b = sorted(r["doc_ord"] for r in dedup_first(_docs(spark).repartition(5).orderBy(F.rand(1))).collect())
+    assert a == b
