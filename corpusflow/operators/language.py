@@ -12,7 +12,7 @@ on gram -> per-document sums per language -> argmax of
 
 (add-one smoothing; G = trigrams in the document, N_l = trigrams of language
 l, V = distinct trigrams).  The profile is broadcast only after its row count
-is checked (rows = grams x languages); above the limit the join is a shuffle
+is checked (one pivoted row per distinct gram); above the limit the join is a shuffle
 join that AQE splits when a gram is skewed.
 """
 
@@ -28,7 +28,7 @@ from corpusflow.functions.text import WHITESPACE_CLASS, nonspace_chars, stripped
 
 NGRAM = 3
 MIN_DETECT_CHARS = 10
-MAX_BROADCAST_PROFILE = 5_000_000
+MAX_BROADCAST_PROFILE = 1_000_000  # pivoted rows (~50 MB)
 
 
 def trigrams(text: Column) -> Column:
@@ -80,7 +80,7 @@ def score_languages(df: DataFrame, key: list[str], profile: DataFrame, stats: Pr
     # at most one profile row in the join (not one per language)
     prof = profile.groupBy("gram").agg(
         *[F.sum(F.when(F.col("lang") == l, F.log(F.col("cnt") + 1.0))).alias(f"_lc_{l}") for l in langs])
-    if stats.rows <= MAX_BROADCAST_PROFILE:
+    if stats.distinct <= MAX_BROADCAST_PROFILE:  # pivoted: one row per distinct gram
         prof = F.broadcast(prof)
     docs = df.select(*key, F.col(text_col).alias("_text"))
     detectable = docs.filter(stripped_length(F.col("_text")) >= MIN_DETECT_CHARS)

@@ -21,7 +21,7 @@ from corpusflow.functions.text import PIECE_PATTERN, pieces
 DEFAULT_VOCAB = 50257
 
 # Above this many rows a vocabulary is not broadcast (it is bounded by V anyway).
-MAX_BROADCAST_VOCAB = 2_000_000
+MAX_BROADCAST_VOCAB = 1_000_000
 
 
 def hashed_id(piece: Column, vocab_size: int = DEFAULT_VOCAB) -> Column:
