@@ -250,12 +250,14 @@ SELECT w.window_id::BIGINT AS window_id,
 FROM w JOIN t ON t.pos >= w.window_id * {PACK_STRIDE} AND t.pos <= w.window_id * {PACK_STRIDE} + {PACK_LEN}
 GROUP BY w.window_id""")
 def pack_flat(spark, sf_dir):
-    ch = corpus_chunks(spark, sf_dir, language="de").select("doc_id", "chunk_idx", "chunk", "chunk_len")
+    ch = corpus_chunks(spark, sf_dir, language="de")
     order = [F.col("doc_id"), F.col("chunk_idx")]
-    with_off = C.stream_offsets(ch, order, doc_id_bucket(spark, sf_dir))
-    # from the scan's materialized input, not a second tokenization
+    # offsets are computed on narrow rows (no ids), the arrays joined on the unique key
+    keys = ch.select("doc_id", "chunk_idx", "chunk_len")
+    with_off = C.stream_offsets(keys, order, doc_id_bucket(spark, sf_dir))
     total = with_off.agg(F.sum("chunk_len")).first()[0] or 0
-    w = C.pack_windows(with_off, int(total), PACK_LEN, PACK_STRIDE)
+    stream = with_off.join(ch.select("doc_id", "chunk_idx", "chunk"), ["doc_id", "chunk_idx"])
+    w = C.pack_windows(stream, int(total), PACK_LEN, PACK_STRIDE)
     z_last = F.coalesce(F.get("y", F.size("y") - 1), F.get("x", F.size("x") - 1))
     return w.select("window_id", F.size("x").cast("bigint").alias("x_len"),
                     F.size("y").cast("bigint").alias("y_len"),

@@ -48,7 +48,7 @@ class PrepareConfig:
 @dataclass
 class Prepared:
     train_windows: DataFrame   # window_id, x, y, batch_id, update_id
-    mixed_chunks: DataFrame    # chunks kept by caps and budget, in mix order
+    mixed_chunks: DataFrame    # keys of chunks kept by caps and budget, mix order and offsets
     validation: DataFrame      # validation documents (split = 'val')
     report: DataFrame          # M6 per source
 
@@ -65,18 +65,34 @@ def prepare(rows: DataFrame, catalog: DataFrame, cfg: PrepareConfig,
     rows = corpus_filters(rows, cfg.th.min_chars, None)
     if cfg.language:
         if profile is not None:  # detected language, F3 on it
-            scored = score_languages(rows.drop("lang") if "lang" in rows.columns else rows,
-                                     ["source_ord", "doc_ord"], profile)
-            rows = scored.withColumn("lang", F.col("pred_lang"))
-        rows = keep_language(rows, cfg.language)
+            # Scoring is the costliest step and the rows are read again later
+            # (ordering pass, then ids): keep only the narrow result - keys of
+            # documents detected as the wanted language - written once.
+            keys = ["source_ord", "doc_ord"]
+            scored = score_languages(rows.select(*keys, "text"), keys, profile)
+            wanted = keep_language(scored.select(*keys, F.col("pred_lang").alias("lang")),
+                                   cfg.language).select(*keys).checkpoint()
+            rows = rows.join(wanted, keys, "left_semi")
+            if "lang" in rows.columns:
+                rows = rows.withColumn("lang", F.lit(cfg.language))
+        else:
+            rows = keep_language(rows, cfg.language)
     rows = dedup_first(rows, list(cfg.dedup_order), enabled=cfg.dedup)
     rows = M.split_by_hash(with_digest(rows), val_fraction=cfg.val_fraction)
     train = rows.filter(F.col("split") == "train")
     validation = rows.filter(F.col("split") == "val")
 
-    toks = encode_hashed(train, "text", cfg.vocab_size).drop("text")
-    ch = chunk(toks, cfg.th.min_length, cfg.th.max_length, cfg.th.target_length)
-    ch = ch.select("source", "source_ord", "doc_ord", F.col("chunk_idx").cast("bigint"), "chunk_len", "chunk")
+    # Ordering work runs on narrow rows (keys and lengths): the ids are not
+    # computed there (column pruning drops the md5 transform), and the scans'
+    # materialized inputs stay small.  Token arrays are rebuilt only for the
+    # chunks that survive caps and budget, then joined on the unique key.
+    def chunk_rows(docs: DataFrame) -> DataFrame:
+        toks = encode_hashed(docs, "text", cfg.vocab_size).drop("text")
+        return chunk(toks, cfg.th.min_length, cfg.th.max_length, cfg.th.target_length).withColumn(
+            "chunk_idx", F.col("chunk_idx").cast("bigint"))
+
+    key = ["source_ord", "doc_ord", "chunk_idx"]
+    ch = chunk_rows(train).select("source", *key, "chunk_len")
 
     weights = M.normalize_weights(catalog, cfg.weights or None)
     caps = M.source_caps(weights, cfg.target_tokens, cfg.th.target_length, compat=cfg.compat_caps)
@@ -98,10 +114,13 @@ def prepare(rows: DataFrame, catalog: DataFrame, cfg: PrepareConfig,
                          key=[F.col("doc_ord"), F.col("chunk_idx")])
     mixed = M.mix_order(arr, M.mix_bucket(w_rows), [F.col("source_ord"), F.col("doc_ord"), F.col("chunk_idx")])
     kept = M.budget_cut(mixed, cfg.target_tokens).withColumn("offset", F.col("mix_cum") - F.col("chunk_len"))
-    kept = kept.checkpoint()  # read for the stream length and for packing
+    kept = kept.checkpoint()  # narrow; read for the stream length, the report and packing
 
     total = int(kept.agg(F.coalesce(F.sum("chunk_len"), F.lit(0))).first()[0])
-    windows = pack_windows(kept, total, cfg.seq_len, cfg.stride)
+    kept_docs = kept.select("source_ord", "doc_ord").distinct()
+    ids = chunk_rows(train.join(kept_docs, ["source_ord", "doc_ord"], "left_semi")).select(*key, "chunk")
+    stream = kept.select(*key, "offset").join(ids, key, "inner")
+    windows = pack_windows(stream, total, cfg.seq_len, cfg.stride)
     windows = (windows.withColumn("batch_id", F.floor(F.col("window_id") / cfg.batch_size).cast("bigint"))
                .withColumn("update_id", F.floor(F.col("batch_id") / cfg.accumulation).cast("bigint")))
     report = kept.groupBy("source").agg(F.count(F.lit(1)).alias("n_chunks"),
