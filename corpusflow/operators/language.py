@@ -78,7 +78,10 @@ def score_languages(df: DataFrame, key: list[str], profile: DataFrame, stats: Pr
     langs = sorted(stats.totals)
     # one row per gram with a column per language: every exploded gram meets
     # at most one profile row in the join (not one per language)
-    prof = profile.groupBy("gram").agg(
+    # keyed by a 64-bit hash of the gram: the broadcast relation is long-keyed
+    # (no string compares per probe); a collision among a profile's grams has
+    # probability ~ n^2 / 2^65
+    prof = profile.groupBy(F.xxhash64("gram").alias("_gh")).agg(
         *[F.sum(F.when(F.col("lang") == l, F.log(F.col("cnt") + 1.0))).alias(f"_lc_{l}") for l in langs])
     if stats.distinct <= MAX_BROADCAST_PROFILE:  # pivoted: one row per distinct gram
         prof = F.broadcast(prof)
@@ -87,8 +90,9 @@ def score_languages(df: DataFrame, key: list[str], profile: DataFrame, stats: Pr
     # _G is computed once per document, below the explode; selecting it next
     # to the generator would evaluate it once per exploded gram.
     grams = (detectable.select(*key, "_text", gram_total(F.col("_text")).alias("_G"))
-             .select(*key, "_G", F.explode(trigrams(F.col("_text"))).alias("gram")))
-    joined = grams.join(prof, "gram", "left")
+             .select(*key, "_G", F.explode(trigrams(F.col("_text"))).alias("gram"))
+             .select(*key, "_G", F.xxhash64("gram").alias("_gh")))
+    joined = grams.join(prof, "_gh", "left")
     sums = joined.groupBy(*key, "_G").agg(*[F.sum(f"_lc_{l}").alias(f"_s_{l}") for l in langs])
     for l in langs:
         penalty = math.log(stats.totals[l] + stats.distinct)
