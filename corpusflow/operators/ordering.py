@@ -10,8 +10,8 @@ one task.  Here every scan is split by an explicit *bucket* of the order key:
    its measured size is small, otherwise a shuffle join on a skew-free key,
 4. a window inside (keys, bucket), which reuses the input's partitioning.
 
-The input is shuffled once on (keys, bucket) and, when expensive, written once
-by a reliable checkpoint (see ``scan``).
+The rows are shuffled once on (keys, bucket) and, when expensive, written
+once by a reliable checkpoint (see ``scan``).
 
 The bucket must be non-decreasing in the order key within each partition and
 is computed from the data (not ``spark_partition_id``), so recomputation after
@@ -84,15 +84,16 @@ def scan(df: DataFrame, by: list[str], order: list[Column], bucket: Column,
     ``previous`` columns appear as ``prev_<name>``: the value on the preceding
     row of the same partition (null on the first row).
 
-    The input is hash-partitioned once on (keys, bucket); the bucket totals,
-    the join and the window all need exactly that clustering.  The input is
-    read twice (totals and rows), and column pruning makes the two shuffles
-    differ, so Spark would compute an expensive input twice: with
-    ``materialize`` the partitioned input is written once by a reliable
-    checkpoint (shared folder, lineage cut, partitioning kept).  Cheap inputs
-    (a plain table scan) should pass ``materialize=False``."""
+    Shuffles: the totals branch moves only partial aggregates (one row per
+    key, bucket and map task); the rows themselves are shuffled once, on
+    (keys, bucket), for the join and the window.  The input is read by both
+    branches, so an expensive input would be computed twice: with
+    ``materialize`` it is written once by a reliable checkpoint (shared
+    folder, lineage cut) before the scan.  Cheap inputs (a plain table scan)
+    should pass ``materialize=False``.  (An explicit repartition before the
+    checkpoint does not help: with AQE the checkpointed relation does not keep
+    its partitioning, so it would only add a shuffle.)"""
     b = df.withColumn(BKT, bucket)
-    b = b.repartition(*[F.col(c) for c in by], F.col(BKT))
     if materialize:
         b = b.checkpoint(eager=True)
     for i, r in enumerate(running):
