@@ -16,7 +16,7 @@ from corpusflow.plans.corpus_queries import id_sum
 from corpusflow.plans.registry import register
 from corpusflow.plans.runlog_queries import (_TPS_SQL, BASE_LR, HORIZON, MIN_LR, WARMUP, _arrow_sql,
                                              _lr_t, _tps_frame)
-from corpusflow.session import shared_path
+from corpusflow.session import path_exists, shared_path
 from corpusflow.sources.runlog_io import append_runlog, read_runlog
 from corpusflow.sources.synthetic import synthetic_pieces
 from corpusflow.sources.tables import documents_spec
@@ -94,6 +94,8 @@ def ingest_stream(spark, sf_dir):
     out_dir, ckpt = shared_path(spark, "ingest-out"), shared_path(spark, "ingest-ckpt")
     q = start_ingest(spark, [documents_spec(sf_dir)], out_dir, ckpt, language="de")
     q.awaitTermination()
+    if not path_exists(spark, out_dir):  # no micro-batch had rows
+        return spark.createDataFrame([], "h STRING, n_chunks BIGINT, chunk_tokens BIGINT, id_sum BIGINT")
     landed = spark.read.parquet(out_dir)
     return landed.groupBy("h").agg(F.count(F.lit(1)).alias("n_chunks"),
                                    F.sum("chunk_len").cast("bigint").alias("chunk_tokens"),

@@ -1,13 +1,24 @@
 """Incremental corpus ingest (ST3): the corpus filters, exact dedup, tokens
 and chunks on a stream of documents.
 
-Dedup keeps the digests seen so far in the state store, matching the
-reference's unbounded set (for large corpora configure the session with
-``spark.sql.streaming.stateStore.providerClass`` = ROCKSDB below); with a
-watermark column, ``dropDuplicatesWithinWatermark`` bounds the state instead.
-Which copy of a text survives inside one micro-batch is not defined, so the
-output is keyed by the digest.  Mixing and the budget need a global order and
-run on the landed table (batch).
+Two dedup modes:
+
+* ``"batch"`` (default, skew-safe): ``foreachBatch``.  Inside a micro-batch
+  the first copy of every text is chosen by a partial+final aggregate of the
+  order key (a text repeated in a third of the rows collapses map-side), so
+  the survivor is deterministic: lowest (source_ord, doc_ord).  Texts seen in
+  earlier micro-batches are removed with a semi join of the digest table
+  against the batch's unique digests, broadcast when their count is under a
+  limit.  Outputs and digests are written under ``batch_id=<n>``: a retried
+  batch overwrites its own files and only reads earlier batches' digests.
+* ``"state"``: ``dropDuplicates(["h"])`` in the state store, matching the
+  reference's unbounded in-memory set (configure
+  ``spark.sql.streaming.stateStore.providerClass`` = ROCKSDB for large state;
+  with a watermark column ``dropDuplicatesWithinWatermark`` bounds it).  Every
+  copy of a text is routed to one state partition, and which copy survives
+  inside a micro-batch is not defined.
+
+Mixing and the budget need a global order and run on the landed table.
 """
 
 from __future__ import annotations
@@ -17,37 +28,82 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.text import text_digest
 from corpusflow.operators.chunks import chunk
+from corpusflow.operators.dedup import order_key
 from corpusflow.operators.filters import corpus_filters
 from corpusflow.operators.tokens import encode_hashed
+from corpusflow.session import path_exists
 from corpusflow.sources.catalog import SourceSpec, read_sources
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+MAX_BROADCAST_DIGESTS = 2_000_000
+OUT_COLUMNS = ["h", "source", "source_ord", "doc_ord", "chunk_idx", "chunk_len", "chunk"]
+
+
+def _chunks(rows: DataFrame, min_len: int, max_len: int, target: int) -> DataFrame:
+    toks = encode_hashed(rows.drop("lang"))
+    return chunk(toks.drop("text"), min_len, max_len, target).select(*OUT_COLUMNS)
 
 
 def ingest_frame(stream: DataFrame, language: str | None = "de", min_chars: int = 50,
                  min_len: int = 256, max_len: int = 1024, target: int = 512,
                  watermark_col: str | None = None, watermark: str | None = None) -> DataFrame:
-    """Unified source rows (source, source_ord, doc_ord, text[, lang]) ->
-    chunks of first-seen texts, keyed by the text digest ``h``."""
+    """State-store mode: unified source rows -> chunks of first-seen texts."""
     rows = corpus_filters(stream, min_chars, language).withColumn("h", text_digest(F.col("text")))
     if watermark_col and watermark:
         rows = rows.withWatermark(watermark_col, watermark).dropDuplicatesWithinWatermark(["h"])
     else:
         rows = rows.dropDuplicates(["h"])
-    toks = encode_hashed(rows.drop("lang"))
-    return chunk(toks.drop("text"), min_len, max_len, target).select(
-        "h", "source", "source_ord", "doc_ord", "chunk_idx", "chunk_len", "chunk")
+    return _chunks(rows, min_len, max_len, target)
+
+
+def dedup_micro_batch(batch: DataFrame, batch_id: int, seen_dir: str) -> DataFrame:
+    """First copies of texts of one micro-batch not seen in earlier batches."""
+    spark = batch.sparkSession
+    b = batch.withColumn("_ok", order_key(["source_ord", "doc_ord"]))
+    winners = b.groupBy("h").agg(F.min("_ok").alias("_ok"))
+    firsts = b.join(winners, ["h", "_ok"], "left_semi").drop("_ok")   # (h, _ok) is unique
+    if path_exists(spark, seen_dir):
+        prior = spark.read.parquet(seen_dir).filter(F.col("batch_id") < F.lit(batch_id)).select("h")
+        digests = winners.select("h")
+        if digests.limit(MAX_BROADCAST_DIGESTS + 1).count() <= MAX_BROADCAST_DIGESTS:
+            digests = F.broadcast(digests)
+        seen_now = prior.join(digests, "h", "left_semi")
+        firsts = firsts.join(seen_now, "h", "left_anti")
+    return firsts
+
+
+def _batch_writer(out_dir: str, seen_dir: str, min_len: int, max_len: int, target: int):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            firsts = dedup_micro_batch(batch, batch_id, seen_dir).persist()
+            _chunks(firsts, min_len, max_len, target).write.mode("overwrite").parquet(
+                f"{out_dir}/batch_id={batch_id}")
+            firsts.select("h").write.mode("overwrite").parquet(f"{seen_dir}/batch_id={batch_id}")
+            firsts.unpersist()
+        finally:
+            batch.unpersist()
+    return write
 
 
 def start_ingest(spark: SparkSession, specs: list[SourceSpec], out_dir: str, checkpoint: str,
                  language: str | None = "de", available_now: bool = True,
-                 interval: str = "1 minute"):
+                 interval: str = "1 minute", mode: str = "batch", seen_dir: str | None = None,
+                 min_chars: int = 50, min_len: int = 256, max_len: int = 1024, target: int = 512):
     """S3 + S5 on streams: the catalog's sources read with ``readStream``
-    (variant: config over subset), unioned, then ``ingest_frame``."""
-    stream, skipped = read_sources(spark, specs, streaming=True, with_lang=True)
+    (variant: config over subset), unioned, filtered, deduplicated, chunked."""
+    stream, _skipped = read_sources(spark, specs, streaming=True, with_lang=True)
     if stream is None:
         raise ValueError(f"no readable source among {[s.name for s in specs]}")
-    q = (ingest_frame(stream, language).writeStream.format("parquet")
-         .option("path", out_dir).option("checkpointLocation", checkpoint).outputMode("append"))
-    q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime=interval)
-    return q.start()
+    if mode == "state":
+        w = (ingest_frame(stream, language, min_chars, min_len, max_len, target).writeStream
+             .format("parquet").option("path", out_dir).outputMode("append"))
+    elif mode == "batch":
+        rows = corpus_filters(stream, min_chars, language).withColumn("h", text_digest(F.col("text")))
+        w = rows.writeStream.foreachBatch(
+            _batch_writer(out_dir, seen_dir or f"{checkpoint.rstrip('/')}-seen", min_len, max_len, target))
+    else:
+        raise ValueError(f"unknown mode {mode}")
+    w = w.option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
+    return w.start()

@@ -78,3 +78,30 @@ def test_monitor_stream_matches_poll_model(spark, tmp_dir):
                         "tokens_per_second": r["tokens_per_second_trend"]}) for r in shown]
     assert got == monitor_loop(polls)
     assert os.path.isdir(ckpt)
+
+
+def _ingest_rows(spark, rows, path):
+    words = " ".join(f"w{i % 13}" for i in range(40))
+    data = [(d, f"src{d % 3}", f"{words} {t}", "de") for d, t in rows]
+    spark.createDataFrame(data, "doc_id BIGINT, source STRING, text STRING, lang STRING") \
+        .coalesce(1).write.mode("append").parquet(path)
+
+
+def test_ingest_batch_mode_first_wins_across_batches(spark, tmp_dir):
+    from corpusflow.streaming.ingest import start_ingest
+    src, out, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    spec = SourceSpec("docs", src, 1.0, order_expr="doc_id", lang_column="lang")
+    _ingest_rows(spark, [(5, "a"), (2, "a"), (7, "b"), (3, "b"), (9, "c")], src)
+    kw = dict(min_len=4, max_len=1000, target=8)
+    start_ingest(spark, [spec], out, ckpt, **kw).awaitTermination()
+    _ingest_rows(spark, [(1, "a"), (11, "d"), (12, "d")], src)   # 'a' already seen: dropped
+    start_ingest(spark, [spec], out, ckpt, **kw).awaitTermination()
+    landed = spark.read.parquet(out)
+    firsts = sorted((r["doc_ord"], r["batch_id"]) for r in
+                    landed.filter("chunk_idx = 0").select("doc_ord", "batch_id").collect())
+    assert firsts == [(2, 0), (3, 0), (9, 0), (11, 1)]
+    state_out = f"{tmp_dir}/out_state"
+    start_ingest(spark, [spec], state_out, f"{tmp_dir}/ckpt_state", mode="state", **kw).awaitTermination()
+    a = {r["h"] for r in landed.select("h").distinct().collect()}
+    b = {r["h"] for r in spark.read.parquet(state_out).select("h").distinct().collect()}
+    assert a == b and len(a) == 4
