@@ -116,3 +116,13 @@ def test_cadence_and_crossing(spark):
     assert audit == {20: True, 40: True}
     cross = R.first_crossing(df, "vram", 8.0, F.col("step")).collect()[0]
     assert cross["cross_step"] == 40
+
+
+def test_perplexity_cap_and_one_row_log(spark):
+    from corpusflow.functions.schedule import perplexity
+    df = spark.createDataFrame([(25.0,), (2.0,)], "loss DOUBLE")
+    got = [r[0] for r in df.select(perplexity(F.col("loss"))).collect()]
+    assert got == [pytest.approx(math.exp(20)), pytest.approx(math.exp(2.0))]
+    one = _log(spark, [4.0])
+    out = _ordered(one, running=[R.running_peak("v"), R.best_so_far("v")], previous=["v"]).collect()[0]
+    assert out["seq"] == 1 and out["v_peak"] == 4.0 and out["v_prev_min"] is None and out["prev_v"] is None

@@ -59,3 +59,15 @@ def test_byte_level_pieces_match_python_regex(spark):
         assert got[k] == py.findall(t) and "".join(got[k]) == t
     counts = {r["doc_id"]: r["n_tokens"] for r in E.queries()["pretoken_counts"](spark, SF_SMALL).collect()}
     assert counts == {k: len(py.findall(t)) for k, t in docs.items() if t}
+
+
+def test_detector_minimum_length(spark):
+    from corpusflow.operators.language import score_languages, train_profile
+    train = spark.createDataFrame([("de", "der die das und ist nicht ein eine"), ("en", "the and is not a an of to")],
+                                  "lang STRING, text STRING")
+    prof = train_profile(train)
+    docs = spark.createDataFrame([(1, "  " + "x" * 9 + " "), (2, "　" + "und ist da" + " "), (3, None)],
+                                 "doc_id INT, text STRING")
+    got = {r["doc_id"]: r["pred_lang"] for r in score_languages(docs, ["doc_id"], prof).collect()}
+    assert got[1] is None and got[3] is None   # under 10 stripped characters / no text
+    assert got[2] == "de"
