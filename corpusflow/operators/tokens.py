@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusflow.functions.text import PIECE_PATTERN, pieces
+from corpusflow.operators.ordering import Running, scan
 
 # Fixed value: the vocabulary size of the reference configuration.
 DEFAULT_VOCAB = 50257
@@ -46,14 +47,22 @@ def token_count(df: DataFrame, text_col: str = "text", pattern: str = PIECE_PATT
     return df.withColumn("n_tokens", F.size(pieces(F.col(text_col), pattern)).cast("bigint"))
 
 
+def utf8_prefix_bucket(piece: Column) -> Column:
+    """BIGINT of the first three UTF-8 bytes (zero padded): non-decreasing in
+    the byte-wise order Spark uses to compare strings."""
+    head = F.hex(F.substring(F.encode(piece, "UTF-8"), 1, 3))
+    return F.conv(F.rpad(head, 6, "0"), 16, 10).cast("bigint")
+
+
 def build_vocab(df: DataFrame, vocab_size: int = DEFAULT_VOCAB, text_col: str = "text",
                 pattern: str = PIECE_PATTERN) -> DataFrame:
     """(piece, id, cnt) for the vocab_size-1 most frequent pieces, ranked by
     count desc then piece; id 0 is reserved for unknown pieces.
 
     No global sort of all distinct pieces: a histogram of counts (at most
-    vocab_size rows reach the driver) gives the cut-off count, then only the
-    <= V candidates are ranked."""
+    vocab_size rows reach the driver) gives the cut-off count; pieces above it
+    are in, the tie tier at it is ranked by piece with a bucketed scan, and
+    only the <= V chosen rows are ranked in one window."""
     slots = vocab_size - 1
     # read three times below: computed once and cut from lineage (a reliable
     # checkpoint in the shared folder survives lost executors)
@@ -71,7 +80,13 @@ def build_vocab(df: DataFrame, vocab_size: int = DEFAULT_VOCAB, text_col: str =
         chosen = counts
     else:
         above = counts.filter(F.col("cnt") > cutoff)
-        at = counts.filter(F.col("cnt") == cutoff).orderBy("piece").limit(slots - taken)
+        # the tie tier at the cut-off can be large: rank it with a bucketed
+        # scan (bucket = first 3 UTF-8 bytes, monotone in Spark's byte order)
+        # instead of an ordered limit that funnels rows into one task
+        tier = counts.filter(F.col("cnt") == cutoff)
+        ranked = scan(tier, [], [F.col("piece")], utf8_prefix_bucket(F.col("piece")),
+                      [Running("_r", "count", F.lit(1))], materialize=False)
+        at = ranked.filter(F.col("_r") <= slots - taken).select("piece", "cnt")
         chosen = above.unionByName(at)
     # At most vocab_size-1 rows: a single ordered window is bounded.
     rank = F.row_number().over(Window.orderBy(F.desc("cnt"), F.col("piece")))

@@ -71,3 +71,16 @@ def test_detector_minimum_length(spark):
     got = {r["doc_id"]: r["pred_lang"] for r in score_languages(docs, ["doc_id"], prof).collect()}
     assert got[1] is None and got[3] is None   # under 10 stripped characters / no text
     assert got[2] == "de"
+
+
+def test_utf8_bucket_monotone_and_vocab_ties(spark):
+    from corpusflow.operators.tokens import build_vocab, utf8_prefix_bucket
+    words = ["a", "ab", "abc", "abd", "b", "é", "éa", "日本", "日", "z", "\x01", "aé", "ÿ"]
+    df = spark.createDataFrame([(w,) for w in words], "w STRING")
+    got = [(r["w"], r["b"]) for r in df.select("w", utf8_prefix_bucket(F.col("w")).alias("b")).collect()]
+    by_bytes = sorted(got, key=lambda x: x[0].encode("utf-8"))
+    assert [b for _, b in by_bytes] == sorted(b for _, b in by_bytes)
+    text = "x x x y y q p o n m é é"   # x:3 y:2 é:2, then five pieces tied at 1
+    v = build_vocab(spark.createDataFrame([(text,)], "text STRING"), vocab_size=6)
+    assert [(r["piece"], r["id"]) for r in v.orderBy("id").collect()] == \
+        [("x", 1), ("y", 2), ("é", 3), ("m", 4), ("n", 5)]
