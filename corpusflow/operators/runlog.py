@@ -19,6 +19,7 @@ from corpusflow.operators.filters import on_cadence
 from corpusflow.operators.ordering import Running, scan
 
 RUN = "run_id"
+CADENCE_BLOCK = 1000  # expected steps generated per row of the block table
 
 # Metric names of a run-log row (DM8), in the order the trainer logs them.
 METRICS = ["loss", "perplexity", "learning_rate", "vram_usage", "tokens_per_second"]
@@ -137,10 +138,18 @@ def cadence_audit(rl: DataFrame, step: Column, every: int) -> DataFrame:
     the steps present; one row per expected step with ``present``."""
     present = rl.select(RUN, step.alias("step")).filter(on_cadence(F.col("step"), every))
     last = rl.groupBy(RUN).agg(F.max(step).alias("_max"))
-    expected = (last.filter(F.col("_max") >= every)
-                .select(RUN, F.explode(F.sequence(F.lit(every).cast("bigint"),
-                                                  F.col("_max").cast("bigint"),
-                                                  F.lit(every).cast("bigint"))).alias("step")))
+    # Expected steps are generated in blocks of CADENCE_BLOCK: one row per
+    # block is spread over tasks first, so a very long run is not expanded by
+    # a single task.
+    span = every * CADENCE_BLOCK
+    blocks = (last.filter(F.col("_max") >= every)
+              .select(RUN, "_max", F.explode(F.sequence(F.lit(every).cast("bigint"),
+                                                        F.col("_max").cast("bigint"),
+                                                        F.lit(span).cast("bigint"))).alias("_b"))
+              .repartition(RUN, "_b"))
+    block_end = F.least(F.col("_b") + F.lit(span - every), F.col("_max").cast("bigint"))
+    expected = blocks.select(RUN, F.explode(F.sequence(F.col("_b"), block_end,
+                                                      F.lit(every).cast("bigint"))).alias("step"))
     hits = present.groupBy(RUN, "step").agg(F.count(F.lit(1)).alias("n_logged"))
     return (expected.join(hits, [RUN, "step"], "left")
             .select(RUN, "step", F.col("n_logged").isNotNull().alias("present"),

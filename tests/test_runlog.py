@@ -126,3 +126,11 @@ def test_perplexity_cap_and_one_row_log(spark):
     one = _log(spark, [4.0])
     out = _ordered(one, running=[R.running_peak("v"), R.best_so_far("v")], previous=["v"]).collect()[0]
     assert out["seq"] == 1 and out["v_peak"] == 4.0 and out["v_prev_min"] is None and out["prev_v"] is None
+
+
+def test_cadence_audit_block_boundaries(spark, monkeypatch):
+    monkeypatch.setattr(R, "CADENCE_BLOCK", 3)
+    steps = [s for s in range(0, 215, 10) if s != 120]
+    df = spark.createDataFrame([(1, s) for s in steps], "run_id INT, step BIGINT")
+    audit = sorted((r["step"], r["present"]) for r in R.cadence_audit(df, F.col("step"), 20).collect())
+    assert audit == [(s, s != 120) for s in range(20, 211, 20)]
