@@ -71,11 +71,16 @@ def profile_stats(profile: DataFrame) -> ProfileStats:
 
 
 def score_languages(df: DataFrame, key: list[str], profile: DataFrame, stats: ProfileStats | None = None,
-                    text_col: str = "text") -> DataFrame:
-    """Adds ``score_<lang>`` columns and ``pred_lang`` (null for texts whose
-    stripped length is under 10 characters)."""
+                    text_col: str = "text", carry: list[str] = ()) -> DataFrame:
+    """key + ``carry`` columns + ``score_<lang>`` + ``pred_lang`` for every row
+    of ``df`` (null prediction for texts under 10 stripped characters).
+
+    Only narrow columns are joined back (key and ``carry``): the text is read
+    by the scoring stage but never shuffled."""
     stats = stats or profile_stats(profile)
     langs = sorted(stats.totals)
+    if not langs:  # nothing was trained: no prediction
+        return df.select(*key, *carry).withColumn("pred_lang", F.lit(None).cast("string"))
     # one row per gram with a column per language: every exploded gram meets
     # at most one profile row in the join (not one per language)
     # keyed by a 64-bit hash of the gram: the broadcast relation is long-keyed
@@ -105,4 +110,4 @@ def score_languages(df: DataFrame, key: list[str], profile: DataFrame, stats: Pr
         best_lang = F.when(better, F.lit(l)).otherwise(best_lang)
         best = F.when(better, s).otherwise(best)
     scored = sums.withColumn("pred_lang", best_lang).drop("_G", *[f"_s_{l}" for l in langs])
-    return df.join(scored, key, "left")
+    return df.select(*key, *carry).join(scored, key, "left")

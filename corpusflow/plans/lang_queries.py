@@ -78,7 +78,7 @@ ON f.doc_id = x.doc_id""")
 def lang_detect(spark, sf_dir):
     docs = corpus_filters(documents_rows(spark, sf_dir), 50, None).select("doc_id", "lang", "text")
     prof = profile(spark, sf_dir, materialize=True)
-    scored = score_languages(docs, ["doc_id"], prof, profile_stats(prof))
+    scored = score_languages(docs, ["doc_id"], prof, profile_stats(prof), carry=["lang"])
     return scored.select("doc_id", "lang", "pred_lang")
 
 
@@ -87,9 +87,8 @@ SELECT c.doc_id, len(regexp_extract_all(c.text, '{S.PIECE_PATTERN}'))::BIGINT AS
 FROM ({S.clean_docs_sql(None)}) c JOIN ({_detect_sql(S.clean_docs_sql(None))}) x ON c.doc_id = x.doc_id
 WHERE x.pred_lang = 'de'""")
 def lang_filter(spark, sf_dir):
-    docs = clean_documents(spark, sf_dir, language=None).select("doc_id", "text")
+    docs = token_count(clean_documents(spark, sf_dir, language=None).select("doc_id", "text"))
     prof = profile(spark, sf_dir, materialize=True)
-    scored = score_languages(docs, ["doc_id"], prof, profile_stats(prof))
-    kept = scored.filter(F.col("pred_lang") == "de")
-    return token_count(kept).select("doc_id", "n_tokens")
+    scored = score_languages(docs, ["doc_id"], prof, profile_stats(prof), carry=["n_tokens"])
+    return scored.filter(F.col("pred_lang") == "de").select("doc_id", "n_tokens")
 
