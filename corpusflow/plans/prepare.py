@@ -43,6 +43,7 @@ class PrepareConfig:
     accumulation: int = 2
     compat_caps: bool = False
     vocab_size: int = DEFAULT_VOCAB
+    id_fn: str = "md5"                                      # or "xxhash64" (cheaper)
 
 
 @dataclass
@@ -87,7 +88,7 @@ def prepare(rows: DataFrame, catalog: DataFrame, cfg: PrepareConfig,
     # materialized inputs stay small.  Token arrays are rebuilt only for the
     # chunks that survive caps and budget, then joined on the unique key.
     def chunk_rows(docs: DataFrame) -> DataFrame:
-        toks = encode_hashed(docs, "text", cfg.vocab_size).drop("text")
+        toks = encode_hashed(docs, "text", cfg.vocab_size, id_fn=cfg.id_fn).drop("text")
         return chunk(toks, cfg.th.min_length, cfg.th.max_length, cfg.th.target_length).withColumn(
             "chunk_idx", F.col("chunk_idx").cast("bigint"))
 

@@ -84,3 +84,11 @@ def test_utf8_bucket_monotone_and_vocab_ties(spark):
     v = build_vocab(spark.createDataFrame([(text,)], "text STRING"), vocab_size=6)
     assert [(r["piece"], r["id"]) for r in v.orderBy("id").collect()] == \
         [("x", 1), ("y", 2), ("é", 3), ("m", 4), ("n", 5)]
+
+
+def test_hashed_id_functions(spark):
+    from corpusflow.operators.tokens import encode_hashed
+    df = spark.createDataFrame([(1, "a b  a c")], "doc_id INT, text STRING")
+    for fn in ("md5", "xxhash64"):
+        r = encode_hashed(df, vocab_size=11, id_fn=fn).collect()[0]
+        assert r["n_tokens"] == 4 and r["tokens"][0] == r["tokens"][2] and all(0 <= t < 11 for t in r["tokens"])
