@@ -92,3 +92,15 @@ def test_hashed_id_functions(spark):
     for fn in ("md5", "xxhash64"):
         r = encode_hashed(df, vocab_size=11, id_fn=fn).collect()[0]
         assert r["n_tokens"] == 4 and r["tokens"][0] == r["tokens"][2] and all(0 <= t < 11 for t in r["tokens"])
+
+
+def test_language_profile_held_out_accuracy(spark):
+    from corpusflow.operators.filters import corpus_filters
+    from corpusflow.operators.language import score_languages, train_profile
+    from corpusflow.plans.corpus import documents_rows
+    docs = corpus_filters(documents_rows(spark, "/root/testdata/sf0.01"), 50, None)
+    train = docs.filter(F.pmod("doc_id", F.lit(2)) == 0)
+    test = docs.filter(F.pmod("doc_id", F.lit(2)) == 1)
+    scored = score_languages(test, ["doc_id"], train_profile(train), carry=["lang"])
+    acc = scored.agg(F.avg((F.col("lang") == F.col("pred_lang")).cast("double"))).first()[0]
+    assert acc >= 0.98
