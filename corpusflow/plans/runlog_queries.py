@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.functions.format import status_line
+from corpusflow.functions.time import epoch_micros_ntz
 from corpusflow.functions.schedule import (cosine_with_warmup, descale_loss, linear_decay,
                                            perplexity, update_index)
 from corpusflow.operators import runlog as R
@@ -44,7 +45,7 @@ def _order() -> list[Column]:
 
 
 def _micros(c: Column) -> Column:
-    return F.unix_micros(c.cast("timestamp"))
+    return epoch_micros_ntz(c)  # events.ts is TIMESTAMP_NTZ
 
 
 def time_bucket(spark: SparkSession, sf_dir: str) -> Column:
