@@ -62,10 +62,6 @@ def pieces(text: Column, pattern: str = PIECE_PATTERN) -> Column:
     return F.regexp_extract_all(t, F.lit(pattern), 0)
 
 
-def piece_count(text: Column) -> Column:
-    return F.size(pieces(text)).cast("bigint")
-
-
 def nonspace_chars(text: Column) -> Column:
     """Characters outside whitespace runs (= total length of all pieces)."""
     return F.length(F.regexp_replace(F.coalesce(text, F.lit("")), WHITESPACE_CLASS, ""))

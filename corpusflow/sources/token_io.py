@@ -41,8 +41,3 @@ def read_legacy_flat(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.text(path, wholetext=True)
     return raw.select(F.input_file_name().alias("file"),
                       F.from_json("value", TOKENS_TYPE).alias("tokens"))
-
-
-def token_total(df: DataFrame, tokens_col: str = "chunk") -> int:
-    """Total token count of a token table (an aggregate; one scalar returns)."""
-    return int(df.agg(F.coalesce(F.sum(F.size(tokens_col)), F.lit(0))).first()[0])
