@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Tasks may be lost; retry them rather than failing the job.
     "spark.task.maxFailures": "4",
+    # Reliable checkpoints of intermediates are removed from the shared
+    # folder once their DataFrames are garbage collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
