@@ -7,8 +7,9 @@ arrival order ``(source_ord, doc_ord)``.  Plan:
 * ``groupBy(digest).agg(min(order))``: partial aggregation before the
   shuffle, so a text repeated in a third of all rows is one partial row per
   map task, not a hot reduce task;
-* left-semi join of the rows to the winners on the *unique* order key, which
-  is uniformly spread (never on the digest, which carries the skew).
+* anti join of the rows to the losers (non-first copies) on the *unique*
+  order key: broadcast when the losers are few, so the text does not move;
+  never on the digest, which carries the skew.
 """
 
 from __future__ import annotations
@@ -41,12 +42,24 @@ def order_key(order_cols: list[str]) -> Column:
     return F.when(ok, packed).otherwise(F.raise_error(F.lit("order key out of range for packing")))
 
 
+# Up to this many duplicate keys are broadcast (8 bytes each, checked by a
+# bounded count); beyond it the anti join is a shuffle join on a unique key.
+MAX_BROADCAST_LOSERS = 8_000_000
+
+
 def dedup_first(df: DataFrame, order_cols: list[str] = ("source_ord", "doc_ord"),
                 text_col: str = "text", enabled: bool = True,
                 per_source: bool = False) -> DataFrame:
     """D1 first-wins dedup; D2 across sources unless ``per_source``; D4 off switch.
 
     Rows must already have passed the text filters (only they are remembered).
+    The order columns must identify a row.
+
+    Only narrow (digest, key) rows are shuffled to find the *losers* (copies
+    that are not the first of their text).  The rows are then anti-joined to
+    the losers: when they are few (the usual case) the loser keys are
+    broadcast and the text rows do not move at all; otherwise it is a
+    shuffle join on the unique, evenly spread order key.
     """
     if not enabled:
         return df
@@ -55,5 +68,11 @@ def dedup_first(df: DataFrame, order_cols: list[str] = ("source_ord", "doc_ord")
     extra = [F.col("source_ord")] if per_source else []
     keyed = df.select(text_digest(F.col(text_col)).alias("h"), *extra, order_key(order_cols).alias("_ok"))
     winners = keyed.groupBy(*key).agg(F.min("_ok").alias("_ok")).select("_ok")
+    # a row is a loser iff its key is no digest's minimum: an anti join on the
+    # unique key (never on the digest, whose hot values would meet in one task)
+    losers = (keyed.select("_ok").join(winners, "_ok", "left_anti")
+              .checkpoint())  # small, read twice: size check and join
+    if losers.limit(MAX_BROADCAST_LOSERS + 1).count() <= MAX_BROADCAST_LOSERS:
+        losers = F.broadcast(losers)
     return (df.withColumn("_ok", order_key(order_cols))
-            .join(winners, on="_ok", how="left_semi").drop("_ok"))
+            .join(losers, on="_ok", how="left_anti").drop("_ok"))
