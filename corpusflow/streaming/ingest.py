@@ -4,9 +4,10 @@ and chunks on a stream of documents.
 Two dedup modes:
 
 * ``"batch"`` (default, skew-safe): ``foreachBatch``.  Inside a micro-batch
-  the first copy of every text is chosen by a partial+final aggregate of the
-  order key (a text repeated in a third of the rows collapses map-side), so
-  the survivor is deterministic: lowest (source_ord, doc_ord).  Texts seen in
+  the first copy of every text is chosen by the batch dedup (``dedup_first``:
+  a partial+final aggregate of the order key, so a text repeated in a third
+  of the rows collapses map-side), so the survivor is deterministic: lowest
+  (source_ord, doc_ord).  Texts seen in
   earlier micro-batches are removed with a semi join of the digest table
   against the batch's unique digests, broadcast when their count is under a
   limit.  Outputs and digests are written under ``batch_id=<n>``: a retried
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.text import text_digest
 from corpusflow.operators.chunks import chunk
-from corpusflow.operators.dedup import order_key
+from corpusflow.operators.dedup import dedup_first
 from corpusflow.operators.filters import corpus_filters
 from corpusflow.operators.tokens import encode_hashed
 from corpusflow.session import path_exists
@@ -59,12 +60,12 @@ def ingest_frame(stream: DataFrame, language: str | None = "de", min_chars: int
 def dedup_micro_batch(batch: DataFrame, batch_id: int, seen_dir: str) -> DataFrame:
     """First copies of texts of one micro-batch not seen in earlier batches."""
     spark = batch.sparkSession
-    b = batch.withColumn("_ok", order_key(["source_ord", "doc_ord"]))
-    winners = b.groupBy("h").agg(F.min("_ok").alias("_ok"))
-    firsts = b.join(winners, ["h", "_ok"], "left_semi").drop("_ok")   # (h, _ok) is unique
+    # the batch version of D1: partial aggregate on digests, losers on the
+    # unique key, size-checked broadcast anti join (text rows stay in place)
+    firsts = dedup_first(batch, ["source_ord", "doc_ord"])
     if path_exists(spark, seen_dir):
         prior = spark.read.parquet(seen_dir).filter(F.col("batch_id") < F.lit(batch_id)).select("h")
-        digests = winners.select("h")
+        digests = firsts.select("h")
         if digests.limit(MAX_BROADCAST_DIGESTS + 1).count() <= MAX_BROADCAST_DIGESTS:
             digests = F.broadcast(digests)
         seen_now = prior.join(digests, "h", "left_semi")
