@@ -105,3 +105,20 @@ def test_ingest_batch_mode_first_wins_across_batches(spark, tmp_dir):
     a = {r["h"] for r in landed.select("h").distinct().collect()}
     b = {r["h"] for r in spark.read.parquet(state_out).select("h").distinct().collect()}
     assert a == b and len(a) == 4
+
+
+def test_streaming_variant_precedence(spark, tmp_dir):
+    from corpusflow.sources.catalog import read_source
+    base = f"{tmp_dir}/ds"
+    for variant, text in [("cfgA", "from config"), ("subB", "from subset")]:
+        spark.createDataFrame([(1, text)], "id BIGINT, text STRING").write.parquet(f"{base}/{variant}")
+    def landed(spec, name):
+        out, ckpt = f"{tmp_dir}/{name}", f"{tmp_dir}/{name}-ckpt"
+        q = (read_source(spark, spec, 0, streaming=True).writeStream.format("parquet")
+             .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+        return [r["text"] for r in spark.read.parquet(out).collect()]
+    assert landed(SourceSpec("x", base, 1.0, config="cfgA", subset="subB", order_expr="id"), "o1") == ["from config"]
+    assert landed(SourceSpec("x", base, 1.0, subset="subB", order_expr="id"), "o2") == ["from subset"]
+    batch = read_source(spark, SourceSpec("x", base, 1.0, config="cfgA", subset="subB", order_expr="id"))
+    assert [r["text"] for r in batch.collect()] == ["from config"]

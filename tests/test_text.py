@@ -104,3 +104,16 @@ def test_language_profile_held_out_accuracy(spark):
     scored = score_languages(test, ["doc_id"], train_profile(train), carry=["lang"])
     acc = scored.agg(F.avg((F.col("lang") == F.col("pred_lang")).cast("double"))).first()[0]
     assert acc >= 0.98
+
+
+def test_user_tokenizer_file_through_map_in_pandas(spark, tmp_dir):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+    from corpusflow.operators.tokens import encode_with_tokenizer
+    vocab = {"[UNK]": 0, "der": 1, "die": 2, "das": 3, "und": 4}
+    tok = Tokenizer(models.WordLevel(vocab, unk_token="[UNK]"))
+    tok.pre_tokenizer = pre_tokenizers.Whitespace()
+    path = f"{tmp_dir}/tok.json"
+    tok.save(path)
+    df = spark.createDataFrame([(1, "der die das"), (2, "und etwas"), (3, None)], "doc_id INT, text STRING")
+    got = {r["doc_id"]: (r["tokens"], r["n_tokens"]) for r in encode_with_tokenizer(df, path).collect()}
+    assert got[1] == ([1, 2, 3], 3) and got[2] == ([4, 0], 2) and got[3] == ([], 0)
