@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import text_digest
+from corpusflow.operators.sizing import broadcast_if_small
 
 
 def with_digest(df: DataFrame, text_col: str = "text", name: str = "h") -> DataFrame:
@@ -72,7 +73,6 @@ def dedup_first(df: DataFrame, order_cols: list[str] = ("source_ord", "doc_ord")
     # unique key (never on the digest, whose hot values would meet in one task)
     losers = (keyed.select("_ok").join(winners, "_ok", "left_anti")
               .checkpoint())  # small, read twice: size check and join
-    if losers.limit(MAX_BROADCAST_LOSERS + 1).count() <= MAX_BROADCAST_LOSERS:
-        losers = F.broadcast(losers)
+    losers = broadcast_if_small(losers, MAX_BROADCAST_LOSERS)
     return (df.withColumn("_ok", order_key(order_cols))
             .join(losers, on="_ok", how="left_anti").drop("_ok"))

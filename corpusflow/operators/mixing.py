@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.hashing import md5_bucket, md5_uniform
 from corpusflow.operators.ordering import Running, scan
+from corpusflow.operators.sizing import broadcast_if_small
 
 # Arrivals per bucket of the global mix order (bounded rows per window task).
 ARRIVALS_PER_BUCKET = 200_000
@@ -68,7 +69,7 @@ def per_source_ordinal(df: DataFrame, order: list[Column], bucket: Column,
 
 def cap_per_source(df_with_ord: DataFrame, caps: DataFrame, ord_col: str = "src_ord") -> DataFrame:
     """M3: keep the first ``cap`` chunks of every source (null cap = all)."""
-    c = F.broadcast(caps.select("source", "cap"))  # one row per source
+    c = broadcast_if_small(caps.select("source", "cap"))  # one row per source, checked
     j = df_with_ord.join(c, "source", "left")
     return j.filter(F.col("cap").isNull() | (F.col(ord_col) <= F.col("cap"))).drop("cap")
 
@@ -79,7 +80,7 @@ def arrivals(df: DataFrame, weights: DataFrame, order: list[Column], bucket: Col
 
     race: T = cumulative sum of -ln(u)/w in source order, u in (0, 1) from an
     md5 of (source, key..., seed); deterministic: T = (r - 1/2) / w."""
-    w = F.broadcast(weights.select("source", "source_ord", F.col("weight").alias("_w")))
+    w = broadcast_if_small(weights.select("source", "source_ord", F.col("weight").alias("_w")))
     j = df.join(w, "source", "inner").filter(F.col("_w") > 0)
     if mode == "race":
         parts = [F.col("source")] + (key or order) + [F.lit(seed)]

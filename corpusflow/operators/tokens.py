@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from corpusflow.functions.text import PIECE_PATTERN, pieces
 from corpusflow.operators.ordering import Running, scan
+from corpusflow.operators.sizing import broadcast_if_small
 
 # Fixed value: the vocabulary size of the reference configuration.
 DEFAULT_VOCAB = 50257
@@ -110,8 +111,7 @@ def encode_vocab(df: DataFrame, vocab: DataFrame, key: list[str], text_col: str
     one document's size.  ``posexplode_outer`` keeps documents without pieces
     (empty array) without a join back to the input."""
     v = vocab.select("piece", "id")
-    if _bounded(vocab, MAX_BROADCAST_VOCAB):
-        v = F.broadcast(v)
+    v = broadcast_if_small(v, MAX_BROADCAST_VOCAB)
     exploded = df.select(*key, F.posexplode_outer(pieces(F.col(text_col), pattern)).alias("pos", "piece"))
     joined = exploded.join(v, on="piece", how="left").select(
         *key, F.when(F.col("pos").isNotNull(),
@@ -121,11 +121,6 @@ def encode_vocab(df: DataFrame, vocab: DataFrame, key: list[str], text_col: str
     return grouped.select(*key, ids.alias(out), F.size("_z").cast("bigint").alias("n_tokens"))
 
 
-def _bounded(df: DataFrame, max_rows: int) -> bool:
-    """Size check before a broadcast: counts at most max_rows+1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def encode_with_tokenizer(df: DataFrame, tokenizer_file: str, text_col: str = "text",
                           out: str = "tokens") -> DataFrame:
     """T1(c): a user tokenizer (``tokenizers`` JSON file on shared storage)

@@ -20,6 +20,7 @@ from corpusflow.operators.dedup import dedup_first, with_digest
 from corpusflow.operators.filters import corpus_filters, keep_language
 from corpusflow.operators.language import score_languages
 from corpusflow.operators.ordering import range_bucket
+from corpusflow.operators.sizing import broadcast_if_small
 from corpusflow.operators.tokens import DEFAULT_VOCAB, encode_hashed
 from corpusflow.plans.corpus import DEFAULT, Thresholds
 
@@ -106,7 +107,7 @@ def prepare(rows: DataFrame, catalog: DataFrame, cfg: PrepareConfig,
     M.check_weights(dict(w_rows))  # the catalog is one row per source
     if cfg.mode == "deterministic":
         # the per-source ordinal is already there: T = (r - 1/2) / w, no extra scan
-        w = F.broadcast(weights.select("source", F.col("weight").alias("_w")))
+        w = broadcast_if_small(weights.select("source", F.col("weight").alias("_w")))
         arr = (capped.join(w, "source").filter(F.col("_w") > 0)
                .withColumn("mix_t", (F.col("src_ord") - F.lit(0.5)) / F.col("_w")).drop("_w"))
     else:

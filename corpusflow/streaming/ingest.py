@@ -31,6 +31,7 @@ from corpusflow.functions.text import text_digest
 from corpusflow.operators.chunks import chunk
 from corpusflow.operators.dedup import dedup_first
 from corpusflow.operators.filters import corpus_filters
+from corpusflow.operators.sizing import broadcast_if_small
 from corpusflow.operators.tokens import encode_hashed
 from corpusflow.session import path_exists
 from corpusflow.sources.catalog import SourceSpec, read_sources
@@ -66,8 +67,7 @@ def dedup_micro_batch(batch: DataFrame, batch_id: int, seen_dir: str) -> DataFra
     if path_exists(spark, seen_dir):
         prior = spark.read.parquet(seen_dir).filter(F.col("batch_id") < F.lit(batch_id)).select("h")
         digests = firsts.select("h")
-        if digests.limit(MAX_BROADCAST_DIGESTS + 1).count() <= MAX_BROADCAST_DIGESTS:
-            digests = F.broadcast(digests)
+        digests = broadcast_if_small(digests, MAX_BROADCAST_DIGESTS)
         seen_now = prior.join(digests, "h", "left_semi")
         firsts = firsts.join(seen_now, "h", "left_anti")
     return firsts
