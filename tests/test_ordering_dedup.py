@@ -73,3 +73,30 @@ def test_dedup_invariant_to_input_order(spark):
     a = sorted(r["doc_ord"] for r in dedup_first(_docs(spark)).collect())
     b = sorted(r["doc_ord"] for r in dedup_first(_docs(spark).repartition(5).orderBy(F.rand(1))).collect())
     assert a == b
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(-50, 50))),
+                min_size=1, max_size=60),
+       st.integers(1, 9))
+def test_scan_property_against_pandas(spark, rows, buckets):
+    data = [(k, i, v) for i, (k, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k INT, t BIGINT, v INT")
+    out = scan(df, ["k"], [F.col("t")], range_bucket(df, F.col("t"), buckets),
+               [Running("c", "count", F.lit(1)), Running("s", "sum", F.col("v")),
+                Running("lo", "min", F.col("v"), inclusive=False)], ["v"], materialize=False)
+    got = {r["t"]: (r["c"], r["s"], r["lo"], r["prev_v"]) for r in out.collect()}
+    state = {}
+    for k, t, v in data:
+        c, s, lo, prev, seen = state.get(k, (0, None, None, None, False))
+        lo_before = lo
+        c += 1
+        s = v if s is None else (s if v is None else s + v)
+        want = (c, s, lo_before, prev if seen else None)
+        assert got[t] == want, (t, got[t], want)
+        lo = v if lo is None else (lo if v is None else min(lo, v))
+        state[k] = (c, s, lo, v, True)
