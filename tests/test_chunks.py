@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from corpusflow.operators import chunks as C
 from corpusflow.operators.ordering import range_bucket
 from tests.models import chunk_loop, pairs_loop, windows_loop
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 
 def _tokens_df(spark, seqs):
@@ -77,3 +79,20 @@ def test_batches_keep_partial(spark):
     rows = {r["doc_id"]: (r["batch_id"], r["update_id"]) for r in out.collect()}
     assert rows[0] == (0, 0) and rows[15] == (0, 0) and rows[16] == (1, 0)
     assert rows[32] == (2, 1) and rows[36] == (2, 1)
+
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(1, 30), min_size=1, max_size=8), st.integers(2, 12), st.integers(1, 12))
+def test_pack_property_against_loop(spark, lengths, seq_len, stride):
+    seqs, start = [], 1000
+    for n in lengths:
+        seqs.append(list(range(start, start + n)))
+        start += n
+    flat = [t for s in seqs for t in s]
+    df = spark.createDataFrame([(i, s, len(s)) for i, s in enumerate(seqs)],
+                               "doc_id BIGINT, chunk ARRAY<INT>, chunk_len BIGINT")
+    with_off = C.stream_offsets(df, [F.col("doc_id")], range_bucket(df, F.col("doc_id"), 2))
+    got = [(r["x"], r["y"]) for r in
+           C.pack_windows(with_off, len(flat), seq_len, stride).orderBy("window_id").collect()]
+    assert got == [(list(x), list(y)) for x, y in windows_loop(flat, seq_len, stride)]
