@@ -13,6 +13,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents_spec(sf_dir: str, weight: float = 0.6, filters=None) -> SourceSpec:
+    sf_dir = sf_dir.rstrip("/")
     return SourceSpec(name="documents", path=f"{sf_dir}/documents.parquet", weight=weight,
                       order_expr="doc_id", lang_column="lang",
                       filters=tuple(filters) if filters else None)
@@ -21,6 +22,7 @@ def documents_spec(sf_dir: str, weight: float = 0.6, filters=None) -> SourceSpec
 def corpus_specs(sf_dir: str) -> list[SourceSpec]:
     """Four sources with the reference's default weights 0.6/0.2/0.1/0.05 and a
     fifth that cannot be read (exercises the tolerant scan)."""
+    sf_dir = sf_dir.rstrip("/")
     return [
         documents_spec(sf_dir, 0.6),
         SourceSpec(name="conversations", path=f"{sf_dir}/conversations.parquet", weight=0.2,
