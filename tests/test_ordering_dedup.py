@@ -99,3 +99,28 @@ def test_scan_property_against_pandas(spark, rows, buckets):
         assert got[t] == want, (t, got[t], want)
         lo = v if lo is None else (lo if v is None else min(lo, v))
         state[k] = (c, s, lo, v, True)
+
+
+def test_scan_spreads_a_hot_key_over_tasks(spark):
+    """One key holds a third of all rows: after the scan the rows of that key
+    are spread over many shuffle partitions, not one task."""
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        n = 30000
+        df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97 + 1)
+                                    .alias("k"), F.col("id").alias("t"))
+        out = scan(df, ["k"], [F.col("t")], range_bucket(df, F.col("t"), 32),
+                   [Running("o", "count", F.lit(1))], materialize=False)
+        # the window output must be used, or column pruning removes the window
+        # (and its exchange) and partition ids would describe the source
+        hot = (out.filter(F.col("k") == 0).select("o", F.spark_partition_id().alias("p"))
+               .groupBy("p").agg(F.count(F.lit(1)).alias("count"), F.max("o").alias("mx")).collect())
+        sizes = sorted(r["count"] for r in hot)
+        assert sum(sizes) == n // 3
+        assert len(sizes) >= 6 and sizes[-1] <= 0.4 * (n // 3)   # vs 100% in one task without buckets
+        top = out.filter(F.col("k") == 0).agg(F.max("o")).first()[0]
+        assert top == n // 3
+    finally:
+        spark.conf.set(conf, before)
