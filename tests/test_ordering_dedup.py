@@ -124,3 +124,21 @@ def test_scan_spreads_a_hot_key_over_tasks(spark):
         assert top == n // 3
     finally:
         spark.conf.set(conf, before)
+
+
+def test_dedup_plan_with_a_hot_text(spark):
+    """A text repeated in a third of the rows: exactly one copy survives and
+    the text rows meet the (checkpointed) losers in a broadcast anti join."""
+    n = 3000
+    df = spark.range(n).select(
+        F.lit(0).alias("source_ord"), F.col("id").alias("doc_ord"),
+        F.when(F.col("id") % 3 == 0, F.lit("the same boilerplate")).otherwise(
+            F.concat(F.lit("text "), F.col("id").cast("string"))).alias("text"))
+    out = dedup_first(df)
+    assert out.count() == n - n // 3 + 1
+    # the losers were computed (partial min aggregate, anti join on the key) and
+    # checkpointed; the text rows only meet them in a broadcast anti join:
+    # no exchange moves the text
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "ExistingRDD" in plan
+    assert "Exchange hashpartitioning" not in plan
