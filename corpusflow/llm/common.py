@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.operators.sizing import broadcast_if_small
 from corpusflow.session import shared_path
 
 BLOCK_BYTES = 1 << 20
@@ -50,6 +51,21 @@ def row_id() -> F.Column:
     return F.monotonically_increasing_id()
 
 
+def content_key(*columns: str) -> F.Column:
+    """A 128-bit key of a row's content: rows with equal content share it, and
+    so share every decision that depends on the content alone."""
+    return F.struct(F.xxhash64(F.lit(1), *columns).alias("a"), F.xxhash64(F.lit(2), *columns).alias("b"))
+
+
+def without(docs: DataFrame, bad: DataFrame, *columns: str, most: int = 500_000) -> DataFrame:
+    """Rows of ``docs`` whose content key isn't in ``bad`` (columns a and b); the
+    rows stay where they are as long as the keys are few enough to broadcast."""
+    keyed = docs.withColumn("_content", content_key(*columns))
+    bad = broadcast_if_small(bad.select(F.col("a").alias("_a"), F.col("b").alias("_b")).distinct(), most)
+    kept = keyed.join(bad, (F.col("_content.a") == F.col("_a")) & (F.col("_content.b") == F.col("_b")), "left_anti")
+    return kept.select(*docs.columns)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser, elementwise."""
     x = x.astype(_U, copy=True)
@@ -113,6 +129,15 @@ WORD, LOWER = word_table(), lower_table()
 _BYTE_MIX = mix64(np.arange(1, 257, dtype=_U) * _U(_BASE))
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """Lower-cased bytes: ASCII and the Latin-1 letters of UTF-8."""
+    out = LOWER[data]
+    if len(data) > 1:
+        up = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+        out[1:][up] += 32
+    return out
+
+
 def spans(inside: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal true runs, cut at the texts' bounds."""
     n = len(inside)
@@ -139,7 +164,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased words of a block: starts, ends, hashes, and each text's first word."""
     starts, ends = spans(WORD[data], off)
-    return starts, ends, span_hashes(LOWER[data], starts, ends), np.searchsorted(starts, off)
+    return starts, ends, span_hashes(lowered(data), starts, ends), np.searchsorted(starts, off)
 
 
 def windows(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

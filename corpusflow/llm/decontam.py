@@ -27,14 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import LOWER, WORD, blocks, mix64, read_table, row_id, small_batches, span_hashes, spans, stored, windows
+from corpusflow.llm.common import WORD, blocks, content_key, lowered, mix64, read_table, row_id, small_batches, span_hashes, spans, stored, windows, without
 from corpusflow.llm.registry import query
-from corpusflow.operators.sizing import fits
+from corpusflow.operators.sizing import broadcast_if_small, fits
 
 K = 8
 COVER = 0.5
 MIN_LITERAL = 4
-MAX_BITMAP_WINDOWS = 4_000_000
+MAX_KNOWN_WINDOWS = 4_000_000
+MAX_BROADCAST_WINDOWS = 100_000
 # Common units of measure and currency.
 UNITS = ("%", "km", "m", "cm", "mm", "kg", "g", "mg", "lb", "lbs", "oz", "l", "ml", "mi", "mph", "ft", "inch", "inches", "yd", "miles", "meters",
          "metres", "kilometers", "kilometres", "grams", "kilograms", "liters", "litres", "pounds", "feet", "hours", "hour", "minutes", "minute",
@@ -68,7 +69,7 @@ def canonical(data: np.ndarray, off: np.ndarray):
         inner[1:-1] = np.isin(data[1:-1], (44, 46)) & _DIGIT[data[:-2]] & _DIGIT[data[2:]]
         token = token | inner
     starts, ends = spans(token, off)
-    own = span_hashes(LOWER[data], starts, ends)
+    own = span_hashes(lowered(data), starts, ends)
     first = np.searchsorted(starts, off)
     digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
     number = digits[ends] > digits[starts]
@@ -77,10 +78,14 @@ def canonical(data: np.ndarray, off: np.ndarray):
     opening = np.zeros(len(starts), bool)
     opening[first[:-1][np.diff(first) > 0]] = True
     opening |= before[starts] > before[previous]
-    upper = (data[starts] >= 65) & (data[starts] <= 90) if len(starts) else np.zeros(0, bool)
-    if len(starts):
-        second = data[np.minimum(starts + 1, len(data) - 1)]
-        upper |= (data[starts] == 0xC3) & (second >= 0x80) & (second <= 0x9E)
+    upper = np.zeros(len(starts), bool)
+    if len(starts):  # a capital, and then no other: words in capitals throughout aren't names
+        low = lowered(data)
+        wide = data[starts] == 0xC3
+        at = np.minimum(starts + wide, len(data) - 1)
+        after = np.minimum(at + 1, len(data) - 1)
+        upper = (low[at] != data[at]) & (at + 1 < ends) & (low[after] == data[after])
+        upper &= (data[after] != 0xC3) | (low[np.minimum(after + 1, len(data) - 1)] == data[np.minimum(after + 1, len(data) - 1)])
     kind = np.zeros(len(starts), np.int8)
     kind[upper & ~opening] = 2
     kind[np.isin(own, _UNIT_HASH)] = 3
@@ -102,15 +107,11 @@ def _windows(form, kind, first, k):
     return h, at, np.searchsorted(at, first)
 
 
-_SLOTS = pa.list_(pa.int64())
-
-
-def _emit(ids, at, h, own, kind, k):
-    """Windows as rows, with own hashes of their slots (0 where the word is plain)."""
+def _slots(at, own, kind, k):
+    """Own hashes of the windows' slots, 0 where a word is plain."""
     cover = at[:, None] + np.arange(k)
     slots = np.where(kind[cover] > 0, own[cover].view(np.int64), 0).ravel()
-    return pa.RecordBatch.from_arrays([ids, pa.array(h.view(np.int64)), pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * k), pa.array(slots))],
-                                      names=["id", "h", "slots"])
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * k), pa.array(slots))
 
 
 def _item_windows(k: int):
@@ -127,28 +128,39 @@ def _item_windows(k: int):
                     h, at, _ = _windows(form[a:z], kind[a:z], bound, m)
                     if len(h) == 0:  # an item of placeholders: all its windows count
                         h, at, _ = windows(form[a:z], bound, m)
-                    out = _emit(pa.array([b.column(0)[lo + i].as_py()] * len(at), pa.int64()), at, h, own[a:z], kind[a:z], m)
-                    yield pa.RecordBatch.from_arrays([*out.columns, pa.array(at), pa.array([m] * len(at), pa.int64()), pa.array([len(at)] * len(at), pa.int64()), pa.array([z - a] * len(at), pa.int64())],
+                    same = lambda x, n=len(at): pa.array([x] * n, pa.int64())
+                    yield pa.RecordBatch.from_arrays([same(b.column(0)[lo + i].as_py()), pa.array(h.view(np.int64)), _slots(at, own[a:z], kind[a:z], m), pa.array(at), same(m), same(len(at)), same(int(z - a))],
                                                      names=["item", "h", "item_slots", "item_pos", "k", "item_windows", "item_words"])
     return run
 
 
-def _doc_windows(lengths: list[int], bitmap: np.ndarray | None, bits: int):
-    """Document windows of the given lengths; with a bitmap, those that can match."""
+def _doc_windows(lengths: list[int], known: np.ndarray | None):
+    """Document windows of the given lengths; where the benchmark's are known, only those."""
     def run(batches):
+        if known is not None:
+            bits = 20 if len(known) <= 100_000 else 24
+            bitmap = np.zeros(1 << bits, bool)
+            bitmap[known >> _U(64 - bits)] = True
         for b in batches:
+            offsets, parts = [0], []
             for lo, hi, data, off in blocks(b.column(1)):
                 form, own, kind, first = canonical(data, off)
                 for k in lengths:
                     h, at, _ = windows(form, first, k)
-                    if bitmap is not None and len(h):
+                    if known is not None:
                         ok = bitmap[h >> _U(64 - bits)]
                         h, at = h[ok], at[ok]
-                    for a in range(0, len(h), 20_000):
-                        p = at[a:a + 20_000]
-                        text = np.searchsorted(first, p, "right") - 1
-                        out = _emit(b.column(0).take(pa.array(text + lo)), p, h[a:a + 20_000], own, kind, k)
-                        yield pa.RecordBatch.from_arrays([*out.columns, pa.array(p - first[text]), pa.array([k] * len(p), pa.int64())], names=["row_id", "h", "slots", "pos", "k"])
+                        ok = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h if len(known) else ok
+                        h, at = h[ok], at[ok]
+                    text = np.searchsorted(first, at, "right") - 1
+                    parts.append((text + lo, h.view(np.int64), at - first[text], np.full(len(at), k), _slots(at, own, kind, k)))
+            text = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
+            order = np.argsort(text, kind="stable")
+            column = lambda i: np.concatenate([p[i] for p in parts])[order] if parts else np.zeros(0, np.int64)  # noqa: E731, B023
+            slots = pa.concat_arrays([p[4] for p in parts]).take(pa.array(order)) if parts else pa.array([], pa.list_(pa.int64()))
+            hits = pa.StructArray.from_arrays([pa.array(column(1)), pa.array(column(2)), pa.array(column(3)), slots], names=["h", "pos", "k", "slots"])
+            offsets = np.searchsorted(text[order], np.arange(b.num_rows + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(offsets), hits)], names=["e", "hits"])
     return run
 
 
@@ -163,20 +175,20 @@ def _pairs(x: str, y: str) -> str:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str, text: str, item: str, item_text: str, k: int = K, cover: float = COVER) -> DataFrame:
-    """All rows of ``docs`` with row_id, contaminated, item_id, n_items, cover, exact (no slot differs)."""
+    """One narrow row per row of ``docs``: the key, its content key, contaminated, item_id, n_items, cover, exact (no slot differs)."""
     spark = docs.sparkSession
     small_batches(spark)
-    keyed = docs.withColumn("row_id", row_id())
     items = item_windows(benchmark, item, item_text, k)
     lengths = sorted(r.k for r in items.select("k").distinct().collect())  # at most k numbers
-    bitmap, bits = None, 24
+    known = None
     hashes = items.select("h").distinct()
-    if fits(hashes, MAX_BITMAP_WINDOWS):  # else all windows go to the join
-        bitmap = np.zeros(1 << bits, bool)
-        h = np.array([r.h for r in hashes.collect()], np.int64).view(_U)
-        bitmap[h >> _U(64 - bits)] = True
-    seen = keyed.select("row_id", F.col(text).cast("string").alias("t")).mapInArrow(_doc_windows(lengths, bitmap, bits), "row_id long, h long, slots array<long>, pos long, k long")
-    hits = seen.join(items, ["h", "k"])
+    if fits(hashes, MAX_KNOWN_WINDOWS):  # else all windows go to the join
+        known = np.sort(np.asarray(hashes.toArrow()["h"], np.int64).view(_U))
+    given = docs.select(F.struct(F.col(key).alias("key"), content_key(text).alias("content")).alias("e"), F.col(text).cast("string").alias("t"))
+    rows = stored(given.mapInArrow(_doc_windows(lengths, known), f"e {given.schema['e'].dataType.simpleString()}, hits array<struct<h:long,pos:long,k:long,slots:array<long>>>")
+                  .select("e.*", "hits", row_id().alias("row_id")), "document-windows")
+    seen = rows.select("row_id", F.explode("hits").alias("w")).select("row_id", "w.*")
+    hits = seen.join(broadcast_if_small(items, MAX_BROADCAST_WINDOWS), ["h", "k"])
     aligned = hits.withColumn("diagonal", F.col("pos") - F.col("item_pos")).groupBy("row_id", "item", "diagonal").agg(
         F.countDistinct("item_pos").alias("n"), F.first("item_windows").alias("item_windows"),
         F.expr(f"array_distinct({_pairs('item_slots', 'slots')})").alias("slots"))
@@ -188,16 +200,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str, text: str,
     per_item = aligned.filter("consistent").groupBy("row_id", "item").agg(F.least(F.sum("cover"), F.lit(1.0)).alias("cover"), F.min("same").alias("same"))
     found = per_item.filter(F.col("cover") >= cover).groupBy("row_id").agg(
         F.min("item").alias("item_id"), F.count("*").alias("n_items"), F.max("cover").alias("cover"), F.max("same").alias("exact"))
-    return keyed.join(stored(found, "contaminated"), "row_id", "left").withColumn("contaminated", F.col("item_id").isNotNull())
+    return rows.select("row_id", F.col("key").alias(key), "content").join(found, "row_id", "left").withColumn("contaminated", F.col("item_id").isNotNull()).drop("row_id")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str, **names) -> DataFrame:
     """The rows of ``docs`` without benchmark passages, with their own columns."""
-    return contaminated(docs, benchmark, **names).filter(~F.col("contaminated")).select(*docs.columns)
+    bad = contaminated(docs, benchmark, text=text, **names).filter("contaminated")
+    return without(docs, bad.select("content.*"), text)
 
 
 @query("op9_decontamination")
 def op9_decontamination(spark, sf_dir):
-    out = contaminated(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "benchmark"),
+    out = contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
                        key="doc_id", text="text", item="item_id", item_text="text")
     return out.select("doc_id", "contaminated", "item_id", F.coalesce("n_items", F.lit(0)).alias("n_items"), F.round(F.coalesce("cover", F.lit(0.0)), 6).alias("cover"), F.coalesce("exact", F.lit(False)).alias("exact"))

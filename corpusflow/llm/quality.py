@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import LOWER, blocks, read_table, small_batches, span_hashes, spans, stored
+from corpusflow.llm.common import blocks, lowered, read_table, small_batches, span_hashes, spans, stored
 from corpusflow.llm.registry import query
 
 FEATURES = ("log_bytes", "log_words", "log_lines", "word_length", "word_length_spread", "upper", "digit", "symbol", "stop_mark", "comma",
@@ -61,7 +61,7 @@ def features(data: np.ndarray, off: np.ndarray) -> np.ndarray:
         return total[first[1:]] - total[first[:-1]]
     mean = summed(length) / w
     spread = np.sqrt(np.maximum(summed(length ** 2) / w - mean ** 2, 0))
-    h = span_hashes(LOWER[data], starts, ends)
+    h = span_hashes(lowered(data), starts, ends)
     text = np.repeat(np.arange(n), np.diff(first))
     order = np.lexsort((h, text))
     hs, ts = h[order], text[order]
