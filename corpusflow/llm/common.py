@@ -127,6 +127,7 @@ def lower_table() -> np.ndarray:
 
 WORD, LOWER = word_table(), lower_table()
 _BYTE_MIX = mix64(np.arange(1, 257, dtype=_U) * _U(_BASE))
+BYTE_MIX_2 = mix64(np.arange(1001, 1257, dtype=_U) * _U(_BASE))
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
@@ -153,11 +154,12 @@ def spans(inside: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans, equal for equal bytes wherever they stand."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _BYTE_MIX) -> np.ndarray:
+    """64-bit hashes of byte spans, equal for equal bytes wherever they stand;
+    another table gives independent ones."""
     n = len(data)
     total = np.zeros(n + 1, _U)
-    np.cumsum(_BYTE_MIX[data] * _powers(_BASE, n, "p"), out=total[1:])
+    np.cumsum(table[data] * _powers(_BASE, n, "p"), out=total[1:])
     return mix64((total[ends] - total[starts]) * _powers(_BASE_INV, n + 1, "i")[starts])
 
 
