@@ -11,7 +11,8 @@ Equal sequences form one class before anything else.  Within a bucket (equal
 keys of a table) every class is compared with the bucket's hub, which differs
 from table to table; after components are known, classes of one bucket that
 are still apart are compared as well, so that no pair that shares a bucket is
-lost, and yet a group of thousands costs a few comparisons a member.
+lost, and yet a group of thousands costs a few comparisons a member.  One hub
+is the bucket's most central class, as a rule the original of the copies.
 
 A candidate pair is verified by an alignment of both run sequences within the
 band that a similarity of ``SIMILAR`` leaves: similarity is the number of
@@ -38,6 +39,7 @@ from corpusflow.operators.sizing import broadcast_if_small
 
 K, SIMILAR = 5, 0.8
 TABLES, PICKED = 12, 2
+BLOCK = 64
 _U = np.uint64
 _SEEDS = mix64(np.arange(1, 65, dtype=_U) * _U(0xD1342543DE82EF95))
 
@@ -201,6 +203,63 @@ def _apart(members: DataFrame, group: DataFrame) -> DataFrame:
     return m.join(mixed, ["t", "k"], "left_semi")
 
 
+def _verify_blocks(batches):
+    """Similar pairs (a, b) of two blocks of a bucket's members.  A product of incidence
+    matrices bounds the aligned runs; only pairs that it lets pass are aligned, and a pair
+    that shares several tables is tested in the first."""
+    for b in batches:
+        one, two = [], []
+        for t, same, left, right in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+            sides = []
+            for side in (left, right):
+                seqs = [np.array(m["runs"], np.int32) for m in side]
+                sides.append((seqs, [np.unique(x) for x in seqs], np.array([m["keys"] for m in side]), np.array([m["id"] for m in side]), np.array([m["c"] for m in side])))
+            (xs, xu, xk, xi, xc), (ys, yu, yk, yi, yc) = sides
+            common = np.intersect1d(np.concatenate(xu), np.concatenate(yu))
+            overlap = np.zeros((len(xs), len(ys)), np.float32)
+            for lo in range(0, len(common), 8192):
+                part = common[lo:lo + 8192]
+                overlap += _incidence(xu, part) @ _incidence(yu, part).T
+            xn, yn = np.array([len(x) for x in xs]), np.array([len(y) for y in ys])
+            spare = np.minimum.outer(xn - [len(u) for u in xu], yn - [len(u) for u in yu])
+            need = SIMILAR * np.add.outer(xn, yn) / (1 + SIMILAR) - 1e-6
+            equal = xk[:, None, :] == yk[None, :, :]
+            go = (overlap + spare >= need) & (xc[:, None] != yc) & (equal.argmax(2) == t) & equal.any(2)
+            if same:
+                go &= xi[:, None] < yi
+            for i, j in np.argwhere(go):
+                if similar(xs[i], ys[j]):
+                    one.append(min(xi[i], yi[j]))
+                    two.append(max(xi[i], yi[j]))
+        yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=["a", "b"])
+
+
+def _incidence(sets: list[np.ndarray], terms: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(sets), len(terms)), np.float32)
+    for i, x in enumerate(sets):
+        at = np.searchsorted(terms, x)
+        ok = at < len(terms)
+        at = at[ok][terms[at[ok]] == x[ok]]
+        out[i, at] = 1
+    return out
+
+
+def _rest(apart: DataFrame, classes: DataFrame, sequences: DataFrame) -> DataFrame:
+    """Similar pairs among the members of buckets that are in different components,
+    by blocks of ``BLOCK`` members: no pair is written but the similar ones."""
+    sizes = stored(apart.groupBy("t", "k").agg(F.ceil(F.count("*") / BLOCK).alias("n_blocks")), "apart-sizes")
+    block = F.pmod(F.xxhash64("id"), F.col("n_blocks"))
+    full = classes.select("id", "keys").join(sequences, "id").join(apart.select("id").distinct(), "id", "left_semi")
+    rows = apart.join(sizes, ["t", "k"]).select("t", "k", "id", "c", block.alias("block")).join(stored(full, "apart-sequences"), "id")
+    rows = stored(rows.groupBy("t", "k", "block").agg(F.collect_list(F.struct("id", "c", "keys", "runs")).alias("m")), "blocks")
+    other = rows.select("t", "k", F.col("block").alias("block2"), F.col("m").alias("m2"))
+    pairs = rows.join(other, ["t", "k"]).filter("block <= block2").select("t", (F.col("block") == F.col("block2")).alias("same"), "m", "m2")
+    pairs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    found = stored(pairs.mapInArrow(_verify_blocks, "a long, b long"), "rest-pairs")
+    small_batches(pairs.sparkSession)
+    return found
+
+
 def near_duplicates(docs: DataFrame, *, key: str, text: str) -> DataFrame:
     """One narrow row per row of ``docs``: the key, content key, class_id (smallest key of
     its group), copy_id (smallest key of equal word sequences), n_copies, kept."""
@@ -212,12 +271,19 @@ def near_duplicates(docs: DataFrame, *, key: str, text: str) -> DataFrame:
     classes = rows.filter("n_runs > 0").groupBy("sa", "sb").agg(F.min(order).alias("top"), F.count("*").alias("n_copies"), F.min_by(F.struct("content", "n_runs", "keys"), order).alias("r"))
     classes = stored(classes.select("sa", "sb", F.col("top.row_id").alias("id"), "n_copies", "r.*"), "text-classes")
     members = classes.select("id", "n_runs", F.posexplode("keys").alias("t", "k"))
-    # buckets of two or more, and their hubs: another one in each table
-    hubs = members.groupBy("t", "k").agg(F.count("*").alias("n"), F.min_by(F.struct("id", "n_runs"), F.xxhash64("id", "t")).alias("hub")).filter("n > 1")
+    # buckets of two or more; a class is the more central the larger its buckets are: an
+    # original is in the buckets of most of its copies, a copy leaves some with each edit
+    sizes = stored(members.groupBy("t", "k").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
+    members = stored(members.join(sizes, ["t", "k"]), "bucketed")
+    central = members.groupBy("id").agg(F.sum("n").alias("central"))
+    members = stored(members.join(central, "id"), "members")
+    # two hubs a bucket: the most central class, and one that differs from table to table
+    one = F.struct("id", "n_runs")
+    hubs = members.groupBy("t", "k").agg(F.max_by(one, F.struct("central", -F.col("id"))).alias("h1"), F.min_by(one, F.xxhash64("id", "t")).alias("h2"))
+    hubs = hubs.select("t", "k", F.explode(F.array_distinct(F.array("h1", "h2"))).alias("hub"))
     hubs = stored(hubs.select("t", "k", F.col("hub.id").alias("hub"), F.col("hub.n_runs").alias("hub_runs")), "hubs")
-    members = stored(members.join(hubs, ["t", "k"]), "members")
     in_band = f"least(n_runs, hub_runs) >= {SIMILAR} * greatest(n_runs, hub_runs)"
-    pairs = members.filter("id <> hub").filter(in_band).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+    pairs = members.join(hubs, ["t", "k"]).filter("id <> hub").filter(in_band).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     pairs = stored(pairs, "hub-pairs")
     # the run sequences of the classes that share a bucket
     wanted = classes.join(members.select("id").distinct(), "id", "left_semi").select("id", F.col("content.a").alias("ca"), F.col("content.b").alias("cb"))
@@ -228,11 +294,7 @@ def near_duplicates(docs: DataFrame, *, key: str, text: str) -> DataFrame:
     group = components(links).withColumnRenamed("id", "v")
     members = members.select("t", "k", "id", "n_runs")
     # classes of one bucket that are still apart
-    x = stored(_apart(members, group), "apart")
-    y = x.select("t", "k", F.col("id").alias("hub"), F.col("n_runs").alias("hub_runs"), F.col("c").alias("hub_c"))
-    rest = x.join(y, ["t", "k"]).filter("id < hub and c <> hub_c").filter(in_band).select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    rest = stored(rest.join(pairs, ["a", "b"], "left_anti"), "rest-pairs")
-    more = _verified(rest, sequences)
+    more = _rest(stored(_apart(members, group), "apart"), classes, sequences)
     if not more.isEmpty():
         group = components(links.unionByName(more)).withColumnRenamed("id", "v")
     ids = classes.select("sa", "sb", "id", "n_copies")
