@@ -96,6 +96,12 @@ def canonical(data: np.ndarray, off: np.ndarray):
     return form, own, kind, first
 
 
+def _forms(form, own, kind):
+    """The canonical words with names as slots, and with names as plain words: a name is
+    known by its capital, which a copy in other case or place may lack."""
+    return (form, kind), (np.where(kind == 2, own, form), np.where(kind == 2, 0, kind).astype(np.int8))
+
+
 def _windows(form, kind, first, k):
     """Windows with enough plain words: hashes, positions in the block, first per text."""
     h, at, bound = windows(form, first, k)
@@ -125,11 +131,15 @@ def _item_windows(k: int):
                         continue
                     m = min(k, z - a)
                     bound = np.array([0, z - a])
-                    h, at, _ = _windows(form[a:z], kind[a:z], bound, m)
-                    if len(h) == 0:  # an item of placeholders: all its windows count
-                        h, at, _ = windows(form[a:z], bound, m)
-                    same = lambda x, n=len(at): pa.array([x] * n, pa.int64())
-                    yield pa.RecordBatch.from_arrays([same(b.column(0)[lo + i].as_py()), pa.array(h.view(np.int64)), _slots(at, own[a:z], kind[a:z], m), pa.array(at), same(m), same(len(at)), same(int(z - a))],
+                    got = [(kinds[a:z], *_windows(forms[a:z], kinds[a:z], bound, m)[:2], forms[a:z]) for forms, kinds in _forms(form, own, kind)]
+                    places = np.unique(np.concatenate([g[2] for g in got]))
+                    if not len(places):  # an item of placeholders: all its windows count
+                        got = [(g[0], *windows(g[3], bound, m)[:2], g[3]) for g in got]
+                        places = np.unique(np.concatenate([g[2] for g in got]))
+                    got[1:] = [(g[0], g[1][new], g[2][new], g[3]) for g in got[1:] for new in [~np.isin(g[1], got[0][1])]]
+                    for kinds, h, at, _ in got:
+                        same = lambda x, n=len(at): pa.array([x] * n, pa.int64())
+                        yield pa.RecordBatch.from_arrays([same(b.column(0)[lo + i].as_py()), pa.array(h.view(np.int64)), _slots(at, own[a:z], kinds, m), pa.array(at), same(m), same(len(places)), same(int(z - a))],
                                                      names=["item", "h", "item_slots", "item_pos", "k", "item_windows", "item_words"])
     return run
 
@@ -145,15 +155,19 @@ def _doc_windows(lengths: list[int], known: np.ndarray | None):
             offsets, parts = [0], []
             for lo, hi, data, off in blocks(b.column(1)):
                 form, own, kind, first = canonical(data, off)
-                for k in lengths:
-                    h, at, _ = windows(form, first, k)
+                for k, (forms, kinds) in ((k, f) for k in lengths for f in _forms(form, own, kind)):
+                    h, at, _ = windows(forms, first, k)
+                    if kinds is not kind and len(at):  # as above where no name is inside
+                        names = np.concatenate([[0], np.cumsum(kind == 2)])
+                        ok = names[at + k] > names[at]
+                        h, at = h[ok], at[ok]
                     if known is not None:
                         ok = bitmap[h >> _U(64 - bits)]
                         h, at = h[ok], at[ok]
                         ok = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h if len(known) else ok
                         h, at = h[ok], at[ok]
                     text = np.searchsorted(first, at, "right") - 1
-                    parts.append((text + lo, h.view(np.int64), at - first[text], np.full(len(at), k), _slots(at, own, kind, k)))
+                    parts.append((text + lo, h.view(np.int64), at - first[text], np.full(len(at), k), _slots(at, own, kinds, k)))
             text = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
             order = np.argsort(text, kind="stable")
             column = lambda i: np.concatenate([p[i] for p in parts])[order] if parts else np.zeros(0, np.int64)  # noqa: E731, B023
