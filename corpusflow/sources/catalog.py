@@ -27,9 +27,14 @@ CATALOG_SCHEMA = T.StructType([
 UNION_COLUMNS = ["source", "source_ord", "doc_ord", "text"]
 
 
+class SourceError(ValueError):
+    """A source that is declared in a way that would give wrong rows."""
+
+
 @dataclass(frozen=True)
 class SourceSpec:
     """One weighted text source (DM1) plus how to read and order it."""
+    # Names and defaults of the fields up to text_column.
     name: str
     path: str
     weight: float
@@ -39,12 +44,19 @@ class SourceSpec:
     filters: tuple[str, ...] | None = None
     text_column: str = "text"
     format: str = "parquet"
-    # SQL expression giving the arrival order inside the source (BIGINT).
-    order_expr: str = "0"
+    # SQL expression giving the arrival order inside the source (BIGINT), different
+    # for every row; required, as equal orders leave first-wins dedup undefined.
+    order_expr: str | None = None
     # Column holding a per-row language label, used by ``filters``.
     lang_column: str | None = None
     options: dict = field(default_factory=dict, hash=False)
 
+    def __post_init__(self):
+        if not self.order_expr or self.order_expr.strip().lstrip("-").isdigit():
+            raise SourceError(f"source {self.name} needs an order_expr that tells its rows apart")
+        if self.filters and not self.lang_column:
+            raise SourceError(f"source {self.name} has filters but no lang_column")
+
     def variant(self, streaming: bool) -> str | None:
         """Batch reads use ``config``; streaming reads prefer config over subset."""
         if streaming:
@@ -64,7 +76,9 @@ def catalog_frame(spark: SparkSession, specs: list[SourceSpec]) -> DataFrame:
 
 
 def _project(df: DataFrame, spec: SourceSpec, source_ord: int) -> DataFrame:
-    if spec.filters and spec.lang_column and spec.lang_column in df.columns:
+    if spec.filters:
+        if spec.lang_column not in df.columns:
+            raise SourceError(f"source {spec.name} is filtered by {spec.lang_column}, which it lacks")
         # a source-level predicate; Catalyst pushes IN into the parquet scan.
         df = df.filter(F.col(spec.lang_column).isin(list(spec.filters)))
     if spec.text_column in df.columns:
@@ -119,6 +133,8 @@ def read_sources(spark: SparkSession, specs: list[SourceSpec], streaming: bool =
         try:
             df = read_source(spark, spec, i, streaming)
             df.schema  # force analysis inside the try
+        except SourceError:
+            raise
         except Exception as exc:  # noqa: BLE001 - any read failure skips the source
             log.warning("failed to load source %s: %s", spec.name, str(exc).splitlines()[0])
             skipped.append(spec.name)

@@ -31,5 +31,6 @@ def corpus_specs(sf_dir: str) -> list[SourceSpec]:
                    text_column="html", order_expr="page_id"),
         SourceSpec(name="benchmark", path=f"{sf_dir}/benchmark.parquet", weight=0.05,
                    order_expr="item_id"),
-        SourceSpec(name="missing", path=f"{sf_dir}/no_such_source.parquet", weight=0.05),
+        SourceSpec(name="missing", path=f"{sf_dir}/no_such_source.parquet", weight=0.05,
+                   order_expr="doc_id"),
     ]

@@ -14,7 +14,7 @@ from tests.models import monitor_loop
 
 def test_tolerant_union_and_missing_column(spark, tmp_dir):
     specs = [SourceSpec("docs", f"{SF_SMALL}/documents.parquet", 0.6, order_expr="doc_id"),
-             SourceSpec("broken", f"{tmp_dir}/nope.parquet", 0.2),
+             SourceSpec("broken", f"{tmp_dir}/nope.parquet", 0.2, order_expr="doc_id"),
              SourceSpec("pages_wrong_col", f"{SF_SMALL}/pages.parquet", 0.1, order_expr="page_id"),
              SourceSpec("pages", f"{SF_SMALL}/pages.parquet", 0.1, text_column="html", order_expr="page_id")]
     union, skipped = read_sources(spark, specs)
@@ -22,9 +22,9 @@ def test_tolerant_union_and_missing_column(spark, tmp_dir):
     counts = {r["source"]: r["n"] for r in union.groupBy("source").agg(F.count("*").alias("n")).collect()}
     assert counts == {"docs": 200, "pages": 50}
     assert catalog_frame(spark, specs).count() == 4
-    assert SourceSpec("x", "p", 1.0, subset="s", config=None).location(True) == "p/s"
-    assert SourceSpec("x", "p", 1.0, subset="s", config=None).location(False) == "p"
-    assert SourceSpec("x", "p", 1.0, subset="s", config="c").location(True) == "p/c"
+    assert SourceSpec("x", "p", 1.0, order_expr="id", subset="s", config=None).location(True) == "p/s"
+    assert SourceSpec("x", "p", 1.0, order_expr="id", subset="s", config=None).location(False) == "p"
+    assert SourceSpec("x", "p", 1.0, order_expr="id", subset="s", config="c").location(True) == "p/c"
 
 
 def test_source_filter_pushed_to_scan(spark):
@@ -122,3 +122,14 @@ def test_streaming_variant_precedence(spark, tmp_dir):
     assert landed(SourceSpec("x", base, 1.0, subset="subB", order_expr="id"), "o2") == ["from subset"]
     batch = read_source(spark, SourceSpec("x", base, 1.0, config="cfgA", subset="subB", order_expr="id"))
     assert [r["text"] for r in batch.collect()] == ["from config"]
+
+
+def test_sources_that_would_give_wrong_rows_are_refused(spark):
+    import pytest
+    from corpusflow.sources.catalog import SourceError
+    for bad in ({}, {"order_expr": "0"}, {"order_expr": "doc_id", "filters": ("de",)}):
+        with pytest.raises(SourceError):
+            SourceSpec("x", "p", 1.0, **bad)
+    lacking = SourceSpec("x", f"{SF_SMALL}/benchmark.parquet", 1.0, order_expr="item_id", lang_column="lang", filters=("de",))
+    with pytest.raises(SourceError):
+        read_sources(spark, [lacking])
