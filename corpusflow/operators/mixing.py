@@ -32,7 +32,8 @@ def normalize_weights(catalog: DataFrame, override: dict[str, float] | None = No
         w = F.col("weight")
         for name, val in override.items():
             w = F.when(F.col("source") == name, F.lit(float(val))).otherwise(w)
-        df = df.withColumn("weight", w)
+        # the configured weight stays at hand for the compat caps
+        df = df.withColumn("weight_config", F.col("weight")).withColumn("weight", w)
     total = F.sum("weight").over(Window.partitionBy())
     return df.withColumn("weight_norm", F.col("weight") / total)
 
@@ -53,7 +54,8 @@ def source_caps(weights: DataFrame, target_tokens: int | None, target_length: in
     weight, and a cap of 0 means unlimited."""
     if not target_tokens:
         return weights.withColumn("cap", F.lit(None).cast("bigint"))
-    w = F.col("weight") if compat else F.col("weight_norm")
+    configured = "weight_config" if "weight_config" in weights.columns else "weight"
+    w = F.col(configured) if compat else F.col("weight_norm")
     cap = F.floor(F.lit(float(target_tokens)) / F.lit(float(target_length)) * w).cast("bigint")
     if compat:
         cap = F.when(cap == 0, F.lit(None).cast("bigint")).otherwise(cap)

@@ -129,7 +129,7 @@ def metric_series(spark, sf_dir):
         return spark.createDataFrame([], "run_id BIGINT, metric STRING, title STRING, x BIGINT, value DOUBLE")
     rl = rl.withColumn("learning_rate", cosine_with_warmup(_lr_t(), BASE_LR, WARMUP, HORIZON, MIN_LR))
     s = R.series(rl, ["loss", "perplexity", "learning_rate", "vram_usage"],
-                 F.coalesce(F.col("step"), F.col("seq")))
+                 F.coalesce(F.col("step"), F.col("seq") - 1))  # a list position counts from 0
     return s.select(R.RUN, "metric", "title", "x", F.round("value", 12).alias("value"))
 
 

@@ -101,3 +101,10 @@ def test_mix_order_invariant_to_input_layout(spark):
                             [F.col("source_ord"), F.col("doc_id"), F.col("chunk_idx")])
         return sorted((r["mix_ord"], r["source"], r["doc_id"]) for r in mixed.collect())
     assert run(ch, 3) == run(ch.repartition(7).orderBy(F.rand(5)), 11)
+
+
+def test_compat_caps_use_the_configured_weight(spark):
+    from corpusflow.operators.mixing import normalize_weights, source_caps
+    catalog = spark.createDataFrame([("a", 0.6), ("b", 0.4)], "source string, weight double")
+    caps = source_caps(normalize_weights(catalog, {"a": 3.0}), 10_000, 100, compat=True)
+    assert {r.source: r.cap for r in caps.collect()} == {"a": 60, "b": 40}
