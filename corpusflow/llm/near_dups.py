@@ -203,57 +203,75 @@ def _apart(members: DataFrame, group: DataFrame) -> DataFrame:
     return m.join(mixed, ["t", "k"], "left_semi")
 
 
+class _Block:
+    """The members of a block, with all their runs in one array."""
+
+    def __init__(self, members: pa.StructArray):
+        lists = members.field("runs")
+        self.first = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        self.runs = lists.flatten().to_numpy()
+        self.n = np.diff(self.first)
+        self.owner = np.repeat(np.arange(len(members)), self.n)
+        self.keys = members.field("keys").flatten().to_numpy().reshape(len(members), -1)
+        self.id, self.c = members.field("id").to_numpy(), members.field("c").to_numpy()
+        distinct = np.unique(self.owner << 32 | self.runs.view(np.uint32))
+        self.repeats = self.n - np.bincount(distinct >> 32, minlength=len(members))
+        self.terms = np.unique(distinct & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
+
+    def sequence(self, i: int) -> np.ndarray:
+        return self.runs[self.first[i]:self.first[i + 1]]
+
+    def incidence(self, terms: np.ndarray) -> np.ndarray:
+        """Members by (sorted) terms: 1 where the member has the term."""
+        out = np.zeros((len(self.n), len(terms)), np.float32)
+        at = np.minimum(np.searchsorted(terms, self.runs), len(terms) - 1)
+        has = terms[at] == self.runs
+        out[self.owner[has], at[has]] = 1
+        return out
+
+
 def _verify_blocks(batches):
     """Similar pairs (a, b) of two blocks of a bucket's members.  A product of incidence
     matrices bounds the aligned runs; only pairs that it lets pass are aligned, and a pair
     that shares several tables is tested in the first."""
     for b in batches:
         one, two = [], []
-        for t, same, left, right in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-            sides = []
-            for side in (left, right):
-                seqs = [np.array(m["runs"], np.int32) for m in side]
-                sides.append((seqs, [np.unique(x) for x in seqs], np.array([m["keys"] for m in side]), np.array([m["id"] for m in side]), np.array([m["c"] for m in side])))
-            (xs, xu, xk, xi, xc), (ys, yu, yk, yi, yc) = sides
-            common = np.intersect1d(np.concatenate(xu), np.concatenate(yu))
-            overlap = np.zeros((len(xs), len(ys)), np.float32)
+        for r in range(b.num_rows):
+            t, same = b.column(0)[r].as_py(), b.column(1)[r].as_py()
+            x, y = _Block(b.column(2)[r].values), _Block(b.column(3)[r].values)
+            common = np.sort(np.intersect1d(x.terms, y.terms, assume_unique=True))
+            overlap = np.zeros((len(x.n), len(y.n)), np.float32)
             for lo in range(0, len(common), 8192):
                 part = common[lo:lo + 8192]
-                overlap += _incidence(xu, part) @ _incidence(yu, part).T
-            xn, yn = np.array([len(x) for x in xs]), np.array([len(y) for y in ys])
-            spare = np.minimum.outer(xn - [len(u) for u in xu], yn - [len(u) for u in yu])
-            need = SIMILAR * np.add.outer(xn, yn) / (1 + SIMILAR) - 1e-6
-            equal = xk[:, None, :] == yk[None, :, :]
-            go = (overlap + spare >= need) & (xc[:, None] != yc) & (equal.argmax(2) == t) & equal.any(2)
+                overlap += x.incidence(part) @ y.incidence(part).T
+            need = SIMILAR * np.add.outer(x.n, y.n) / (1 + SIMILAR) - 1e-6
+            equal = x.keys[:, None, :] == y.keys[None, :, :]
+            go = (overlap + np.minimum.outer(x.repeats, y.repeats) >= need) & (x.c[:, None] != y.c) & (equal.argmax(2) == t) & equal.any(2)
             if same:
-                go &= xi[:, None] < yi
+                go &= x.id[:, None] < y.id
             for i, j in np.argwhere(go):
-                if similar(xs[i], ys[j]):
-                    one.append(min(xi[i], yi[j]))
-                    two.append(max(xi[i], yi[j]))
+                if similar(x.sequence(i), y.sequence(j)):
+                    one.append(min(x.id[i], y.id[j]))
+                    two.append(max(x.id[i], y.id[j]))
         yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=["a", "b"])
 
 
-def _incidence(sets: list[np.ndarray], terms: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(sets), len(terms)), np.float32)
-    for i, x in enumerate(sets):
-        at = np.searchsorted(terms, x)
-        ok = at < len(terms)
-        at = at[ok][terms[at[ok]] == x[ok]]
-        out[i, at] = 1
-    return out
-
-
 def _rest(apart: DataFrame, classes: DataFrame, sequences: DataFrame) -> DataFrame:
     """Similar pairs among the members of buckets that are in different components,
-    by blocks of ``BLOCK`` members: no pair is written but the similar ones."""
-    sizes = stored(apart.groupBy("t", "k").agg(F.ceil(F.count("*") / BLOCK).alias("n_blocks")), "apart-sizes")
+    by blocks of ``BLOCK`` members: no pair is written but the similar ones.
+
+    Blocks hold members of like length.  The base of the length's logarithm is a little
+    above 1 / ``SIMILAR``, so similar members are of equal or neighbouring lengths, and
+    only blocks of such lengths meet."""
+    apart = apart.withColumn("size", F.floor(F.log("n_runs") / float(np.log(1.008 / SIMILAR))))
+    sizes = stored(apart.groupBy("t", "k", "size").agg(F.ceil(F.count("*") / BLOCK).alias("n_blocks")), "apart-sizes")
     block = F.pmod(F.xxhash64("id"), F.col("n_blocks"))
     full = classes.select("id", "keys").join(sequences, "id").join(apart.select("id").distinct(), "id", "left_semi")
-    rows = apart.join(sizes, ["t", "k"]).select("t", "k", "id", "c", block.alias("block")).join(stored(full, "apart-sequences"), "id")
-    rows = stored(rows.groupBy("t", "k", "block").agg(F.collect_list(F.struct("id", "c", "keys", "runs")).alias("m")), "blocks")
-    other = rows.select("t", "k", F.col("block").alias("block2"), F.col("m").alias("m2"))
-    pairs = rows.join(other, ["t", "k"]).filter("block <= block2").select("t", (F.col("block") == F.col("block2")).alias("same"), "m", "m2")
+    rows = apart.join(sizes, ["t", "k", "size"]).select("t", "k", "size", "id", "c", block.alias("block")).join(stored(full, "apart-sequences"), "id")
+    rows = stored(rows.groupBy("t", "k", "size", "block").agg(F.collect_list(F.struct("id", "c", "keys", "runs")).alias("m")), "blocks")
+    other = rows.select("t", "k", F.explode(F.array(F.col("size"), F.col("size") - 1)).alias("size"), F.col("size").alias("size2"), F.col("block").alias("block2"), F.col("m").alias("m2"))
+    pairs = rows.join(other, ["t", "k", "size"]).filter("size < size2 or block <= block2")
+    pairs = pairs.select("t", ((F.col("size") == F.col("size2")) & (F.col("block") == F.col("block2"))).alias("same"), "m", "m2").filter("not same or size(m) > 1")
     pairs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
     found = stored(pairs.mapInArrow(_verify_blocks, "a long, b long"), "rest-pairs")
     small_batches(pairs.sparkSession)
