@@ -20,6 +20,8 @@ from corpusflow.operators.sizing import broadcast_if_small
 
 # Arrivals per bucket of the global mix order (bounded rows per window task).
 ARRIVALS_PER_BUCKET = 200_000
+# Arrival times count whole units: integer sums do not depend on their order.
+TIME_UNITS = 1_000_000
 
 
 def normalize_weights(catalog: DataFrame, override: dict[str, float] | None = None) -> DataFrame:
@@ -81,13 +83,15 @@ def arrivals(df: DataFrame, weights: DataFrame, order: list[Column], bucket: Col
     """M4: arrival time ``mix_t`` of every chunk.
 
     race: T = cumulative sum of -ln(u)/w in source order, u in (0, 1) from an
-    md5 of (source, key..., seed); deterministic: T = (r - 1/2) / w."""
+    md5 of (source, key..., seed), each step cut to whole ``TIME_UNITS``, so
+    that T is the same for any buckets; deterministic: T = (r - 1/2) / w."""
     w = broadcast_if_small(weights.select("source", "source_ord", F.col("weight").alias("_w")))
     j = df.join(w, "source", "inner").filter(F.col("_w") > 0)
     if mode == "race":
         parts = [F.col("source")] + (key or order) + [F.lit(seed)]
-        step = -F.log(md5_uniform(*parts)) / F.col("_w")
-        out = scan(j, ["source"], order, bucket, [Running("mix_t", "sum", step)])
+        step = F.floor(-F.log(md5_uniform(*parts)) / F.col("_w") * F.lit(float(TIME_UNITS))).cast("bigint")
+        out = scan(j, ["source"], order, bucket, [Running("_units", "sum", step)])
+        out = out.withColumn("mix_t", F.col("_units") / F.lit(float(TIME_UNITS))).drop("_units")
     elif mode == "deterministic":
         out = scan(j, ["source"], order, bucket, [Running("_r", "count", F.lit(1))])
         out = out.withColumn("mix_t", (F.col("_r") - F.lit(0.5)) / F.col("_w")).drop("_r")

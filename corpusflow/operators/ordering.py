@@ -42,25 +42,55 @@ class Running:
     inclusive: bool = True
 
 
-def target_buckets(df: DataFrame, per_partition: int = 4) -> int:
+#: Quantile segments of the order key: what one scalar aggregate brings to the driver.
+SEGMENTS = 64
+ROWS_PER_BUCKET = 1_000_000
+
+
+def target_buckets(df: DataFrame, rows: int = 0, per_partition: int = 4) -> int:
+    """Buckets for ``rows`` rows: a few per shuffle partition, more as the rows grow."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, parts * per_partition)
+    return max(8, parts * per_partition, math.ceil(rows / ROWS_PER_BUCKET))
+
+
+def _segment(key: Column, bounds: list, first: int, end: int) -> Column:
+    """Index of the segment of ``key`` in [first, end), by bisection."""
+    if end - first == 1:
+        return F.lit(first).cast("bigint")
+    mid = (first + end) // 2
+    return F.when(key < F.lit(bounds[mid]), _segment(key, bounds, first, mid)).otherwise(
+        _segment(key, bounds, mid, end))
 
 
 def range_bucket(df: DataFrame, key: Column, buckets: int | None = None,
                  integral: bool = True) -> Column:
-    """floor((key - min) / width) with width chosen so about ``buckets`` buckets
-    cover the key range.  One scalar aggregate (min, max) is computed."""
-    n = buckets or target_buckets(df)
-    lo, hi = df.agg(F.min(key), F.max(key)).first()
+    """About ``buckets`` buckets of about equally many rows, rising with the key.
+
+    The key's range is cut at data quantiles into up to ``SEGMENTS`` segments,
+    so neither an outlier nor a source whose keys lie close together puts more
+    than a segment's rows into one bucket; each segment is cut further into
+    pieces of equal width when more buckets are wanted.  Rows of equal keys
+    stay together; null keys come first.  One scalar aggregate is computed."""
+    cuts = [i / SEGMENTS for i in range(1, SEGMENTS)]
+    rows, lo, hi, inner = df.agg(F.count(key), F.min(key), F.max(key),
+                                 F.percentile_approx(key, cuts, 10_000)).first()
     if lo is None:
         return F.lit(0).cast("bigint")
-    if integral:
-        width = max(1, math.ceil((int(hi) - int(lo) + 1) / n))
-        return F.floor((key - F.lit(int(lo))) / F.lit(width)).cast("bigint")
-    span = float(hi) - float(lo)
-    width = span / n if span > 0 else 1.0
-    return F.floor((key - F.lit(float(lo))) / F.lit(width)).cast("bigint")
+    n = buckets or target_buckets(df, rows)
+    segments = min(n, SEGMENTS)
+    picked = [inner[i * SEGMENTS // segments - 1] for i in range(1, segments)]
+    bounds = sorted({lo, *picked})
+    pieces = max(1, math.ceil(n / len(bounds)))
+    seg = _segment(key, bounds, 0, len(bounds))
+    if pieces == 1:
+        return F.when(key.isNull(), F.lit(0)).otherwise(seg).cast("bigint")
+    step = 1 if integral else 0
+    widths = [(end + step - start) / pieces for start, end in zip(bounds, [*bounds[1:], hi], strict=True)]
+    at = (seg + 1).cast("int")
+    start = F.element_at(F.array(*map(F.lit, bounds)), at)
+    width = F.element_at(F.array(*[F.lit(float(w) or 1.0) for w in widths]), at)
+    piece = F.greatest(F.lit(0), F.least(F.lit(pieces - 1), F.floor((key - start) / width)))
+    return F.when(key.isNull(), F.lit(0)).otherwise(seg * pieces + piece).cast("bigint")
 
 
 def _combine(op: str, prior: Column, within: Column) -> Column:

@@ -53,6 +53,26 @@ def source_caps(spark, sf_dir):
     return a.join(b, "source")
 
 
+OVERRIDE = {"src0": 0.25, "src3": 2.0, "src7": 0.0}
+
+
+def _override_sql() -> str:
+    cases = " ".join(f"WHEN '{s}' THEN {w!r}::DOUBLE" for s, w in OVERRIDE.items())
+    return f"SELECT source, weight AS configured, CASE source {cases} ELSE weight END AS weight FROM ({_catalog_sql()}) c"
+
+
+@register("source_caps_override", "M1 M2", f"""
+SELECT source, floor({TARGET_TOKENS}::DOUBLE / {TARGET_LEN}::DOUBLE * (weight / sum(weight) OVER ()))::BIGINT AS cap,
+       nullif(floor({TARGET_TOKENS}::DOUBLE / {TARGET_LEN}::DOUBLE * configured)::BIGINT, 0) AS cap_compat
+FROM ({_override_sql()}) o""")
+def source_caps_override(spark, sf_dir):
+    """Explicit weights change the caps by normalized weight, not the compat caps."""
+    w = M.normalize_weights(source_catalog(spark, sf_dir), OVERRIDE)
+    a = M.source_caps(w, TARGET_TOKENS, TARGET_LEN).select("source", "cap")
+    b = M.source_caps(w, TARGET_TOKENS, TARGET_LEN, compat=True).select("source", F.col("cap").alias("cap_compat"))
+    return a.join(b, "source")
+
+
 def _chunk_rows(spark, sf_dir) -> DataFrame:
     return (corpus_chunks(spark, sf_dir, language=None)
             .select("source", "doc_id", F.col("chunk_idx").cast("bigint"), "chunk_len"))
@@ -111,20 +131,34 @@ def budget_cut(spark, sf_dir):
         "source", "doc_id", "chunk_idx", "mix_ord", "mix_cum")
 
 
+SUBSET_SAMPLES = 120
+
+
+@register("budget_subset", "M5 M8", f"""
+SELECT source, doc_id, chunk_idx, mix_ord, mix_cum FROM ({_det_sql()}) d
+WHERE mix_cum - chunk_len < {SUBSET_SAMPLES * TARGET_LEN}""")
+def budget_subset(spark, sf_dir):
+    """The budget that a number of samples sets in place of the configured one."""
+    budget = M.budget_from_subset(SUBSET_SAMPLES, TARGET_LEN, TARGET_TOKENS)
+    return M.budget_cut(_det_mix(spark, sf_dir), budget).select(
+        "source", "doc_id", "chunk_idx", "mix_ord", "mix_cum")
+
+
 @register("interleave_race", "M4", f"""
-SELECT source, doc_id, chunk_idx, round(mix_t, 6) AS mix_t FROM (
+SELECT source, doc_id, chunk_idx, mix_t FROM (
   SELECT source, doc_id, chunk_idx,
-         sum(-ln((('0x' || substr(md5(source || ':' || doc_id::VARCHAR || ':' || chunk_idx::VARCHAR
+         sum(floor(-ln((('0x' || substr(md5(source || ':' || doc_id::VARCHAR || ':' || chunk_idx::VARCHAR
                    || ':' || '{RACE_SEED}'), 1, 12))::BIGINT + 1.0::DOUBLE) / 281474976710657.0::DOUBLE)
-             / weight)
+             / weight * {M.TIME_UNITS}.0::DOUBLE)::BIGINT)
            OVER (PARTITION BY source ORDER BY doc_id, chunk_idx
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mix_t
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT::DOUBLE
+           / {M.TIME_UNITS}.0::DOUBLE AS mix_t
   FROM ({_src_ord_sql()}) o) r""")
 def interleave_race(spark, sf_dir):
     ch = _chunk_rows(spark, sf_dir)
     arr = M.arrivals(ch, source_catalog(spark, sf_dir), _order(), doc_id_bucket(spark, sf_dir),
                      mode="race", seed=RACE_SEED)
-    return arr.select("source", "doc_id", "chunk_idx", F.round("mix_t", 6).alias("mix_t"))
+    return arr.select("source", "doc_id", "chunk_idx", "mix_t")
 
 
 @register("split_hash", "M7 D3", f"""

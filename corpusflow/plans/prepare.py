@@ -65,21 +65,21 @@ def prepare(rows: DataFrame, catalog: DataFrame, cfg: PrepareConfig,
     (source, source_ord, weight), one row per source."""
     base = rows
     rows = corpus_filters(rows, cfg.th.min_chars, None)
-    if cfg.language:
-        if profile is not None:  # detected language, F3 on it
-            # Scoring is the costliest step and the rows are read again later
-            # (ordering pass, then ids): keep only the narrow result - keys of
-            # documents detected as the wanted language - written once.
-            keys = ["source_ord", "doc_ord"]
-            scored = score_languages(rows.select(*keys, "text"), keys, profile)
-            wanted = keep_language(scored.select(*keys, F.col("pred_lang").alias("lang")),
-                                   cfg.language).select(*keys).checkpoint()
-            rows = rows.join(wanted, keys, "left_semi")
-            if "lang" in rows.columns:
-                rows = rows.withColumn("lang", F.lit(cfg.language))
-        else:
-            rows = keep_language(rows, cfg.language)
+    detect = bool(cfg.language) and profile is not None
+    if cfg.language and not detect:  # a label may differ between equal texts: it goes first
+        rows = keep_language(rows, cfg.language)
     rows = dedup_first(rows, list(cfg.dedup_order), enabled=cfg.dedup)
+    if detect:  # detected language, F3 on it; equal texts get equal languages, so copies aren't scored
+        # Scoring is the costliest step and the rows are read again later
+        # (ordering pass, then ids): keep only the narrow result - keys of
+        # documents detected as the wanted language - written once.
+        keys = ["source_ord", "doc_ord"]
+        scored = score_languages(rows.select(*keys, "text"), keys, profile)
+        wanted = keep_language(scored.select(*keys, F.col("pred_lang").alias("lang")),
+                               cfg.language).select(*keys).checkpoint()
+        rows = rows.join(wanted, keys, "left_semi")
+        if "lang" in rows.columns:
+            rows = rows.withColumn("lang", F.lit(cfg.language))
     rows = M.split_by_hash(with_digest(rows), val_fraction=cfg.val_fraction)
     train = rows.filter(F.col("split") == "train")
     validation = rows.filter(F.col("split") == "val")

@@ -142,3 +142,27 @@ def test_dedup_plan_with_a_hot_text(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "ExistingRDD" in plan
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_buckets_follow_the_rows_not_the_key_range(spark):
+    """Dense keys beside far ones and an outlier: every (source, bucket) stays
+    near an equal share of all rows, and buckets rise with the key."""
+    n = 20000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 5 < 3, F.lit("dense")).otherwise(F.lit("far")).alias("k"),
+        F.when(F.col("id") == 7, F.lit(2 ** 60)).when(F.col("id") % 5 < 3, F.col("id"))
+         .otherwise(F.col("id") * 1048576).alias("t"))
+    for buckets in (16, 64, 300):
+        b = df.withColumn("b", range_bucket(df, F.col("t"), buckets))
+        largest = b.groupBy("k", "b").count().agg(F.max("count")).first()[0]
+        assert largest <= 2 * n / min(buckets, 64), (buckets, largest)
+        spans = b.groupBy("b").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).orderBy("b").collect()
+        assert all(x.hi < y.lo for x, y in zip(spans, spans[1:], strict=False))
+
+
+def test_buckets_of_null_equal_and_no_keys(spark):
+    df = spark.createDataFrame([(None,), (5,), (5,), (9,)], "t BIGINT")
+    got = {r.t: r.b for r in df.withColumn("b", range_bucket(df, F.col("t"), 4)).collect()}
+    assert got[None] == 0 and 0 <= got[5] < got[9]
+    none = df.filter("t > 99")
+    assert none.withColumn("b", range_bucket(none, F.col("t"), 4)).count() == 0
