@@ -4,11 +4,14 @@ Vectors of one label are dealt to overlapping shards: those of their
 ``overlap`` nearest centroids, which are fitted on a bounded sample (at most
 ``SAMPLE`` vectors; so at most ``SAMPLE / 4`` shards).  Within a shard every
 vector's candidate pool is pruned robustly to at most ``DEGREE`` neighbours (a
-candidate goes if a chosen one is nearer to it by the factor ``ALPHA``).  The
-shards' adjacency lists are united per vector.  Every vector is then searched
+candidate goes if a chosen one is nearer to it by the factor ``ALPHA``), and so
+are the edges back to a vector beyond ``MAX_DEGREE``.  The shards' adjacency
+lists are united per vector.  Every vector is then searched
 in its shards from their medoids: a greedy search with a beam of ``BEAM`` that
 goes on, once in range, through all vectors within the range.  Links are
-verified by cosine in double precision.
+verified by cosine in double precision.  A shard of more than ``MAX_SHARD``
+vectors, as a large group of near copies makes, is not searched by one task:
+it is dealt to blocks, and all its blocks are compared with each other.
 
 A pair that several shards hold is counted in the first of them, and shards
 return counts and local components, not pairs.  Equal vectors are one vertex
@@ -34,11 +37,14 @@ from pyspark.sql import functions as F
 from corpusflow.llm.common import read_table, row_id, small_batches, stored
 from corpusflow.llm.graph import components
 from corpusflow.llm.registry import query
+from corpusflow.operators.sizing import broadcast_if_small
 
 THRESHOLD = 0.93
 TARGET, SAMPLE = 400, 16_384
 OVERLAP, MAX_OVERLAP = 2, 5
 POOL, FAR, DEGREE, FAR_DEGREE, ALPHA, BEAM, ROUNDS = 48, 32, 20, 8, 1.2, 16, 8
+MAX_DEGREE = 64
+MAX_SHARD, EXACT_BLOCK = 4_096, 2_048
 AUDIT, LEAST_RECALL, BLOCK = 50, 0.9, 512
 CELLS = 2_000_000  # numbers in one block of a task
 
@@ -157,6 +163,20 @@ def pruned_graph(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     edges = np.unique(np.concatenate(one) * n + np.concatenate(two))
     a, b = edges // n, edges % n
     first = np.searchsorted(a, np.arange(n + 1))
+    hubs = np.flatnonzero(np.diff(first) > MAX_DEGREE)
+    if len(hubs):  # edges back aren't bounded by DEGREE
+        keep = ~np.isin(a, hubs)
+        one, two = [a[keep]], [b[keep]]
+        for i in hubs:
+            c = b[first[i]:first[i + 1]]
+            s = single[c] @ single[i]
+            order = np.argsort(-s, kind="stable")
+            x, y = _prune(single, i, c[order][None], s[order][None], MAX_DEGREE)
+            one.append(x)
+            two.append(y)
+        edges = np.unique(np.concatenate(one) * n + np.concatenate(two))
+        a, b = edges // n, edges % n
+        first = np.searchsorted(a, np.arange(n + 1))
     reached = np.zeros(n, bool)
     front = np.array([int((v @ v.mean(0)).argmax())])
     more = []
@@ -177,20 +197,21 @@ def pruned_graph(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
-def range_search(v: np.ndarray, graph: np.ndarray, least: float, verify):
-    """Search every vector from the medoid; calls ``verify(queries, found)`` with index arrays."""
+def range_search(v: np.ndarray, first: np.ndarray, near: np.ndarray, least: float, verify):
+    """Search every vector from the medoid; the neighbours of i are ``near[first[i]:first[i + 1]]``.
+    Calls ``verify(queries, found)`` with index arrays."""
     n = len(v)
     single = v.astype(np.float32)
     mean = v.mean(0)
     medoid = int((v @ mean).argmax())
     slack = np.float32(least - 0.02)
-    step = max(1, CELLS // max(n, graph.shape[1] * ROUNDS * v.shape[1] // 4))
+    step = max(1, CELLS // max(n, (1 + len(near) // n) * ROUNDS * v.shape[1] // 4))
+    most = max(1, CELLS // v.shape[1])
     for lo in range(0, n, step):
         q = np.arange(lo, min(lo + step, n))
         seen = np.full((len(q), n), -3, np.float32)  # similarities of vectors met so far
         todo = seen.copy()  # of those that aren't expanded yet
-        first = single[q] @ single[medoid]
-        seen[:, medoid] = todo[:, medoid] = first
+        seen[:, medoid] = todo[:, medoid] = single[q] @ single[medoid]
         live = np.arange(len(q))
         while len(live):
             k = min(ROUNDS, n)
@@ -205,14 +226,16 @@ def range_search(v: np.ndarray, graph: np.ndarray, least: float, verify):
                 break
             who, node = live[row], top[row, col]
             todo[who, node] = -3
-            next_ = graph[node]
-            a, b = np.repeat(who, next_.shape[1]), next_.ravel()
-            new = (b >= 0)
-            new[new] = seen[a[new], b[new]] == -3
+            degree = first[node + 1] - first[node]
+            a = np.repeat(who, degree)
+            b = near[np.arange(len(a)) + np.repeat(first[node] - (np.cumsum(degree) - degree), degree)]
+            new = seen[a, b] == -3
             a, b = a[new], b[new]
-            s = np.einsum("nd,nd->n", single[q[a]], single[b])
-            seen[a, b] = s
-            todo[a, b] = s
+            for at in range(0, len(a), most):
+                x, y = a[at:at + most], b[at:at + most]
+                s = np.einsum("nd,nd->n", single[q[x]], single[y])
+                seen[x, y] = s
+                todo[x, y] = s
             live = np.unique(who)
         a, b = np.nonzero(seen >= slack)
         other = q[a] != b
@@ -235,6 +258,14 @@ def _merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             root = up
 
 
+def _padded(lists: pa.ListArray) -> np.ndarray:
+    """Lists as rows of one width, filled up by -1."""
+    n = np.asarray(lists.value_lengths())
+    out = np.full((len(n), max(n.max(initial=0), 1)), -1)
+    out[np.arange(out.shape[1]) < n[:, None]] = np.asarray(lists.flatten())
+    return out
+
+
 def _build(table: pa.Table) -> pa.Table:
     ids = np.asarray(table["id"])
     order = np.argsort(ids)
@@ -252,23 +283,16 @@ def _search(threshold: float):
         ids = ids[order]
         raw = _matrix(table["x"].combine_chunks())[order]
         copies = np.asarray(table["n_copies"])[order]
-        shards = table["shards"].take(pa.array(order)).to_pylist()
-        near = table["near"].take(pa.array(order)).to_pylist()
+        of = _padded(table["shards"].combine_chunks().take(pa.array(order)))
+        lists = table["near"].combine_chunks().take(pa.array(order))
         here = table["shard"][0].as_py()
-        width = max((len(x) for x in near if x), default=1) or 1
-        graph = np.full((len(ids), width), -1)
-        for i, x in enumerate(near):  # neighbours of other shards aren't here
-            x = np.array(x or [], np.int64)
-            at = np.minimum(np.searchsorted(ids, x), len(ids) - 1)
-            at = at[ids[at] == x]
-            graph[i, :len(at)] = at
-        wide = max(len(s) for s in shards)
-        of = np.full((len(ids), wide), -1)
-        for i, s in enumerate(shards):
-            of[i, :len(s)] = s
+        near = np.asarray(lists.flatten(), np.int64)
+        owner = np.repeat(np.arange(len(ids)), np.asarray(lists.value_lengths()))
+        at = np.minimum(np.searchsorted(ids, near), len(ids) - 1)
+        known = ids[at] == near  # neighbours of other shards aren't here
+        near, first_near = at[known], np.searchsorted(owner[known], np.arange(len(ids) + 1))
         norm = np.sqrt(np.einsum("nd,nd->n", raw, raw))
         links = np.zeros(len(ids), np.int64)
-        found = np.zeros(len(ids), np.int64)
         root = np.arange(len(ids))
 
         def verify(a, b):
@@ -283,9 +307,8 @@ def _search(threshold: float):
                 first = np.where(both.any(2), of[x], np.iinfo(np.int64).max).min(1)
                 x, y = x[first == here], y[first == here]
                 np.add.at(links, x, copies[y])
-                np.add.at(found, x, 1)
-        range_search(_unit(raw), graph, threshold, verify)
-        return pa.table({"id": ids, "links": links, "found": found, "root": ids[root]})
+        range_search(_unit(raw), first_near, near, threshold, verify)
+        return pa.table({"id": ids, "links": links, "root": ids[root]})
     return run
 
 
@@ -318,16 +341,107 @@ def _audit(vectors: DataFrame, threshold: float, every: int) -> DataFrame:
     return stored(out, "audit")
 
 
+def _near(a: np.ndarray, c: np.ndarray, threshold: float) -> np.ndarray:
+    return (a @ c.T) / np.outer(np.linalg.norm(a, axis=1), np.linalg.norm(c, axis=1)) >= threshold
+
+
+def _block_roots(threshold: float):
+    """Adds to every block of vectors the first vector of each one's tree within the block."""
+    def run(batches):
+        for b in batches:
+            roots = []
+            for rows in b.column(b.schema.get_field_index("rows")):
+                x = _matrix(rows.values.flatten()[1])
+                root = np.arange(len(x))
+                for lo in range(0, len(x), BLOCK):
+                    p, q = np.nonzero(_near(x[lo:lo + BLOCK], x, threshold))
+                    root = _merge(root, p + lo, q)
+                roots.append(root)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(roots, pa.list_(pa.int64()))], names=[*b.schema.names, "root"])
+    return run
+
+
+def _block_pairs(threshold: float):
+    """Links of a block with another or itself, and edges between their trees."""
+    def run(batches):
+        for b in batches:
+            ids, links, root = [], [], []
+            for i in range(b.num_rows):
+                here, same, rows, r, rows2, r2 = (b.column(j)[i] for j in range(6))
+                here, same = here.as_py(), same.as_py()
+                (one, x, copies, shards), (two, y, copies2, shards2) = rows.values.flatten(), rows2.values.flatten()
+                one, two, x, y, of, of2 = np.asarray(one), np.asarray(two), _matrix(x), _matrix(y), _padded(shards), _padded(shards2)
+                copies, copies2, r, r2 = np.asarray(copies), np.asarray(copies2), np.asarray(r.values), np.asarray(r2.values)
+                n, n2, trees = np.zeros(len(one), np.int64), np.zeros(len(two), np.int64), []
+                for lo in range(0, len(one), BLOCK):
+                    s = _near(x[lo:lo + BLOCK], y, threshold)
+                    if same:
+                        s[np.arange(len(s)), np.arange(lo, lo + len(s))] = False
+                    else:
+                        p, q = np.nonzero(s)
+                        trees.append(np.unique(r[p + lo] * len(two) + r2[q]))
+                    # counted in the first shard that both are in
+                    mine = of[lo:lo + BLOCK]
+                    mine = np.where(mine < here, mine, -1)
+                    for j in range(mine.shape[1]):
+                        for k in range(of2.shape[1]):
+                            s &= (mine[:, j] < 0)[:, None] | (mine[:, j][:, None] != of2[:, k])
+                    n[lo:lo + BLOCK] = s @ copies2
+                    if not same:
+                        n2 += copies[lo:lo + BLOCK] @ s
+                edge = np.unique(np.concatenate(trees)) if trees else np.zeros(0, np.int64)
+                tree = _merge(np.arange(len(one) + len(two)), edge // len(two), len(one) + edge % len(two))
+                both = np.concatenate([one, two])
+                if same:
+                    tree[:len(one)] = r
+                for names, count, least in ((one, n, tree[:len(one)]), (two, n2, tree[len(one):])):
+                    some = (count > 0) | (both[least] != names) if not same or names is one else np.zeros(len(names), bool)
+                    ids.append(names[some])
+                    links.append(count[some])
+                    root.append(both[least][some])
+            whole = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
+            yield pa.RecordBatch.from_arrays([whole(ids), whole(links), whole(root)], names=["id", "links", "root"])
+    return run
+
+
+def compare_all(members: DataFrame, by: list[str], threshold: float) -> DataFrame:
+    """(id, links, root) of all pairs of ``members`` (id, x, n_copies, shards, shard) that are
+    equal in ``by``: they are dealt to blocks of about ``EXACT_BLOCK``, and every pair of
+    blocks is a row of its own, so that a large group is spread over all tasks."""
+    spark = members.sparkSession
+    sizes = members.groupBy(*by).agg(F.ceil(F.count("*") / EXACT_BLOCK).alias("n_blocks"))
+    dealt = members.join(broadcast_if_small(sizes, 10_000), by).withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("n_blocks")))
+    packed = dealt.groupBy(*by, "n_blocks", "block").agg(F.first("shard").alias("here"), F.collect_list(F.struct("id", "x", "n_copies", "shards")).alias("rows"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    kind = ", ".join(f"{c.name} {c.dataType.simpleString()}" for c in packed.schema)
+    packed = stored(packed.mapInArrow(_block_roots(threshold), f"{kind}, root array<long>"), "blocks")
+    one = packed.select(*by, "here", "rows", "root", F.col("block").alias("own"), F.explode(F.sequence("block", F.col("n_blocks") - 1)).alias("block"))
+    two = packed.select(*by, "block", F.col("rows").alias("rows2"), F.col("root").alias("root2"))
+    pairs = one.join(two, [*by, "block"]).select("here", (F.col("own") == F.col("block")).alias("same"), "rows", "root", "rows2", "root2")
+    out = stored(pairs.mapInArrow(_block_pairs(threshold), "id long, links long, root long"), "compared")
+    small_batches(spark)
+    return out
+
+
 def link(vectors: DataFrame, centroids: dict, overlap: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(id, links) summed over the shards, and the shards' local trees as edges (a, b)."""
     small_batches(vectors.sparkSession)
     given = vectors.select("id", "label", "x", "n_copies")
     dealt = stored(given.mapInArrow(_assign(centroids, overlap), "id long, label long, x array<double>, n_copies long, shards array<long>"), "dealt")
     members = dealt.select("id", "x", "n_copies", "shards", F.explode("shards").alias("shard"))
+    sizes = members.groupBy("shard").count()
+    large = stored(sizes.filter(F.col("count") > MAX_SHARD).select("shard"), "large-shards")
+    more = None
+    if not large.isEmpty():
+        large = broadcast_if_small(large, 100_000)
+        more = compare_all(members.join(large, "shard", "left_semi"), ["shard"], threshold)
+        members = members.join(large, "shard", "left_anti")
     built = members.select("id", "x", "shard").groupBy("shard").applyInArrow(_build, "id long, near array<long>")
     united = stored(built.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "adjacency")
     graph = members.join(united, "id")
-    found = stored(graph.groupBy("shard").applyInArrow(_search(threshold), "id long, links long, found long, root long"), "found")
+    found = stored(graph.groupBy("shard").applyInArrow(_search(threshold), "id long, links long, root long"), "found")
+    if more is not None:
+        found = found.unionByName(more)
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     return links, found.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
 

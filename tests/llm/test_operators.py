@@ -240,6 +240,56 @@ def test_embeddings_against_brute_force(spark):
     assert all(got[i].audit_links == n for i, n in zip(ids, s.sum(1), strict=True) if got[i].audit_links is not None)
 
 
+KIND = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.IntegerType())])
+
+
+def linked_by_brute_force(rows, least=0.93):
+    ids, lab = np.array([r[0] for r in rows]), np.array([r[2] for r in rows])
+    v = np.array([np.array(r[1], np.float32) for r in rows], float)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    s = (v @ v.T >= least) & (lab[:, None] == lab)
+    np.fill_diagonal(s, False)
+    comp = ids.copy()
+    for _ in range(50):
+        comp = np.minimum(comp, np.where(s, comp[None, :], 10**9).min(1))
+    return dict(zip(ids.tolist(), zip(s.sum(1).tolist(), comp.tolist(), strict=True), strict=True))
+
+
+def test_embeddings_graph_bounds_the_edges_of_a_hub():
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=64)
+    v /= np.linalg.norm(v)
+    v = np.concatenate([v[None], v + rng.normal(size=(1500, 64)) * 0.025])
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    a, b = embeddings.pruned_graph(v)
+    assert np.bincount(a).max() <= 100
+    first, order = np.searchsorted(np.sort(a), np.arange(len(v) + 1)), np.argsort(a, kind="stable")
+    hits = []
+    embeddings.range_search(v, first, b[order], 0.93, lambda x, y: hits.append(int((np.einsum("nd,nd->n", v[x], v[y]) >= 0.93).sum())))
+    assert sum(hits) >= 0.99 * ((v @ v.T >= 0.93).sum() - len(v))
+
+
+def test_embeddings_large_groups_are_dealt_to_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    center = rng.normal(size=(2, 16))
+    rows = [(i, [float(x) for x in center[i % 2] + rng.normal(size=16) * (0.1 + 0.2 * (i % 7 == 0))], 1) for i in range(700)]
+    searched = embeddings._search
+
+    def bounded(threshold):
+        run = searched(threshold)
+
+        def checked(table):
+            assert table.num_rows <= 200
+            return run(table)
+        return checked
+    monkeypatch.setattr(embeddings, "_search", bounded)
+    monkeypatch.setattr(embeddings, "MAX_SHARD", 200, raising=False)
+    monkeypatch.setattr(embeddings, "EXACT_BLOCK", 90, raising=False)
+    monkeypatch.setattr(embeddings, "TARGET", 400)
+    out = embeddings.near_duplicate_vectors(spark.createDataFrame(rows, KIND), key="vec_id", vector="embedding", label="label").collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in out} == linked_by_brute_force(rows)
+
+
 def test_pieces_round_trip_and_distinct(docs, empty):
     rows = pieces.sample(docs, key="doc_id", text="text", k=3).collect()
     per = defaultdict(list)
