@@ -16,8 +16,11 @@ it is dealt to blocks, and all its blocks are compared with each other.
 A pair that several shards hold is counted in the first of them, and shards
 return counts and local components, not pairs.  Equal vectors are one vertex
 with a number of copies.  An audit compares the vectors whose id is divisible
-by ``AUDIT`` with all vectors of their label, in blocks; below the recall
-``LEAST_RECALL`` the search is repeated with more overlap.
+by ``AUDIT``, and of every label about ``LEAST_ASKED`` others (all, if it has no
+more), with all vectors of their label, in blocks.  While a label's recall, over
+its links or as the mean of its vectors', is below ``LEAST_RECALL``, the search
+is repeated with more overlap; labels that still fall short at ``MAX_OVERLAP``
+are compared whole, in blocks.
 
 Defined results: rows with null or non-finite components, zero or empty
 vectors, or a null label have no links and are their own component; vectors of
@@ -45,7 +48,7 @@ OVERLAP, MAX_OVERLAP = 2, 5
 POOL, FAR, DEGREE, FAR_DEGREE, ALPHA, BEAM, ROUNDS = 48, 32, 20, 8, 1.2, 16, 8
 MAX_DEGREE = 64
 MAX_SHARD, EXACT_BLOCK = 4_096, 2_048
-AUDIT, LEAST_RECALL, BLOCK = 50, 0.9, 512
+AUDIT, LEAST_ASKED, LEAST_RECALL, BLOCK = 50, 48, 0.9, 512
 CELLS = 2_000_000  # numbers in one block of a task
 
 
@@ -314,13 +317,15 @@ def _search(threshold: float):
 
 def _audit(vectors: DataFrame, threshold: float, every: int) -> DataFrame:
     """(id, audit_links): exact links of the vertices whose vec_id is divisible by
-    ``every``, by blocks of queries against blocks of all vectors of the label."""
-    blocks_of = vectors.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).alias("n_blocks"))
+    ``every`` and of about ``LEAST_ASKED`` others of each label, by blocks of queries
+    against blocks of all vectors of the label."""
+    blocks_of = vectors.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).alias("n_blocks"), F.least(F.lit(1.0), LEAST_ASKED / F.count("*")).alias("share"))
     v = vectors.join(F.broadcast(blocks_of), "label") if blocks_of.limit(10_001).count() <= 10_000 else vectors.join(blocks_of, "label")
     block = lambda salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col("n_blocks"))
     rows = F.collect_list(F.struct("id", "x", "n_copies"))
     base = v.groupBy("label", block(1).alias("block")).agg(rows.alias("vectors")).drop("block")
-    asked = v.filter(F.col("vec_id") % every == 0).groupBy("label", block(2).alias("block")).agg(rows.alias("queries")).drop("block")
+    unit = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
+    asked = v.filter((F.coalesce(F.col("vec_id") % every, F.lit(1)) == 0) | (unit < F.col("share"))).groupBy("label", block(2).alias("block")).agg(rows.alias("queries")).drop("block")
 
     def compare(batches):
         for b in batches:
@@ -446,6 +451,14 @@ def link(vectors: DataFrame, centroids: dict, overlap: int, threshold: float) ->
     return links, found.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
 
 
+def _short_labels(vertices: DataFrame, audit: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels that miss too many links of the audit: of all, or of their vectors in the mean."""
+    asked = audit.filter("audit_links > 0").join(vertices.select("id", "label"), "id").join(links, "id", "left")
+    got = F.coalesce("links", F.lit(0))
+    recall = asked.groupBy("label").agg((F.sum(got) / F.sum("audit_links")).alias("of_links"), F.avg(got / F.col("audit_links")).alias("of_vectors"))
+    return recall.filter(F.least("of_links", "of_vectors") < LEAST_RECALL).select("label")
+
+
 def near_duplicate_vectors(table: DataFrame, *, key: str, vector: str, label: str, threshold: float = THRESHOLD, every: int = AUDIT) -> DataFrame:
     """One row per vector: the key, n_links, component_id, kept, audit_links (null if not audited)."""
     x = F.transform(F.col(vector), lambda c: c.cast("double"))
@@ -462,13 +475,20 @@ def near_duplicate_vectors(table: DataFrame, *, key: str, vector: str, label: st
     for overlap in range(OVERLAP, MAX_OVERLAP + 1):
         links, trees = link(vertices, centroids, overlap, threshold)
         links = stored(links, "links")
-        got = audit.join(links, "id").agg(F.sum("links").alias("links"), F.sum("audit_links").alias("all")).first()
-        if (got.links or 0) >= LEAST_RECALL * (got["all"] or 0):
+        short = stored(_short_labels(vertices, audit, links), "short-labels")
+        if short.isEmpty():
             break
+    else:  # more overlap doesn't mend what the search itself misses
+        whole = vertices.join(broadcast_if_small(short), "label", "left_semi").withColumns({"length": F.size("x"), "shard": F.lit(0).cast("long")})
+        found = compare_all(whole.withColumn("shards", F.array("shard")), ["label", "length"], threshold)
+        exact = found.groupBy("id").agg(F.sum("links").alias("links"))
+        links = stored(links.join(whole.select("id"), "id", "left_anti").unionByName(exact), "links-whole")
+        trees = trees.unionByName(found.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
     group = components(trees).withColumnRenamed("id", "v")
     named = vertices.select(*same, "id", "n_copies", "vec_id").join(links, "id", "left")
     named = named.join(group, named.id == group.v, "left").withColumn("component", F.coalesce("component", "id"))
-    named = stored(named.join(audit, "id", "left").select(*same, "vec_id", "n_copies", F.coalesce("links", F.lit(0)).alias("links"), "component", "audit_links"), "named")
+    named = stored(named.join(audit, "id", "left").select(*same, "vec_id", "n_copies", F.coalesce("links", F.lit(0)).alias("links"), "component",
+                                                                         F.when(F.col("vec_id") % every == 0, F.col("audit_links")).alias("audit_links")), "named")
     least = stored(named.groupBy("component").agg(F.min("vec_id").alias("component_id")), "component-ids")
     known = stored(named.join(least, "component").select(*same, "component_id", (F.col("links") + F.col("n_copies") - 1).alias("n_links"), (F.col("audit_links") + F.col("n_copies") - 1).alias("audit_links")), "known")
     linked = rows.filter("fine").drop("x", "fine").join(known, same).select("vec_id", "n_links", "component_id", "audit_links")

@@ -290,6 +290,24 @@ def test_embeddings_large_groups_are_dealt_to_blocks(spark, monkeypatch):
     assert {r.vec_id: (r.n_links, r.component_id) for r in out} == linked_by_brute_force(rows)
 
 
+def test_embeddings_labels_that_fall_short_are_compared_whole(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    center = rng.normal(size=(9, 16))
+    # a label of one large group, a label of pairs, and no id that is divisible by 50
+    rows = [(50 * i + 1, [float(x) for x in center[0] + rng.normal(size=16) * 0.1], 1) for i in range(200)]
+    rows += [(50 * i + 2, [float(x) for x in center[1 + i // 2] + rng.normal(size=16) * 0.05], 2) for i in range(16)]
+    find = embeddings.link
+
+    def blind(vectors, *rest):  # a search that misses all of the label of pairs
+        links, trees = find(vectors.filter("label = 1"), *rest)
+        return links, trees
+    monkeypatch.setattr(embeddings, "link", blind)
+    monkeypatch.setattr(embeddings, "MAX_OVERLAP", embeddings.OVERLAP)
+    out = embeddings.near_duplicate_vectors(spark.createDataFrame(rows, KIND), key="vec_id", vector="embedding", label="label").collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in out} == linked_by_brute_force(rows)
+    assert all(r.audit_links is None for r in out)
+
+
 def test_pieces_round_trip_and_distinct(docs, empty):
     rows = pieces.sample(docs, key="doc_id", text="text", k=3).collect()
     per = defaultdict(list)
