@@ -4,11 +4,13 @@ Words are lower-cased and stripped of marks; numbers, names (capitalised words
 inside a sentence) and units become typed placeholders.  Windows of ``k``
 canonical words are hashed, and every window of every whole document is joined
 with those of the benchmark.  Matches of one document and item on one diagonal
-(document position minus item position) form an alignment; it counts if its
-windows cover enough of the item and its slots are consistent: equal values in
-the item must be equal in the document, and different ones different.  So a
-question with other numbers or names is caught as re-parameterised, and a
-chance agreement of forms isn't.
+(document position minus item position) form an alignment, whose slots must be
+consistent: equal values in the item must be equal in the document, and
+different ones different.  A window counts if all its words are equal, or if
+none of its slots contradicts another one of the alignment; an item is found if
+the windows that count cover enough of it.  So a question with other numbers or
+names is caught as re-parameterised, a chance agreement of forms isn't, and a
+copy in which one value is changed keeps its other windows.
 
 Windows of mostly placeholders say little and are left out where an item has
 ``min_plain`` windows of plain words; items shorter than ``k`` words are one
@@ -184,8 +186,8 @@ def item_windows(benchmark: DataFrame, item: str, text: str, k: int = K) -> Data
     return stored(t.select("item", "text").mapInArrow(_item_windows(k), "item long, h long, item_slots array<long>, item_pos long, k long, item_windows long, item_words long"), "items")
 
 
-def _pairs(x: str, y: str) -> str:
-    return f"flatten(collect_list(filter(arrays_zip({x}, {y}), p -> p.{x} != 0)))"
+def _pairs(window: str) -> str:
+    return f"filter(arrays_zip({window}.item_slots, {window}.slots), p -> p.item_slots != 0)"
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str, text: str, item: str, item_text: str, k: int = K, cover: float = COVER) -> DataFrame:
@@ -203,15 +205,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str, text: str,
                   .select("e.*", "hits", row_id().alias("row_id")), "document-windows")
     seen = rows.select("row_id", F.explode("hits").alias("w")).select("row_id", "w.*")
     hits = seen.join(broadcast_if_small(items, MAX_BROADCAST_WINDOWS), ["h", "k"])
+    # an item's windows bound an alignment's
     aligned = hits.withColumn("diagonal", F.col("pos") - F.col("item_pos")).groupBy("row_id", "item", "diagonal").agg(
-        F.countDistinct("item_pos").alias("n"), F.first("item_windows").alias("item_windows"),
-        F.expr(f"array_distinct({_pairs('item_slots', 'slots')})").alias("slots"))
-    # a one-to-one map of values: as many pairs as values on either side
+        F.first("item_windows").alias("item_windows"), F.collect_list(F.struct("item_pos", "item_slots", "slots")).alias("w"))
+    aligned = aligned.withColumn("pairs", F.expr(f"array_distinct(flatten(transform(w, x -> {_pairs('x')})))"))
+    # a one-to-one map of values: as many pairs as values on either side; else the pairs that share one value only
+    aligned = aligned.withColumn("odd", F.expr("""if(size(pairs) = size(array_distinct(pairs.item_slots)) and size(pairs) = size(array_distinct(pairs.slots)), filter(pairs, p -> false),
+        filter(pairs, p -> exists(pairs, q -> (q.item_slots = p.item_slots) != (q.slots = p.slots))))"""))
     aligned = aligned.withColumns({
-        "consistent": F.expr("size(slots) = size(array_distinct(slots.item_slots)) and size(slots) = size(array_distinct(slots.slots))"),
-        "same": F.expr("forall(slots, p -> p.item_slots = p.slots)"), "cover": F.col("n") / F.col("item_windows")})
+        "n": F.expr(f"size(array_distinct(transform(filter(w, x -> x.item_slots = x.slots or not exists({_pairs('x')}, p -> array_contains(odd, p))), x -> x.item_pos)))"),
+        "same": F.expr("forall(pairs, p -> p.item_slots = p.slots)")}).withColumn("cover", F.col("n") / F.col("item_windows"))
     # inserted or cut words move a passage to another diagonal: its parts add up
-    per_item = aligned.filter("consistent").groupBy("row_id", "item").agg(F.least(F.sum("cover"), F.lit(1.0)).alias("cover"), F.min("same").alias("same"))
+    per_item = aligned.filter("n > 0").groupBy("row_id", "item").agg(F.least(F.sum("cover"), F.lit(1.0)).alias("cover"), F.min("same").alias("same"))
     found = per_item.filter(F.col("cover") >= cover).groupBy("row_id").agg(
         F.min("item").alias("item_id"), F.count("*").alias("n_items"), F.max("cover").alias("cover"), F.max("same").alias("exact"))
     return rows.select("row_id", F.col("key").alias(key), "content").join(found, "row_id", "left").withColumn("contaminated", F.col("item_id").isNotNull()).drop("row_id")
