@@ -8,7 +8,7 @@ with those of the benchmark.  Matches of one document and item on one diagonal
 consistent: equal values in the item must be equal in the document, and
 different ones different.  A window counts if all its words are equal, or if
 none of its slots contradicts another one of the alignment; an item is found if
-the windows that count cover enough of it.  So a question with other numbers or
+the distinct item windows that count, over all alignments, cover enough of it.  So a question with other numbers or
 names is caught as re-parameterised, a chance agreement of forms isn't, and a
 copy in which one value is changed keeps its other windows.
 
@@ -213,10 +213,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str, text: str,
     aligned = aligned.withColumn("odd", F.expr("""if(size(pairs) = size(array_distinct(pairs.item_slots)) and size(pairs) = size(array_distinct(pairs.slots)), filter(pairs, p -> false),
         filter(pairs, p -> exists(pairs, q -> (q.item_slots = p.item_slots) != (q.slots = p.slots))))"""))
     aligned = aligned.withColumns({
-        "n": F.expr(f"size(array_distinct(transform(filter(w, x -> x.item_slots = x.slots or not exists({_pairs('x')}, p -> array_contains(odd, p))), x -> x.item_pos)))"),
-        "same": F.expr("forall(pairs, p -> p.item_slots = p.slots)")}).withColumn("cover", F.col("n") / F.col("item_windows"))
-    # inserted or cut words move a passage to another diagonal: its parts add up
-    per_item = aligned.filter("n > 0").groupBy("row_id", "item").agg(F.least(F.sum("cover"), F.lit(1.0)).alias("cover"), F.min("same").alias("same"))
+        "places": F.expr(f"array_distinct(transform(filter(w, x -> x.item_slots = x.slots or not exists({_pairs('x')}, p -> array_contains(odd, p))), x -> x.item_pos))"),
+        "same": F.expr("forall(pairs, p -> p.item_slots = p.slots)")})
+    # inserted or cut words move a passage to another diagonal: its parts add up, but a repeated part is one
+    places = aligned.select("row_id", "item", "item_windows", "same", F.explode("places").alias("item_pos"))
+    places = places.groupBy("row_id", "item", "item_pos").agg(F.first("item_windows").alias("item_windows"), F.min("same").alias("same"))
+    per_item = places.groupBy("row_id", "item").agg((F.count("*") / F.first("item_windows")).alias("cover"), F.min("same").alias("same"))
     found = per_item.filter(F.col("cover") >= cover).groupBy("row_id").agg(
         F.min("item").alias("item_id"), F.count("*").alias("n_items"), F.max("cover").alias("cover"), F.max("same").alias("exact"))
     return rows.select("row_id", F.col("key").alias(key), "content").join(found, "row_id", "left").withColumn("contaminated", F.col("item_id").isNotNull()).drop("row_id")
