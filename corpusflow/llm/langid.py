@@ -13,7 +13,8 @@ The posterior of a language multiplies four kinds of evidence:
 
 All counts are grouped aggregates over the whole corpus; only the n-gram
 model is fitted on a bounded sample, at most ``max_train`` labelled rows per
-language with the smallest hashes.
+language with the smallest hashes.  All labelled languages are learned; more
+than a table of ``MAX_TABLE_BYTES`` holds (2^18 bytes each) are an error.
 
 A row is accepted if its best language isn't ``und`` and its posterior is at
 least ``least``.  Defined results: null, empty and letterless texts are ``und``
@@ -35,7 +36,7 @@ from corpusflow.llm.registry import query
 from corpusflow.operators.sizing import broadcast_if_small
 
 GRAM, BITS = 3, 16
-MAX_TRAIN, MAX_LANGUAGES = 1_500, 64
+MAX_TRAIN, MAX_TABLE_BYTES = 1_500, 1 << 27
 MAX_GRAMS = 60
 UND, UND_PRIOR = "und", 0.01
 HOST_STRENGTH, DOMAIN_STRENGTH = 10.0, 50.0
@@ -67,10 +68,12 @@ def grams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _gram_counts(languages: list[str]):
+    index = {x: i for i, x in enumerate(languages)}
+
     def run(batches):
         total = np.zeros((len(languages), 1 << BITS), np.int64)
         for b in batches:
-            label = [languages.index(x) for x in b.column(0).to_pylist()]
+            label = [index[x] for x in b.column(0).to_pylist()]
             for lo, hi, data, off in blocks(b.column(1)):
                 g, first = grams(data, off)
                 for i in range(hi - lo):
@@ -82,42 +85,50 @@ def _gram_counts(languages: list[str]):
     return run
 
 
-def train(docs: DataFrame, *, key: str, text: str, lang: str, max_train: int = MAX_TRAIN) -> dict:
-    """Log likelihoods of hashed n-grams: at most ``MAX_LANGUAGES`` x 2^16 numbers."""
+def train(docs: DataFrame, *, key: str, text: str, lang: str, max_train: int = MAX_TRAIN, max_bytes: int = MAX_TABLE_BYTES) -> dict:
+    """Log likelihoods of hashed n-grams: 2^16 numbers a language, ``max_bytes`` at most."""
     small_batches(docs.sparkSession)
     known = docs.select(F.col(key).cast("string").alias("key"), F.lower(F.col(lang).cast("string")).alias("lang")).filter("lang is not null and key is not null and lang <> ''")
-    top = [r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    languages = sorted(top)
+    most = max_bytes // (4 << BITS) - 1  # one column is und
+    languages = sorted(r.lang for r in known.select("lang").distinct().limit(most + 1).collect())
+    if len(languages) > most:
+        raise ValueError(f"more than {most} labelled languages: their table needs more than max_bytes = {max_bytes}")
     if not languages:
         return {"languages": [], "table": np.zeros((1 << BITS, 0), np.float32)}
     # smallest hashes per language, by a threshold on a uniform hash: no ordering of all rows
     unit = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(1 << 40)) / float(1 << 40)
-    share = known.filter(F.col("lang").isin(languages)).groupBy("lang").agg(F.least(F.lit(1.0), max_train * 1.2 / F.count("*")).alias("share"))
+    share = known.groupBy("lang").agg(F.least(F.lit(1.0), max_train * 1.2 / F.count("*")).alias("share"))
     picked = known.withColumn("u", unit).join(F.broadcast(share), "lang").filter("u <= share")
     picked = picked.withColumn("rn", F.row_number().over(Window.partitionBy("lang").orderBy("u", "key"))).filter(F.col("rn") <= max_train)
     rows = docs.select(F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text")).join(F.broadcast(picked.select("key", "lang").distinct()), "key")
     counts = rows.select("lang", "text").mapInArrow(_gram_counts(languages), "i long, gram long, n long").groupBy("i", "gram").agg(F.sum("n").alias("n")).toArrow()
-    n = np.zeros((len(languages), 1 << BITS))
+    n = np.zeros((len(languages), 1 << BITS), np.int64)
     n[np.asarray(counts["i"]), np.asarray(counts["gram"])] = np.asarray(counts["n"])
     seen = max((n.sum(0) > 0).sum(), 1)
-    p = (n + 0.1) / (n.sum(1, keepdims=True) + 0.1 * (1 << BITS))
-    table = np.column_stack([np.log(p).T, np.full(1 << BITS, -np.log(2.0 * seen))])  # und: spread over twice the known n-grams
-    return {"languages": languages, "table": np.ascontiguousarray(table, np.float32)}
+    table = np.empty((1 << BITS, len(languages) + 1), np.float32)
+    for i, row in enumerate(n):
+        table[:, i] = np.log((row + 0.1) / (row.sum() + 0.1 * (1 << BITS)))
+    table[:, -1] = -np.log(2.0 * seen)  # und: spread over twice the known n-grams
+    return {"languages": languages, "table": table}
 
 
 def _likelihoods(model: dict, max_grams: int):
     def run(batches):
         table = model["table"]
         width = table.shape[1]
+        step = (1 << 24) // max(width, 64)
         for b in batches:
             parts, counts = [], []
-            for lo, hi, data, off in blocks(b.column(1), 1 << 18):
+            for lo, hi, data, off in blocks(b.column(1), step):
                 g, first = grams(data, off)
                 n = np.diff(first)
                 total = np.zeros((hi - lo, width))
                 rows = np.flatnonzero(n)
                 if len(rows) and width:
-                    sums = np.add.reduceat(table[g], first[rows], axis=0, dtype=np.float64)
+                    if len(g) <= step:
+                        sums = np.add.reduceat(table[g], first[rows], axis=0, dtype=np.float64)
+                    else:  # one long text
+                        sums = sum(table[g[at:at + step]].sum(0, dtype=np.float64) for at in range(0, len(g), step))[None]
                     total[rows] = sums * (np.minimum(n[rows], max_grams) / n[rows])[:, None]
                 parts.append(total)
                 counts.append(n)

@@ -113,6 +113,19 @@ def test_language_host_prior_decides_ambiguous_text(spark):
     assert got[200] == "xx" and got[201] == "yy"
 
 
+def test_language_id_learns_all_labelled_languages(spark):
+    pairs = [a + b for a in "ijklmnopq" for b in "rstuvwxyz"][:70]
+    rows = [(3 * i + j, words(3 * i + j, 60, x), x, None, 1, 1, "k") for i, x in enumerate(pairs) for j in range(2 if i % 2 else 3)]
+    rows.append((1000, words(1000, 60_000, pairs[1]), None, None, 1, 1, "k"))
+    docs = spark.createDataFrame(rows, DOC)
+    model = langid.train(docs, key="doc_id", text="text", lang="lang")
+    assert model["languages"] == pairs
+    got = {r.doc_id: r.lang_id for r in langid.identify(docs, model, key="doc_id", text="text").collect()}
+    assert got == {r[0]: r[2] or pairs[1] for r in rows}
+    with pytest.raises(ValueError, match="more than 69 labelled languages"):
+        langid.train(docs, key="doc_id", text="text", lang="lang", max_bytes=70 << 18)
+
+
 def test_decontamination(spark, empty):
     item = "the train left at 30 km per hour with Anna near the old stone bridge and then it turned back"
     bench = spark.createDataFrame([(7, item), (9, "what is love"), (8, None), (10, item)], "item_id long, text string")
