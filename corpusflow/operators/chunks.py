@@ -62,19 +62,42 @@ def chunk(df: DataFrame, min_len: int = 256, max_len: int = 1024, target: int =
             .drop("_span"))
 
 
-def pairs_per_chunk(df: DataFrame, seq_len: int = 512, chunk_col: str = "chunk") -> DataFrame:
-    """C6 + C5: windows starting at 0, L, 2L, ... < n - L of each chunk with
-    y = x shifted by one.  A chunk of exactly L tokens gives no pair."""
-    n = F.col("chunk_len") if "chunk_len" in df.columns else F.size(chunk_col)
+def pair_starts(df: DataFrame, seq_len: int = 512) -> DataFrame:
+    """C6 on lengths alone: one row per pair, ``pair_idx`` and ``pair_start``, of
+    the windows starting at 0, L, 2L, ... < chunk_len - L.  A chunk of exactly L tokens gives no pair."""
+    n = F.col("chunk_len")
     starts = F.sequence(F.lit(0), (n - F.lit(seq_len) - 1).cast("int"), F.lit(seq_len))
-    return (df.filter(n > seq_len)
-            .select("*", F.posexplode(starts).alias("pair_idx", "pair_start"))
-            .withColumn("x", F.slice(F.col(chunk_col), F.col("pair_start") + 1, seq_len))
+    return df.filter(n > seq_len).select("*", F.posexplode(starts).alias("pair_idx", "pair_start"))
+
+
+def pair_arrays(df: DataFrame, seq_len: int = 512, chunk_col: str = "chunk") -> DataFrame:
+    """C5 at ``pair_start``: x, and y = x shifted by one."""
+    return (df.withColumn("x", F.slice(F.col(chunk_col), F.col("pair_start") + 1, seq_len))
             .withColumn("y", F.slice(F.col(chunk_col), F.col("pair_start") + 2, seq_len)))
 
 
+def pairs_per_chunk(df: DataFrame, seq_len: int = 512, chunk_col: str = "chunk") -> DataFrame:
+    """C6 + C5: all pairs of every chunk."""
+    if "chunk_len" not in df.columns:
+        df = df.withColumn("chunk_len", F.size(chunk_col).cast("bigint"))
+    return pair_arrays(pair_starts(df, seq_len), seq_len, chunk_col)
+
+
+def first_pairs(keys: DataFrame, order: list[str], seq_len: int = 512, max_pairs: int | None = None) -> DataFrame:
+    """C7 on narrow rows (keys and ``chunk_len``, no ids): the first ``max_pairs``
+    pairs in ``order`` and pair order; the caller builds ids for those alone.
+
+    Every chunk in question gives a pair, so the first ``max_pairs`` chunks hold them
+    all: each task keeps that many narrow rows."""
+    if max_pairs is not None:
+        keys = keys.filter(F.col("chunk_len") > seq_len).orderBy(*order).limit(max_pairs)
+    pairs = pair_starts(keys, seq_len)
+    return pairs if max_pairs is None else pairs.orderBy(*order, "pair_idx").limit(max_pairs)
+
+
 def cap_samples(df: DataFrame, order: list[Column], max_samples: int | None) -> DataFrame:
-    """The first max_samples rows in ``order`` (a top-k; the limit is the feature)."""
+    """The first max_samples rows in ``order`` (a top-k; the limit is the
+    feature).  For pairs, ``first_pairs`` does it before any id is built."""
     if max_samples is None:
         return df
     return df.orderBy(*order).limit(max_samples)

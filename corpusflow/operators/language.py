@@ -1,58 +1,100 @@
 """Language detection (F4) as a Spark job: a character-trigram naive-Bayes
-profile trained on labelled rows, scored by a join.
+profile trained on labelled rows, scored inside the row.
 
 Features: trigrams of every whitespace piece padded with one space on each
 side (a piece of k characters gives k trigrams), over the whole text.
 
-Train: explode trigrams -> ``groupBy(lang, gram).count`` (partial aggregation
-absorbs very frequent trigrams).  Score: explode trigrams -> join the profile
-on gram -> per-document sums per language -> argmax of
+Train: every task counts the trigrams of its texts by language and sends one row
+per distinct (language, trigram) of a block of text; one aggregation adds them up.
+Score: the profile is a table of log-probabilities within ``MAX_PROFILE_BYTES``; a text's
+trigrams are looked up there and summed per language, so one row per document
+leaves the stage and nothing is shuffled:
 
     score(l) = sum_g n_g * ln(c_lg + 1) - G * ln(N_l + V)
 
 (add-one smoothing; G = trigrams in the document, N_l = trigrams of language
-l, V = distinct trigrams).  The profile is broadcast only after its row count
-is checked (one pivoted row per distinct gram); above the limit the join is a shuffle
-join that AQE splits when a gram is skewed.
+l, V = distinct trigrams).  A profile of more grams than the bound allows is folded by the
+same formula: grams share ``slots`` by their code, and the counts of a slot add up.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.text import WHITESPACE_CLASS, nonspace_chars, stripped_length
+from corpusflow.functions.text import stripped_length
+from corpusflow.session import stored
 
-NGRAM = 3
 MIN_DETECT_CHARS = 10
-MAX_BROADCAST_PROFILE = 1_000_000  # pivoted rows (~50 MB)
-
-
-def trigrams(text: Column) -> Column:
-    """ARRAY<STRING> of padded-piece character trigrams of the whole text.
-
-    Whitespace runs become one space and the text is padded with spaces; the
-    trigrams whose middle character is not a space are then exactly the
-    trigrams of every piece padded with one space on each side.  One regex
-    pass with a look-ahead group extracts them all (no per-piece lambdas)."""
-    norm = F.concat(F.lit(" "), F.regexp_replace(F.coalesce(text, F.lit("")), WHITESPACE_CLASS + "+", " "),
-                    F.lit(" "))
-    return F.regexp_extract_all(norm, F.lit("(?s)(?=(.[^ ].))"), 1)
-
-
-def gram_total(text: Column) -> Column:
-    """Number of trigrams ``trigrams`` yields: one per non-space character."""
-    return nonspace_chars(text).cast("bigint")
+MAX_PROFILE_BYTES = 32 << 20
+BLOCK_CHARS = 1 << 19
+_BITS = 21  # of a code point
+
+#: The characters of ``WHITESPACE_CLASS``, by code point.
+_SPACE = np.zeros(0x3001, bool)
+for _lo, _hi in ((0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)):
+    _SPACE[_lo:_hi + 1] = True
+
+
+def gram_code(gram: Column) -> Column:
+    """The three code points of a trigram as one BIGINT."""
+    at = [F.ascii(F.substring(gram, i, 1)).cast("bigint") for i in (1, 2, 3)]
+    return F.shiftleft(at[0], 2 * _BITS) + F.shiftleft(at[1], _BITS) + at[2]
+
+
+def gram_text(code: int) -> str:
+    mask = (1 << _BITS) - 1
+    return chr(code >> 2 * _BITS) + chr(code >> _BITS & mask) + chr(code & mask)
+
+
+def gram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all trigrams of some texts, and the text of each: a character that
+    isn't whitespace with its neighbours, where whitespace counts as a space."""
+    points = np.frombuffer(" ".join(["", *texts, ""]).encode("utf-32-le"), np.uint32).astype(np.int64)
+    ends = np.cumsum([len(t) + 1 for t in texts])  # of each text and the space before it
+    space = _SPACE[np.minimum(points, len(_SPACE) - 1)] & (points < len(_SPACE))
+    points[space] = 32
+    middle = np.flatnonzero(~space)
+    codes = (points[middle - 1] << 2 * _BITS) + (points[middle] << _BITS) + points[middle + 1]
+    return codes, np.searchsorted(ends, middle, "right")
+
+
+def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of whole texts of about ``BLOCK_CHARS`` characters."""
+    lo = size = 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > BLOCK_CHARS:
+            yield lo, i
+            lo, size = i, 0
+        size += len(t)
+    if lo < len(texts):
+        yield lo, len(texts)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        langs = b.column(0).to_pylist()
+        texts = [t or "" for t in b.column(1).to_pylist()]
+        by_lang: dict[str, list[str]] = {}
+        for lang, text in zip(langs, texts, strict=True):
+            by_lang.setdefault(lang, []).append(text)
+        for lang, own in by_lang.items():
+            for lo, hi in _blocks(own):
+                grams, n = np.unique(gram_codes(own[lo:hi])[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array([gram_text(g) for g in grams.tolist()], pa.string()), pa.array(n.astype(np.int64))],
+                                                 names=["lang", "gram", "cnt"])
 
 
 def train_profile(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, gram, cnt) over labelled rows."""
-    g = labelled.filter(F.col(lang_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.explode(trigrams(F.col(text_col))).alias("gram"))
-    return g.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("cnt"))
+    rows = labelled.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(_count, "lang string, gram string, cnt long").groupBy("lang", "gram").agg(F.sum("cnt").alias("cnt"))
 
 
 @dataclass(frozen=True)
@@ -70,44 +112,75 @@ def profile_stats(profile: DataFrame) -> ProfileStats:
                         int(sum(r["k"] for r in per)))
 
 
+@dataclass(frozen=True)
+class ProfileTable:
+    """``codes`` rising, ``logs`` of ln(count + 1) per code and language, each language's
+    ``penalty`` per trigram; ``slots``: codes are folded by this modulus (0: not)."""
+    langs: list[str]
+    codes: np.ndarray
+    logs: np.ndarray
+    penalty: np.ndarray
+    slots: int
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """Texts x languages."""
+        codes, text = gram_codes(texts)
+        if self.slots:
+            codes %= self.slots
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        known = self.codes[at] == codes
+        at, owner = at[known], text[known]
+        total = np.bincount(text, minlength=len(texts))
+        sums = [np.bincount(owner, weights=self.logs[at, i], minlength=len(texts)) for i in range(len(self.langs))]
+        return np.stack(sums, 1) - total[:, None] * self.penalty
+
+
+def profile_table(profile: DataFrame, stats: ProfileStats, max_bytes: int = MAX_PROFILE_BYTES) -> ProfileTable:
+    """The profile as a table of at most about ``max_bytes``, which all tasks get."""
+    langs = sorted(stats.totals)
+    fits = max(1, max_bytes // (8 * (len(langs) + 1)))
+    slots = 0 if stats.distinct <= fits else fits | 1  # odd, so that all characters of a gram count
+    code = gram_code(F.col("gram"))
+    rows = profile.select(F.pmod(code, F.lit(slots)).alias("code") if slots else code.alias("code"), "lang", "cnt")
+    counts = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("cnt"))), F.lit(0)).cast("double").alias(f"c{i}") for i, x in enumerate(langs)]
+    got = rows.groupBy("code").agg(*counts).toArrow()  # at most ``fits`` rows
+    codes = got["code"].to_numpy()
+    order = np.argsort(codes)
+    logs = np.log(np.stack([got[f"c{i}"].to_numpy() for i in range(len(langs))], 1) + 1)
+    penalty = np.array([math.log(stats.totals[x] + stats.distinct) for x in langs])
+    return ProfileTable(langs, codes[order], logs[order], penalty, slots)
+
+
+def _score(table: ProfileTable):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(b.num_columns - 1).to_pylist()  # null: not to be scored
+            scores = np.zeros((len(texts), len(table.langs)))
+            asked = [i for i, t in enumerate(texts) if t is not None]
+            for lo, hi in _blocks([texts[i] for i in asked]):
+                scores[asked[lo:hi]] = table.scores([texts[i] for i in asked[lo:hi]])
+            none = np.ones(len(texts), bool)
+            none[asked] = False
+            best = pa.array(np.array(table.langs, object)[scores.argmax(1)], pa.string(), mask=none)  # ties: the first language
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *(pa.array(scores[:, i], mask=none) for i in range(len(table.langs))), best],
+                                             names=[*b.schema.names[:-1], *(f"score_{x}" for x in table.langs), "pred_lang"])
+    return run
+
+
 def score_languages(df: DataFrame, key: list[str], profile: DataFrame, stats: ProfileStats | None = None,
-                    text_col: str = "text", carry: list[str] = ()) -> DataFrame:
+                    text_col: str = "text", carry: list[str] = (), max_bytes: int = MAX_PROFILE_BYTES) -> DataFrame:
     """key + ``carry`` columns + ``score_<lang>`` + ``pred_lang`` for every row
     of ``df`` (null prediction for texts under 10 stripped characters).
 
-    Only narrow columns are joined back (key and ``carry``): the text is read
-    by the scoring stage but never shuffled."""
-    stats = stats or profile_stats(profile)
-    langs = sorted(stats.totals)
-    if not langs:  # nothing was trained: no prediction
-        return df.select(*key, *carry).withColumn("pred_lang", F.lit(None).cast("string"))
-    # one row per gram with a column per language: every exploded gram meets
-    # at most one profile row in the join (not one per language)
-    # keyed by a 64-bit hash of the gram: the broadcast relation is long-keyed
-    # (no string compares per probe); a collision among a profile's grams has
-    # probability ~ n^2 / 2^65
-    prof = profile.groupBy(F.xxhash64("gram").alias("_gh")).agg(
-        *[F.sum(F.when(F.col("lang") == l, F.log(F.col("cnt") + 1.0))).alias(f"_lc_{l}") for l in langs])
-    if stats.distinct <= MAX_BROADCAST_PROFILE:  # pivoted: one row per distinct gram
-        prof = F.broadcast(prof)
-    docs = df.select(*key, F.col(text_col).alias("_text"))
-    detectable = docs.filter(stripped_length(F.col("_text")) >= MIN_DETECT_CHARS)
-    # _G is computed once per document, below the explode; selecting it next
-    # to the generator would evaluate it once per exploded gram.
-    grams = (detectable.select(*key, "_text", gram_total(F.col("_text")).alias("_G"))
-             .select(*key, "_G", F.explode(trigrams(F.col("_text"))).alias("gram"))
-             .select(*key, "_G", F.xxhash64("gram").alias("_gh")))
-    joined = grams.join(prof, "_gh", "left")
-    sums = joined.groupBy(*key, "_G").agg(*[F.sum(f"_lc_{l}").alias(f"_s_{l}") for l in langs])
-    for l in langs:
-        penalty = math.log(stats.totals[l] + stats.distinct)
-        sums = sums.withColumn(f"score_{l}", F.coalesce(F.col(f"_s_{l}"), F.lit(0.0))
-                               - F.col("_G").cast("double") * F.lit(penalty))
-    best_lang, best = F.lit(langs[0]), F.col(f"score_{langs[0]}")
-    for l in langs[1:]:
-        s = F.col(f"score_{l}")
-        better = s > best
-        best_lang = F.when(better, F.lit(l)).otherwise(best_lang)
-        best = F.when(better, s).otherwise(best)
-    scored = sums.withColumn("pred_lang", best_lang).drop("_G", *[f"_s_{l}" for l in langs])
-    return df.select(*key, *carry).join(scored, key, "left")
+    One pass without a shuffle: a row's columns travel with its text."""
+    if stats is None:
+        profile = stored(profile, "profile")
+        stats = profile_stats(profile)
+    columns = list(dict.fromkeys([*key, *carry]))
+    if not stats.totals:  # nothing was trained: no prediction
+        return df.select(*columns).withColumn("pred_lang", F.lit(None).cast("string"))
+    table = profile_table(profile, stats, max_bytes)
+    text = F.col(text_col).cast("string")
+    rows = df.select(*columns, F.when(stripped_length(text) >= MIN_DETECT_CHARS, text).alias("_text"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]] + [f"`score_{x}` double" for x in table.langs]
+    return rows.mapInArrow(_score(table), ", ".join([*fields, "pred_lang string"]))

@@ -11,12 +11,15 @@ bucketed scan (see ``ordering``), never a single-task window.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.hashing import md5_bucket, md5_uniform
-from corpusflow.operators.ordering import Running, scan
-from corpusflow.operators.sizing import broadcast_if_small
+from corpusflow.operators.ordering import BKT, Running, prefix_sum, range_bucket, scan
+from corpusflow.operators.sizing import SMALL_TABLE_ROWS, broadcast_if_small
+from corpusflow.session import stored
 
 # Arrivals per bucket of the global mix order (bounded rows per window task).
 ARRIVALS_PER_BUCKET = 200_000
@@ -47,6 +50,14 @@ def check_weights(weights: dict[str, float]) -> None:
         raise ValueError("weights must be non-negative")
 
 
+def catalog_weights(catalog: DataFrame) -> list[tuple[str, float]]:
+    """(source, weight) of a catalog: configuration, one row per source, so bounded; more rows are an error."""
+    rows = catalog.select("source", F.col("weight").cast("double")).limit(SMALL_TABLE_ROWS + 1).collect()
+    if len(rows) > SMALL_TABLE_ROWS:
+        raise ValueError(f"a catalog of more than {SMALL_TABLE_ROWS} sources")
+    return [(r[0], r[1]) for r in rows]
+
+
 def source_caps(weights: DataFrame, target_tokens: int | None, target_length: int,
                 compat: bool = False) -> DataFrame:
     """M2: chunk cap per source = int(target_tokens / target_length * weight).
@@ -100,6 +111,99 @@ def arrivals(df: DataFrame, weights: DataFrame, order: list[Column], bucket: Col
     return out.drop("_w")
 
 
+#: Sources up to which each has its own bound in the filter on the source scan.
+MAX_SOURCE_BOUNDS = 64
+
+
+@dataclass(frozen=True)
+class Reach:
+    """What caps and budget can reach: ``buckets`` has a row per source and bucket
+    in reach with what lies before it (``_before_n`` rows, ``_before_units`` of the
+    clock); ``on_scan`` is the same as a filter on source and order key, for the
+    source scan; ``last_t`` is the time after which nothing is drawn."""
+    buckets: DataFrame
+    on_scan: Column
+    last_t: float | None
+
+
+def _clock_step(w: Column, mode: str | None, parts: list[Column], seed: int) -> Column:
+    if mode != "race":
+        return F.lit(0).cast("bigint")
+    uniform = md5_uniform(F.col("source"), *parts, F.lit(seed))
+    return F.floor(-F.log(uniform) / w * F.lit(float(TIME_UNITS))).cast("bigint")
+
+
+def _time(n: Column, units: Column, w: Column, mode: str | None) -> Column:
+    return (n - F.lit(0.5)) / w if mode != "race" else units / F.lit(float(TIME_UNITS))
+
+
+def reach(rows: DataFrame, scan_key: str, target_tokens: int | None, mode: str | None, length_col: str = "chunk_len") -> Reach:
+    """Phase one of the early stop, over rows with ``source``, ``_w``, ``cap``, ``_step`` and a bucket.
+
+    Only totals per source and bucket leave the scan.  A bucket is out of reach if the
+    buckets before it fill the source's cap, or if it starts after the time by
+    which the buckets that are over hold the whole budget."""
+    totals = rows.groupBy("source", BKT).agg(
+        F.first("_w").alias("_w"), F.first("cap").alias("cap"), F.count(F.lit(1)).alias("_n"), F.sum(length_col).cast("bigint").alias("_tokens"),
+        F.sum("_step").alias("_units"), F.max(scan_key).alias("_last"))
+    before = Window.partitionBy("source").orderBy(BKT).rowsBetween(Window.unboundedPreceding, -1)
+    prior = {f"_before{c}": F.coalesce(F.sum(c).over(before), F.lit(0)).cast("bigint") for c in ("_n", "_units")}
+    found = stored(totals.withColumns(prior), "bucket-totals")
+    n, units, w, cap = F.col("_before_n"), F.col("_before_units"), F.col("_w"), F.col("cap")
+    found = found.filter(cap.isNull() | (n < cap))
+    last_t = None
+    if target_tokens and mode:
+        start = _time(n + 1, units, w, mode)
+        timed = found.withColumns({"_start": start, "_end": _time(n + F.col("_n"), units + F.col("_units"), w, mode),
+                                   # of a bucket that a cap cuts, nothing is certain
+                                   "_sure": F.when(cap.isNull() | (n + F.col("_n") <= cap), F.col("_tokens")).otherwise(0)})
+        timed = timed.withColumnRenamed(BKT, "_own")
+        sums = prefix_sum(timed, [], [F.col("_end"), F.col("source"), F.col("_own")], range_bucket(timed, F.col("_end"), integral=False), F.col("_sure"), "_sum", materialize=False)
+        last_t = sums.filter(F.col("_sum") >= target_tokens).agg(F.min("_end")).first()[0]
+        if last_t is not None:
+            found = found.filter(start <= F.lit(last_t))
+    ends = found.groupBy("source").agg(F.max("_last").alias("_last"))
+    bounds = ends.limit(MAX_SOURCE_BOUNDS + 1).collect()
+    on_scan = F.lit(False)
+    if len(bounds) > MAX_SOURCE_BOUNDS:
+        on_scan = F.col(scan_key) <= F.lit(ends.agg(F.max("_last")).first()[0])
+    else:
+        for r in bounds:
+            within = F.col(scan_key) <= F.lit(r["_last"]) if r["_last"] is not None else F.col(scan_key).isNull()
+            on_scan = on_scan | ((F.col("source") == r["source"]) & (within | F.col(scan_key).isNull()))
+    return Reach(found.select("source", BKT, "_before_n", "_before_units"), on_scan, last_t)
+
+
+def first_arrivals(df: DataFrame, catalog: DataFrame, order: list[Column], bucket: Column, scan_key: str, *, mode: str | None = "deterministic", seed: int = 0,
+                   key: list[Column] | None = None, target_tokens: int | None = None, length_col: str = "chunk_len") -> DataFrame:
+    """M3 to M5 without ordering what they can't reach.
+
+    ``catalog``: source, source_ord, weight and, if there are caps, cap (null: none); sources
+    that it doesn't hold, and those of weight 0 (with a ``mode``), are never drawn.  Two
+    phases: ``reach`` finds from totals per source and bucket which buckets the caps and the
+    budget can reach; only their rows are read again (the bounds of
+    ``scan_key``, the first order column, go down to the source scan) and ordered.  Returns
+    the rows within their caps with ``src_ord`` and, with a mode, the arrival time ``mix_t``; the
+    rows of the budget are all there, for ``mix_order`` and ``budget_cut``."""
+    cap = F.col("cap") if "cap" in catalog.columns else F.lit(None).cast("bigint")
+    w = broadcast_if_small(catalog.select("source", "source_ord", F.col("weight").cast("double").alias("_w"), cap.alias("cap")))
+    rows = df.join(w, "source", "inner")
+    if mode:
+        rows = rows.filter(F.col("_w") > 0)
+    rows = rows.withColumns({BKT: bucket, "_step": _clock_step(F.col("_w"), mode, key or order, seed)})
+    found = reach(rows, scan_key, target_tokens, mode, length_col)
+    inside = rows.filter(found.on_scan).join(broadcast_if_small(found.buckets), ["source", BKT])
+    within = Window.partitionBy("source", BKT).orderBy(*order)
+    inside = inside.withColumn("src_ord", (F.col("_before_n") + F.row_number().over(within)).cast("bigint"))
+    if mode:
+        units = F.col("_before_units") + F.sum("_step").over(within.rowsBetween(Window.unboundedPreceding, 0))
+        inside = inside.withColumn("mix_t", _time(F.col("src_ord"), units, F.col("_w"), mode))
+        if found.last_t is not None:
+            inside = inside.filter(F.col("mix_t") <= F.lit(found.last_t))
+    inside = inside.filter(F.col("cap").isNull() | (F.col("src_ord") <= F.col("cap")))
+    return inside.drop(BKT, "_w", "cap", "_step", "_before_n", "_before_units")
+
+
 def mix_bucket(weights_rows: list[tuple[str, float]], per_bucket: int = ARRIVALS_PER_BUCKET) -> Column:
     """Bucket of the arrival time: the arrival rate is sum(w), so a bucket of
     width per_bucket / sum(w) holds about per_bucket chunks."""
@@ -107,6 +211,11 @@ def mix_bucket(weights_rows: list[tuple[str, float]], per_bucket: int = ARRIVALS
     return F.floor(F.col("mix_t") / F.lit(per_bucket / rate)).cast("bigint")
 
 
+def mix_bucket_of(position: Column, per_bucket: int = ARRIVALS_PER_BUCKET) -> Column:
+    """Bucket of a 1-based position of the global mix order."""
+    return F.floor((position - 1) / F.lit(per_bucket)).cast("bigint")
+
+
 def mix_order(df: DataFrame, bucket: Column, tie: list[Column],
               length_col: str = "chunk_len") -> DataFrame:
     """Global interleave position ``mix_ord`` and running token count

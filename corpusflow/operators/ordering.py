@@ -44,6 +44,7 @@ class Running:
 
 #: Quantile segments of the order key: what one scalar aggregate brings to the driver.
 SEGMENTS = 64
+QUANTILE_ACCURACY = 1_000  # a bound is off by at most one row in so many: a sixteenth of a segment
 ROWS_PER_BUCKET = 1_000_000
 
 
@@ -53,13 +54,13 @@ def target_buckets(df: DataFrame, rows: int = 0, per_partition: int = 4) -> int:
     return max(8, parts * per_partition, math.ceil(rows / ROWS_PER_BUCKET))
 
 
-def _segment(key: Column, bounds: list, first: int, end: int) -> Column:
-    """Index of the segment of ``key`` in [first, end), by bisection."""
+def _search(key: Column, bounds: list, leaf, first: int = 0, end: int | None = None) -> Column:
+    """``leaf(i)`` for the segment i that starts at the largest of ``bounds`` not above ``key``: one bisection."""
+    end = len(bounds) if end is None else end
     if end - first == 1:
-        return F.lit(first).cast("bigint")
+        return leaf(first)
     mid = (first + end) // 2
-    return F.when(key < F.lit(bounds[mid]), _segment(key, bounds, first, mid)).otherwise(
-        _segment(key, bounds, mid, end))
+    return F.when(key < F.lit(bounds[mid]), _search(key, bounds, leaf, first, mid)).otherwise(_search(key, bounds, leaf, mid, end))
 
 
 def range_bucket(df: DataFrame, key: Column, buckets: int | None = None,
@@ -70,10 +71,11 @@ def range_bucket(df: DataFrame, key: Column, buckets: int | None = None,
     so neither an outlier nor a source whose keys lie close together puts more
     than a segment's rows into one bucket; each segment is cut further into
     pieces of equal width when more buckets are wanted.  Rows of equal keys
-    stay together; null keys come first.  One scalar aggregate is computed."""
+    stay together; null keys come first.  One scalar aggregate is computed, and
+    a row's bucket takes one bisection, whose leaves hold the cut of their segment."""
     cuts = [i / SEGMENTS for i in range(1, SEGMENTS)]
     rows, lo, hi, inner = df.agg(F.count(key), F.min(key), F.max(key),
-                                 F.percentile_approx(key, cuts, 10_000)).first()
+                                 F.percentile_approx(key, cuts, QUANTILE_ACCURACY)).first()
     if lo is None:
         return F.lit(0).cast("bigint")
     n = buckets or target_buckets(df, rows)
@@ -81,16 +83,16 @@ def range_bucket(df: DataFrame, key: Column, buckets: int | None = None,
     picked = [inner[i * SEGMENTS // segments - 1] for i in range(1, segments)]
     bounds = sorted({lo, *picked})
     pieces = max(1, math.ceil(n / len(bounds)))
-    seg = _segment(key, bounds, 0, len(bounds))
-    if pieces == 1:
-        return F.when(key.isNull(), F.lit(0)).otherwise(seg).cast("bigint")
     step = 1 if integral else 0
-    widths = [(end + step - start) / pieces for start, end in zip(bounds, [*bounds[1:], hi], strict=True)]
-    at = (seg + 1).cast("int")
-    start = F.element_at(F.array(*map(F.lit, bounds)), at)
-    width = F.element_at(F.array(*[F.lit(float(w) or 1.0) for w in widths]), at)
-    piece = F.greatest(F.lit(0), F.least(F.lit(pieces - 1), F.floor((key - start) / width)))
-    return F.when(key.isNull(), F.lit(0)).otherwise(seg * pieces + piece).cast("bigint")
+    ends = [*bounds[1:], hi]
+
+    def leaf(i: int) -> Column:
+        if pieces == 1:
+            return F.lit(i).cast("bigint")
+        width = float((ends[i] + step - bounds[i]) / pieces) or 1.0
+        piece = F.greatest(F.lit(0), F.least(F.lit(pieces - 1), F.floor((key - F.lit(bounds[i])) / F.lit(width))))
+        return F.lit(i * pieces).cast("bigint") + piece
+    return F.when(key.isNull(), F.lit(0).cast("bigint")).otherwise(_search(key, bounds, leaf)).cast("bigint")
 
 
 def _combine(op: str, prior: Column, within: Column) -> Column:

@@ -4,16 +4,15 @@ Encoders:
 * ``encode_hashed``: stateless id = md5(piece) mod V, computed inside the row
   (no shuffle, no lookup table) - the default of the corpus plan;
 * ``build_vocab`` + ``encode_vocab``: a frequency vocabulary computed on the
-  cluster (top V-1 pieces by count, id 0 = unknown) and a join-based encoder;
-* ``encode_with_tokenizer``: a user tokenizer file through ``mapInPandas``,
-  loaded once per Python worker.
+  cluster (top V-1 pieces by count, id 0 = unknown) and a join-based encoder.
+
+Subword ids by a tokenizer's merge table are in ``subwords``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusflow.functions.text import PIECE_PATTERN, pieces
 from corpusflow.operators.ordering import Running, scan
@@ -119,31 +118,3 @@ def encode_vocab(df: DataFrame, vocab: DataFrame, key: list[str], text_col: str
     grouped = joined.groupBy(*key).agg(F.array_sort(F.collect_list("_e")).alias("_z"))
     ids = F.transform("_z", lambda s: s["id"])
     return grouped.select(*key, ids.alias(out), F.size("_z").cast("bigint").alias("n_tokens"))
-
-
-def encode_with_tokenizer(df: DataFrame, tokenizer_file: str, text_col: str = "text",
-                          out: str = "tokens") -> DataFrame:
-    """T1(c): a user tokenizer (``tokenizers`` JSON file on shared storage)
-    applied per Arrow batch; the file is loaded once per Python worker."""
-    schema = T.StructType(df.schema.fields + [
-        T.StructField(out, T.ArrayType(T.IntegerType())),
-        T.StructField("n_tokens", T.LongType())])
-
-    def run(batches):
-        from tokenizers import Tokenizer  # imported on the worker
-        tok = _TOKENIZERS.get(tokenizer_file)
-        if tok is None:
-            tok = Tokenizer.from_file(tokenizer_file)
-            _TOKENIZERS[tokenizer_file] = tok
-        for pdf in batches:
-            texts = pdf[text_col].fillna("").tolist()
-            enc = tok.encode_batch(texts, add_special_tokens=False)
-            ids = [e.ids for e in enc]
-            pdf[out] = ids
-            pdf["n_tokens"] = [len(i) for i in ids]
-            yield pdf
-
-    return df.mapInPandas(run, schema)
-
-
-_TOKENIZERS: dict = {}

@@ -10,15 +10,19 @@ from corpusflow.functions.text import STRIP_PATTERN, stripped_length
 from corpusflow.operators import chunks as C
 from corpusflow.operators.dedup import dedup_first
 from corpusflow.operators.filters import corpus_filters, keep_nonempty
+from corpusflow.operators.subwords import encode_subwords, read_merge_table
 from corpusflow.operators.tokens import build_vocab, encode_vocab
 from corpusflow.plans import sql as S
-from corpusflow.plans.corpus import (clean_documents, corpus_chunks, doc_id_bucket,
+from corpusflow.plans.corpus import (chunks, clean_documents, corpus_chunks, doc_id_bucket,
                                      documents_rows, mix_report, tokenized)
 from corpusflow.plans.registry import register
+from corpusflow.session import stored
 from corpusflow.sources.catalog import read_sources
 from corpusflow.sources.tables import corpus_specs, documents_spec, table
 
 SMALL_VOCAB = 4096
+#: A public byte-level merge table; never copied into this repository.
+MERGE_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PACK_LEN, PACK_STRIDE = 512, 384
 PAIR_LEN = 512
 CAPPED_PAIRS = 100
@@ -137,6 +141,15 @@ SELECT piece, id, cnt FROM (
 WHERE id <= {SMALL_VOCAB - 1}"""
 
 
+@register("token_ids_subword", "T1 T3")
+def token_ids_subword(spark, sf_dir):
+    """Subword ids of every document (null texts are empty)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    t = encode_subwords(docs, read_merge_table(spark, MERGE_FILE))
+    return t.select("doc_id", "n_tokens", id_sum(F.col("tokens")).alias("id_sum"), F.get("tokens", 0).alias("first_id"),
+                    F.get("tokens", F.size("tokens") - 1).alias("last_id"), F.sha2(F.array_join("tokens", ","), 256).alias("ids_sha256"))
+
+
 @register("vocab_topk", "T2", _VOCAB_SQL)
 def vocab_topk(spark, sf_dir):
     return build_vocab(clean_documents(spark, sf_dir, None), SMALL_VOCAB)
@@ -207,9 +220,13 @@ def pairs_per_chunk(spark, sf_dir):
 @register("pairs_capped", "C5 C6 C7", _pair_summary_sql(
     f"SELECT * FROM ({_pairs_sql()}) p ORDER BY doc_id, chunk_idx, pair_idx LIMIT {CAPPED_PAIRS}"))
 def pairs_capped(spark, sf_dir):
-    p = _pairs(spark, sf_dir)
-    top = C.cap_samples(p, [F.col("doc_id"), F.col("chunk_idx"), F.col("pair_idx")], CAPPED_PAIRS)
-    return _pair_summary(top)
+    """The pairs are chosen by keys and lengths; only their documents are encoded."""
+    docs = clean_documents(spark, sf_dir, None)
+    keys = chunks(tokenized(docs).drop("text")).select("doc_id", "chunk_idx", "chunk_len")
+    picked = stored(C.first_pairs(keys, ["doc_id", "chunk_idx"], PAIR_LEN, CAPPED_PAIRS), "picked-pairs")
+    own = docs.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi")  # at most CAPPED_PAIRS
+    built = chunks(tokenized(own).drop("text")).select("doc_id", "chunk_idx", "chunk")
+    return _pair_summary(C.pair_arrays(picked.join(built, ["doc_id", "chunk_idx"]), PAIR_LEN))
 
 
 @register("batches", "C8", f"""

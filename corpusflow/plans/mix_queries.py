@@ -93,11 +93,10 @@ FROM ({S.chunks_sql(None)}) c JOIN ({_catalog_sql()}) k ON c.source = k.source""
 SELECT source, doc_id, chunk_idx, src_ord FROM ({_src_ord_sql()}) o
 WHERE src_ord <= floor({TARGET_TOKENS}::DOUBLE / {TARGET_LEN}::DOUBLE * weight_norm)""")
 def capped_chunks(spark, sf_dir):
-    ch = _chunk_rows(spark, sf_dir)
     w = M.normalize_weights(source_catalog(spark, sf_dir))
     caps = M.source_caps(w, TARGET_TOKENS, TARGET_LEN)
-    with_ord = M.per_source_ordinal(ch, _order(), doc_id_bucket(spark, sf_dir))
-    return M.cap_per_source(with_ord, caps).select("source", "doc_id", "chunk_idx", "src_ord")
+    first = M.first_arrivals(_chunk_rows(spark, sf_dir), caps, _order(), doc_id_bucket(spark, sf_dir), "doc_id", mode=None)
+    return first.select("source", "doc_id", "chunk_idx", "src_ord")
 
 
 def _det_sql() -> str:
@@ -108,11 +107,11 @@ SELECT *, (row_number() OVER (ORDER BY mix_t, source_ord, doc_id, chunk_idx))::B
 FROM (SELECT *, (src_ord - 0.5::DOUBLE) / weight AS mix_t FROM ({_src_ord_sql()}) o) t"""
 
 
-def _det_mix(spark, sf_dir) -> DataFrame:
-    ch = _chunk_rows(spark, sf_dir)
+def _det_mix(spark, sf_dir, target_tokens: int | None = None) -> DataFrame:
+    """The interleave in order; with a budget, only as far as that can reach."""
     cat = source_catalog(spark, sf_dir)
-    rows = [(r["source"], r["weight"]) for r in cat.collect()]  # one row per source
-    arr = M.arrivals(ch, cat, _order(), doc_id_bucket(spark, sf_dir), mode="deterministic")
+    rows = M.catalog_weights(cat)
+    arr = M.first_arrivals(_chunk_rows(spark, sf_dir), cat, _order(), doc_id_bucket(spark, sf_dir), "doc_id", target_tokens=target_tokens)
     tie = [F.col("source_ord"), F.col("doc_id"), F.col("chunk_idx")]
     return M.mix_order(arr, M.mix_bucket(rows), tie)
 
@@ -127,7 +126,7 @@ def interleave_det(spark, sf_dir):
 SELECT source, doc_id, chunk_idx, mix_ord, mix_cum FROM ({_det_sql()}) d
 WHERE mix_cum - chunk_len < {TARGET_TOKENS}""")
 def budget_cut(spark, sf_dir):
-    return M.budget_cut(_det_mix(spark, sf_dir), TARGET_TOKENS).select(
+    return M.budget_cut(_det_mix(spark, sf_dir, TARGET_TOKENS), TARGET_TOKENS).select(
         "source", "doc_id", "chunk_idx", "mix_ord", "mix_cum")
 
 
@@ -140,7 +139,7 @@ WHERE mix_cum - chunk_len < {SUBSET_SAMPLES * TARGET_LEN}""")
 def budget_subset(spark, sf_dir):
     """The budget that a number of samples sets in place of the configured one."""
     budget = M.budget_from_subset(SUBSET_SAMPLES, TARGET_LEN, TARGET_TOKENS)
-    return M.budget_cut(_det_mix(spark, sf_dir), budget).select(
+    return M.budget_cut(_det_mix(spark, sf_dir, budget), budget).select(
         "source", "doc_id", "chunk_idx", "mix_ord", "mix_cum")
 
 
@@ -192,39 +191,96 @@ FROM w JOIN t ON t.pos >= w.window_id * {stride} AND t.pos <= w.window_id * {str
 GROUP BY w.window_id"""
 
 
-def _corpus_mix_sql() -> str:
-    kept = f"""
+def _mix_kept_sql(lang: str | None = "de") -> str:
+    """Chunks that the training mix keeps."""
+    return f"""
 SELECT * FROM (
   SELECT *, sum(chunk_len) OVER (ORDER BY mix_t, source_ord, doc_id, chunk_idx
                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mix_cum
   FROM (SELECT *, (src_ord - 0.5::DOUBLE) / weight AS mix_t
         FROM (SELECT c.*, k.source_ord, k.weight, k.weight_norm,
                      row_number() OVER (PARTITION BY c.source ORDER BY c.doc_id, c.chunk_idx) AS src_ord
-              FROM ({S.chunks_sql('de')}) c JOIN ({_catalog_sql()}) k ON c.source = k.source
+              FROM ({S.chunks_sql(lang)}) c JOIN ({_catalog_sql()}) k ON c.source = k.source
               WHERE c.doc_id IN (SELECT doc_id FROM documents
                                  WHERE (('0x' || substr(md5(sha256(text)), 1, 8))::BIGINT % 10000) >= 500)) o
         WHERE src_ord <= floor({MIX_BUDGET}::DOUBLE / {MIX_LEN}::DOUBLE * weight_norm)) m) mo
 WHERE mix_cum - chunk_len < {MIX_BUDGET}"""
+
+
+def _corpus_mix_sql() -> str:
     stream = f"""
 SELECT (mix_cum - chunk_len + k - 1)::BIGINT AS pos, chunk[k] AS id
-FROM (SELECT *, unnest(generate_series(1, chunk_len)) AS k FROM ({kept}) kk) s"""
+FROM (SELECT *, unnest(generate_series(1, chunk_len)) AS k FROM ({_mix_kept_sql()}) kk) s"""
     return _windows_sql(stream, MIX_LEN, MIX_LEN)
 
 
-@register("corpus_mix", "S1 F1 F2 F3 D1 M7 T1 C1 C2 M1 M2 M3 M4 M5 C3 C4 C5 C8", _corpus_mix_sql())
-def corpus_mix(spark, sf_dir):
-    from corpusflow.plans.corpus import documents_rows
-    from corpusflow.plans.prepare import PrepareConfig, prepare
-    cfg = PrepareConfig(language="de", target_tokens=MIX_BUDGET, mode="deterministic", seq_len=MIX_LEN,
-                        dedup_order=("doc_ord",))
-    out = prepare(documents_rows(spark, sf_dir), source_catalog(spark, sf_dir), cfg)
-    w = out.train_windows
+def _mix_config(**changes):
+    from corpusflow.plans.prepare import PrepareConfig
+    return PrepareConfig(**{"language": "de", "target_tokens": MIX_BUDGET, "mode": "deterministic", "seq_len": MIX_LEN, "dedup_order": ("doc_ord",)} | changes)
+
+
+def _window_sums(w: DataFrame) -> DataFrame:
     from corpusflow.plans.corpus_queries import id_sum
     return w.select("window_id", "batch_id", "update_id",
                     F.size("x").cast("bigint").alias("x_len"), F.size("y").cast("bigint").alias("y_len"),
                     id_sum(F.col("x")).alias("x_sum"), id_sum(F.col("y")).alias("y_sum"))
 
 
+@register("corpus_mix", "S1 F1 F2 F3 D1 M7 T1 C1 C2 M1 M2 M3 M4 M5 C3 C4 C5 C8", _corpus_mix_sql())
+def corpus_mix(spark, sf_dir):
+    from corpusflow.plans.corpus import documents_rows
+    from corpusflow.plans.prepare import prepare
+    out = prepare(documents_rows(spark, sf_dir), source_catalog(spark, sf_dir), _mix_config())
+    return _window_sums(out.train_windows)
+
+
+@register("corpus_mix_subword", "T1 C1-C5 C8 M1-M5")
+def corpus_mix_subword(spark, sf_dir):
+    """``corpus_mix`` with all lengths, budgets and windows counted in subword ids."""
+    from corpusflow.operators.subwords import read_merge_table
+    from corpusflow.plans.corpus import documents_rows
+    from corpusflow.plans.corpus_queries import MERGE_FILE
+    from corpusflow.plans.prepare import prepare
+    out = prepare(documents_rows(spark, sf_dir), source_catalog(spark, sf_dir), _mix_config(merges=read_merge_table(spark, MERGE_FILE)))
+    return _window_sums(out.train_windows)
+
+
+VALIDATION_SAMPLES, VALIDATION_PAIRS = 10_000, 100
+
+
+def _validation_sql() -> str:
+    mixed = f"""
+SELECT *, sum(chunk_len) OVER (ORDER BY mix_t, source_ord, doc_id, chunk_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mix_cum
+FROM (SELECT *, (src_ord - 0.5::DOUBLE) / weight AS mix_t
+      FROM (SELECT c.*, k.source_ord, k.weight, k.weight_norm,
+                   row_number() OVER (PARTITION BY c.source ORDER BY c.doc_id, c.chunk_idx) AS src_ord
+            FROM ({S.chunks_sql(None)}) c JOIN ({_catalog_sql()}) k ON c.source = k.source
+            WHERE c.doc_id NOT IN (SELECT doc_id FROM ({_mix_kept_sql(None)}) used)) o
+      WHERE src_ord <= floor({VALIDATION_SAMPLES * MIX_LEN}::DOUBLE / {MIX_LEN}::DOUBLE * weight_norm)) m"""
+    pairs = f"""
+SELECT doc_id, chunk_idx, mix_t, source_ord, (p - 1)::BIGINT AS pair_idx,
+       chunk[(p - 1) * {MIX_LEN} + 1 : p * {MIX_LEN}] AS x, chunk[(p - 1) * {MIX_LEN} + 2 : p * {MIX_LEN} + 1] AS y
+FROM (SELECT *, unnest(generate_series(1, (chunk_len - 1) // {MIX_LEN})) AS p FROM ({mixed}) mm
+      WHERE mix_cum - chunk_len < {VALIDATION_SAMPLES * MIX_LEN} AND chunk_len > {MIX_LEN}) q"""
+    return f"""
+SELECT doc_id, chunk_idx, pair_idx, (row_number() OVER (ORDER BY mix_t, source_ord, doc_id, chunk_idx, pair_idx))::BIGINT AS sample_ord,
+       list_sum(x)::BIGINT AS x_sum, list_sum(y)::BIGINT AS y_sum, len(y)::BIGINT AS y_len
+FROM ({pairs}) z ORDER BY mix_t, source_ord, doc_id, chunk_idx, pair_idx LIMIT {VALIDATION_PAIRS}"""
+
+
+@register("validation_pass", "M7 D3 M2-M5 C6 C7", _validation_sql())
+def validation_pass_q(spark, sf_dir):
+    """The pass after the training mix: documents that it took part of are out, then an own budget and the first pairs."""
+    from corpusflow.plans.corpus import documents_rows
+    from corpusflow.plans.corpus_queries import id_sum
+    from corpusflow.plans.prepare import prepare, validation_pass
+    rows, catalog, cfg = documents_rows(spark, sf_dir), source_catalog(spark, sf_dir), _mix_config(language=None)
+    used = prepare(rows, catalog, cfg).consumed
+    p = validation_pass(rows, catalog, cfg, used, VALIDATION_SAMPLES, VALIDATION_PAIRS)
+    return p.select(F.col("doc_ord").alias("doc_id"), "chunk_idx", "pair_idx", "sample_ord", id_sum(F.col("x")).alias("x_sum"),
+                    id_sum(F.col("y")).alias("y_sum"), F.size("y").cast("bigint").alias("y_len"))
+
+
 def catalog_from_specs(spark: SparkSession, specs) -> DataFrame:
     """The configured catalog (one row per source, including unreadable ones)."""
     return spark.createDataFrame([(s.name, i, float(s.weight)) for i, s in enumerate(specs)],

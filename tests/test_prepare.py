@@ -85,3 +85,59 @@ def test_prepare_race_mode_runs_and_respects_budget(spark):
     cum = [r["mix_cum"] for r in mixed]
     assert cum and all(c - r["chunk_len"] < 40 for c, r in zip(cum, mixed))
     assert [r["mix_ord"] for r in mixed] == list(range(1, len(mixed) + 1))
+
+
+def _subword_table():
+    from corpusflow.operators.subwords import MergeTable
+    ids = {bytes([b]): b for b in range(256)}
+    merges = [(b"a", b"l"), (b"t", b"a"), (b"e", b"ta"), (b" ", b"b"), (b"d", b"e")]
+    for a, b in merges:
+        ids.setdefault(a + b, len(ids))
+    return MergeTable.from_merges(merges, ids)
+
+
+def test_lengths_budget_and_windows_in_subwords(spark):
+    import regex
+    table = _subword_table()
+    rows, weights = _rows(), {"A": 0.7, "B": 0.3}
+    cfg = PrepareConfig(th=Thresholds(min_length=20, max_length=60, target_length=32, min_chars=20), target_tokens=700,
+                        mode="deterministic", val_fraction=0.0, seq_len=16, merges=table)
+    df = spark.createDataFrame(rows, "source STRING, source_ord INT, doc_ord INT, text STRING, lang STRING")
+    cat = spark.createDataFrame([("A", 0, 0.7), ("B", 1, 0.3)], "source STRING, source_ord INT, weight DOUBLE")
+    got = sorted((r["window_id"], r["x"], r["y"]) for r in prepare(df, cat, cfg).train_windows.collect())
+
+    def ids(text):
+        parts = regex.findall(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+", text)
+        return [i for p in parts for i in table.ids(p.encode())]
+    th, seen, chunks = cfg.th, set(), {}
+    for name, s, d, text, lang in sorted(rows, key=lambda r: (r[1], r[2])):
+        if len(text.strip()) >= th.min_chars and lang == "de" and text not in seen:
+            seen.add(text)
+            for ci, c in enumerate(chunk_loop(ids(text), th.min_length, th.max_length, th.target_length)):
+                chunks.setdefault(name, []).append((s, d, ci, c))
+    order = sorted(((r + 0.5) / weights[n], s, d, ci, c) for n, cs in chunks.items()
+                   for r, (s, d, ci, c) in enumerate(cs[:math.floor(700 / 32 * weights[n])]))
+    lengths = budget_loop([len(a[4]) for a in order], 700)
+    flat = [t for a in order[:len(lengths)] for t in a[4]]
+    assert [(x, y) for _, x, y in got] == [(list(x), list(y)) for x, y in windows_loop(flat, 16, None)]
+
+
+def test_validation_pass_shares_no_document_with_the_mix(spark):
+    from corpusflow.plans.prepare import validation_pass
+    rows = _rows()
+    cfg = PrepareConfig(th=Thresholds(min_length=2, max_length=30, target_length=8, min_chars=5), target_tokens=40,
+                        mode="deterministic", val_fraction=0.0, seq_len=4)
+    df = spark.createDataFrame(rows, "source STRING, source_ord INT, doc_ord INT, text STRING, lang STRING")
+    cat = spark.createDataFrame([("A", 0, 0.7), ("B", 1, 0.3)], "source STRING, source_ord INT, weight DOUBLE")
+    first = prepare(df, cat, cfg)
+    used = {(r["source_ord"], r["doc_ord"]) for r in first.mixed_chunks.collect()}
+    assert used and first.consumed.count() == len(used)
+    all_pairs = validation_pass(df, cat, cfg, first.consumed, samples=1000, max_pairs=None).collect()
+    held = {(r["source_ord"], r["doc_ord"]) for r in all_pairs}
+    assert held and not held & used
+    assert all(r["y"][:-1] == r["x"][1:] and len(r["x"]) == 4 for r in all_pairs)
+    assert sorted(r["sample_ord"] for r in all_pairs) == list(range(1, len(all_pairs) + 1))
+    some = validation_pass(df, cat, cfg, first.consumed, samples=1000, max_pairs=3).collect()
+    def key(r):
+        return (r["sample_ord"], r["source_ord"], r["doc_ord"], r["chunk_idx"], r["pair_idx"], r["x"])
+    assert sorted(map(key, some)) == sorted(map(key, all_pairs))[:3]

@@ -106,14 +106,58 @@ def test_language_profile_held_out_accuracy(spark):
     assert acc >= 0.98
 
 
-def test_user_tokenizer_file_through_map_in_pandas(spark, tmp_dir):
-    from tokenizers import Tokenizer, models, pre_tokenizers
-    from corpusflow.operators.tokens import encode_with_tokenizer
-    vocab = {"[UNK]": 0, "der": 1, "die": 2, "das": 3, "und": 4}
-    tok = Tokenizer(models.WordLevel(vocab, unk_token="[UNK]"))
-    tok.pre_tokenizer = pre_tokenizers.Whitespace()
-    path = f"{tmp_dir}/tok.json"
-    tok.save(path)
-    df = spark.createDataFrame([(1, "der die das"), (2, "und etwas"), (3, None)], "doc_id INT, text STRING")
-    got = {r["doc_id"]: (r["tokens"], r["n_tokens"]) for r in encode_with_tokenizer(df, path).collect()}
-    assert got[1] == ([1, 2, 3], 3) and got[2] == ([4, 0], 2) and got[3] == ([], 0)
+def _grams(text):
+    return [f" {w} "[i:i + 3] for w in (text or "").split() for i in range(len(w))]
+
+
+def test_gram_codes_match_padded_pieces(spark):
+    from corpusflow.operators.language import gram_code, gram_codes, gram_text
+    texts = _cases() + ["\U0001f916é \u2003x", "", "tail "]
+    codes, owner = gram_codes(texts)
+    got = [[] for _ in texts]
+    for c, i in zip(codes.tolist(), owner.tolist()):
+        got[i].append(gram_text(c))
+    assert got == [_grams(t) for t in texts]
+    some = sorted({(gram_text(c), c) for c in codes.tolist()})
+    df = spark.createDataFrame(some, "g STRING, c BIGINT")
+    assert df.filter(gram_code(F.col("g")) != F.col("c")).count() == 0
+
+
+def test_scores_match_formula_and_nothing_is_exploded(spark):
+    import math
+    from collections import Counter
+    from corpusflow.operators.language import score_languages, train_profile
+    train = [("de", "der hund und die katze"), ("en", "the dog and the cat"), ("en", "a cat"), (None, "zzz"), ("de", None)]
+    docs = [(1, "der die das katze", 7), (2, "the cat  and\nthe", 7), (3, "kurz", 7), (4, None, 7), (5, "qqq www xxx yyy", None), (None, "und die katzen hier", 1)]
+    prof = train_profile(spark.createDataFrame(train, "lang STRING, text STRING"))
+    counts = {"de": Counter(), "en": Counter()}
+    for lang, text in train:
+        if lang:
+            counts[lang].update(_grams(text))
+    assert {(r["lang"], r["gram"]): r["cnt"] for r in prof.collect()} == {(x, g): n for x, c in counts.items() for g, n in c.items()}
+    v = len(set(counts["de"]) | set(counts["en"]))
+    df = spark.createDataFrame(docs, "k INT, text STRING, other INT")
+    for max_bytes in (1 << 20, 24 * 7):  # the second: grams share seven slots
+        out = score_languages(df, ["k"], prof, carry=["other"], max_bytes=max_bytes)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Generate" not in plan and "Exchange" not in plan
+        got = {r["k"]: r for r in out.collect()}
+        assert got[3]["pred_lang"] is None and got[4]["pred_lang"] is None and got[3]["score_de"] is None
+        assert len(got) == 6 and got[1]["other"] == 7
+        if max_bytes > 1000:
+            assert (got[1]["pred_lang"], got[2]["pred_lang"], got[None]["pred_lang"]) == ("de", "en", "de")
+            for k, text, _ in docs:
+                for lang, c in counts.items():
+                    grams = _grams(text)
+                    want = sum(math.log(c[g] + 1) for g in grams) - len(grams) * math.log(c.total() + v)
+                    if got[k]["pred_lang"]:
+                        assert abs(got[k][f"score_{lang}"] - want) < 1e-9
+
+
+def test_empty_profile_and_empty_rows(spark):
+    from corpusflow.operators.language import score_languages, train_profile
+    none = train_profile(spark.createDataFrame([], "lang STRING, text STRING"))
+    df = spark.createDataFrame([(1, "some text here")], "k INT, text STRING")
+    assert [r["pred_lang"] for r in score_languages(df, ["k"], none).collect()] == [None]
+    prof = train_profile(spark.createDataFrame([("de", "ein text")], "lang STRING, text STRING"))
+    assert score_languages(df.filter("k > 1"), ["k"], prof).count() == 0
