@@ -2,7 +2,7 @@
 
 Text-heavy operators read Arrow batches and work on the UTF-8 buffers with
 numpy, so no Python string is built per token.  A batch is cut into blocks of
-about a megabyte; a longer text makes a block of its own, whole.
+a quarter of a megabyte; a longer text makes a block of its own, whole.
 """
 
 from __future__ import annotations
@@ -15,24 +15,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.operators.joins import spread_join  # noqa: F401
 from corpusflow.operators.sizing import broadcast_if_small
-from corpusflow.session import shared_path
+from corpusflow.session import shared_path, stored  # noqa: F401
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _pow: dict[str, np.ndarray] = {}
 
 
-def stored(df: DataFrame, name: str, **options) -> DataFrame:
-    """Write to the shared folder and read back: cuts the lineage, survives
-    lost executors, and what is computed once is not computed again."""
-    path = shared_path(df.sparkSession, name)
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -57,34 +50,20 @@ def content_key(*columns: str) -> F.Column:
     return F.struct(F.xxhash64(F.lit(1), *columns).alias("a"), F.xxhash64(F.lit(2), *columns).alias("b"))
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with the columns u0, u1, ..., which no operator uses for its own, and their names by those of ``docs``."""
+    own = {c: f"u{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*own.values()), own
+
+
 def without(docs: DataFrame, bad: DataFrame, *columns: str, most: int = 500_000) -> DataFrame:
     """Rows of ``docs`` whose content key isn't in ``bad`` (columns a and b); the
     rows stay where they are as long as the keys are few enough to broadcast."""
-    keyed = docs.withColumn("_content", content_key(*columns))
-    bad = broadcast_if_small(bad.select(F.col("a").alias("_a"), F.col("b").alias("_b")).distinct(), most)
-    kept = keyed.join(bad, (F.col("_content.a") == F.col("_a")) & (F.col("_content.b") == F.col("_b")), "left_anti")
-    return kept.select(*docs.columns)
-
-
-#: Keys that more than one row in this many has are frequent: there are fewer of them than this.
-FREQUENT = 1_000
-
-
-def spread_join(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """Left join of stored ``rows`` to ``table`` (one row per ``key``, a null being
-    a key too), however many rows share a key: fewer than ``FREQUENT`` keys can
-    each hold more than 1 in ``FREQUENT`` rows, and those are joined by broadcast, the others by
-    a shuffle in which no key stands out.  ``table`` has no other column of ``rows``."""
-    total = rows.count()
-    often = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") * FREQUENT > total)
-    often = F.broadcast(stored(often.select(F.col(key).alias("_often"), F.lit(True).alias("_is")), "frequent"))
-    side = table.withColumnRenamed(key, "_key")
-    marked = rows.join(often, F.col(key).eqNullSafe(F.col("_often")), "left")
-    few = side.join(often, F.col("_key").eqNullSafe(F.col("_often")), "left_semi")
-    columns = [*rows.columns, *(c for c in table.columns if c != key)]
-    parts = [marked.filter(w).join(t, F.col(key).eqNullSafe(F.col("_key")), "left").select(*columns)
-             for w, t in ((F.col("_is"), F.broadcast(few)), (F.col("_is").isNull(), side))]
-    return parts[0].unionByName(parts[1])
+    bad = broadcast_if_small(bad.select("a", "b").distinct(), most)
+    rows, own = numbered(docs)
+    keyed = rows.withColumn("content", content_key(*(own[c] for c in columns)))
+    kept = keyed.join(bad, (F.col("content.a") == F.col("a")) & (F.col("content.b") == F.col("b")), "left_anti")
+    return kept.select(*own.values()).toDF(*docs.columns)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

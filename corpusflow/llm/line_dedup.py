@@ -29,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import BYTE_MIX_2, blocks, content_key, partitions, read_table, row_id, small_batches, span_hashes, spans, stored
+from corpusflow.llm.common import BYTE_MIX_2, blocks, content_key, numbered, partitions, read_table, row_id, small_batches, span_hashes, spans, stored
 from corpusflow.llm.registry import query
 from corpusflow.operators.sizing import broadcast_if_small
 
 MIN_WORDS = 50
 MAX_BROADCAST_TEXTS = 200_000
+DELETED = "n_deleted_lines"
 
 _INK = np.ones(256, bool)
 _INK[[9, 10, 11, 12, 13, 32]] = False
@@ -181,29 +182,32 @@ def repeated_runs(docs: DataFrame, *, key: str, text: str, min_words: int = MIN_
     return texts, deleted
 
 
-def dedup_lines(docs: DataFrame, *, key: str, text: str, min_words: int = MIN_WORDS, drop_empty: bool = False) -> DataFrame:
-    """``docs`` without the later copies of repeated line runs, and n_deleted_lines;
-    with ``drop_empty`` texts of which nothing is left go."""
+def dedup_lines(docs: DataFrame, *, key: str, text: str, min_words: int = MIN_WORDS, drop_empty: bool = False, deleted_lines: str = DELETED) -> DataFrame:
+    """``docs`` without the later copies of repeated line runs, and their number ``deleted_lines``
+    (which takes the place of a column of that name); with ``drop_empty`` texts of which nothing is left go."""
     texts, deleted = repeated_runs(docs, key=key, text=text, min_words=min_words)
-    keyed = docs.withColumn("_content", content_key(key, text))
-    few = broadcast_if_small(deleted.select(F.col("content.a").alias("_a"), F.col("content.b").alias("_b"), F.col("parts").alias("_parts"), "n_deleted"), MAX_BROADCAST_TEXTS)
-    out = keyed.join(few, (F.col("_content.a") == F.col("_a")) & (F.col("_content.b") == F.col("_b")), "left")
-    lines = F.split(F.col(text).cast("string"), "\n", -1)
-    left = F.array_join(F.flatten(F.transform("_parts", lambda p: F.slice(lines, p["start"], p["size"]))), "\n")
-    out = out.withColumn(text, F.when(F.col("_parts").isNull(), F.col(text)).otherwise(left)).withColumn("n_deleted_lines", F.coalesce("n_deleted", F.lit(0)))
+    rows, own = numbered(docs)
+    keyed = rows.withColumn("content", content_key(own[key], own[text]))
+    few = broadcast_if_small(deleted.select(F.col("content.a").alias("a"), F.col("content.b").alias("b"), "parts", "n_deleted"), MAX_BROADCAST_TEXTS)
+    out = keyed.join(few, (F.col("content.a") == F.col("a")) & (F.col("content.b") == F.col("b")), "left").drop("a", "b")
+    whole = F.col(own[text])
+    lines = F.split(whole.cast("string"), "\n", -1)
+    left = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(lines, p["start"], p["size"]))), "\n")
+    out = out.withColumns({own[text]: F.when(F.col("parts").isNull(), whole).otherwise(left), "n_deleted": F.coalesce("n_deleted", F.lit(0)).cast("long")}).drop("parts")
     twins = texts.groupBy("content", "n_words", "n_lines").agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
-    twins = stored(twins.filter(F.col("n_words") >= min_words).select(F.col("content.a").alias("ta"), F.col("content.b").alias("tb"), "n_lines"), "twin-texts")
-    if not twins.isEmpty():  # of rows that repeat a key and a text the first stays
-        out = out.withColumn("_rid", row_id())
-        marked = out.join(broadcast_if_small(twins, MAX_BROADCAST_TEXTS), (F.col("_content.a") == F.col("ta")) & (F.col("_content.b") == F.col("tb")), "left")
-        single = marked.filter("ta is null")
-        nth = F.row_number().over(Window.partitionBy("ta", "tb").orderBy("_rid"))
-        several = marked.filter("ta is not null").withColumn("_nth", nth)
-        several = several.withColumn(text, F.when(F.col("_nth") == 1, F.col(text)).otherwise("")).withColumn("n_deleted_lines", F.when(F.col("_nth") == 1, F.col("n_deleted_lines")).otherwise(F.col("n_lines")))
-        out = single.unionByName(several.drop("_nth"))
+    twins = stored(twins.filter(F.col("n_words") >= min_words).select(F.col("content.a").alias("a"), F.col("content.b").alias("b"), "n_lines"), "twin-texts")
+    if not twins.isEmpty():  # of rows that repeat a key and a text one stays: the first, as they are stored
+        is_twin = (F.col("content.a") == F.col("a")) & (F.col("content.b") == F.col("b"))
+        side = broadcast_if_small(twins, MAX_BROADCAST_TEXTS)
+        several = stored(out.join(side, is_twin), "twin-copies").withColumn("rid", row_id())
+        first = stored(several.groupBy("a", "b").agg(F.min("rid").alias("rid")).select("rid", F.lit(True).alias("stays")), "twin-firsts")
+        several = several.join(broadcast_if_small(first, MAX_BROADCAST_TEXTS), "rid", "left")
+        several = several.withColumns({own[text]: F.when(F.col("stays"), F.col(own[text])).otherwise(""), "n_deleted": F.when(F.col("stays"), F.col("n_deleted")).otherwise(F.col("n_lines"))})
+        out = out.join(side, is_twin, "left_anti").unionByName(several.select(*out.columns))
     if drop_empty:
-        out = out.filter((F.col("n_deleted_lines") == 0) | (F.trim(F.translate(F.col(text), "\t\r\n\x0b\x0c", "     ")) != ""))
-    return out.select(*docs.columns, "n_deleted_lines")
+        out = out.filter((F.col("n_deleted") == 0) | (F.trim(F.translate(own[text], "\t\r\n\x0b\x0c", "     ")) != ""))
+    names = [c for c in docs.columns if c != deleted_lines]
+    return out.select(*(own[c] for c in names), "n_deleted").toDF(*names, deleted_lines)
 
 
 @query("op3_line_dedup")

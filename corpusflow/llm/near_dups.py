@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import blocks, content_key, mix64, read_table, row_id, small_batches, stored, without, words
+from corpusflow.llm.common import blocks, content_key, mix64, numbered, read_table, row_id, small_batches, stored, without, words
 from corpusflow.llm.graph import components
 from corpusflow.llm.registry import query
 from corpusflow.operators.sizing import broadcast_if_small
@@ -339,10 +339,10 @@ def deduplicate(docs: DataFrame, *, key: str, text: str) -> DataFrame:
     twins = stored(per.filter(F.col("kept") & (F.col("n") > 1)).select("content.*"), "twins")
     if twins.isEmpty():
         return left
-    wanted = twins.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
-    mine = left.withColumn("_content", content_key(key, text))
-    mine = mine.join(broadcast_if_small(wanted, 300_000), (F.col("_content.a") == F.col("_a")) & (F.col("_content.b") == F.col("_b")), "left_semi")
-    return without(left, twins, key, text).unionByName(mine.dropDuplicates(["_content"]).drop("_content"))
+    rows, own = numbered(left)
+    mine = rows.withColumn("content", content_key(own[key], own[text]))
+    mine = mine.join(broadcast_if_small(twins, 300_000), (F.col("content.a") == F.col("a")) & (F.col("content.b") == F.col("b")), "left_semi")
+    return without(left, twins, key, text).unionByName(mine.dropDuplicates(["content"]).select(*own.values()).toDF(*left.columns))
 
 
 @query("op5_order_minhash")

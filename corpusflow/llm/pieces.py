@@ -393,6 +393,10 @@ def decode_ids(ids, v: Vocabulary) -> bytes:
     return out[1:] if out[:1] == b" " else out
 
 
+#: Characters whose lattices a task holds at a time (a longer text is one part).
+PART_CHARS = 300_000
+
+
 def _sampler(path: str, k: int):
     def run(batches):
         v = vocabulary(path)
@@ -402,7 +406,7 @@ def _sampler(path: str, k: int):
             lo = 0
             while lo < len(texts):
                 hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size + len(texts[hi]) < 3_000_000):
+                while hi < len(texts) and (hi == lo or size + len(texts[hi]) < PART_CHARS):
                     size += len(texts[hi])
                     hi += 1
                 part = texts[lo:hi]
