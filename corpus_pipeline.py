@@ -2,7 +2,11 @@
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns a frame, which is written as Parquet and read again as the next one's
-``docs``.  All but the last return the columns of ``documents``.
+``docs``.  All but the last return the columns of ``documents``, further ones included.
+
+Defined results: an empty ``documents`` gives an empty result, an empty ``benchmark``
+takes no document; null and empty texts have no language and go with the first stage; rows
+with a null id stay or go like others, and repeated rows are near copies, of which one stays.
 """
 
 from __future__ import annotations
@@ -25,8 +29,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs are deleted; texts of which nothing is left go."""
-    out = dedup_lines(docs, key="doc_id", text="text", drop_empty=True)
-    return out.withColumn("n_chars", F.when(F.col("n_deleted_lines") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).select(*docs.columns)
+    gone = next(name for name in (f"deleted{'_' * i}" for i in range(len(docs.columns) + 1)) if name not in docs.columns)
+    out = dedup_lines(docs, key="doc_id", text="text", drop_empty=True, deleted_lines=gone)
+    length = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.withColumn("n_chars", F.when(F.col(gone) > 0, length).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
