@@ -245,13 +245,13 @@ def batches(spark, sf_dir):
 
 
 def _flat_stream_sql() -> str:
-    """Token positions of the lang='de' chunks concatenated in (doc_id, chunk_idx) order."""
+    """Token positions of all chunks concatenated in (doc_id, chunk_idx) order."""
     return f"""
 SELECT (off + k - 1)::BIGINT AS pos, chunk[k] AS id
 FROM (SELECT chunk, coalesce(sum(chunk_len) OVER (ORDER BY doc_id, chunk_idx
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off,
              unnest(generate_series(1, chunk_len)) AS k
-      FROM ({S.chunks_sql('de')}) c) s"""
+      FROM ({S.chunks_sql(None)}) c) s"""
 
 
 @register("pack_flat", "C3 C4 C5", f"""
@@ -267,7 +267,7 @@ SELECT w.window_id::BIGINT AS window_id,
 FROM w JOIN t ON t.pos >= w.window_id * {PACK_STRIDE} AND t.pos <= w.window_id * {PACK_STRIDE} + {PACK_LEN}
 GROUP BY w.window_id""")
 def pack_flat(spark, sf_dir):
-    ch = corpus_chunks(spark, sf_dir, language="de")
+    ch = corpus_chunks(spark, sf_dir, language=None)
     order = [F.col("doc_id"), F.col("chunk_idx")]
     # offsets are computed on narrow rows (no ids), the arrays joined on the unique key
     keys = ch.select("doc_id", "chunk_idx", "chunk_len")

@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 from corpusflow.functions.schedule import cosine_with_warmup
 from corpusflow.operators.tokens import token_count
 from corpusflow.plans import sql as S
-from corpusflow.plans.corpus import clean_documents, corpus_chunks
+from corpusflow.plans.corpus import clean_documents, corpus_chunks, documents_rows
 from corpusflow.plans.corpus_queries import id_sum
 from corpusflow.plans.registry import register
 from corpusflow.plans.runlog_queries import (_TPS_SQL, BASE_LR, HORIZON, MIN_LR, WARMUP, _arrow_sql,
                                              _lr_t, _tps_frame)
-from corpusflow.session import path_exists, shared_path
+from corpusflow.session import shared_path
+from corpusflow.sources.catalog import SourceSpec
 from corpusflow.sources.runlog_io import append_runlog, read_runlog
 from corpusflow.sources.synthetic import synthetic_pieces
-from corpusflow.sources.tables import documents_spec
 from corpusflow.sources.token_io import read_tokens, write_tokens
 from corpusflow.streaming.ingest import start_ingest
 from corpusflow.streaming.monitor import LOG_SCHEMA, OUT_SCHEMA, TRACKED, start_monitor
@@ -29,9 +29,9 @@ SYNTH_SEED = 0
 
 
 @register("token_roundtrip", "S6 S7", f"""
-SELECT source, doc_id, chunk_idx, chunk_len, list_sum(chunk)::BIGINT AS id_sum FROM ({S.chunks_sql('de')}) c""")
+SELECT source, doc_id, chunk_idx, chunk_len, list_sum(chunk)::BIGINT AS id_sum FROM ({S.chunks_sql(None)}) c""")
 def token_roundtrip(spark, sf_dir):
-    ch = corpus_chunks(spark, sf_dir, language="de").select(
+    ch = corpus_chunks(spark, sf_dir, language=None).select(
         "source", "doc_id", F.col("chunk_idx").cast("bigint"), "chunk_len", "chunk")
     path = shared_path(spark, "tokens")
     write_tokens(ch, path)
@@ -85,21 +85,29 @@ def monitor_stream(spark, sf_dir):
     return spark.read.schema(OUT_SCHEMA).parquet(out_dir)
 
 
+FEEDS = 3
+
+
 @register("ingest_stream", "ST3 D1 F1 F2 T1 C1", f"""
 SELECT d.h, count(*)::BIGINT AS n_chunks, sum(c.chunk_len)::BIGINT AS chunk_tokens,
-       sum(list_sum(c.chunk))::BIGINT AS id_sum
-FROM ({S.chunks_sql('de')}) c JOIN (SELECT doc_id, sha256(text) AS h FROM documents) d ON c.doc_id = d.doc_id
+       sum(list_sum(c.chunk))::BIGINT AS id_sum, min(d.feed)::BIGINT AS first_feed
+FROM ({S.chunks_sql(None)}) c
+JOIN (SELECT sha256(text) AS h, min(doc_id % {FEEDS}) AS feed FROM ({S.filtered_docs_sql(None)}) f GROUP BY 1) d
+  ON d.h = (SELECT sha256(text) FROM documents WHERE documents.doc_id = c.doc_id)
 GROUP BY d.h""")
 def ingest_stream(spark, sf_dir):
-    out_dir, ckpt = shared_path(spark, "ingest-out"), shared_path(spark, "ingest-ckpt")
-    q = start_ingest(spark, [documents_spec(sf_dir)], out_dir, ckpt, language="de")
-    q.awaitTermination()
-    if not path_exists(spark, out_dir):  # no micro-batch had rows
-        return spark.createDataFrame([], "h STRING, n_chunks BIGINT, chunk_tokens BIGINT, id_sum BIGINT")
-    landed = spark.read.parquet(out_dir)
+    """All documents arrive in ``FEEDS`` appends, each at least one micro-batch of its own; copies of a text come in several of them."""
+    docs = documents_rows(spark, sf_dir).select("doc_id", "source", "text", "lang")
+    landing, out_dir, ckpt = (shared_path(spark, f"ingest-{x}") for x in ("landing", "out", "ckpt"))
+    spec = SourceSpec("documents", landing, 1.0, order_expr=f"doc_id % {FEEDS} * {1 << 40} + doc_id", lang_column="lang")
+    for feed in range(FEEDS):
+        docs.filter(F.col("doc_id") % FEEDS == feed).write.mode("append").parquet(landing)
+        start_ingest(spark, [spec], out_dir, ckpt, language=None, mode="keyed").awaitTermination()
+    landed = spark.read.schema("h STRING, source STRING, source_ord INT, doc_ord BIGINT, chunk_idx INT, chunk_len BIGINT, chunk ARRAY<INT>").parquet(out_dir)
     return landed.groupBy("h").agg(F.count(F.lit(1)).alias("n_chunks"),
                                    F.sum("chunk_len").cast("bigint").alias("chunk_tokens"),
-                                   F.sum(id_sum(F.col("chunk"))).cast("bigint").alias("id_sum"))
+                                   F.sum(id_sum(F.col("chunk"))).cast("bigint").alias("id_sum"),
+                                   F.shiftright(F.min("doc_ord"), 40).cast("bigint").alias("first_feed"))
 
 
 @register("synthetic_tokens", "S10", f"""

@@ -1,7 +1,7 @@
 """Incremental corpus ingest (ST3): the corpus filters, exact dedup, tokens
 and chunks on a stream of documents.
 
-Two dedup modes:
+Three dedup modes:
 
 * ``"batch"`` (default, skew-safe): ``foreachBatch``.  Inside a micro-batch
   the first copy of every text is chosen by the batch dedup (``dedup_first``:
@@ -12,11 +12,14 @@ Two dedup modes:
   against the batch's unique digests, broadcast when their count is under a
   limit.  Outputs and digests are written under ``batch_id=<n>``: a retried
   batch overwrites its own files and only reads earlier batches' digests.
-* ``"state"``: ``dropDuplicates(["h"])`` in the state store, matching the
-  reference's unbounded in-memory set (configure
-  ``spark.sql.streaming.stateStore.providerClass`` = ROCKSDB for large state;
-  with a watermark column ``dropDuplicatesWithinWatermark`` bounds it).  Every
-  copy of a text is routed to one state partition, and which copy survives
+* ``"keyed"``: one streaming query with a keyed state (``transformWithStateInPandas``
+  on RocksDB): a value per digest, looked up by key, so a micro-batch costs as much as its own texts
+  however many came before.  Every task first keeps one copy of a text per
+  Arrow batch, so a text that a third of the rows repeat reaches its key a
+  few thousand times less often.  Of a text's copies in the micro-batch that brings it, the
+  one of the lowest (source_ord, doc_ord) survives; later copies never do.
+* ``"state"``: ``dropDuplicates(["h"])`` in the state store, with
+  a watermark column ``dropDuplicatesWithinWatermark``, which bounds the state.  Which copy survives
   inside a micro-batch is not defined.
 
 Mixing and the budget need a global order and run on the landed table.
@@ -24,8 +27,13 @@ Mixing and the budget need a global order and run on the landed table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from corpusflow.functions.text import text_digest
 from corpusflow.operators.chunks import chunk
@@ -58,6 +66,44 @@ def ingest_frame(stream: DataFrame, language: str | None = "de", min_chars: int
     return _chunks(rows, min_len, max_len, target)
 
 
+FIRST = ["source_ord", "doc_ord"]
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def _one_copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first copy of every text of an Arrow batch."""
+    for b in batches:
+        keys = pd.DataFrame({c: b.column(c).to_pandas() for c in ("h", *FIRST)})
+        yield b.take(pa.array(keys.sort_values(FIRST, kind="stable").drop_duplicates("h").index.to_numpy()))
+
+
+class FirstText(StatefulProcessor):
+    """Lets the first copy of a text through, and remembers its digest, the key."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._seen = handle.getValueState("seen", "seen BOOLEAN")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if self._seen.exists():
+            return
+        first = None
+        for part in rows:
+            best = part.sort_values(FIRST, kind="stable").head(1)
+            first = best if first is None else pd.concat([first, best]).sort_values(FIRST, kind="stable").head(1)
+        if first is not None:
+            self._seen.update((True,))
+            yield first
+
+    def close(self) -> None:
+        pass
+
+
+def first_texts(rows: DataFrame) -> DataFrame:
+    """First copies (by the digest ``h``) of a stream's texts, over all its micro-batches."""
+    one = rows.mapInArrow(_one_copy, rows.schema)
+    return one.groupBy("h").transformWithStateInPandas(FirstText(), rows.schema, "Append", "None")
+
+
 def dedup_micro_batch(batch: DataFrame, batch_id: int, seen_dir: str) -> DataFrame:
     """First copies of texts of one micro-batch not seen in earlier batches."""
     spark = batch.sparkSession
@@ -96,15 +142,24 @@ def start_ingest(spark: SparkSession, specs: list[SourceSpec], out_dir: str, che
     stream, _skipped = read_sources(spark, specs, streaming=True, with_lang=True)
     if stream is None:
         raise ValueError(f"no readable source among {[s.name for s in specs]}")
-    if mode == "state":
+    digested = corpus_filters(stream, min_chars, language).withColumn("h", text_digest(F.col("text")))
+    provider = spark.conf.get(PROVIDER, None)
+    if mode == "keyed":
+        spark.conf.set(PROVIDER, ROCKSDB)  # taken over by the query when it starts
+        w = (_chunks(first_texts(digested), min_len, max_len, target).writeStream
+             .format("parquet").option("path", out_dir).outputMode("append"))
+    elif mode == "state":
         w = (ingest_frame(stream, language, min_chars, min_len, max_len, target).writeStream
              .format("parquet").option("path", out_dir).outputMode("append"))
     elif mode == "batch":
-        rows = corpus_filters(stream, min_chars, language).withColumn("h", text_digest(F.col("text")))
-        w = rows.writeStream.foreachBatch(
+        w = digested.writeStream.foreachBatch(
             _batch_writer(out_dir, seen_dir or f"{checkpoint.rstrip('/')}-seen", min_len, max_len, target))
     else:
         raise ValueError(f"unknown mode {mode}")
     w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
-    return w.start()
+    try:
+        return w.start()
+    finally:
+        if mode == "keyed":
+            spark.conf.set(PROVIDER, provider) if provider else spark.conf.unset(PROVIDER)

@@ -5,13 +5,17 @@ append, see ``sources.runlog_io``).  Per run, the state holds the last *shown*
 row; in every micro-batch the newest row of a run (highest ``seq``) is shown
 only if its step exceeds the last shown step (initially 0), with trend arrows
 against the last shown row.  Rows between two polls are skipped, as in a
-poller that reads only the last entry.
+poller that reads only the last entry.  Every task first keeps the newest row per
+run of an Arrow batch, so the stateful step sees one row per run and batch, not
+the run's log.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -60,6 +64,14 @@ def _clean(v):
     return None if math.isnan(v) else v
 
 
+def newest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The row of the highest ``seq`` (nulls lowest) per run of an Arrow batch."""
+    for b in batches:
+        keys = pa.table({"run_id": b.column("run_id"), "seq": b.column("seq"), "at": pa.array(range(b.num_rows))}).to_pandas()
+        last = keys.sort_values("seq", na_position="first", kind="stable").drop_duplicates("run_id", keep="last")
+        yield b.take(pa.array(last["at"].to_numpy()))
+
+
 def show_latest(key, pdfs, state):
     """applyInPandasWithState function: emit the newest row of the run if
     its step advanced past the last shown step."""
@@ -94,6 +106,7 @@ def monitor_frame(spark: SparkSession, log_dir: str, max_files_per_trigger: int
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     logs = reader.json(log_dir)
+    logs = logs.mapInArrow(newest_rows, logs.schema)
     return logs.groupBy("run_id").applyInPandasWithState(
         show_latest, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
