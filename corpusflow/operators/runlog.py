@@ -62,6 +62,13 @@ def latest(rl: DataFrame, order: list[Column], cols: list[str]) -> DataFrame:
             .select(RUN, "n_rows", *[F.col("_l")[c].alias(c) for c in cols]))
 
 
+def latest_per_step(rl: DataFrame, order: list[Column], cols: list[str], step: str = "step") -> DataFrame:
+    """Q13: a resumed run repeats steps; the last row of every (run, step) in arrival order, and how often it was logged."""
+    last = F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*order))
+    return (rl.groupBy(RUN, step).agg(last.alias("_l"), F.count(F.lit(1)).alias("n_logged"))
+            .select(RUN, step, "n_logged", *[F.col("_l")[c].alias(c) for c in cols]))
+
+
 def series(rl: DataFrame, metrics: list[str], x: Column) -> DataFrame:
     """A3 + X3: wide -> long (run, metric, title, x, value) of rows having the
     metric; x is the step, else the arrival position."""
@@ -128,6 +135,27 @@ def first_crossing(rl: DataFrame, value: str, threshold: float, step: Column,
     return rl.groupBy(RUN).agg(F.min(F.when(hit, step)).alias("cross_step"))
 
 
+def batch_breaks(crossings: DataFrame, batch_size: int, reduced: int) -> DataFrame:
+    """C8 with W4: per run the intervals of equal batch size, in order: (from_step, size, before), where
+    ``before`` samples precede the interval.  The step that crosses still has the full size."""
+    after = F.col("cross_step") + 1
+    first = F.struct(F.lit(0).cast("bigint").alias("from_step"), F.lit(batch_size).cast("bigint").alias("size"), F.lit(0).cast("bigint").alias("before"))
+    second = F.struct(after.alias("from_step"), F.lit(reduced).cast("bigint").alias("size"), (after * batch_size).alias("before"))
+    return crossings.select(RUN, "cross_step", F.when(F.col("cross_step").isNull() | (F.lit(batch_size) <= reduced), F.array(first)).otherwise(F.array(first, second)).alias("breaks"))
+
+
+def batch_at(breaks: Column, step: Column) -> Column:
+    """STRUCT<batch_size, first_sample> of a step: its place in the ordered intervals."""
+    own = F.element_at(F.filter(breaks, lambda b: b["from_step"] <= step), -1)
+    return F.struct(own["size"].alias("batch_size"), (own["before"] + (step - own["from_step"]) * own["size"]).alias("first_sample"))
+
+
+def batch_of_sample(breaks: Column, sample: Column) -> Column:
+    """Step whose batch holds a sample (counted from 0): the inverse of ``batch_at``."""
+    own = F.element_at(F.filter(breaks, lambda b: b["before"] <= sample), -1)
+    return own["from_step"] + F.floor((sample - own["before"]) / own["size"]).cast("bigint")
+
+
 def monotone_accept(step: Column, prev_max_step: Column) -> Column:
     """A row is shown only if its step exceeds every earlier one (start 0)."""
     return F.coalesce(step, F.lit(0)) > F.coalesce(prev_max_step, F.lit(0))

@@ -7,20 +7,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusflow.functions.schedule import cosine_with_warmup
+from corpusflow.functions.time import epoch_micros_ntz
+from corpusflow.operators import runlog as R
+from corpusflow.operators.chunks import stream_offsets
+from corpusflow.operators.ordering import ordinal, range_bucket
 from corpusflow.operators.tokens import token_count
 from corpusflow.plans import sql as S
-from corpusflow.plans.corpus import clean_documents, corpus_chunks, documents_rows
-from corpusflow.plans.corpus_queries import id_sum
+from corpusflow.plans.corpus import clean_documents, corpus_chunks, doc_id_bucket, documents_rows
+from corpusflow.plans.corpus_queries import _flat_stream_sql, id_sum
 from corpusflow.plans.registry import register
 from corpusflow.plans.runlog_queries import (_TPS_SQL, BASE_LR, HORIZON, MIN_LR, WARMUP, _arrow_sql,
-                                             _lr_t, _tps_frame)
-from corpusflow.session import shared_path
+                                             _lr_t, _tps_frame, runlog_rows)
+from corpusflow.session import shared_path, stored
 from corpusflow.sources.catalog import SourceSpec
-from corpusflow.sources.runlog_io import append_runlog, read_runlog
+from corpusflow.sources.runlog_io import append_runlog, append_runlog_maps, read_runlog, read_runlog_maps
 from corpusflow.sources.synthetic import synthetic_pieces
-from corpusflow.sources.token_io import read_tokens, write_tokens
+from corpusflow.sources.tables import table
+from corpusflow.sources.token_io import read_flat, read_tokens, write_flat, write_tokens
+from corpusflow.sources.tolerant import read_files, read_lines
 from corpusflow.streaming.ingest import start_ingest
 from corpusflow.streaming.monitor import LOG_SCHEMA, OUT_SCHEMA, TRACKED, start_monitor
 
@@ -39,6 +46,93 @@ def token_roundtrip(spark, sf_dir):
     return back.select("source", "doc_id", "chunk_idx", "chunk_len", id_sum(F.col("chunk")).alias("id_sum"))
 
 
+FLAT_WINDOW = 512
+
+
+@register("flat_roundtrip", "S6 S7 C3", f"""
+SELECT (pos // {FLAT_WINDOW})::BIGINT AS window_id, count(*)::BIGINT AS n, sum(id)::BIGINT AS id_sum,
+       sum(id * (pos % {FLAT_WINDOW} + 1))::BIGINT AS placed_sum
+FROM ({_flat_stream_sql()}) t GROUP BY 1""")
+def flat_roundtrip(spark, sf_dir):
+    """All chunks as one flat JSON array, read back by byte ranges."""
+    ch = corpus_chunks(spark, sf_dir, language=None).select("doc_id", "chunk_idx", "chunk_len", "chunk")
+    order = [F.col("doc_id"), F.col("chunk_idx")]
+    offsets = stored(stream_offsets(ch.drop("chunk"), order, doc_id_bucket(spark, sf_dir)).select("doc_id", "chunk_idx", "offset", "chunk_len"), "offsets")
+    total = offsets.agg(F.sum("chunk_len")).first()[0] or 0
+    path = shared_path(spark, "flat")
+    write_flat(ch.join(offsets.select("doc_id", "chunk_idx", "offset"), ["doc_id", "chunk_idx"]), path, total)
+    back = read_flat(spark, path)
+    at = F.floor(F.col("pos") / FLAT_WINDOW).cast("bigint")
+    return back.groupBy(at.alias("window_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum"), F.sum(F.col("id") * (F.col("pos") % FLAT_WINDOW + 1)).alias("placed_sum"))
+
+
+BROKEN_LINE = '{"run_id": 7, "loss": 2.'
+_TOLERANT_PARTS = 4
+
+
+@register("tolerant_scan", "S4 A2", f"""
+SELECT 'file' AS kind, 'part=' || (doc_id % {_TOLERANT_PARTS})::VARCHAR AS name, count(*)::BIGINT AS n_rows FROM documents GROUP BY 2
+UNION ALL SELECT 'file', 'part=broken', 0
+UNION ALL SELECT 'lines', 'read', count(*) FROM events
+UNION ALL SELECT 'bad line', '{BROKEN_LINE}', 1""")
+def tolerant_scan(spark, sf_dir):
+    """Documents with a file among them that is no Parquet, a run log with a line that breaks off: both are named."""
+    docs = documents_rows(spark, sf_dir).select("doc_id", "text")
+    files, log = shared_path(spark, "tolerant-files"), shared_path(spark, "tolerant-log")
+    for k in range(_TOLERANT_PARTS):
+        docs.filter(F.col("doc_id") % _TOLERANT_PARTS == k).coalesce(1).write.parquet(f"{files}/part={k}")
+    spark.range(1).select(F.lit("no parquet").alias("value")).coalesce(1).write.text(f"{files}/part=broken")
+    rows, report = read_files(spark, files, docs.schema)
+    per_file = report.select(F.lit("file").alias("kind"), F.regexp_extract("file", "(part=[^/]+)/[^/]+$", 1).alias("name"), "n_rows")
+    append_runlog(runlog_rows(spark, sf_dir).select("run_id", "loss"), log)
+    spark.range(1).select(F.lit(BROKEN_LINE).alias("value")).write.mode("append").text(log)
+    good, bad = read_lines(spark, log, T.StructType([T.StructField("run_id", T.LongType()), T.StructField("loss", T.DoubleType())]))
+    lines = good.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("lines").alias("kind"), F.lit("read").alias("name"), "n_rows")
+    broken = bad.groupBy(F.col("line").alias("name")).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("bad line").alias("kind"), "name", "n_rows")
+    return per_file.groupBy("kind", "name").agg(F.sum("n_rows").alias("n_rows")).unionByName(lines).unionByName(broken)
+
+
+RESUMES = 3
+_MAPS_SQL = f"""
+SELECT user_id AS run_id, event_id % {RESUMES} AS k, ts, event_id, (event_id % 40 * 10)::BIGINT AS step, event_id % 5 <> 0 AS has_loss,
+       CASE WHEN event_id % 7 = 0 THEN NULL ELSE round(value / 100.0::DOUBLE, 9) END AS loss,
+       row_number() OVER (PARTITION BY user_id ORDER BY event_id % {RESUMES}, ts, event_id)::BIGINT AS seq FROM events"""
+
+
+def _map_log(spark, sf_dir) -> DataFrame:
+    """A run log of maps written by ``RESUMES`` appends: ``loss`` is absent from every fifth row and null
+    in every seventh other, and steps repeat after each resume; read back with ``seq`` from the files alone."""
+    e = table(spark, sf_dir, "events")
+    step = (F.col("event_id") % 40 * 10).cast("double")
+    loss = F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("double")).otherwise(F.round(F.col("value") / 100.0, 9))
+    metrics = F.when(F.col("event_id") % 5 == 0, F.create_map(F.lit("step"), step)).otherwise(F.create_map(F.lit("step"), step, F.lit("loss"), loss))
+    rows = e.select(F.col("user_id").alias("run_id"), epoch_micros_ntz(F.col("ts")).alias("at"), "event_id", metrics.alias("metrics"))
+    log = shared_path(spark, "map-log")
+    for k in range(RESUMES):
+        append_runlog_maps(rows.filter(F.col("event_id") % RESUMES == k), log, ["at", "event_id"])
+    back = stored(read_runlog_maps(spark, log), "map-log-read")
+    return ordinal(back, ["run_id"], [F.col("arrival")], range_bucket(back, F.col("arrival")), "seq", materialize=False)
+
+
+@register("metric_history_map", "A1 S8 S9", f"""
+SELECT run_id, seq, step, loss FROM ({_MAPS_SQL}) m WHERE has_loss""")
+def metric_history_map(spark, sf_dir):
+    h = R.history(_map_log(spark, sf_dir), "loss", map_col="metrics")
+    return h.select("run_id", "seq", F.col("metrics")["step"].cast("bigint").alias("step"), F.col("value").alias("loss"))
+
+
+@register("latest_per_step", "A2 S8 S9", f"""
+SELECT run_id, step, count(*)::BIGINT AS n_logged, max(seq) AS seq, arg_max(loss_or, seq) AS loss, arg_max(has_loss, seq) AS has_loss
+FROM (SELECT *, CASE WHEN has_loss THEN coalesce(loss, -1.0) ELSE -2.0 END AS loss_or FROM ({_MAPS_SQL}) m) n GROUP BY run_id, step""")
+def latest_per_step(spark, sf_dir):
+    """The last row of each repeated step; a null loss shows as -1, an absent one as -2."""
+    has = F.map_contains_key("metrics", "loss")
+    rows = _map_log(spark, sf_dir).select("run_id", "seq", "arrival", F.col("metrics")["step"].cast("bigint").alias("step"), has.alias("has_loss"),
+                                          F.when(has, F.coalesce(F.col("metrics")["loss"], F.lit(-1.0))).otherwise(F.lit(-2.0)).alias("loss"))
+    return R.latest_per_step(rows, [F.col("arrival")], ["seq", "loss", "has_loss"])
+
+
 def runlog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run-log rows as the trainer would log them, with the append they
     belong to (day of month div 10), cut from lineage by a reliable checkpoint."""

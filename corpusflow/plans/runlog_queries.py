@@ -19,6 +19,7 @@ from corpusflow.functions.schedule import (cosine_with_warmup, descale_loss, lin
                                            perplexity, update_index)
 from corpusflow.operators import runlog as R
 from corpusflow.operators.ordering import Running, range_bucket, scan
+from corpusflow.operators.sizing import broadcast_if_small
 from corpusflow.plans.registry import register
 from corpusflow.sources.tables import table
 
@@ -217,6 +218,30 @@ def crossing(spark, sf_dir):
                                 F.count_if(~full).alias("steps_reduced_batch"))
 
 
+REDUCED = 8
+
+
+@register("batches_after_crossing", "W4 C8", f"""
+WITH r AS ({_RL_SQL}),
+c AS (SELECT run_id, min(step) FILTER (WHERE step % 10 = 0 AND vram_usage > {VRAM_LIMIT}) AS cross_step
+      FROM r GROUP BY run_id)
+SELECT r.run_id, seq, step, cross_step,
+       (CASE WHEN step > cross_step THEN {REDUCED} ELSE {BATCH} END)::BIGINT AS batch_size,
+       ({BATCH} * CASE WHEN step > cross_step THEN cross_step + 1 ELSE step END
+        + {REDUCED} * CASE WHEN step > cross_step THEN step - cross_step - 1 ELSE 0 END)::BIGINT AS first_sample,
+       step AS step_of_first, step AS step_of_last
+FROM r JOIN c ON r.run_id = c.run_id""")
+def batches_after_crossing(spark, sf_dir):
+    """The batch of every logged step: its size, its first sample, and the steps found again from its first and last sample."""
+    rl = with_steps(spark, sf_dir).select(R.RUN, "seq", "step", "vram_usage")
+    breaks = R.batch_breaks(R.first_crossing(rl, "vram_usage", VRAM_LIMIT, F.col("step")), BATCH, REDUCED)
+    at = rl.join(broadcast_if_small(breaks), R.RUN).withColumn("b", R.batch_at(F.col("breaks"), F.col("step")))
+    last = F.col("b.first_sample") + F.col("b.batch_size") - 1
+    return at.select(R.RUN, "seq", "step", "cross_step", "b.batch_size", "b.first_sample",
+                     R.batch_of_sample(F.col("breaks"), F.col("b.first_sample")).alias("step_of_first"),
+                     R.batch_of_sample(F.col("breaks"), last).alias("step_of_last"))
+
+
 @register("monotone", "W5", f"""
 SELECT run_id, seq, step > coalesce(max(step) {_W_BEFORE}, 0) AS accepted FROM ({_RL_SQL}) r""")
 def monotone(spark, sf_dir):

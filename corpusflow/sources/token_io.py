@@ -2,17 +2,23 @@
 
 The sink is a table of chunks (parquet, partitioned by source by default, or
 JSON lines) written by the executors; totals come from an aggregate, not
-from the driver.  The reference's single flat JSON int array exists only as a
-legacy *input*: ``read_legacy_flat`` reads such files (each file is one
-record by construction of that format).
+from the driver.
+
+The flat form is one JSON int array.  ``write_flat`` writes it as text parts whose
+bytes, in name order, are that array; ``read_flat`` reads such a folder, or a single file, by byte
+ranges: a comma ends a record, so a file of any size is split over tasks, and
+every id gets its position from its place in the range and the counts of the ranges before.
+(``read_legacy_flat`` takes small files whole.)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusflow.session import stored
+
 TOKENS_TYPE = T.ArrayType(T.IntegerType())
 
 
@@ -41,3 +47,32 @@ def read_legacy_flat(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.text(path, wholetext=True)
     return raw.select(F.input_file_name().alias("file"),
                       F.from_json("value", TOKENS_TYPE).alias("tokens"))
+
+
+def write_flat(df: DataFrame, path: str, total_tokens: int, offset_col: str = "offset", tokens_col: str = "chunk", parts: int | None = None) -> None:
+    """S6 (flat): rows with their offsets in the stream, as parts of one array.  A row is a
+    line; the first opens the array, the one that ends at ``total_tokens`` closes it.
+    ``parts`` fixes the number of parts."""
+    off, ids = F.col(offset_col), F.col(tokens_col)
+    line = F.concat(F.when(off == 0, "[").otherwise(", "), F.array_join(ids, ", "), F.when(off + F.size(ids) == total_tokens, "]").otherwise(""))
+    rows = df.filter(F.size(ids) > 0).select(off.alias("at"), line.alias("value"))
+    rows.repartitionByRange(*([parts] if parts else []), "at").sortWithinPartitions("at").select("value").write.text(path)
+
+
+def read_flat(spark: SparkSession, path: str) -> DataFrame:
+    """S7 (flat): (pos, id) of a flat JSON int array; anything but integers is an error."""
+    raw = spark.read.option("lineSep", ",").text(path)
+    value = F.regexp_replace("value", r"[\[\]\s]", "")
+    ids = raw.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"), value.alias("value"))
+    # stored, so that the rows' numbers stay what they are
+    ids = stored(ids.filter(F.col("value") != "").select("file", "start", "row", F.col("value").cast("bigint").alias("id")), "flat-ids")
+    ranges = ids.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first"), F.max("row").alias("last"))
+    # a row per byte range of some megabytes
+    before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    if not ranges.filter(F.col("last") - F.col("first") >= F.col("n")).isEmpty():  # blanks within a range
+        inside = Window.partitionBy("file", "start").orderBy("row")
+        ids = ids.withColumn("nth", F.row_number().over(inside) - 1)
+    else:
+        ids = ids.join(ranges.select("file", "start", "first"), ["file", "start"]).withColumn("nth", F.col("row") - F.col("first"))
+    return ids.join(ranges.select("file", "start", "before"), ["file", "start"]).select((F.col("before") + F.col("nth")).cast("bigint").alias("pos"), "id")
