@@ -287,17 +287,25 @@ def catalog_from_specs(spark: SparkSession, specs) -> DataFrame:
                                  "source STRING, source_ord INT, weight DOUBLE")
 
 
-@register("corpus_mix_sources", "S1-S5 F1-F4 D1 D2 M7 T1 C1 M1-M5 C3-C5 C8 M6")
-def corpus_mix_sources(spark, sf_dir):
+def _mix_sources(spark, sf_dir):
     """All text tables as weighted sources (0.6/0.2/0.1/0.05 + one unreadable),
     language detected by the trigram profile, race interleave, 200k budget."""
     from corpusflow.plans.lang_queries import profile
-    from corpusflow.plans.prepare import PrepareConfig, prepare
+    from corpusflow.plans.prepare import prepare
     from corpusflow.sources.catalog import read_sources
     from corpusflow.sources.tables import corpus_specs
     specs = corpus_specs(sf_dir)
     rows, _skipped = read_sources(spark, specs, with_lang=True)
-    cfg = PrepareConfig(language="de", target_tokens=200_000, mode="race", seed=RACE_SEED)
-    out = prepare(rows, catalog_from_specs(spark, specs), cfg,
-                  profile=profile(spark, sf_dir, materialize=True))
-    return out.report
+    cfg = _mix_config(target_tokens=200_000, mode="race", seed=RACE_SEED, dedup_order=("source_ord", "doc_ord"))
+    return prepare(rows, catalog_from_specs(spark, specs), cfg, profile=profile(spark, sf_dir, materialize=True))
+
+
+@register("corpus_mix_sources", "S1-S5 F1-F4 D1 D2 M7 T1 C1 M1-M5 C3-C5 C8 M6")
+def corpus_mix_sources(spark, sf_dir):
+    return _mix_sources(spark, sf_dir).report
+
+
+@register("corpus_mix_windows", "S1-S5 F1-F4 D1 D2 M7 T1 C1 M1-M5 C3-C5 C8")
+def corpus_mix_windows(spark, sf_dir):
+    """The training windows of ``corpus_mix_sources``, whole."""
+    return _mix_sources(spark, sf_dir).train_windows

@@ -194,7 +194,8 @@ FROM ({_TPS_SQL}) t""")
 def trend(spark, sf_dir):
     t = _tps_frame(spark, sf_dir).drop("prev_ts")
     metrics = ["loss", "perplexity", "tokens_per_second"]
-    t2 = scan(t, [R.RUN], [F.col("seq")], time_bucket(spark, sf_dir), [], metrics, materialize=False)
+    # the first scan's output feeds both branches of the second: written once
+    t2 = scan(t.select(R.RUN, "seq", "ts", *metrics), [R.RUN], [F.col("seq")], time_bucket(spark, sf_dir), [], metrics)
     return R.trends(t2, metrics).select(R.RUN, "seq", *[f"{m}_trend" for m in metrics])
 
 
@@ -245,9 +246,9 @@ def batches_after_crossing(spark, sf_dir):
 @register("monotone", "W5", f"""
 SELECT run_id, seq, step > coalesce(max(step) {_W_BEFORE}, 0) AS accepted FROM ({_RL_SQL}) r""")
 def monotone(spark, sf_dir):
-    rl = with_steps(spark, sf_dir)
+    rl = with_steps(spark, sf_dir).select(R.RUN, "seq", "ts", "step")
     acc = scan(rl, [R.RUN], [F.col("seq")], time_bucket(spark, sf_dir),
-               [Running("_prev_max", "max", F.col("step"), inclusive=False)], materialize=False)
+               [Running("_prev_max", "max", F.col("step"), inclusive=False)])
     return acc.select(R.RUN, "seq", R.monotone_accept(F.col("step"), F.col("_prev_max")).alias("accepted"))
 
 
@@ -267,13 +268,18 @@ def lr_linear(spark, sf_dir):
                      F.round(linear_decay(F.col("t"), BASE_LR, HORIZON, MIN_LR), 12).alias("lr"))
 
 
-@register("status_line", "X4 W3")
+@register("status_line", "X4 W3", f"""
+SELECT run_id, seq, printf('Step: %d Epoch: %d | Loss: %.4f %s | Perplexity: %.2f %s | LR: %.2e | VRAM: %.2f GB | Tokens/sec: %.0f %s',
+       step, 0, coalesce(loss, 0.0), loss_trend, coalesce(perplexity, 0.0), perplexity_trend, learning_rate, vram_usage,
+       coalesce(tokens_per_second, 0.0), tokens_per_second_trend) AS line
+FROM (SELECT *, {_cosine_sql(_T_SQL)} AS learning_rate, {_arrow_sql('loss')}, {_arrow_sql('perplexity')}, {_arrow_sql('tokens_per_second')}
+      FROM ({_TPS_SQL}) t) l""")
 def status_line_q(spark, sf_dir):
     t = _tps_frame(spark, sf_dir).drop("prev_ts")
     t = t.withColumn("learning_rate", cosine_with_warmup(_lr_t(), BASE_LR, WARMUP, HORIZON, MIN_LR))
     metrics = ["loss", "perplexity", "tokens_per_second"]
-    t2 = R.trends(scan(t, [R.RUN], [F.col("seq")], time_bucket(spark, sf_dir), [], metrics,
-                       materialize=False), metrics)
+    t = t.select(R.RUN, "seq", "ts", "step", "learning_rate", "vram_usage", *metrics)
+    t2 = R.trends(scan(t, [R.RUN], [F.col("seq")], time_bucket(spark, sf_dir), [], metrics), metrics)
     line = status_line(F.col("step"), F.lit(0), F.col("loss"), F.col("perplexity"), F.col("learning_rate"),
                        F.col("vram_usage"), F.col("tokens_per_second"), F.col("loss_trend"),
                        F.col("perplexity_trend"), F.col("tokens_per_second_trend"))
