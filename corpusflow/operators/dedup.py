@@ -25,22 +25,23 @@ def with_digest(df: DataFrame, text_col: str = "text", name: str = "h") -> DataF
     return df.withColumn(name, text_digest(F.col(text_col)))
 
 
-DOC_BITS = 47  # doc_ord < 2**47 when packed with a source ordinal (< 2**16)
+LOW_SPAN = 1 << 64  # as many values as a BIGINT has
 
 
 def order_key(order_cols: list[str]) -> Column:
-    """A single BIGINT that sorts like (order_cols...): hash aggregation can
-    keep min(bigint) in a fixed-width buffer, whereas min(struct) falls back
-    to a sort-based aggregate over all rows.  Two columns are packed as
-    (first << 47) + second, with the bound checked per row."""
+    """A single number that sorts like (order_cols...): hash aggregation can
+    keep its minimum in a fixed-width buffer, whereas min(struct) falls back
+    to a sort-based aggregate over all rows.  One column stays a BIGINT; of two,
+    the first (below 10^18) times 2^64 plus the second is a DECIMAL(38, 0), so every
+    BIGINT fits as the second.  A null order column is an error."""
     if len(order_cols) == 1:
-        return F.col(order_cols[0]).cast("bigint")
-    if len(order_cols) != 2:
+        key = F.col(order_cols[0]).cast("bigint")
+    elif len(order_cols) == 2:
+        hi, lo = F.col(order_cols[0]).cast("decimal(18,0)"), F.col(order_cols[1]).cast("bigint").cast("decimal(19,0)")
+        key = (hi * F.lit(str(LOW_SPAN)).cast("decimal(20,0)") + lo).cast("decimal(38,0)")
+    else:
         raise ValueError("order by one or two columns")
-    hi, lo = F.col(order_cols[0]).cast("bigint"), F.col(order_cols[1]).cast("bigint")
-    ok = (hi >= 0) & (hi < F.lit(1 << 16)) & (lo >= 0) & (lo < F.lit(1 << DOC_BITS))
-    packed = F.shiftleft(hi, DOC_BITS) + lo
-    return F.when(ok, packed).otherwise(F.raise_error(F.lit("order key out of range for packing")))
+    return F.coalesce(key, F.raise_error(F.lit("an order column is null")))
 
 
 # Up to this many duplicate keys are broadcast (8 bytes each, checked by a

@@ -69,11 +69,11 @@ def latest_per_step(rl: DataFrame, order: list[Column], cols: list[str], step: s
             .select(RUN, step, "n_logged", *[F.col("_l")[c].alias(c) for c in cols]))
 
 
-def series(rl: DataFrame, metrics: list[str], x: Column) -> DataFrame:
-    """A3 + X3: wide -> long (run, metric, title, x, value) of rows having the
+def series(rl: DataFrame, metrics: list[str], x: Column, carry: list[str] = ()) -> DataFrame:
+    """A3 + X3: wide -> long (run, *carry, metric, title, x, value) of rows having the
     metric; x is the step, else the arrival position."""
-    base = rl.select(RUN, x.alias("x"), *[F.col(m).cast("double") for m in metrics])
-    long = base.unpivot([RUN, "x"], metrics, "metric", "value").filter(F.col("value").isNotNull())
+    base = rl.select(RUN, *carry, x.alias("x"), *[F.col(m).cast("double") for m in metrics])
+    long = base.unpivot([RUN, *carry, "x"], metrics, "metric", "value").filter(F.col("value").isNotNull())
     return long.withColumn("title", metric_title(F.col("metric")))
 
 
@@ -95,12 +95,19 @@ def token_weighted_eval(rows: DataFrame, loss: Column, tokens: Column,
 
 
 def throughput(tokens: Column, seconds: Column) -> Column:
-    """Tokens / elapsed seconds; 0 when elapsed <= 0; null without a previous row."""
+    """Tokens / elapsed seconds; 0 when elapsed <= 0; null without a previous row.
+    ``tokens`` are those of the whole interval, or ``compat_tokens``."""
     return (F.when(seconds.isNull(), F.lit(None).cast("double"))
             .when(seconds <= 0, F.lit(0.0))
             .otherwise(tokens.cast("double") / seconds))
 
 
+def compat_tokens(batch_tokens: Column, accumulation: int) -> Column:
+    """A6, compat numerator: the last micro-batch's tokens times the accumulation steps, although
+    the seconds span all batches since the previous log (Q9: it counts too few)."""
+    return batch_tokens * F.lit(accumulation)
+
+
 def running_peak(value: str) -> Running:
     """Running max from 0.0 (combine with ``F.greatest(col, 0.0)``)."""
     return Running(f"{value}_peak", "max", F.col(value))

@@ -22,7 +22,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -148,8 +148,9 @@ def piece_ids(found: DataFrame, table: MergeTable) -> DataFrame:
     return found.select("_piece").distinct().mapInArrow(_merge(table), "_piece string, _ids array<int>")
 
 
-def encode_subwords(df: DataFrame, table: MergeTable, text_col: str = "text", out: str = "tokens", pattern: str = BYTE_LEVEL_PATTERN) -> DataFrame:
-    """The columns of ``df`` but its text, the ids ``out`` and ``n_tokens``.
+def encode_pieces(df: DataFrame, ids_of: Callable[[DataFrame], DataFrame], text_col: str, out: str, pattern: str, missing: list[int] | None = None) -> DataFrame:
+    """The columns of ``df`` but its text, the ids ``out`` and ``n_tokens``; ``ids_of`` makes (_piece, _ids), a row per
+    piece, from a table that holds the pieces to look up, and ``missing`` stands for a piece without a row.
 
     A null text is an empty one.  Names that begin with ``_piece`` and
     ``_batch``, ``_row``, ``_ids``, ``out`` and ``n_tokens`` are taken."""
@@ -162,8 +163,14 @@ def encode_subwords(df: DataFrame, table: MergeTable, text_col: str = "text", ou
     batch = F.when(F.size("_pieces") > LONG_PIECES, -1 - F.col("_row")).otherwise(F.shiftright("_row", BATCH_BITS))
     rows = rows.select(*columns, "_pieces", batch.alias("_batch"))
     found = stored(rows.select("_batch", F.explode(F.array_distinct("_pieces")).alias("_piece")).distinct(), "batch-pieces")
-    known = stored(piece_ids(found, table), "piece-ids")
-    held = spread_join(found, known, "_piece")
+    held = spread_join(found, stored(ids_of(found), "piece-ids"), "_piece")
+    if missing is not None:
+        held = held.withColumn("_ids", F.coalesce("_ids", F.array(*[F.lit(i) for i in missing])))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != text_col)
     schema = f"{fields}{', ' if fields else ''}`{out}` array<int>, n_tokens long"
     return rows.groupBy("_batch").cogroup(held.groupBy("_batch")).applyInArrow(_expand(columns, out), schema)
+
+
+def encode_subwords(df: DataFrame, table: MergeTable, text_col: str = "text", out: str = "tokens", pattern: str = BYTE_LEVEL_PATTERN) -> DataFrame:
+    """The columns of ``df`` but its text, the ids ``out`` of a merge table and ``n_tokens`` (T3); see ``encode_pieces``."""
+    return encode_pieces(df, lambda found: piece_ids(found, table), text_col, out, pattern)

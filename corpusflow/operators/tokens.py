@@ -4,7 +4,7 @@ Encoders:
 * ``encode_hashed``: stateless id = md5(piece) mod V, computed inside the row
   (no shuffle, no lookup table) - the default of the corpus plan;
 * ``build_vocab`` + ``encode_vocab``: a frequency vocabulary computed on the
-  cluster (top V-1 pieces by count, id 0 = unknown) and a join-based encoder.
+  cluster (top V-1 pieces by count, id 0 = unknown) and an encoder that joins distinct pieces.
 
 Subword ids by a tokenizer's merge table are in ``subwords``.
 """
@@ -15,15 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import PIECE_PATTERN, pieces
-from corpusflow.operators.ordering import Running, scan
-from corpusflow.operators.sizing import broadcast_if_small
+from corpusflow.operators.ordering import Running, range_bucket, scan
+from corpusflow.operators.subwords import encode_pieces
 
 # Fixed value: the vocabulary size of the reference configuration.
 DEFAULT_VOCAB = 50257
 
-# Above this many rows a vocabulary is not broadcast (it is bounded by V anyway).
-MAX_BROADCAST_VOCAB = 1_000_000
-
 
 def hashed_id(piece: Column, vocab_size: int = DEFAULT_VOCAB, id_fn: str = "md5") -> Column:
     """Stateless piece id in [0, vocab_size).  ``md5`` (default) is
@@ -54,11 +51,14 @@ def token_count(df: DataFrame, text_col: str = "text", pattern: str = PIECE_PATT
     return df.withColumn("n_tokens", F.size(pieces(F.col(text_col), pattern)).cast("bigint"))
 
 
+PREFIX_BYTES = 7  # 56 bits: what a BIGINT holds
+
+
 def utf8_prefix_bucket(piece: Column) -> Column:
-    """BIGINT of the first three UTF-8 bytes (zero padded): non-decreasing in
+    """BIGINT of the first seven UTF-8 bytes (zero padded): non-decreasing in
     the byte-wise order Spark uses to compare strings."""
-    head = F.hex(F.substring(F.encode(piece, "UTF-8"), 1, 3))
-    return F.conv(F.rpad(head, 6, "0"), 16, 10).cast("bigint")
+    head = F.hex(F.substring(F.encode(piece, "UTF-8"), 1, PREFIX_BYTES))
+    return F.conv(F.rpad(head, 2 * PREFIX_BYTES, "0"), 16, 10).cast("bigint")
 
 
 def build_vocab(df: DataFrame, vocab_size: int = DEFAULT_VOCAB, text_col: str = "text",
@@ -88,10 +88,10 @@ def build_vocab(df: DataFrame, vocab_size: int = DEFAULT_VOCAB, text_col: str =
     else:
         above = counts.filter(F.col("cnt") > cutoff)
         # the tie tier at the cut-off can be large: rank it with a bucketed
-        # scan (bucket = first 3 UTF-8 bytes, monotone in Spark's byte order)
-        # instead of an ordered limit that funnels rows into one task
+        # scan (quantile buckets of the first UTF-8 bytes, monotone in Spark's byte
+        # order) instead of an ordered limit that funnels rows into one task
         tier = counts.filter(F.col("cnt") == cutoff)
-        ranked = scan(tier, [], [F.col("piece")], utf8_prefix_bucket(F.col("piece")),
+        ranked = scan(tier, [], [F.col("piece")], range_bucket(tier, utf8_prefix_bucket(F.col("piece"))),
                       [Running("_r", "count", F.lit(1))], materialize=False)
         at = ranked.filter(F.col("_r") <= slots - taken).select("piece", "cnt")
         chosen = above.unionByName(at)
@@ -102,19 +102,10 @@ def build_vocab(df: DataFrame, vocab_size: int = DEFAULT_VOCAB, text_col: str =
 
 def encode_vocab(df: DataFrame, vocab: DataFrame, key: list[str], text_col: str = "text",
                  pattern: str = PIECE_PATTERN, out: str = "tokens") -> DataFrame:
-    """T1 with a vocabulary: posexplode -> join on piece -> regroup by ``key``.
-    Returns ``key`` columns, the id array and ``n_tokens``; unknown pieces get 0.
-
-    The vocabulary has at most V rows (a proven bound), so it is broadcast up
-    to MAX_BROADCAST_VOCAB rows; the regroup is by document, i.e. bounded by
-    one document's size.  ``posexplode_outer`` keeps documents without pieces
-    (empty array) without a join back to the input."""
-    v = vocab.select("piece", "id")
-    v = broadcast_if_small(v, MAX_BROADCAST_VOCAB)
-    exploded = df.select(*key, F.posexplode_outer(pieces(F.col(text_col), pattern)).alias("pos", "piece"))
-    joined = exploded.join(v, on="piece", how="left").select(
-        *key, F.when(F.col("pos").isNotNull(),
-                     F.struct("pos", F.coalesce(F.col("id"), F.lit(0)).alias("id"))).alias("_e"))
-    grouped = joined.groupBy(*key).agg(F.array_sort(F.collect_list("_e")).alias("_z"))
-    ids = F.transform("_z", lambda s: s["id"])
-    return grouped.select(*key, ids.alias(out), F.size("_z").cast("bigint").alias("n_tokens"))
+    """T1 with a vocabulary: ``key`` columns, the id array and ``n_tokens``; unknown pieces get 0.
+
+    A task's batch of rows meets each of its distinct pieces once: what is shuffled
+    and joined is a row per (batch, distinct piece), and ids come back by a lookup inside
+    the row.  Texts without pieces give an empty array."""
+    known = vocab.select(F.col("piece").alias("_piece"), F.array(F.col("id").cast("int")).alias("_ids"))
+    return encode_pieces(df.select(*key, text_col), lambda found: known, text_col, out, pattern, missing=[0])

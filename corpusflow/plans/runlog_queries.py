@@ -164,6 +164,24 @@ def throughput(spark, sf_dir):
     return t.select(R.RUN, "seq", F.round("tokens_per_second", 6).alias("tokens_per_second"))
 
 
+MICRO_BATCH = 2
+
+
+@register("throughput_compat", "A6 Q9", f"""
+SELECT run_id, seq, round(CASE WHEN dt IS NULL THEN NULL WHEN dt <= 0 THEN 0.0
+                               ELSE ({MICRO_BATCH} * tokens * {ACCUM}) / dt END, 6) AS tokens_per_second,
+       round(CASE WHEN dt > 0 THEN {MICRO_BATCH * ACCUM}.0 ELSE 1.0 END, 6) AS ratio
+FROM ({_TPS_SQL}) t""")
+def throughput_compat(spark, sf_dir):
+    """The compat numerator beside the default one: a row's tokens are one sequence of a micro-batch of ``MICRO_BATCH``."""
+    rl = with_steps(spark, sf_dir, previous=["ts"])
+    secs = (_micros(F.col("ts")) - _micros(F.col("prev_ts"))) / F.lit(1e6)
+    compat = R.throughput(R.compat_tokens(F.col("tokens") * MICRO_BATCH, ACCUM), secs)
+    plain = R.throughput(F.col("tokens"), secs)
+    return rl.select(R.RUN, "seq", F.round(compat, 6).alias("tokens_per_second"),
+                     F.round(F.when(plain > 0, compat / plain).otherwise(1.0), 6).alias("ratio"))
+
+
 @register("running_peak", "W1", f"""
 SELECT run_id, seq, round(greatest(max(vram_usage) {_W_UPTO}, 0.0), 9) AS vram_peak FROM ({_RL_SQL}) r""")
 def running_peak(spark, sf_dir):
@@ -298,6 +316,60 @@ def cadence_audit(spark, sf_dir):
     return R.cadence_audit(rl, F.col("step"), SAVE_EVERY)
 
 
+# A log as runs leave it that were resumed: every fifth row repeats an earlier step (or a step that was
+# never logged), every eleventh has no step, every thirteenth no loss; steps of the moved rows are missing.
+_RESUMED_SQL = f"""
+SELECT run_id, ts, seq, perplexity, CASE WHEN event_id % 13 = 0 THEN NULL ELSE loss END AS loss,
+       CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 5 = 0 THEN greatest(step - 50, 0) ELSE step END AS step
+FROM ({_RL_SQL}) r"""
+
+
+def resumed_log(spark, sf_dir) -> DataFrame:
+    """Steps that repeat, fall back, are absent or skip a cadence; ``seq`` stays the arrival position."""
+    rl, e = with_steps(spark, sf_dir), F.col("event_id")
+    step = F.when(e % 11 == 0, F.lit(None)).when(e % 5 == 0, F.greatest(F.col("step") - 50, F.lit(0))).otherwise(F.col("step"))
+    loss = F.when(e % 13 == 0, F.lit(None)).otherwise(F.col("loss"))
+    return rl.select(R.RUN, "ts", "seq", "perplexity", loss.alias("loss"), step.cast("bigint").alias("step"))
+
+
+@register("metric_history_gaps", "A1", f"""
+SELECT run_id, seq, step, round(loss, 9) AS loss FROM ({_RESUMED_SQL}) r WHERE loss IS NOT NULL""")
+def metric_history_gaps(spark, sf_dir):
+    h = R.history(resumed_log(spark, sf_dir), "loss")
+    return h.select(R.RUN, "seq", "step", F.round("value", 9).alias("loss"))
+
+
+@register("metric_series_gaps", "A3 X3", f"""
+SELECT run_id, seq, metric, upper(left(metric, 1)) || substr(metric, 2) AS title, coalesce(step, seq - 1) AS x, round(value, 9) AS value
+FROM (SELECT run_id, seq, step, loss, perplexity FROM ({_RESUMED_SQL}) r)
+UNPIVOT (value FOR metric IN (loss, perplexity)) u WHERE value IS NOT NULL""")
+def metric_series_gaps(spark, sf_dir):
+    """Rows without a step stand at their position, counted from 0."""
+    rl = resumed_log(spark, sf_dir)
+    s = R.series(rl, ["loss", "perplexity"], F.coalesce(F.col("step"), F.col("seq") - 1), carry=["seq"])
+    return s.select(R.RUN, "seq", "metric", "title", "x", F.round("value", 9).alias("value"))
+
+
+@register("monotone_resumed", "W5", f"""
+SELECT run_id, seq, step, coalesce(step, 0) > coalesce(max(step) {_W_BEFORE}, 0) AS accepted FROM ({_RESUMED_SQL}) r""")
+def monotone_resumed(spark, sf_dir):
+    rl = resumed_log(spark, sf_dir).select(R.RUN, "seq", "ts", "step")
+    acc = scan(rl, [R.RUN], [F.col("seq")], time_bucket(spark, sf_dir),
+               [Running("_prev_max", "max", F.col("step"), inclusive=False)])
+    return acc.select(R.RUN, "seq", "step", R.monotone_accept(F.col("step"), F.col("_prev_max")).alias("accepted"))
+
+
+@register("cadence_audit_gaps", "F9", f"""
+WITH r AS ({_RESUMED_SQL}),
+m AS (SELECT run_id, max(step) AS mx FROM r GROUP BY run_id HAVING max(step) >= {SAVE_EVERY}),
+x AS (SELECT run_id, unnest(generate_series({SAVE_EVERY}, mx, {SAVE_EVERY}))::BIGINT AS step FROM m),
+h AS (SELECT run_id, step, count(*) AS n FROM r WHERE step > 0 AND step % {SAVE_EVERY} = 0 GROUP BY 1, 2)
+SELECT x.run_id, x.step, h.n IS NOT NULL AS present, coalesce(h.n, 0)::BIGINT AS n_logged
+FROM x LEFT JOIN h ON x.run_id = h.run_id AND x.step = h.step""")
+def cadence_audit_gaps(spark, sf_dir):
+    return R.cadence_audit(resumed_log(spark, sf_dir), F.col("step"), SAVE_EVERY)
+
+
 def checkpoint_manifest(rl: DataFrame) -> DataFrame:
     """Checkpoint files a run leaves behind, derived from its log rows:
     'purchase' rows save checkpoint_step_<step>.pt, 'error' rows leave an
