@@ -1,8 +1,8 @@
 """Toxicity: weighted lexicon matched by Aho-Corasick.
 
-Texts are lower-cased, homoglyphs and accents folded to Latin letters and
-digit substitutions undone inside words that hold a letter; all else becomes a
-blank.  Lexicon entries are whole words or word beginnings with weights (log
+Texts are lower-cased and decomposed by compatibility; accents, strokes and other marks
+go, homoglyphs become Latin letters and digit substitutions are undone inside words that
+hold a letter; all else becomes a blank.  Lexicon entries are whole words or word beginnings with weights (log
 odds of the documents that hold them), learned from labelled training rows;
 words that begin like an entry but stand in harmless documents become
 exception phrases, and callers may add phrases of their own.  A match inside
@@ -11,8 +11,9 @@ the text's length go through a logistic that is fitted on other training rows
 than the lexicon was.
 
 The model is fitted on a bounded sample: at most ``max_train`` labelled rows,
-those with the smallest hashes.  Everything else covers all rows and whole
-texts.
+those with the smallest hashes.  That bounds the lexicon and the exceptions, of which
+none is dropped: an entry stands in four or more toxic documents of the sample.
+Everything else covers all rows and whole texts.
 
 Defined results: a null text is an empty one and has the score of no match;
 rows stay one to one, also repeated ones and those with null keys; with no
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 
 import ahocorasick
@@ -32,36 +34,46 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import read_table, small_batches
+from corpusflow.llm.common import read_table, small_batches, stored
 from corpusflow.llm.quality import held_out
 from corpusflow.llm.registry import query
 
 MAX_TRAIN = 24_000
 STEM = range(4, 9)  # lengths of word beginnings
-MAX_TERMS = 5_000
 
-# Characters that look like Latin letters, and accented ones.
+# Letters of other scripts that look like Latin ones.
 HOMOGLYPHS = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k", "ӏ": "l", "м": "m", "н": "h", "о": "o",
     "р": "p", "ԛ": "q", "ѕ": "s", "т": "t", "ѵ": "v", "ԝ": "w", "х": "x", "у": "y", "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i",
-    "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ⅼ": "l", "ɑ": "a", "ɡ": "g",
+    "ґ": "r", "ԍ": "g", "ү": "y", "ҽ": "e", "ѡ": "w", "ϲ": "c", "ϳ": "j", "γ": "y", "σ": "o", "ω": "w", "օ": "o", "ս": "u", "հ": "h", "ց": "g",
+    "ո": "n", "զ": "q", "ք": "p", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ⅼ": "l", "ɑ": "a", "ɡ": "g",
 }
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
 
 
+# Letters that Unicode doesn't decompose say in their names which Latin letter they are.
+_NAMED = re.compile(r"(?:LATIN (?:SMALL|CAPITAL) LETTER|LATIN LETTER SMALL CAPITAL|LATIN SMALL LETTER SCRIPT|NEGATIVE (?:CIRCLED|SQUARED) LATIN CAPITAL LETTER"
+                    r"|REGIONAL INDICATOR SYMBOL LETTER|LATIN SMALL LETTER (?:DOTLESS|SIDEWAYS|TURNED)) ([A-Z])(?: WITH .*)?")
+
+
+def _letter(c: str) -> str:
+    """Folded form of a decomposed, lower-cased character."""
+    if "\u0300" <= c <= "\u036f" or c in "\xad\u200b\u200c\u200d\u2060\ufe0e\ufe0f\ufeff":
+        return ""  # combining and invisible characters
+    c = HOMOGLYPHS.get(c, c)
+    if c >= "\x80":
+        named = _NAMED.fullmatch(unicodedata.name(c, ""))
+        c = named[1].lower() if named else c
+    return DIGITS.get(c, c) if c in DIGITS or c.isalnum() else " "
+
+
 class _Folding(dict):
     """Code points to folded text, made when first seen."""
 
     def __missing__(self, code: int) -> str:
         c = chr(code)
-        if 0xFF01 <= code <= 0xFF5E:  # full-width forms
-            c = chr(code - 0xFEE0).lower()
-        if 0x300 <= code <= 0x36F or code in (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF):
-            out = ""  # combining and invisible characters
-        else:
-            c = HOMOGLYPHS.get(c, c)
-            out = DIGITS.get(c, c) if c in DIGITS or c.isalnum() else " "
-        self[code] = out
+        parts = c if 0xAC00 <= code <= 0xD7A3 else unicodedata.normalize("NFKD", c).lower()  # syllables stay whole
+        self[code] = out = HOMOGLYPHS.get(c) or "".join(map(_letter, parts))
         return out
 
 
@@ -72,6 +84,8 @@ _PLAIN_NUMBER = re.compile(r"(?<![^\W_])[\d@$]+(?![^\W_])")
 def fold(text: str | None) -> str:
     """Folded text, with a blank before, after and between words."""
     low = (text or "").lower()
+    if not low.isascii():
+        low = unicodedata.normalize("NFKC", low).lower()
     if any(c in low for c in "0134578@$"):
         low = _PLAIN_NUMBER.sub(" ", low)
     return " " + " ".join(low.translate(_FOLD).split()) + " "
@@ -99,15 +113,16 @@ def _counts(batches):
 
 def learn_lexicon(train: DataFrame, exceptions: tuple[str, ...] = (), support: int = 4) -> tuple[dict[str, float], list[str], float]:
     """Weights of terms, exception phrases, and the share of class 1; from (y, text)."""
-    per = train.mapInArrow(_counts, "term string, y long, n long").groupBy("term").agg(
-        F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("good"))
+    per = stored(train.mapInArrow(_counts, "term string, y long, n long").groupBy("term").agg(
+        F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("good")),
+        "toxic-terms")  # read three times, counted once
     total = per.filter("term = ''").first()
     if total is None or not total.bad or not total.good:
         return {}, list(exceptions), float(bool(total and total.bad))
     odds = F.log((F.col("bad") + 0.1) / total.bad) - F.log((F.col("good") + 0.5) / total.good)
     # a term must stand in enough toxic documents, and mostly in those
     found = per.filter((F.col("term") != "") & (F.col("bad") >= support) & (F.col("bad") >= F.col("good"))).withColumn("w", odds)
-    found = found.filter("w >= 2").orderBy(F.desc("bad"), "term").limit(MAX_TERMS).collect()
+    found = found.filter("w >= 2").collect()
     terms: dict[str, float] = {}
     for r in sorted(found, key=lambda r: (len(r.term), r.term)):
         if not any(r.term[:n] in terms for n in range(2, len(r.term))):  # its beginning is an entry
@@ -121,7 +136,7 @@ def learn_lexicon(train: DataFrame, exceptions: tuple[str, ...] = (), support: i
             own = [s for s in stems if len(s) == n + 1]
             if own:
                 hit = hit | F.substring("term", 1, n + 1).isin(own)
-        harmless += [r.term.strip() for r in whole.filter(hit).orderBy(F.desc("good"), "term").limit(MAX_TERMS).collect()]
+        harmless += [r.term.strip() for r in whole.filter(hit).orderBy("term").collect()]
     return terms, harmless, total.bad / (total.bad + total.good)
 
 
