@@ -1,9 +1,14 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Every whole text is searched for credential patterns.  Candidate values are
-hashed and counted over the corpus by distinct repositories and owners: a
-value that several owners carry is a widely copied example, one that a single
-owner or two carry is live-looking.
+hashed and counted over the corpus by distinct repositories and owners, a
+repository belonging to its owner.  Both counts decide: a value of
+``example_owners`` owners, or of two or more owners and ``example_repos``
+repositories, is a widely copied example; all else, also a value in any number of
+repositories of one owner, is owner-specific and live-looking.
+
+On ``documents`` the owner is the source, and a repository is a distinct text of it,
+so that exact copies of a document add no repository.
 
 Defined results: a null text counts as empty; rows are kept one to one, also
 repeated ones and those with null keys (a null owner or repository counts as
@@ -20,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import read_table, row_id, small_batches, stored
+from corpusflow.llm.common import read_table, row_id, small_batches, spread_join, stored
 from corpusflow.llm.registry import query
 
 _FLAGS = re.ASCII | re.IGNORECASE
@@ -72,28 +77,34 @@ def _scan(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
 
 
-def scan_secrets(docs: DataFrame, *, key: str, text: str, owner: str, repo: str | None = None,
-                 example_owners: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(per row, per value): the rows with their spans and the numbers of live
-    and example candidates; the values with distinct owners and repositories.
-    A value is an example once ``example_owners`` distinct owners carry it."""
+def scan_secrets(docs: DataFrame, *, key: str, text: str, owner: str, repo: F.Column | str | None = None,
+                 example_owners: int = 3, example_repos: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(per row, per value): the rows with their spans, the numbers of live and
+    example candidates, and ``ownership``, "owners/repositories" of each span in the
+    order of ``spans``; the values with distinct owners and repositories.
+    ``repo`` is a column or an expression (the key if not given)."""
     small_batches(docs.sparkSession)
-    keyed = docs.select(F.col(key).alias(key), row_id().alias("row_id"),
-                        F.col(repo or key).cast("string").alias("repo"),
+    repository = F.col(key) if repo is None else F.col(repo) if isinstance(repo, str) else repo
+    keyed = docs.select(F.col(key).alias(key), row_id().alias("row_id"), repository.cast("string").alias("repo"),
                         F.col(owner).cast("string").alias("owner"), F.col(text).cast("string").alias("text"))
     scanned = stored(keyed.select("row_id", "repo", "owner", "text", key).mapInArrow(
         _with_key(key), f"{SCAN_SCHEMA}, `{key}` {docs.schema[key].dataType.simpleString()}"), "secret-scan")
-    seen = scanned.select("row_id", "owner", "repo", F.explode("found").alias("f")).select("row_id", "owner", "repo", "f.value_hash", "f.kind")
+    seen = scanned.select("row_id", "owner", "repo", F.posexplode("found").alias("place", "f"))
+    seen = seen.select("row_id", "owner", "repo", "place", "f.value_hash", "f.kind")
     by_repo = seen.groupBy("value_hash", "owner", "repo").agg(F.count("*").alias("n"), F.min("kind").alias("kind"))
     by_owner = by_repo.groupBy("value_hash", "owner").agg(F.count("*").alias("repos"), F.sum("n").alias("n"), F.min("kind").alias("kind"))
     values = by_owner.groupBy("value_hash").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"),
                                                 F.sum("n").alias("n_seen"), F.min("kind").alias("kind"))
-    values = values.withColumn("is_example", F.col("n_owners") >= example_owners)
-    marks = seen.join(values.select("value_hash", "is_example", "n_owners"), "value_hash").groupBy("row_id").agg(
+    copied = (F.col("n_owners") >= example_owners) | ((F.col("n_owners") >= 2) & (F.col("n_repos") >= example_repos))
+    values = stored(values.withColumn("is_example", copied), "secret-values")
+    owned = spread_join(seen.select("row_id", "place", "value_hash"), values.select("value_hash", "is_example", "n_owners", "n_repos"), "value_hash")
+    shown = F.struct("place", F.concat_ws("/", "n_owners", "n_repos").alias("counts"))
+    marks = owned.groupBy("row_id").agg(
         F.sum(F.col("is_example").cast("long")).alias("n_example"), F.sum((~F.col("is_example")).cast("long")).alias("n_live"),
-        F.max("n_owners").alias("most_owners"))
-    rows = scanned.drop("repo", "owner").join(marks, "row_id", "left").fillna(0, ["n_example", "n_live", "most_owners"])
-    return rows, values
+        F.max("n_owners").alias("most_owners"), F.max("n_repos").alias("most_repos"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(shown)), lambda x: x["counts"]), ",").alias("ownership"))
+    rows = scanned.drop("repo", "owner").join(marks, "row_id", "left")
+    return rows.fillna(0, ["n_example", "n_live", "most_owners", "most_repos"]).fillna("", ["ownership"]), values
 
 
 def _with_key(key: str):
@@ -106,5 +117,6 @@ def _with_key(key: str):
 
 @query("op10_secrets")
 def op10_secrets(spark, sf_dir):
-    rows, _ = scan_secrets(read_table(spark, sf_dir, "documents"), key="doc_id", text="text", owner="source")
-    return rows.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_example", "most_owners")
+    rows, _ = scan_secrets(read_table(spark, sf_dir, "documents"), key="doc_id", text="text", owner="source",
+                           repo=F.sha2(F.coalesce("text", F.lit("")), 256))
+    return rows.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_example", "most_owners", "most_repos", "ownership")
