@@ -22,20 +22,24 @@ def check_lengths(min_len: int, max_len: int, target: int) -> None:
         raise ValueError("lengths must be non-negative")
 
 
-def chunk_spans(n: Column, min_len: int, max_len: int, target: int) -> Column:
+def chunk_spans(n: Column, min_len: int, max_len: int, target: int, extra: int = 0) -> Column:
     """ARRAY<STRUCT<start INT, len INT>> of the chunks of a sequence of n tokens.
 
     n < min: none; n <= max: the whole sequence; else windows of ``target``
     starting at multiples of target div 2, stopping at the first window that
-    reaches the end, dropping windows shorter than min."""
+    reaches the end, dropping windows shorter than min.  With ``extra`` = 1 a window
+    has a token more at the same stride: room for the last label, so that
+    every full window gives a training pair (Q6)."""
+    if extra < 0:
+        raise ValueError("extra must be non-negative")
     check_lengths(min_len, max_len, target)
-    half = target // 2
+    half, width = target // 2, target + extra
     n = n.cast("int")
-    last_k = F.greatest(F.lit(0), F.ceil((n - F.lit(target)) / F.lit(half)).cast("int"))
+    last_k = F.greatest(F.lit(0), F.ceil((n - F.lit(width)) / F.lit(half)).cast("int"))
     windows = F.transform(
         F.sequence(F.lit(0), last_k),
         lambda k: F.struct((k * half).alias("start"),
-                           F.least(F.lit(target), n - k * half).alias("len")))
+                           F.least(F.lit(width), n - k * half).alias("len")))
     long_spans = F.filter(windows, lambda w: w["len"] >= min_len)
     whole = F.array(F.struct(F.lit(0).alias("start"), n.alias("len")))
     empty = F.filter(whole, lambda w: F.lit(False))
@@ -45,13 +49,13 @@ def chunk_spans(n: Column, min_len: int, max_len: int, target: int) -> Column:
 
 
 def chunk(df: DataFrame, min_len: int = 256, max_len: int = 1024, target: int = 512,
-          tokens_col: str = "tokens") -> DataFrame:
+          tokens_col: str = "tokens", extra: int = 0) -> DataFrame:
     """One row per chunk: chunk_idx, chunk_start, chunk (ARRAY<INT>), chunk_len.
     F6 (sequences shorter than min vanish) is applied before the explode."""
     # lengths come from ``n_tokens`` when present, so the spans (and every
     # consumer of chunk_len only) do not depend on the id array
     n = F.col("n_tokens") if "n_tokens" in df.columns else F.size(tokens_col)
-    spans = chunk_spans(n, min_len, max_len, target)
+    spans = chunk_spans(n, min_len, max_len, target, extra)
     exploded = (df.filter(n >= min_len)
                 .select("*", F.posexplode(spans).alias("chunk_idx", "_span")))
     return (exploded

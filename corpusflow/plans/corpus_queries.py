@@ -13,7 +13,7 @@ from corpusflow.operators.filters import corpus_filters, keep_nonempty
 from corpusflow.operators.subwords import encode_subwords, read_merge_table
 from corpusflow.operators.tokens import build_vocab, encode_vocab
 from corpusflow.plans import sql as S
-from corpusflow.plans.corpus import (chunks, clean_documents, corpus_chunks, doc_id_bucket,
+from corpusflow.plans.corpus import (DEFAULT, chunks, clean_documents, corpus_chunks, doc_id_bucket,
                                      documents_rows, mix_report, tokenized)
 from corpusflow.plans.registry import register
 from corpusflow.session import stored
@@ -185,14 +185,14 @@ def chunk_windows(spark, sf_dir):
                      F.col("chunk_start").cast("bigint"), "chunk_len", id_sum(F.col("chunk")).alias("id_sum"))
 
 
-def _pairs_sql() -> str:
+def _pairs_sql(extra: int = 0) -> str:
     return f"""
 SELECT doc_id, chunk_idx, pair_idx, pair_start,
        chunk[pair_start + 1 : pair_start + {PAIR_LEN}] AS x,
        chunk[pair_start + 2 : pair_start + {PAIR_LEN} + 1] AS y
 FROM (SELECT doc_id, chunk_idx, chunk, (p - 1)::BIGINT AS pair_idx, ((p - 1) * {PAIR_LEN})::BIGINT AS pair_start
       FROM (SELECT *, unnest(generate_series(1, ceil((chunk_len - {PAIR_LEN}) / {PAIR_LEN})::BIGINT)) AS p
-            FROM ({S.chunks_sql(None)}) c WHERE chunk_len > {PAIR_LEN}) a) b"""
+            FROM ({S.chunks_sql(None, extra=extra)}) c WHERE chunk_len > {PAIR_LEN}) a) b"""
 
 
 def _pair_summary_sql(src: str) -> str:
@@ -217,6 +217,14 @@ def pairs_per_chunk(spark, sf_dir):
     return _pair_summary(_pairs(spark, sf_dir))
 
 
+@register("pairs_wider_windows", "C2 C5 C6 Q6", _pair_summary_sql(_pairs_sql(extra=1)))
+def pairs_wider_windows(spark, sf_dir):
+    """Windows of a token more than the pair length: long documents give pairs too."""
+    docs = tokenized(clean_documents(spark, sf_dir, None)).drop("text")
+    wide = C.chunk(docs, DEFAULT.min_length, DEFAULT.max_length, DEFAULT.target_length, extra=1)
+    return _pair_summary(C.pairs_per_chunk(wide, PAIR_LEN))
+
+
 @register("pairs_capped", "C5 C6 C7", _pair_summary_sql(
     f"SELECT * FROM ({_pairs_sql()}) p ORDER BY doc_id, chunk_idx, pair_idx LIMIT {CAPPED_PAIRS}"))
 def pairs_capped(spark, sf_dir):

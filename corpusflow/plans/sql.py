@@ -36,8 +36,8 @@ def tokens_sql(language: str | None = "de", dedup: bool = True) -> str:
 
 
 def chunks_sql(language: str | None = "de", dedup: bool = True, min_len: int = 256,
-               max_len: int = 1024, target: int = 512) -> str:
-    half = target // 2
+               max_len: int = 1024, target: int = 512, extra: int = 0) -> str:
+    half, width = target // 2, target + extra
     return f"""
 SELECT doc_id, source, lang, tokens, n,
        (row_number() OVER (PARTITION BY doc_id ORDER BY chunk_start) - 1)::BIGINT AS chunk_idx,
@@ -49,9 +49,9 @@ FROM (
   WHERE n >= {min_len} AND n <= {max_len}
   UNION ALL
   SELECT doc_id, source, lang, tokens, n, k * {half} AS chunk_start,
-         least({target}, n - k * {half}) AS chunk_len
-  FROM (SELECT *, unnest(generate_series(0, greatest(0, ceil((n - {target}) / {half}))::BIGINT)) AS k
+         least({width}, n - k * {half}) AS chunk_len
+  FROM (SELECT *, unnest(generate_series(0, greatest(0, ceil((n - {width}) / {half}))::BIGINT)) AS k
         FROM (SELECT *, len(tokens)::BIGINT AS n FROM ({tokens_sql(language, dedup)}) t2) t3
         WHERE n > {max_len}) t4
-  WHERE least({target}, n - k * {half}) >= {min_len}
+  WHERE least({width}, n - k * {half}) >= {min_len}
 ) s"""

@@ -96,3 +96,26 @@ def test_pack_property_against_loop(spark, lengths, seq_len, stride):
     got = [(r["x"], r["y"]) for r in
            C.pack_windows(with_off, len(flat), seq_len, stride).orderBy("window_id").collect()]
     assert got == [(list(x), list(y)) for x, y in windows_loop(flat, seq_len, stride)]
+
+
+def test_wider_windows_match_slices(spark):
+    """A token more per window at the same stride: every full window gives one pair of the target length."""
+    df = _tokens_df(spark, [list(range(n)) for n in range(0, 70)])
+    got = {}
+    for r in C.chunk(df, 4, 20, 8, extra=1).collect():
+        got.setdefault(len(r["tokens"]), []).append((r["chunk_idx"], r["chunk"]))
+    for n in range(0, 70):
+        seq = list(range(n))
+        if n < 4:
+            want = []
+        elif n <= 20:
+            want = [seq]
+        else:
+            starts = [0]
+            while starts[-1] + 9 < n:
+                starts.append(starts[-1] + 4)
+            want = [w for w in (seq[s:s + 9] for s in starts) if len(w) >= 4]
+        assert [c for _, c in sorted(got.get(n, []))] == want, n
+        if n > 20:
+            full = [w for w in want if len(w) == 9]
+            assert full and all(len(pairs_loop(w, 8)) == 1 for w in full)
