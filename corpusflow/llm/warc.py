@@ -3,7 +3,9 @@
 An archive starts with a skippable frame that holds a Zstandard dictionary;
 after it comes one frame per record.  The reader loads the dictionary from
 that frame, finds each frame's end by its block headers, decodes one frame per
-record, and validates version, headers, lengths and digests.
+record, and validates version, headers, lengths and digests.  Archives of other
+writers are read too: frames of unknown size, skippable frames between records,
+repeated and folded headers, records of any type.
 
 Each task writes its own archives (about ``ARCHIVE_BYTES`` each, with a
 dictionary trained on their first records) straight to the shared folder;
@@ -15,7 +17,8 @@ largest id is a response and the others revisit it.
 Defined results: a null payload is empty; null and repeated ids are kept row
 by row (rows that tie on the largest id are all responses; a null id revisits
 if any copy has an id); a null address gives a record without one; an empty
-table gives an empty result; extra columns are ignored.
+table gives an empty result; extra columns are ignored.  A record that isn't valid is
+a row with its error; ``checked`` makes it, or a missing record, a ValueError.
 """
 
 from __future__ import annotations
@@ -27,10 +30,10 @@ import uuid
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import read_table, small_batches, stored
+from corpusflow.llm.common import batch_rows, read_table, small_batches, stored
 from corpusflow.llm.registry import query
 from corpusflow.operators.sizing import broadcast_if_small
 from corpusflow.session import shared_path
@@ -40,6 +43,8 @@ DICT_MAGIC = 0x184D2A5D
 FRAME_MAGIC = 0xFD2FB528
 RAW_DICT_MAGIC = 0xEC30A437
 VERSION = b"WARC/1.1"
+VERSIONS = (b"WARC/1.0", VERSION)
+SKIPPABLE = range(0x184D2A50, 0x184D2A60)
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 
@@ -124,52 +129,97 @@ def frame_end(data: memoryview, at: int) -> int:
             return p
 
 
+def _decoded(unzip: zstandard.ZstdDecompressor, frame: memoryview) -> bytes:
+    """One whole frame, also one that a streaming writer made and that doesn't tell its size."""
+    out = unzip.decompressobj()
+    record = out.decompress(frame)
+    if not out.eof:
+        raise ValueError("frame is cut off")
+    return record
+
+
 def parse(record: bytes) -> dict:
-    """Headers and block of one record; raises ValueError where it isn't valid."""
+    """Headers and block of one record; raises ValueError where it isn't valid.  Of a
+    repeated header the first value counts; lines that start with a blank go on with the last one."""
     end = record.find(b"\r\n\r\n")
     lines = record[:max(end, 0)].split(b"\r\n")
-    if end < 0 or lines[0] != VERSION:
+    if end < 0 or lines[0] not in VERSIONS:
         raise ValueError("version line")
-    heads: dict[str, str] = {}
+    pairs: list[list[str]] = []
     for line in lines[1:]:
-        name, sep, value = line.decode("utf-8").partition(":")
-        if not sep or name.strip().lower() in heads:
+        text = line.decode("utf-8")
+        if pairs and text[:1] in (" ", "\t"):
+            pairs[-1][1] += " " + text.strip()
+            continue
+        name, sep, value = text.partition(":")
+        if not sep or not name.strip():
             raise ValueError("header line")
-        heads[name.strip().lower()] = value.strip()
+        pairs.append([name.strip().lower(), value.strip()])
+    heads = dict(reversed(pairs))
     for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if name not in heads:
             raise ValueError(f"no {name}")
-    if not heads["content-length"].isdigit() or len(record) != end + 4 + int(heads["content-length"]) + 4 or record[-4:] != b"\r\n\r\n":
+        if len({value for other, value in pairs if other == name}) > 1:
+            raise ValueError(f"several {name}")
+    size = heads["content-length"]
+    if not (size.isascii() and size.isdigit()) or len(record) != end + 4 + int(size) + 4 or record[-4:] != b"\r\n\r\n":
         raise ValueError("content length")
-    return heads | {"block": record[end + 4:-4]}
+    block = record[end + 4:-4]
+    given = _sha1(heads.get("warc-block-digest"))
+    if given and hashlib.sha1(block).hexdigest() != given:
+        raise ValueError("block differs from its digest")
+    return heads | {"block": block}
+
+
+def _sha1(value: str | None) -> str | None:
+    """Hex form of a SHA-1 header value in base 32 or 16; none for other algorithms."""
+    algorithm, _, digest = (value or "").partition(":")
+    if algorithm.lower() != "sha1":
+        return None
+    digest = digest.strip()
+    if len(digest) == 40:
+        return bytes.fromhex(digest).hex()
+    if len(digest) != 32:
+        raise ValueError("payload digest")
+    return base64.b32decode(digest, casefold=True).hex()
 
 
 def _page_id(urn: str) -> int | None:
-    if not (urn.startswith("<urn:page:") and urn.endswith(">")):
-        raise ValueError("record id")
-    return int(urn[10:-1]) if urn[10:-1] else None
+    """The id in one of this writer's record names; none for other writers' names."""
+    digits = urn[10:-1] if urn.startswith("<urn:page:") and urn.endswith(">") else ""
+    return int(digits) if digits.removeprefix("-").isdecimal() else None
+
+
+def _payload(heads: dict) -> tuple[bytes, int | None, bool]:
+    """(payload, the length its HTTP header tells, whether that header may be held against it)."""
+    block = heads["block"]
+    if not heads.get("content-type", "").lower().startswith("application/http"):
+        return block, None, False
+    http, sep, payload = block.partition(b"\r\n\r\n")
+    fields = [(name.strip().lower(), value.strip()) for name, _, value in (x.partition(b":") for x in http.split(b"\r\n")[1:])]
+    sizes = {value for name, value in fields if name == b"content-length"}
+    if not sep or len(sizes) > 1 or not all(value.isdigit() for value in sizes):
+        raise ValueError("http block")
+    coded = any(name == b"transfer-encoding" for name, _ in fields)
+    return payload, int(sizes.pop()) if sizes else None, not coded and "warc-truncated" not in heads
 
 
 def page_row(heads: dict) -> tuple:
-    """(id, payload bytes, hex digest, type, refers to, payload) of a record."""
-    kind = heads["warc-type"]
-    http, sep, payload = heads["block"].partition(b"\r\n\r\n")
-    sizes = [int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")]
-    if not sep or len(sizes) != 1:
-        raise ValueError("http block")
-    algorithm, _, value = heads.get("warc-payload-digest", "").partition(":")
-    if algorithm != "sha1":
-        raise ValueError("payload digest")
-    sha1 = base64.b32decode(value).hex()
-    refers = None
-    if kind == "response":
-        if len(payload) != sizes[0] or hashlib.sha1(payload).hexdigest() != sha1:
-            raise ValueError("payload differs from its length or digest")
-    elif kind == "revisit" and not payload:
-        refers = _page_id(heads.get("warc-refers-to", ""))
-    else:
-        raise ValueError(f"type {kind}")
-    return _page_id(heads["warc-record-id"]), sizes[0], sha1, kind, refers, payload
+    """(id, payload bytes, hex digest, type, refers to, payload, record name, address, name referred to).
+
+    A response is held against its HTTP length and payload digest unless it is sent in
+    chunks or marked as truncated; a revisit's length and digest are those it tells of the
+    payload.  Records of further types are rows of their own type."""
+    kind = heads["warc-type"].lower()
+    payload, told, whole = _payload(heads)
+    digest = _sha1(heads.get("warc-payload-digest"))
+    names = heads["warc-record-id"], heads.get("warc-target-uri"), heads.get("warc-refers-to")
+    if kind == "revisit":
+        return _page_id(names[0]), told, digest, kind, _page_id(names[2] or ""), payload, *names
+    own = hashlib.sha1(payload).hexdigest()
+    if kind == "response" and whole and (told not in (None, len(payload)) or digest not in (None, own)):
+        raise ValueError("payload differs from its length or digest")
+    return _page_id(names[0]), len(payload), own, kind, None, payload, *names
 
 
 def read_archive(data: bytes):
@@ -183,13 +233,18 @@ def read_archive(data: bytes):
     unzip = zstandard.ZstdDecompressor(dict_data=known) if known else zstandard.ZstdDecompressor()
     while at < len(view):
         try:
+            if len(view) >= at + 8 and struct.unpack_from("<I", view, at)[0] in SKIPPABLE:
+                at += 8 + struct.unpack_from("<I", view, at + 4)[0]
+                if at > len(view):
+                    raise ValueError("skippable frame is cut off")
+                continue
             end = frame_end(view, at)
         except ValueError as e:  # the next record can't be found
             yield None, str(e)
             return
         try:
-            heads = parse(unzip.decompress(view[at:end]))
-            if heads["warc-type"] != "warcinfo":
+            heads = parse(_decoded(unzip, view[at:end]))
+            if heads["warc-type"].lower() != "warcinfo":
                 yield page_row(heads), None
         except (ValueError, zstandard.ZstdError) as e:
             yield None, str(e)
@@ -276,29 +331,51 @@ def write_archives(pages: DataFrame, *, key: str, url: str, payload: str, min_by
     return folder, manifest
 
 
-READ_SCHEMA = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, error string"
+READ_SCHEMA = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
+               "record_id string, target_uri string, refers_to_id string, archive string, error string")
 
 
 def _reader(batches):
-    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "error"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string()]
+    names = [x.split()[0] for x in READ_SCHEMA.split(", ")]
     for b in batches:
         for i in range(b.num_rows):
-            name = b.column(0)[i].as_py()
-            rows = [(*(row[:5] if row else (None,) * 5), name, error) for row, error in read_archive(b.column(1)[i].as_buffer())]
-            for lo in range(0, len(rows), 10_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[lo:lo + 10_000], strict=True), kinds, strict=True)], names=names)
+            name, rows = b.column(0)[i].as_py(), []
+            for row, error in read_archive(b.column(1)[i].as_buffer()):
+                rows.append((*((*row[:5], *row[6:]) if row else (None,) * 8), name, error))  # the payload stays behind
+                if len(rows) == 10_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+
+def read_folder(spark: SparkSession, folder: str, pattern: str = "*.warc.zst") -> DataFrame:
+    """One row per record of all archives of a folder, whoever wrote them; ``error`` says what isn't
+    valid.  Archives stay where they are read; the narrow rows are stored."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    files = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
+    with batch_rows(spark, 4):  # whole archives: a few at a time
+        return stored(files.mapInArrow(_reader, READ_SCHEMA), "warc-records")
 
 
 def read_archives(folder: str, manifest: DataFrame) -> DataFrame:
-    """One row per record of the archives that the manifest lists; ``error`` says what isn't valid."""
+    """Rows of the archives that the manifest lists, those of lost or repeated attempts left out."""
     spark = manifest.sparkSession
     if manifest.isEmpty():
         return spark.createDataFrame([], READ_SCHEMA)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # whole archives: a few at a time
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-    return files.join(broadcast_if_small(manifest.select("name")), "name", "left_semi").mapInArrow(_reader, READ_SCHEMA)
+    listed = broadcast_if_small(manifest.select(F.col("name").alias("archive")))
+    return read_folder(spark, folder).join(listed, "archive", "left_semi").select(*(x.split()[0] for x in READ_SCHEMA.split(", ")))
+
+
+def checked(rows: DataFrame, manifest: DataFrame) -> DataFrame:
+    """``rows``, or a ValueError that names archives with invalid records or other numbers of them than written."""
+    got = rows.groupBy("archive").agg(F.count("*").alias("n"), F.min("error").alias("error"))
+    wrong = manifest.join(got, manifest["name"] == got["archive"], "left").filter("error is not null or n is null or n <> records")
+    named = [f"{r.name}: {r.n or 0} of {r.records} records, {r.error}" for r in wrong.limit(5).collect()]
+    if named:
+        raise ValueError("; ".join(named))
+    return rows
 
 
 WARC_SQL = """
@@ -314,5 +391,5 @@ FROM q
 @query("op2_warc", WARC_SQL)
 def op2_warc(spark, sf_dir):
     folder, manifest = write_archives(read_table(spark, sf_dir, "pages"), key="page_id", url="url", payload="html")
-    rows = read_archives(folder, manifest)
+    rows = checked(read_archives(folder, manifest), manifest)
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
