@@ -17,7 +17,7 @@ is the bucket's most central class, as a rule the original of the copies.
 A candidate pair is verified by an alignment of both run sequences within the
 band that a similarity of ``SIMILAR`` leaves: similarity is the number of
 aligned equal runs over the number of runs of either (the ordered form of the
-Jaccard similarity).  Whole texts are aligned, bit-parallel.
+Jaccard similarity).  Whole texts are aligned, bit-parallel, in vectors as wide as the band.
 
 Defined results: null texts and texts without words are linked with nothing;
 a text of fewer than ``K`` words is one run; rows stay one to one, repeated
@@ -27,12 +27,14 @@ an empty table gives an empty result; extra columns stay as they are.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import blocks, content_key, mix64, numbered, read_table, row_id, small_batches, stored, without, words
+from corpusflow.llm.common import batch_rows, blocks, content_key, mix64, numbered, read_table, row_id, small_batches, stored, without, words
 from corpusflow.llm.graph import components
 from corpusflow.llm.registry import query
 from corpusflow.operators.sizing import broadcast_if_small
@@ -158,17 +160,29 @@ def aligned_runs(a: np.ndarray, b: np.ndarray, least: int) -> int:
     places: dict[int, list[int]] = {}
     for j, x in enumerate(b.tolist()):
         places.setdefault(x, []).append(j)
-    full = (1 << len(b)) - 1
-    open_ = full  # zero bits: columns at which the alignment grows by one
+    # One bit per column of the band, the lowest for column ``left``; zero bits are columns at which
+    # the alignment grows by one.  Columns that the band leaves can't change any more, those that
+    # it hasn't reached are all open.
+    left, grown, open_, reached = 0, 0, 0, 0
     for i, x in enumerate(a.tolist()):
-        match = 0
-        for j in places.get(x, ()):
-            if -band <= i - j <= band:
-                match |= 1 << j
-        if match:
-            hit = open_ & match
-            open_ = ((open_ + hit) | (open_ - hit)) & full
-    return head + tail + len(b) - open_.bit_count()
+        start, end = max(0, i - band), min(len(b), i + band + 1)
+        if start > left:
+            gone = min(start, reached) - left
+            grown += gone - (open_ & ((1 << gone) - 1)).bit_count()
+            open_ >>= gone
+            left += gone
+        if end > reached:
+            open_ |= ((1 << (end - reached)) - 1) << (reached - left)
+            reached = end
+        at = places.get(x)
+        if at:
+            match = 0
+            for j in at[bisect_left(at, start):bisect_right(at, end - 1)]:
+                match |= 1 << (j - left)
+            if match:
+                hit = open_ & match
+                open_ = ((open_ + hit) | (open_ - hit)) & ((1 << (reached - left)) - 1)
+    return head + tail + grown + reached - left - open_.bit_count()
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> bool:
@@ -190,9 +204,9 @@ def _verified(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sequences are similar; each pair is aligned once."""
     one = sequences.select(F.col("id").alias("a"), F.col("runs").alias("x"))
     two = sequences.select(F.col("id").alias("b"), F.col("runs").alias("y"))
-    pairs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200")
     full = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
-    return stored(full.mapInArrow(_verify, "a long, b long"), "similar-pairs")
+    with batch_rows(pairs.sparkSession, 200):
+        return stored(full.mapInArrow(_verify, "a long, b long"), "similar-pairs")
 
 
 def _apart(members: DataFrame, group: DataFrame) -> DataFrame:
@@ -272,10 +286,8 @@ def _rest(apart: DataFrame, classes: DataFrame, sequences: DataFrame) -> DataFra
     other = rows.select("t", "k", F.explode(F.array(F.col("size"), F.col("size") - 1)).alias("size"), F.col("size").alias("size2"), F.col("block").alias("block2"), F.col("m").alias("m2"))
     pairs = rows.join(other, ["t", "k", "size"]).filter("size < size2 or block <= block2")
     pairs = pairs.select("t", ((F.col("size") == F.col("size2")) & (F.col("block") == F.col("block2"))).alias("same"), "m", "m2").filter("not same or size(m) > 1")
-    pairs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    found = stored(pairs.mapInArrow(_verify_blocks, "a long, b long"), "rest-pairs")
-    small_batches(pairs.sparkSession)
-    return found
+    with batch_rows(pairs.sparkSession, 4):
+        return stored(pairs.mapInArrow(_verify_blocks, "a long, b long"), "rest-pairs")
 
 
 def near_duplicates(docs: DataFrame, *, key: str, text: str) -> DataFrame:
