@@ -2,16 +2,20 @@
 
 Vectors of one label are dealt to overlapping shards: those of their
 ``overlap`` nearest centroids, which are fitted on a bounded sample (at most
-``SAMPLE`` vectors; so at most ``SAMPLE / 4`` shards).  Within a shard every
+``SAMPLE`` vectors; so at most ``SAMPLE / 4`` shards at first).  A shard of more
+than ``MAX_SHARD`` vectors is split in the same way by centroids of its own, fitted
+on a sample of about ``SHARD_SAMPLE`` of its vectors, and so are its parts, up to
+``LEVELS`` times; so shards stay small at any number of vectors.  Within a shard every
 vector's candidate pool is pruned robustly to at most ``DEGREE`` neighbours (a
 candidate goes if a chosen one is nearer to it by the factor ``ALPHA``), and so
 are the edges back to a vector beyond ``MAX_DEGREE``.  The shards' adjacency
 lists are united per vector.  Every vector is then searched
 in its shards from their medoids: a greedy search with a beam of ``BEAM`` that
 goes on, once in range, through all vectors within the range.  Links are
-verified by cosine in double precision.  A shard of more than ``MAX_SHARD``
-vectors, as a large group of near copies makes, is not searched by one task:
-it is dealt to blocks, and all its blocks are compared with each other.
+verified by cosine in double precision.  A large group of near copies can't be split: a shard in
+which a share ``DENSE`` or more of a sample's pairs is in range (and any that is still
+above ``MAX_SHARD`` in the end) is not searched by one task, but dealt to blocks, and
+all its blocks are compared with each other, which is at most 1 / ``DENSE`` times its links.
 
 A pair that several shards hold is counted in the first of them, and shards
 return counts and local components, not pairs.  Equal vectors are one vertex
@@ -37,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import read_table, row_id, small_batches, stored
+from corpusflow.llm.common import batch_rows, partitions, read_table, row_id, small_batches, stored
 from corpusflow.llm.graph import components
 from corpusflow.llm.registry import query
 from corpusflow.operators.sizing import broadcast_if_small
@@ -48,7 +52,8 @@ OVERLAP, MAX_OVERLAP = 2, 5
 POOL, FAR, DEGREE, FAR_DEGREE, ALPHA, BEAM, ROUNDS = 48, 32, 20, 8, 1.2, 16, 8
 MAX_DEGREE = 64
 MAX_SHARD, EXACT_BLOCK = 4_096, 2_048
-AUDIT, LEAST_ASKED, LEAST_RECALL, BLOCK = 50, 48, 0.9, 512
+SHARD_SAMPLE, LEVELS, DENSE, PROBE = 4_096, 6, 0.05, 1_024
+AUDIT, LEAST_ASKED, LEAST_RECALL, BLOCK, CHUNK_BLOCKS = 50, 48, 0.9, 512, 64
 CELLS = 2_000_000  # numbers in one block of a task
 
 
@@ -60,6 +65,16 @@ def _matrix(column) -> np.ndarray:
     return np.asarray(column.flatten(), float).reshape(len(column), -1)
 
 
+def _lloyd(v: np.ndarray, n: int, rounds: int = 6) -> np.ndarray:
+    """``n`` unit centroids of unit vectors."""
+    c = v[np.linspace(0, len(v) - 1, n).astype(int)]
+    for _ in range(rounds):
+        near = (v @ c.T).argmax(1)
+        c = np.array([v[near == j].sum(0) if (near == j).any() else c[j] for j in range(n)])
+        c = c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
+    return c
+
+
 def fit_centroids(vectors: DataFrame, target: int = TARGET, sample: int = SAMPLE) -> dict[tuple[int, int], np.ndarray]:
     """Centroids per (label, length), by a few rounds of Lloyd's method on a sample
     of at most ``sample`` vectors, those of the smallest hashes."""
@@ -77,12 +92,7 @@ def fit_centroids(vectors: DataFrame, target: int = TARGET, sample: int = SAMPLE
     for g, rows in groups.items():
         v = _unit(np.array([xs[i] for i in rows], float))
         n = max(1, min(len(v) // 4, round(len(v) * scale / target)))
-        c = v[np.linspace(0, len(v) - 1, n).astype(int)]
-        for _ in range(6):
-            near = (v @ c.T).argmax(1)
-            c = np.array([v[near == j].sum(0) if (near == j).any() else c[j] for j in range(n)])
-            c = c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-        out[g] = c
+        out[g] = _lloyd(v, n)
     return out
 
 
@@ -114,6 +124,58 @@ def _assign(centroids: dict, overlap: int):
     return run
 
 
+def _fit_parts(target: int, threshold: float):
+    """Centroids (shard, c) of one large shard by a sample of its vectors; none where the
+    sample's vectors are too often in range of each other for a split to keep them together."""
+    def run(table: pa.Table) -> pa.Table:
+        v = _unit(_matrix(table["x"].combine_chunks())[np.argsort(np.asarray(table["id"]))])
+        probe = v[np.linspace(0, len(v) - 1, min(len(v), PROBE)).astype(int)]
+        in_range = int((probe @ probe.T >= threshold).sum()) - len(probe)
+        c = v[:0]
+        if in_range < DENSE * len(probe) * (len(probe) - 1):
+            c = _lloyd(v, max(2, min(len(v) // 4, round(table["n"][0].as_py() / target))))
+        return pa.table({"shard": pa.array([table["shard"][0].as_py()] * len(c), pa.int64()), "c": pa.array(list(c), pa.list_(pa.float64()))})
+    return run
+
+
+def _assign_parts(overlap: int):
+    """Members of a chunk of a shard in the ``overlap`` nearest parts of the shard."""
+    def run(members: pa.Table, parts: pa.Table) -> pa.Table:
+        if not members.num_rows:
+            return pa.table({"id": members["id"], "x": members["x"], "n_copies": members["n_copies"], "shard": members["shard"]})
+        part = np.asarray(parts["part"])
+        order = np.argsort(part)
+        c = _matrix(parts["c"].combine_chunks())[order]
+        near = np.argsort(-(_unit(_matrix(members["x"].combine_chunks())) @ c.T), axis=1, kind="stable")[:, :overlap]
+        again = pa.array(np.repeat(np.arange(len(near)), near.shape[1]))
+        return members.select(["id", "x", "n_copies"]).take(again).append_column("shard", pa.array(part[order][near].ravel(), pa.int64()))
+    return run
+
+
+def split_shards(members: DataFrame, overlap: int, threshold: float) -> DataFrame:
+    """``members`` (id, x, n_copies, shard) with the members of large shards in parts of these, again
+    and again while there are shards above ``MAX_SHARD`` that can be split; ``members`` itself if there are none.
+
+    Samples, members and centroids meet by shard and chunk of at most about ``MAX_SHARD`` members."""
+    for level in range(1, LEVELS + 1):
+        sizes = stored(members.groupBy("shard").agg(F.count("*").alias("n")).filter(F.col("n") > MAX_SHARD), "large-shards")
+        if sizes.isEmpty():
+            break
+        unit = F.pmod(F.xxhash64("id", F.lit(100 + level)), F.lit(1 << 30)) / float(1 << 30)
+        sample = members.join(broadcast_if_small(sizes, 100_000), "shard").filter(unit * F.col("n") < SHARD_SAMPLE).select("shard", "n", "id", "x")
+        fitted = sample.groupBy("shard").applyInArrow(_fit_parts(TARGET, threshold), "shard long, c array<double>")
+        parts = stored(fitted.select("shard", (row_id() + F.lit(level << 58)).alias("part"), "c"), "shard-parts")
+        if parts.isEmpty():
+            break
+        chunks = F.ceil(F.col("n") / MAX_SHARD)
+        split = broadcast_if_small(sizes.join(parts.select("shard").distinct(), "shard", "left_semi"), 100_000)
+        going = members.join(split, "shard").select("id", "x", "n_copies", "shard", F.pmod(F.xxhash64("id", F.lit(5)), chunks).alias("chunk"))
+        given = parts.join(split, "shard").select("shard", "part", "c", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"))
+        dealt = going.groupBy("shard", "chunk").cogroup(given.groupBy("shard", "chunk")).applyInArrow(_assign_parts(overlap), "id long, x array<double>, n_copies long, shard long")
+        members = stored(members.join(split, "shard", "left_anti").select("id", "x", "n_copies", "shard").unionByName(dealt), "split-members")
+    return members
+
+
 def _prune(single: np.ndarray, lo: int, c: np.ndarray, s: np.ndarray, degree: int) -> tuple[np.ndarray, np.ndarray]:
     """Robust pruning of the pools ``c`` (similarities ``s``, falling) of the vectors from ``lo`` on: edges."""
     far = np.sqrt(np.maximum(2 - 2 * s, 0))
@@ -318,14 +380,19 @@ def _search(threshold: float):
 def _audit(vectors: DataFrame, threshold: float, every: int) -> DataFrame:
     """(id, audit_links): exact links of the vertices whose vec_id is divisible by
     ``every`` and of about ``LEAST_ASKED`` others of each label, by blocks of queries
-    against blocks of all vectors of the label."""
+    against blocks of all vectors of the label.  A label's blocks are dealt to chunks of at most
+    ``CHUNK_BLOCKS``, each of which gets all its queries, so that a large label is many tasks."""
+    tasks = partitions(vectors.sparkSession)
     blocks_of = vectors.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).alias("n_blocks"), F.least(F.lit(1.0), LEAST_ASKED / F.count("*")).alias("share"))
     v = vectors.join(F.broadcast(blocks_of), "label") if blocks_of.limit(10_001).count() <= 10_000 else vectors.join(blocks_of, "label")
     block = lambda salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col("n_blocks"))
     rows = F.collect_list(F.struct("id", "x", "n_copies"))
-    base = v.groupBy("label", block(1).alias("block")).agg(rows.alias("vectors")).drop("block")
+    chunks = F.least("n_blocks", F.greatest(F.lit(tasks), F.ceil(F.col("n_blocks") / CHUNK_BLOCKS))).alias("n_chunks")
+    base = v.groupBy("label", block(1).alias("block"), chunks).agg(rows.alias("vectors"))
+    base = base.select("label", F.pmod("block", "n_chunks").alias("chunk"), "vectors").repartition(tasks, "label", "chunk")
     unit = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
-    asked = v.filter((F.coalesce(F.col("vec_id") % every, F.lit(1)) == 0) | (unit < F.col("share"))).groupBy("label", block(2).alias("block")).agg(rows.alias("queries")).drop("block")
+    asked = v.filter((F.coalesce(F.col("vec_id") % every, F.lit(1)) == 0) | (unit < F.col("share"))).groupBy("label", block(2).alias("block"), chunks).agg(rows.alias("queries"))
+    asked = asked.select("label", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_chunks") - 1)).alias("chunk"), "queries")
 
     def compare(batches):
         for b in batches:
@@ -341,9 +408,9 @@ def _audit(vectors: DataFrame, threshold: float, every: int) -> DataFrame:
                     ids += [x["id"] for x in one]
                     sums += (s @ np.array([x["n_copies"] for x in two])).tolist()
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sums, pa.int64())], names=["id", "audit_links"])
-    asked.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
-    out = asked.join(base, "label").select("queries", "vectors").mapInArrow(compare, "id long, audit_links long").groupBy("id").agg(F.sum("audit_links").alias("audit_links"))
-    return stored(out, "audit")
+    pairs = asked.join(base, ["label", "chunk"]).select("queries", "vectors")
+    with batch_rows(vectors.sparkSession, 8):
+        return stored(pairs.mapInArrow(compare, "id long, audit_links long").groupBy("id").agg(F.sum("audit_links").alias("audit_links")), "audit")
 
 
 def _near(a: np.ndarray, c: np.ndarray, threshold: float) -> np.ndarray:
@@ -417,15 +484,14 @@ def compare_all(members: DataFrame, by: list[str], threshold: float) -> DataFram
     sizes = members.groupBy(*by).agg(F.ceil(F.count("*") / EXACT_BLOCK).alias("n_blocks"))
     dealt = members.join(broadcast_if_small(sizes, 10_000), by).withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("n_blocks")))
     packed = dealt.groupBy(*by, "n_blocks", "block").agg(F.first("shard").alias("here"), F.collect_list(F.struct("id", "x", "n_copies", "shards")).alias("rows"))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
     kind = ", ".join(f"{c.name} {c.dataType.simpleString()}" for c in packed.schema)
-    packed = stored(packed.mapInArrow(_block_roots(threshold), f"{kind}, root array<long>"), "blocks")
+    with batch_rows(spark, 2):
+        packed = stored(packed.mapInArrow(_block_roots(threshold), f"{kind}, root array<long>"), "blocks")
     one = packed.select(*by, "here", "rows", "root", F.col("block").alias("own"), F.explode(F.sequence("block", F.col("n_blocks") - 1)).alias("block"))
     two = packed.select(*by, "block", F.col("rows").alias("rows2"), F.col("root").alias("root2"))
     pairs = one.join(two, [*by, "block"]).select("here", (F.col("own") == F.col("block")).alias("same"), "rows", "root", "rows2", "root2")
-    out = stored(pairs.mapInArrow(_block_pairs(threshold), "id long, links long, root long"), "compared")
-    small_batches(spark)
-    return out
+    with batch_rows(spark, 2):
+        return stored(pairs.mapInArrow(_block_pairs(threshold), "id long, links long, root long"), "compared")
 
 
 def link(vectors: DataFrame, centroids: dict, overlap: int, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -433,9 +499,15 @@ def link(vectors: DataFrame, centroids: dict, overlap: int, threshold: float) ->
     small_batches(vectors.sparkSession)
     given = vectors.select("id", "label", "x", "n_copies")
     dealt = stored(given.mapInArrow(_assign(centroids, overlap), "id long, label long, x array<double>, n_copies long, shards array<long>"), "dealt")
-    members = dealt.select("id", "x", "n_copies", "shards", F.explode("shards").alias("shard"))
+    first = dealt.select("id", "x", "n_copies", F.explode("shards").alias("shard"))
+    members = split_shards(first, overlap, threshold)
+    if members is first:
+        members = dealt.select("id", "x", "n_copies", "shards", F.explode("shards").alias("shard"))
+    else:
+        of = members.groupBy("id").agg(F.sort_array(F.collect_list("shard")).alias("shards"))
+        members = stored(members.join(of, "id"), "members")
     sizes = members.groupBy("shard").count()
-    large = stored(sizes.filter(F.col("count") > MAX_SHARD).select("shard"), "large-shards")
+    large = stored(sizes.filter(F.col("count") > MAX_SHARD).select("shard"), "dense-shards")
     more = None
     if not large.isEmpty():
         large = broadcast_if_small(large, 100_000)
