@@ -81,7 +81,7 @@ def tolerant_scan(spark, sf_dir):
     docs = documents_rows(spark, sf_dir).select("doc_id", "text")
     files, log = shared_path(spark, "tolerant-files"), shared_path(spark, "tolerant-log")
     for k in range(_TOLERANT_PARTS):
-        docs.filter(F.col("doc_id") % _TOLERANT_PARTS == k).coalesce(1).write.parquet(f"{files}/part={k}")
+        docs.filter(F.col("doc_id") % _TOLERANT_PARTS == k).write.parquet(f"{files}/part={k}")
     spark.range(1).select(F.lit("no parquet").alias("value")).coalesce(1).write.text(f"{files}/part=broken")
     rows, report = read_files(spark, files, docs.schema)
     per_file = report.select(F.lit("file").alias("kind"), F.regexp_extract("file", "(part=[^/]+)/[^/]+$", 1).alias("name"), "n_rows")
