@@ -277,11 +277,11 @@ GROUP BY w.window_id""")
 def pack_flat(spark, sf_dir):
     ch = corpus_chunks(spark, sf_dir, language=None)
     order = [F.col("doc_id"), F.col("chunk_idx")]
-    # offsets are computed on narrow rows (no ids), the arrays joined on the unique key
+    # offsets are computed on narrow rows (no ids), the arrays joined on the unique key (never broadcast)
     keys = ch.select("doc_id", "chunk_idx", "chunk_len")
     with_off = C.stream_offsets(keys, order, doc_id_bucket(spark, sf_dir))
     total = with_off.agg(F.sum("chunk_len")).first()[0] or 0
-    stream = with_off.join(ch.select("doc_id", "chunk_idx", "chunk"), ["doc_id", "chunk_idx"])
+    stream = with_off.join(ch.select("doc_id", "chunk_idx", "chunk").hint("merge"), ["doc_id", "chunk_idx"])
     w = C.pack_windows(stream, int(total), PACK_LEN, PACK_STRIDE)
     z_last = F.coalesce(F.get("y", F.size("y") - 1), F.get("x", F.size("x") - 1))
     return w.select("window_id", F.size("x").cast("bigint").alias("x_len"),
