@@ -61,7 +61,7 @@ def flat_roundtrip(spark, sf_dir):
     total = offsets.agg(F.sum("chunk_len")).first()[0] or 0
     path = shared_path(spark, "flat")
     write_flat(ch.join(offsets.select("doc_id", "chunk_idx", "offset"), ["doc_id", "chunk_idx"]), path, total)
-    back = read_flat(spark, path)
+    back = read_flat(spark, path, lines=True)
     at = F.floor(F.col("pos") / FLAT_WINDOW).cast("bigint")
     return back.groupBy(at.alias("window_id")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum"), F.sum(F.col("id") * (F.col("pos") % FLAT_WINDOW + 1)).alias("placed_sum"))
