@@ -19,3 +19,14 @@ def test_known_pieces_are_bounded(monkeypatch):
     known = K._Md5Ids(1000)
     first = [known[p] for p in "abcdefga"]
     assert first[0] == first[-1] and len(known) <= 3
+
+
+def test_counts_are_sent_per_distinct_piece(spark):
+    import pyarrow as pa
+    from corpusflow.operators.tokens import _count_pieces, piece_counts
+    texts = ["a b a", None, "", "c a", "b b"]
+    got = list(_count_pieces(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])])))
+    assert [dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist())) for b in got] == [{"a": 3, "b": 3, "c": 1}]
+    df = spark.createDataFrame([(t,) for t in texts], "text STRING").repartition(3)
+    assert {r["piece"]: r["cnt"] for r in piece_counts(df).collect()} == {"a": 3, "b": 3, "c": 1}
+    assert {r["piece"]: r["cnt"] for r in piece_counts(df, pattern="a|c").collect()} == {"a": 3, "c": 1}
