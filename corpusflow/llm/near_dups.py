@@ -10,8 +10,8 @@ only with their sets' distance.
 Equal sequences form one class before anything else.  Within a bucket (equal
 keys of a table) every class is compared with the bucket's hub, which differs
 from table to table; after components are known, classes of one bucket that
-are still apart are compared as well, so that no pair that shares a bucket is
-lost, and yet a group of thousands costs a few comparisons a member.  One hub
+are still apart and met no hub's verdict (neither is a hub) are compared as well, so
+that no pair that shares a bucket is lost, and yet a group of thousands costs a few comparisons a member.  One hub
 is the bucket's most central class, as a rule the original of the copies.
 
 A candidate pair is verified by an alignment of both run sequences within the
@@ -31,6 +31,7 @@ from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ from corpusflow.operators.sizing import broadcast_if_small
 
 K, SIMILAR = 5, 0.8
 TABLES, PICKED = 12, 2
-BLOCK = 64
+BLOCK = 256
 _U = np.uint64
 _SEEDS = mix64(np.arange(1, 65, dtype=_U) * _U(0xD1342543DE82EF95))
 
@@ -209,9 +210,11 @@ def _verified(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
         return stored(full.mapInArrow(_verify, "a long, b long"), "similar-pairs")
 
 
-def _apart(members: DataFrame, group: DataFrame) -> DataFrame:
-    """Members of buckets with the component of each; only buckets that hold several components."""
-    m = members.join(group, members.id == group.v, "left").select("t", "k", "id", "n_runs", F.coalesce("component", "id").alias("c"))
+def _apart(met: DataFrame, group: DataFrame) -> DataFrame:
+    """Members that aren't hubs of their bucket, with the component of each; only buckets in which
+    several components have such members.  Every pair with a hub has been tested by its alignment."""
+    others = met.filter("n - size(hubs) > 1").filter(~F.array_contains("hubs.id", F.col("id")))
+    m = others.join(group, others.id == group.v, "left").select("t", "k", "id", "n_runs", F.coalesce("component", "id").alias("c"))
     m = stored(m, "bucket-members")
     mixed = stored(m.groupBy("t", "k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("t", "k"), "mixed-buckets")
     return m.join(mixed, ["t", "k"], "left_semi")
@@ -244,50 +247,67 @@ class _Block:
         return out
 
 
-def _verify_blocks(batches):
-    """Similar pairs (a, b) of two blocks of a bucket's members.  A product of incidence
-    matrices bounds the aligned runs; only pairs that it lets pass are aligned, and a pair
-    that shares several tables is tested in the first."""
+def _verify_cells(batches):
+    """Components (a, b) of the similar pairs of a cell: of its members' left with its right ones, or,
+    in a cell of one block, with each other.  A product of incidence matrices bounds the aligned
+    runs; only pairs that it lets pass are aligned, and a pair that shares several tables is tested in the first."""
     for b in batches:
         one, two = [], []
         for r in range(b.num_rows):
-            t, same = b.column(0)[r].as_py(), b.column(1)[r].as_py()
-            x, y = _Block(b.column(2)[r].values), _Block(b.column(3)[r].values)
+            t, members = b.column(0)[r].as_py(), b.column(1)[r].values
+            right = members.field("right")
+            x = _Block(members.filter(pc.invert(right)))
+            y = _Block(members.filter(right)) if pc.any(right).as_py() else x
+            equal = x.keys[:, None, :] == y.keys[None, :, :]
+            go = (x.c[:, None] != y.c) & (equal.argmax(2) == t) & equal.any(2)
+            if x is y:
+                go &= x.id[:, None] < y.id
+            if not go.any():
+                continue
             common = np.sort(np.intersect1d(x.terms, y.terms, assume_unique=True))
             overlap = np.zeros((len(x.n), len(y.n)), np.float32)
             for lo in range(0, len(common), 8192):
                 part = common[lo:lo + 8192]
                 overlap += x.incidence(part) @ y.incidence(part).T
             need = SIMILAR * np.add.outer(x.n, y.n) / (1 + SIMILAR) - 1e-6
-            equal = x.keys[:, None, :] == y.keys[None, :, :]
-            go = (overlap + np.minimum.outer(x.repeats, y.repeats) >= need) & (x.c[:, None] != y.c) & (equal.argmax(2) == t) & equal.any(2)
-            if same:
-                go &= x.id[:, None] < y.id
+            go &= overlap + np.minimum.outer(x.repeats, y.repeats) >= need
             for i, j in np.argwhere(go):
                 if similar(x.sequence(i), y.sequence(j)):
-                    one.append(min(x.id[i], y.id[j]))
-                    two.append(max(x.id[i], y.id[j]))
+                    one.append(min(x.c[i], y.c[j]))
+                    two.append(max(x.c[i], y.c[j]))
         yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=["a", "b"])
 
 
-def _rest(apart: DataFrame, classes: DataFrame, sequences: DataFrame) -> DataFrame:
-    """Similar pairs among the members of buckets that are in different components,
-    by blocks of ``BLOCK`` members: no pair is written but the similar ones.
+def _cells(apart: DataFrame) -> DataFrame:
+    """A row (t, cell, right, id, c) per member and cell, a cell being two blocks of a bucket that
+    may hold similar members, or one.
 
     Blocks hold members of like length.  The base of the length's logarithm is a little
     above 1 / ``SIMILAR``, so similar members are of equal or neighbouring lengths, and
     only blocks of such lengths meet."""
     apart = apart.withColumn("size", F.floor(F.log("n_runs") / float(np.log(1.008 / SIMILAR))))
-    sizes = stored(apart.groupBy("t", "k", "size").agg(F.ceil(F.count("*") / BLOCK).alias("n_blocks")), "apart-sizes")
-    block = F.pmod(F.xxhash64("id"), F.col("n_blocks"))
+    sizes = apart.groupBy("t", "k", "size").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    sizes = stored(sizes.groupBy("t", "k").agg(F.map_from_entries(F.collect_list(F.struct("size", "blocks"))).alias("sizes")), "apart-sizes")
+    rows = apart.join(sizes, ["t", "k"])
+    rows = rows.withColumn("own", F.struct("size", F.pmod(F.xxhash64("id"), F.col("sizes")[F.col("size")]).alias("block")))
+    blocks_of = "transform(sequence(0L, sizes[size + {0}] - 1), b -> struct(size + {0} as size, b as block))"
+    met = [F.coalesce(F.expr(blocks_of.format(step)), F.array().cast("array<struct<size: long, block: long>>")) for step in (-1, 0, 1)]
+    rows = rows.withColumn("other", F.explode(F.concat(*met)))
+    cell = F.struct("k", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")).alias("cell")
+    return rows.select("t", cell, (F.col("own") > F.col("other")).alias("right"), "id", "c")
+
+
+def _rest(apart: DataFrame, classes: DataFrame, sequences: DataFrame) -> DataFrame:
+    """Pairs of components that similar members of a bucket join, found cell by cell: no pair is
+    written but those of similar members."""
     full = classes.select("id", "keys").join(sequences, "id").join(apart.select("id").distinct(), "id", "left_semi")
-    rows = apart.join(sizes, ["t", "k", "size"]).select("t", "k", "size", "id", "c", block.alias("block")).join(stored(full, "apart-sequences"), "id")
-    rows = stored(rows.groupBy("t", "k", "size", "block").agg(F.collect_list(F.struct("id", "c", "keys", "runs")).alias("m")), "blocks")
-    other = rows.select("t", "k", F.explode(F.array(F.col("size"), F.col("size") - 1)).alias("size"), F.col("size").alias("size2"), F.col("block").alias("block2"), F.col("m").alias("m2"))
-    pairs = rows.join(other, ["t", "k", "size"]).filter("size < size2 or block <= block2")
-    pairs = pairs.select("t", ((F.col("size") == F.col("size2")) & (F.col("block") == F.col("block2"))).alias("same"), "m", "m2").filter("not same or size(m) > 1")
-    with batch_rows(pairs.sparkSession, 4):
-        return stored(pairs.mapInArrow(_verify_blocks, "a long, b long"), "rest-pairs")
+    rows = _cells(apart).join(stored(full, "apart-sequences"), "id")
+    rows = rows.groupBy("t", "cell").agg(F.collect_list(F.struct("id", "c", "keys", "runs", "right")).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi"),
+                                         F.min("right").alias("one"), F.max("right").alias("two"))
+    # a cell of two blocks of which one has no members, or of one component, holds no pair
+    rows = rows.filter("lo < hi and not one and (two or cell.low = cell.high)").select("t", "m")
+    with batch_rows(apart.sparkSession, 4):
+        return stored(rows.mapInArrow(_verify_cells, "a long, b long"), "rest-pairs")
 
 
 def near_duplicates(docs: DataFrame, *, key: str, text: str) -> DataFrame:
@@ -310,10 +330,11 @@ def near_duplicates(docs: DataFrame, *, key: str, text: str) -> DataFrame:
     # two hubs a bucket: the most central class, and one that differs from table to table
     one = F.struct("id", "n_runs")
     hubs = members.groupBy("t", "k").agg(F.max_by(one, F.struct("central", -F.col("id"))).alias("h1"), F.min_by(one, F.xxhash64("id", "t")).alias("h2"))
-    hubs = hubs.select("t", "k", F.explode(F.array_distinct(F.array("h1", "h2"))).alias("hub"))
-    hubs = stored(hubs.select("t", "k", F.col("hub.id").alias("hub"), F.col("hub.n_runs").alias("hub_runs")), "hubs")
-    in_band = f"least(n_runs, hub_runs) >= {SIMILAR} * greatest(n_runs, hub_runs)"
-    pairs = members.join(hubs, ["t", "k"]).filter("id <> hub").filter(in_band).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+    hubs = stored(hubs.select("t", "k", F.array_distinct(F.array("h1", "h2")).alias("hubs")), "hubs")
+    met = stored(members.join(hubs, ["t", "k"]).select("t", "k", "n", "id", "n_runs", "hubs"), "met")
+    in_band = f"least(n_runs, hub.n_runs) >= {SIMILAR} * greatest(n_runs, hub.n_runs)"
+    pairs = met.select("id", "n_runs", F.explode("hubs").alias("hub")).filter("id <> hub.id").filter(in_band)
+    pairs = pairs.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
     pairs = stored(pairs, "hub-pairs")
     # the run sequences of the classes that share a bucket
     wanted = classes.join(members.select("id").distinct(), "id", "left_semi").select("id", F.col("content.a").alias("ca"), F.col("content.b").alias("cb"))
@@ -322,13 +343,12 @@ def near_duplicates(docs: DataFrame, *, key: str, text: str) -> DataFrame:
     sequences = stored(texts.mapInArrow(_sequences, "id long, runs array<int>").dropDuplicates(["id"]), "run-sequences")
     links = _verified(pairs, sequences)
     group = components(links).withColumnRenamed("id", "v")
-    members = members.select("t", "k", "id", "n_runs")
-    # classes of one bucket that are still apart
-    more = _rest(stored(_apart(members, group), "apart"), classes, sequences)
-    if not more.isEmpty():
-        group = components(links.unionByName(more)).withColumnRenamed("id", "v")
+    # classes of one bucket that are still apart; their links join components, whose smallest id names the whole
+    more = _rest(stored(_apart(met, group), "apart"), classes, sequences)
+    joined = components(more).select(F.col("id").alias("part"), F.col("component").alias("whole"))
     ids = classes.select("sa", "sb", "id", "n_copies")
-    top = ids.join(group, ids.id == group.v, "left").select("sa", "sb", "id", "n_copies", F.coalesce("component", "id").alias("component"))
+    top = ids.join(group, ids.id == group.v, "left").select("sa", "sb", "id", "n_copies", F.coalesce("component", "id").alias("part"))
+    top = top.join(joined, "part", "left").select("sa", "sb", "id", "n_copies", F.coalesce("whole", "part").alias("component"))
     # smallest key of each component, by the classes' first rows
     first = rows.join(ids.select("id"), rows.row_id == ids.id, "left_semi").select(F.col("row_id").alias("id"), "key")
     top = stored(top.join(first, "id"), "class-keys")
