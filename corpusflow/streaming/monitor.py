@@ -7,16 +7,20 @@ only if its step exceeds the last shown step (initially 0), with trend arrows
 against the last shown row.  Rows between two polls are skipped, as in a
 poller that reads only the last entry.  Every task first keeps the newest row per
 run of an Arrow batch, so the stateful step sees one row per run and batch, not
-the run's log.
+the run's log.  Runs share the state of their bucket, one of ``BUCKETS``: a Python call
+compares all runs of a bucket at once, so a trigger makes a bounded number of calls however
+many runs there are.  Runs without an id are one run; a row without ``seq`` comes before all others.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -42,63 +46,62 @@ OUT_SCHEMA = T.StructType([
     T.StructField("step", T.LongType()),
 ] + [T.StructField(f"{m}_trend", T.StringType()) for m in TRACKED])
 
-STATE_SCHEMA = T.StructType([T.StructField("last_step", T.LongType())]
-                            + [T.StructField(m, T.DoubleType()) for m in TRACKED])
+#: Fixed for the life of a checkpoint.
+BUCKETS = 1024
+NO_SEQ = -1 << 63
 
+#: The last shown rows of a bucket's runs, by run: run, step (int64) and the metrics (float64, NaN where null).
+STATE_SCHEMA = T.StructType([T.StructField(c, T.BinaryType()) for c in ["run_id", "step", *TRACKED]])
 
-def _arrow(cur, prev) -> str:
-    if prev is None:
-        return ""
-    cur = 0.0 if cur is None else cur
-    if cur < prev:
-        return ARROW_DOWN
-    if cur > prev:
-        return ARROW_UP
-    return ARROW_FLAT
 
-
-def _clean(v):
-    if v is None:
-        return None
-    v = float(v)
-    return None if math.isnan(v) else v
+def _arrows(cur: np.ndarray, prev: np.ndarray) -> np.ndarray:
+    """Trend of each value against the last shown one; none where there was none."""
+    cur = np.where(np.isnan(cur), 0.0, cur)
+    return np.select([np.isnan(prev), cur < prev, cur > prev], ["", ARROW_DOWN, ARROW_UP], ARROW_FLAT)
 
 
 def newest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The row of the highest ``seq`` (nulls lowest) per run of an Arrow batch."""
     for b in batches:
-        keys = pa.table({"run_id": b.column("run_id"), "seq": b.column("seq"), "at": pa.array(range(b.num_rows))}).to_pandas()
-        last = keys.sort_values("seq", na_position="first", kind="stable").drop_duplicates("run_id", keep="last")
+        run, seq = b.column("run_id"), b.column("seq")  # nulls would turn them into floats
+        keys = pa.table({"run_id": pc.fill_null(run, 0), "none": pc.is_null(run), "seq": pc.fill_null(seq, NO_SEQ), "at": pa.array(range(b.num_rows))}).to_pandas()
+        last = keys.sort_values("seq", kind="stable").drop_duplicates(["run_id", "none"], keep="last")
         yield b.take(pa.array(last["at"].to_numpy()))
 
 
 def show_latest(key, pdfs, state):
-    """applyInPandasWithState function: emit the newest row of the run if
+    """applyInPandasWithState function: of each run of a bucket, emit the newest row if
     its step advanced past the last shown step."""
     import pandas as pd
 
-    newest = None
-    for pdf in pdfs:
-        if len(pdf) == 0:
-            continue
-        cand = pdf.loc[pdf["seq"].idxmax()]
-        if newest is None or cand["seq"] > newest["seq"]:
-            newest = cand
-    if newest is None:
-        return
-    prev = state.get if state.exists else None
-    last_step = int(prev[0]) if prev is not None else 0
-    step = newest["step"]
-    step = 0 if step is None or (isinstance(step, float) and math.isnan(step)) else int(step)
-    if step <= last_step:
+    rows = pd.concat([pdf for pdf in pdfs if len(pdf)] or [pd.DataFrame(columns=["run_id", "seq", "step", *TRACKED])])
+    rows = rows.sort_values("seq", kind="stable").drop_duplicates("run_id", keep="last").sort_values("run_id")
+    runs, steps = rows["run_id"].to_numpy(np.int64), rows["step"].to_numpy(np.int64)
+    cur = {m: rows[m].to_numpy(np.float64) for m in TRACKED}
+    old = dict(zip(["run_id", "step", *TRACKED], state.get)) if state.exists else {}
+    old_runs, old_steps = (np.frombuffer(old.get(c, b""), np.int64) for c in ("run_id", "step"))
+    at = np.searchsorted(old_runs, runs)
+    known = np.append(old_runs, 0)[at] == runs if len(old_runs) else np.zeros(len(runs), bool)
+    known &= at < len(old_runs)
+    before = np.where(known, np.append(old_steps, 0)[at], 0)
+    show = steps > before
+    if not show.any():
         return
-    cur = {m: _clean(newest[m]) for m in TRACKED}
-    before = {m: (_clean(prev[i + 1]) if prev is not None else None) for i, m in enumerate(TRACKED)}
-    row = {"run_id": int(key[0]), "seq": int(newest["seq"]), "step": step}
+    out = {"run_id": pd.array(runs[show], "Int64"), "seq": pd.array(rows["seq"].to_numpy(np.int64)[show], "Int64"), "step": steps[show]}
+    if key[0] < 0:
+        out["run_id"][:] = pd.NA
+    out["seq"][out["seq"] == NO_SEQ] = pd.NA
+    stay = np.ones(len(old_runs), bool)
+    stay[at[show & known]] = False
+    now = np.concatenate([old_runs[stay], runs[show]])
+    order = np.argsort(now, kind="stable")
+    kept = [now[order], np.concatenate([old_steps[stay], steps[show]])[order]]
     for m in TRACKED:
-        row[f"{m}_trend"] = _arrow(cur[m], before[m])
-    state.update(tuple([step] + [cur[m] for m in TRACKED]))
-    yield pd.DataFrame([row])
+        last = np.frombuffer(old.get(m, b""), np.float64)
+        out[f"{m}_trend"] = _arrows(cur[m][show], np.where(known, np.append(last, np.nan)[at], np.nan)[show])
+        kept.append(np.concatenate([last[stay], cur[m][show]])[order])
+    state.update(tuple(x.tobytes() for x in kept))
+    yield pd.DataFrame(out)
 
 
 def monitor_frame(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -106,8 +109,13 @@ def monitor_frame(spark: SparkSession, log_dir: str, max_files_per_trigger: int
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     logs = reader.json(log_dir)
+    logs = logs.select("run_id", "seq", "step", *TRACKED)
     logs = logs.mapInArrow(newest_rows, logs.schema)
-    return logs.groupBy("run_id").applyInPandasWithState(
+    bucket = F.when(F.col("run_id").isNull(), -1).otherwise(F.pmod(F.xxhash64("run_id"), F.lit(BUCKETS)).cast("int"))
+    # no nulls among the integers: pandas would turn them into floats
+    logs = logs.select(bucket.alias("bucket"), F.coalesce("run_id", F.lit(0)).alias("run_id"), F.coalesce("seq", F.lit(NO_SEQ)).alias("seq"),
+                       F.coalesce("step", F.lit(0)).alias("step"), *TRACKED)
+    return logs.groupBy("bucket").applyInPandasWithState(
         show_latest, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 

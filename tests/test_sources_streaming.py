@@ -133,3 +133,44 @@ def test_sources_that_would_give_wrong_rows_are_refused(spark):
     lacking = SourceSpec("x", f"{SF_SMALL}/benchmark.parquet", 1.0, order_expr="item_id", lang_column="lang", filters=("de",))
     with pytest.raises(SourceError):
         read_sources(spark, [lacking])
+
+
+def test_monitor_of_many_runs_calls_once_per_bucket(spark, tmp_dir, monkeypatch):
+    """Runs share their bucket's state: each is shown as if it were alone, the runs without an id too."""
+    import random
+
+    from corpusflow.streaming import monitor
+
+    monkeypatch.setattr(monitor, "BUCKETS", 3)
+    rng = random.Random(4)
+    log, out, ckpt = f"{tmp_dir}/log", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    schema = "run_id BIGINT, seq BIGINT, step BIGINT, loss DOUBLE, perplexity DOUBLE, tokens_per_second DOUBLE"
+    some = lambda: rng.choice([None, 1.0, 2.0, 3.0])
+    runs = [None, *range(-3, 40), (1 << 62) + 1, (1 << 62) + 3]
+    polls = {r: [] for r in runs}
+    seq = 0
+    for _ in range(3):
+        rows = []
+        for r in runs:
+            own = []
+            for _ in range(rng.randint(0, 3)):
+                seq += 1
+                own.append({"seq": (1 << 60) + seq, "step": rng.choice([None, 0, 10, 20, 30, (1 << 60) + 1]), "loss": some(), "perplexity": some(), "tokens_per_second": some()})
+            rows += [(r, *x.values()) for x in own]
+            polls[r].append(own)
+        append_runlog(spark.createDataFrame(rows, schema).repartition(3), log)
+        start_monitor(spark, log, out, ckpt, available_now=True).awaitTermination()
+    shown = spark.read.schema(OUT_SCHEMA).parquet(out).orderBy("seq").collect()
+    got = {r: [(x["step"], {m: x[f"{m}_trend"] for m in monitor.TRACKED}) for x in shown if x["run_id"] == r] for r in runs}
+    assert got == {r: monitor_loop([[{**x, "step": x["step"] or 0} for x in p] for p in polls[r] if p]) for r in runs}
+    calls = [0, 0]
+
+    class State:
+        exists = False
+
+        def update(self, value):
+            calls[0] += 1
+    import pandas as pd
+    many = pd.DataFrame({"run_id": range(500), "seq": 1, "step": 10, "loss": 1.0, "perplexity": None, "tokens_per_second": 2.0})
+    calls[1] = sum(len(x) for x in monitor.show_latest((0,), iter([many]), State()))
+    assert calls == [1, 500]
