@@ -8,7 +8,6 @@ a quarter of a megabyte; a longer text makes a block of its own, whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.operators.joins import spread_join  # noqa: F401
 from corpusflow.operators.sizing import broadcast_if_small
-from corpusflow.session import shared_path, stored  # noqa: F401
+from corpusflow.session import batch_rows, shared_path, stored  # noqa: F401
 
 BLOCK_BYTES = 1 << 18
 _U = np.uint64
@@ -40,18 +39,6 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
-@contextmanager
-def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Batches of ``rows`` wide rows for the actions that run inside; the session's own setting comes back."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def row_id() -> F.Column:
     """A key of rows that stays fixed once the frame is stored."""
     return F.monotonically_increasing_id()

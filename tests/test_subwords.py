@@ -92,3 +92,28 @@ def test_empty_frame_and_taken_names(spark, table):
     assert encode_subwords(empty, table).count() == 0
     with pytest.raises(ValueError):
         encode_subwords(spark.createDataFrame([(1, "a", 2)], "doc_id long, text string, _row int"), table)
+
+
+def test_batches_hold_each_piece_once(spark, monkeypatch):
+    """Batches are cut by their pieces, longer rows stand alone, and the strings are written once per batch."""
+    from corpusflow.operators import subwords
+
+    found = {}
+    stored = subwords.stored
+    monkeypatch.setattr(subwords, "stored", lambda df, name, **options: found.setdefault(name, stored(df, name, **options)))
+    monkeypatch.setattr(subwords, "BATCH_PIECES", 6)
+    table = small_table()
+    rows = [(i, t, [i], {"a": i}) for i, t in enumerate(["ab ab ab", None, "", "aba xx abab ab ab ab ab ab", "x", "ab"] * 3)] + [(None, "ab x", None, None), (2, "ab x", [], {})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more array<int>, `odd name` map<string, int>").coalesce(1)
+    got = encode_subwords(docs, table).collect()
+
+    def ids(text):
+        return [i for n, word in enumerate((text or "").split(" ")) if word for i in loop((b" " if n else b"") + word.encode(), table)]
+    want = sorted((str(k), m, d, ids(t)) for k, t, m, d in rows if k is not None)
+    assert sorted((str(r.doc_id), r.more, r["odd name"], r.tokens) for r in got if r.doc_id is not None) == want
+    assert [(r.tokens, r.n_tokens) for r in got if r.doc_id is None] == [(ids("ab x"), len(ids("ab x")))]
+    assert set(found) == {"pieces", "piece-ids"}
+    batches = found["pieces"].collect()
+    assert all(len(set(b["_dictionary"])) == len(b["_dictionary"]) for b in batches)
+    assert all(len(b["_rows"]) == 1 or sum(len(r["_codes"]) for r in b["_rows"]) <= 6 for b in batches)
+    assert max(len(b["_rows"]) for b in batches) > 1
