@@ -31,7 +31,6 @@ from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -254,10 +253,10 @@ def _verify_cells(batches):
     for b in batches:
         one, two = [], []
         for r in range(b.num_rows):
-            t, members = b.column(0)[r].as_py(), b.column(1)[r].values
-            right = members.field("right")
-            x = _Block(members.filter(pc.invert(right)))
-            y = _Block(members.filter(right)) if pc.any(right).as_py() else x
+            t, sides = b.column(0)[r].as_py(), b.column(1)[r].values
+            right = sides.field("right").to_pylist()
+            x = _Block(sides.field("m")[right.index(False)].values)
+            y = _Block(sides.field("m")[right.index(True)].values) if len(right) > 1 else x
             equal = x.keys[:, None, :] == y.keys[None, :, :]
             go = (x.c[:, None] != y.c) & (equal.argmax(2) == t) & equal.any(2)
             if x is y:
@@ -278,9 +277,9 @@ def _verify_cells(batches):
         yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=["a", "b"])
 
 
-def _cells(apart: DataFrame) -> DataFrame:
-    """A row (t, cell, right, id, c) per member and cell, a cell being two blocks of a bucket that
-    may hold similar members, or one.
+def _blocks(apart: DataFrame, full: DataFrame) -> DataFrame:
+    """Members of a bucket in blocks of about ``BLOCK``: a row (t, k, size, block, m, lo, hi, sizes) per block,
+    ``sizes`` being the number of the bucket's blocks by size, lo and hi the bounds of its components.
 
     Blocks hold members of like length.  The base of the length's logarithm is a little
     above 1 / ``SIMILAR``, so similar members are of equal or neighbouring lengths, and
@@ -288,24 +287,25 @@ def _cells(apart: DataFrame) -> DataFrame:
     apart = apart.withColumn("size", F.floor(F.log("n_runs") / float(np.log(1.008 / SIMILAR))))
     sizes = apart.groupBy("t", "k", "size").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     sizes = stored(sizes.groupBy("t", "k").agg(F.map_from_entries(F.collect_list(F.struct("size", "blocks"))).alias("sizes")), "apart-sizes")
-    rows = apart.join(sizes, ["t", "k"])
-    rows = rows.withColumn("own", F.struct("size", F.pmod(F.xxhash64("id"), F.col("sizes")[F.col("size")]).alias("block")))
-    blocks_of = "transform(sequence(0L, sizes[size + {0}] - 1), b -> struct(size + {0} as size, b as block))"
-    met = [F.coalesce(F.expr(blocks_of.format(step)), F.array().cast("array<struct<size: long, block: long>>")) for step in (-1, 0, 1)]
-    rows = rows.withColumn("other", F.explode(F.concat(*met)))
-    cell = F.struct("k", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")).alias("cell")
-    return rows.select("t", cell, (F.col("own") > F.col("other")).alias("right"), "id", "c")
+    block = F.pmod(F.xxhash64("id"), F.col("sizes")[F.col("size")])
+    rows = apart.join(sizes, ["t", "k"]).select("t", "k", "size", block.alias("block"), "id", "c", "sizes").join(full, "id")
+    return rows.groupBy("t", "k", "size", "block").agg(F.collect_list(F.struct("id", "c", "keys", "runs")).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi"),
+                                                       F.first("sizes").alias("sizes"))
 
 
 def _rest(apart: DataFrame, classes: DataFrame, sequences: DataFrame) -> DataFrame:
-    """Pairs of components that similar members of a bucket join, found cell by cell: no pair is
-    written but those of similar members."""
+    """Pairs of components that similar members of a bucket join, found cell by cell, a cell being
+    two blocks or one: no pair is written but those of similar members."""
     full = classes.select("id", "keys").join(sequences, "id").join(apart.select("id").distinct(), "id", "left_semi")
-    rows = _cells(apart).join(stored(full, "apart-sequences"), "id")
-    rows = rows.groupBy("t", "cell").agg(F.collect_list(F.struct("id", "c", "keys", "runs", "right")).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi"),
-                                         F.min("right").alias("one"), F.max("right").alias("two"))
+    rows = stored(_blocks(apart, stored(full, "apart-sequences")), "blocks")
+    blocks_of = "transform(sequence(0L, sizes[size + {0}] - 1), b -> struct(size + {0} as size, b as block))"
+    met = [F.coalesce(F.expr(blocks_of.format(step)), F.array().cast("array<struct<size: long, block: long>>")) for step in (-1, 0, 1)]
+    rows = rows.withColumn("own", F.struct("size", "block")).withColumn("other", F.explode(F.concat(*met)))
+    cell = F.struct("k", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")).alias("cell")
+    rows = rows.select("t", cell, F.struct((F.col("own") > F.col("other")).alias("right"), "m").alias("side"), "lo", "hi")
+    rows = rows.groupBy("t", "cell").agg(F.collect_list("side").alias("sides"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     # a cell of two blocks of which one has no members, or of one component, holds no pair
-    rows = rows.filter("lo < hi and not one and (two or cell.low = cell.high)").select("t", "m")
+    rows = rows.filter("lo < hi and (size(sides) = 2 or cell.low = cell.high)").select("t", "sides")
     with batch_rows(apart.sparkSession, 4):
         return stored(rows.mapInArrow(_verify_cells, "a long, b long"), "rest-pairs")
 
