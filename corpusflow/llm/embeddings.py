@@ -68,31 +68,43 @@ def _matrix(column) -> np.ndarray:
 def _lloyd(v: np.ndarray, n: int, rounds: int = 6) -> np.ndarray:
     """``n`` unit centroids of unit vectors."""
     c = v[np.linspace(0, len(v) - 1, n).astype(int)]
+    step = max(1, CELLS // n)
     for _ in range(rounds):
-        near = (v @ c.T).argmax(1)
+        near = np.concatenate([(v[lo:lo + step] @ c.T).argmax(1) for lo in range(0, len(v), step)])
         c = np.array([v[near == j].sum(0) if (near == j).any() else c[j] for j in range(n)])
         c = c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
     return c
 
 
+def _fit(scale: float, target: int):
+    """Centroids (label, length, c) of a label's sampled vectors of one length."""
+    def run(table: pa.Table) -> pa.Table:
+        order = np.lexsort((np.asarray(table["id"]), np.asarray(table["u"])))
+        v = _unit(_matrix(table["x"].combine_chunks())[order])
+        c = _lloyd(v, max(1, min(len(v) // 4, round(len(v) * scale / target))))
+        same = lambda name: pa.array([table[name][0].as_py()] * len(c), pa.int64())
+        return pa.table({"label": same("label"), "length": same("length"), "at": np.arange(len(c)), "c": pa.array(list(c), pa.list_(pa.float64()))})
+    return run
+
+
 def fit_centroids(vectors: DataFrame, target: int = TARGET, sample: int = SAMPLE) -> dict[tuple[int, int], np.ndarray]:
     """Centroids per (label, length), by a few rounds of Lloyd's method on a sample
-    of at most ``sample`` vectors, those of the smallest hashes."""
+    of at most ``sample`` vectors, those of the smallest hashes.  The sample stays with the tasks;
+    the driver gets the centroids alone."""
     total = vectors.count()
     picked = vectors.select("label", "x", F.xxhash64("id", F.lit(6)).alias("u"), "id")
     if total > sample:
         picked = picked.filter(F.pmod("u", F.lit(1 << 30)) < int(1.1 * sample / total * (1 << 30)))
-    table = picked.orderBy("u", "id").limit(sample).toArrow()
+    picked = stored(picked.orderBy("u", "id").limit(sample).withColumn("length", F.size("x").cast("long")), "sample")
+    scale = max(total, 1) / max(picked.count(), 1)
+    fitted = picked.groupBy("label", "length").applyInArrow(_fit(scale, target), "label long, length long, at long, c array<double>")
+    table = fitted.toArrow()
+    label, length, at = (np.asarray(table[c]) for c in ("label", "length", "at"))
+    lists = table["c"].combine_chunks()
     out: dict[tuple[int, int], np.ndarray] = {}
-    groups: dict[tuple[int, int], list[int]] = {}
-    xs = table["x"].to_pylist()
-    for i, (label, x) in enumerate(zip(table["label"].to_pylist(), xs, strict=True)):
-        groups.setdefault((label, len(x)), []).append(i)
-    scale = max(total, 1) / max(len(xs), 1)
-    for g, rows in groups.items():
-        v = _unit(np.array([xs[i] for i in rows], float))
-        n = max(1, min(len(v) // 4, round(len(v) * scale / target)))
-        out[g] = _lloyd(v, n)
+    rows = np.lexsort((at, length, label))
+    for part in np.split(rows, np.flatnonzero((np.diff(label[rows]) != 0) | (np.diff(length[rows]) != 0)) + 1) if len(rows) else []:
+        out[int(label[part[0]]), int(length[part[0]])] = _matrix(lists.take(pa.array(part)))
     return out
 
 
@@ -377,40 +389,68 @@ def _search(threshold: float):
     return run
 
 
+def _in_range(x: np.ndarray, y: np.ndarray, threshold: float, size: int = 2_048):
+    """Pairs (p, q) of raw vectors in range, a tile at a time: single precision tells, and where its
+    rounding might, the cosine in double precision."""
+    one, two = _unit(x).astype(np.float32), _unit(y).astype(np.float32)
+    n, m = np.sqrt(np.einsum("nd,nd->n", x, x)), np.sqrt(np.einsum("nd,nd->n", y, y))
+    band = np.float32((x.shape[1] + 8) * 1.2e-7)
+    for lo in range(0, len(x), BLOCK):
+        for at in range(0, len(y), size):
+            p, q = np.nonzero((s := one[lo:lo + BLOCK] @ two[at:at + size].T) >= np.float32(threshold) - band)
+            sure = s[p, q] > np.float32(threshold) + band
+            p, q = p + lo, q + at
+            unsure = np.flatnonzero(~sure)
+            for i in range(0, len(unsure), 50_000):
+                part = unsure[i:i + 50_000]
+                a, b = p[part], q[part]
+                sure[part] = np.einsum("nd,nd->n", x[a], y[b]) / (n[a] * m[b]) >= threshold
+            yield p[sure], q[sure]
+
+
+def _compare(threshold: float):
+    """Links of the queries of a cell to its vectors; lengths meet their own."""
+    def run(queries: pa.Table, vectors: pa.Table) -> pa.Table:
+        ids = np.asarray(queries["asked"])
+        links = np.zeros(len(ids), np.int64)
+        if not (len(ids) and vectors.num_rows):
+            return pa.table({"id": ids, "audit_links": links})
+        x, y = queries["q"].combine_chunks(), vectors["x"].combine_chunks()
+        q, w = np.asarray(x.value_lengths()), np.asarray(y.value_lengths())
+        own, copies = np.asarray(vectors["id"]), np.asarray(vectors["n_copies"])
+        for size in np.intersect1d(q, w):
+            one, two = np.flatnonzero(q == size), np.flatnonzero(w == size)
+            for i, j in _in_range(_matrix(x.take(pa.array(one))), _matrix(y.take(pa.array(two))), threshold):
+                i, j = one[i], two[j]
+                other = ids[i] != own[j]
+                np.add.at(links, i[other], copies[j[other]])
+        return pa.table({"id": ids, "audit_links": links})
+    return run
+
+
 def _audit(vectors: DataFrame, threshold: float, every: int) -> DataFrame:
     """(id, audit_links): exact links of the vertices whose vec_id is divisible by
-    ``every`` and of about ``LEAST_ASKED`` others of each label, by blocks of queries
-    against blocks of all vectors of the label.  A label's blocks are dealt to chunks of at most
-    ``CHUNK_BLOCKS``, each of which gets all its queries, so that a large label is many tasks."""
-    tasks = partitions(vectors.sparkSession)
-    blocks_of = vectors.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).alias("n_blocks"), F.least(F.lit(1.0), LEAST_ASKED / F.count("*")).alias("share"))
-    v = vectors.join(F.broadcast(blocks_of), "label") if blocks_of.limit(10_001).count() <= 10_000 else vectors.join(blocks_of, "label")
-    block = lambda salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col("n_blocks"))
-    rows = F.collect_list(F.struct("id", "x", "n_copies"))
-    chunks = F.least("n_blocks", F.greatest(F.lit(tasks), F.ceil(F.col("n_blocks") / CHUNK_BLOCKS))).alias("n_chunks")
-    base = v.groupBy("label", block(1).alias("block"), chunks).agg(rows.alias("vectors"))
-    base = base.select("label", F.pmod("block", "n_chunks").alias("chunk"), "vectors").repartition(tasks, "label", "chunk")
+    ``every`` and of about ``LEAST_ASKED`` others of each label.  A label's vectors are dealt to chunks of at most
+    about ``CHUNK_BLOCKS`` blocks, its queries too, and every chunk of queries meets every chunk of vectors in
+    a cell of its own, so that a large label is many tasks."""
+    spark = vectors.sparkSession
+    tasks = partitions(spark)
+    counts = vectors.groupBy("label").agg(F.count("*").alias("n"), F.least(F.lit(1.0), LEAST_ASKED / F.count("*")).alias("share"))
+    counts = stored(counts, "audit-labels")
     unit = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
-    asked = v.filter((F.coalesce(F.col("vec_id") % every, F.lit(1)) == 0) | (unit < F.col("share"))).groupBy("label", block(2).alias("block"), chunks).agg(rows.alias("queries"))
-    asked = asked.select("label", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_chunks") - 1)).alias("chunk"), "queries")
-
-    def compare(batches):
-        for b in batches:
-            ids, sums = [], []
-            for q, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for size in {len(x["x"]) for x in q}:
-                    one, two = ([x for x in side if len(x["x"]) == size] for side in (q, w))
-                    if not two:
-                        continue
-                    a, c = (np.array([x["x"] for x in side], float) for side in (one, two))
-                    s = (a @ c.T) / np.outer(np.linalg.norm(a, axis=1), np.linalg.norm(c, axis=1)) >= threshold
-                    s &= np.array([x["id"] for x in one])[:, None] != np.array([x["id"] for x in two])
-                    ids += [x["id"] for x in one]
-                    sums += (s @ np.array([x["n_copies"] for x in two])).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sums, pa.int64())], names=["id", "audit_links"])
-    pairs = asked.join(base, ["label", "chunk"]).select("queries", "vectors")
-    with batch_rows(vectors.sparkSession, 8):
-        return stored(pairs.mapInArrow(compare, "id long, audit_links long").groupBy("id").agg(F.sum("audit_links").alias("audit_links")), "audit")
+    is_asked = (F.coalesce(F.col("vec_id") % every, F.lit(1)) == 0) | (unit < F.col("share"))
+    asked = vectors.select("id", "vec_id", "label").join(broadcast_if_small(counts, 10_000), "label").filter(is_asked).groupBy("label").agg(F.count("*").alias("n_asked"))
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    blocks = F.ceil(F.col("n") / BLOCK)
+    cells = counts.join(asked, "label").select(
+        "label", "share", F.least(blocks, F.greatest(F.ceil(F.col("n") * (tasks / total)), F.ceil(blocks / CHUNK_BLOCKS))).alias("n_chunks"), F.ceil(F.col("n_asked") / (BLOCK * CHUNK_BLOCKS)).alias("n_asks"))
+    v = vectors.join(broadcast_if_small(stored(cells, "audit-cells"), 10_000), "label")
+    among = lambda salt, n: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    queries = v.filter(is_asked).select(F.col("label").alias("of"), F.col("id").alias("asked"), F.col("x").alias("q"), among(2, "n_asks").alias("own"), each("n_chunks").alias("with"))
+    base = v.select("label", "id", "x", "n_copies", among(1, "n_chunks").alias("chunk"), each("n_asks").alias("ask"))
+    found = queries.groupBy("of", "with", "own").cogroup(base.groupBy("label", "chunk", "ask")).applyInArrow(_compare(threshold), "id long, audit_links long")
+    return stored(found.groupBy("id").agg(F.sum("audit_links").alias("audit_links")), "audit")
 
 
 def _near(a: np.ndarray, c: np.ndarray, threshold: float) -> np.ndarray:
